@@ -97,15 +97,23 @@ def median_stats(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000)
     return df.agg(*aggs)
 
 
-def fill_median(df: DataFrame, cols=None, exact: bool = True) -> DataFrame:
+def fill_median(df: DataFrame, cols=None, exact: bool = True, only_with_nulls: bool = True) -> DataFrame:
     """NULL numeric -> the column's median (NULLs skipped).
 
     The medians are a broadcast one-row frame joined onto every row; the
-    values never reach the driver.
+    values never reach the driver. With ``only_with_nulls`` one cheap
+    NULL-count pass (one row back) first picks the columns that have a
+    NULL at all, so no median is computed for a complete column -- an
+    exact median of a high-cardinality id column is the expensive part.
     """
     cols = columns_of_kind(df, "numeric") if cols is None else list(cols)
     if not cols:
         return df
+    if only_with_nulls:
+        counts = df.agg(*[F.count_if(_q(c).isNull()).alias(f"__n{i}") for i, c in enumerate(cols)]).first()
+        cols = [c for i, c in enumerate(cols) if counts[f"__n{i}"] > 0]
+        if not cols:
+            return df
     stats = median_stats(df, cols, exact).select(*[_q(c).alias(f"__med_{i}") for i, c in enumerate(cols)])
     joined = df.crossJoin(F.broadcast(stats))
     filled = {c: F.coalesce(_q(c), F.col(f"__med_{i}").cast(df.schema[c].dataType)) for i, c in enumerate(cols)}

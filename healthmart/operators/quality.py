@@ -71,13 +71,24 @@ def check_conformed(df: DataFrame, key: str = "record_id", required=("record_id"
 
 def enforce(df: DataFrame, key: str = "record_id", order_by=None, required=("record_id", "source"),
             age: str = "age", lo: float = 0, hi: float = 120, source: str = "source",
-            valid_sources=VALID_SOURCES) -> DataFrame:
+            valid_sources=VALID_SOURCES, report: dict | None = None) -> DataFrame:
     """V1-V5 as filters: one row per key, no NULL key/source, age NULL or in
-    range, codes coerced (gender -> -1, outcome -> 0), source valid."""
-    out = dedupe_keep_first(df, [key], order_by)
-    out = out.na.drop(subset=list(required))
+    range, codes coerced (gender -> -1, outcome -> 0), source valid.
+
+    ``report`` maps (rule, column) -> violations from ``check_conformed``;
+    a rule with no violation is skipped, so a clean frame costs no
+    de-duplicating shuffle."""
+    def hits(rule, column):
+        return report is None or report.get((rule, column), 1) > 0
+
+    out = df
+    if hits("V1", key):
+        out = dedupe_keep_first(out, [key], order_by)
+    if report is None or any(report.get(("V2", c), 1) > 0 for c in required):
+        out = out.na.drop(subset=list(required))
     a = F.col(f"`{age}`")
-    out = out.filter(a.isNull() | a.between(lo, hi))
+    if hits("V3", age):
+        out = out.filter(a.isNull() | a.between(lo, hi))
     coerce = {}
     if "gender_code" in out.columns:
         coerce["gender_code"] = F.coalesce(F.expr("try_cast(gender_code AS INT)"), F.lit(-1))
@@ -85,7 +96,20 @@ def enforce(df: DataFrame, key: str = "record_id", order_by=None, required=("rec
         coerce["outcome_flag"] = F.coalesce(F.expr("try_cast(outcome_flag AS INT)"), F.lit(0))
     coerce[key] = F.expr(f"try_cast(`{key}` AS BIGINT)")
     out = out.withColumns(coerce)
-    return out.filter(F.col(f"`{source}`").isin(*valid_sources))
+    if hits("V5", source):
+        out = out.filter(F.col(f"`{source}`").isin(*valid_sources))
+    return out
+
+
+def removed_rows(report: dict) -> int:
+    """Upper bound of rows ``enforce`` removes, from the collected report."""
+    return sum(v for (rule, _), v in report.items() if rule in ("V1", "V3", "V5")) + \
+        max([v for (rule, c), v in report.items() if rule == "V2" and c in ("record_id", "source")] or [0])
+
+
+def report_dict(report: DataFrame) -> dict:
+    """Collect the (small, fixed-size) rule rows of a report."""
+    return {(r["rule"], r["column"]): r["n"] for r in report.filter(F.col("rule") != "V6").collect()}
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:

@@ -218,8 +218,9 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     spark = appointments.sparkSession
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
     if base:
-        appointments = log.timed("landing_no_show", lambda: files.land(appointments, f"{base}/landing", "raw_no_show"))
-        profiles = log.timed("landing_disease", lambda: files.land(profiles, f"{base}/landing", "raw_disease"))
+        appointments, profiles = log.timed("landing", lambda: parallel([
+            lambda: files.land(appointments, f"{base}/landing", "raw_no_show"),
+            lambda: files.land(profiles, f"{base}/landing", "raw_disease")]))
     ns = log.timed("clean_no_show", lambda: etl_clean_appointments(appointments, opts))
     ds = log.timed("clean_disease", lambda: etl_clean_profiles(profiles, opts))
     stages.update(clean_no_show=ns, clean_disease=ds)
@@ -233,14 +234,21 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     merged = merged.drop("__rank", "__key").select(*schemas.CONFORMED.fieldNames())
     stages["conformed"] = merged
     report = quality.check_conformed(merged)
-    valid = quality.enforce(merged, order_by=["source"])
+    # the rule rows are a fixed handful; collecting them decides which
+    # filters have anything to remove (as the reference only drops on a hit)
+    counts = log.timed("validate", lambda: quality.report_dict(report))
+    valid = quality.enforce(merged, order_by=["source"], report=counts)
     stages["validated"] = valid
     if base:
         log.timed("snapshot", lambda: files.write_table(valid, f"{base}/lake", "transformed"))
         valid = files.read_table(spark, f"{base}/lake", "transformed")
     dims = st.Star.with_literal_dims(valid)
     fact = st.build_fact(valid, dims.dim_source, opts.outcome_mode, opts.age_group_default, opts.age_group_null)
-    fact = cf.renumber_dense(fact, "record_id", "fact_id").select(*schemas.FACT_COLUMNS)
+    if quality.removed_rows(counts) == 0:
+        # nothing removed: record ids are already dense in insertion order
+        fact = fact.withColumn("fact_id", F.col("record_id")).select(*schemas.FACT_COLUMNS)
+    else:
+        fact = cf.renumber_dense(fact, "record_id", "fact_id").select(*schemas.FACT_COLUMNS)
     star = st.Star(fact, dims.dim_source, dims.dim_outcome, dims.dim_age_group)
     if base:
         star = load_star(star, f"{base}/warehouse", "fact_medical", log)
@@ -249,19 +257,28 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
 
 
 def load_star(star: st.Star, warehouse: str, fact_name: str, log: StageLog | None = None) -> st.Star:
-    """Write dims and fact (full replace), return the stored star."""
+    """Write dims and fact (full replace), return the stored star.
+
+    The four writes are independent jobs and are submitted together."""
     spark = star.fact.sparkSession
     log = log or StageLog()
-    for name, df in (("dim_source", star.dim_source), ("dim_outcome", star.dim_outcome),
-                     ("dim_age_group", star.dim_age_group)):
-        files.write_table(df.coalesce(1), warehouse, name)
-    log.timed("load_fact", lambda: files.write_table(star.fact, warehouse, fact_name))
+    writes = [("dim_source", star.dim_source.coalesce(1)), ("dim_outcome", star.dim_outcome.coalesce(1)),
+              ("dim_age_group", star.dim_age_group.coalesce(1)), (fact_name, star.fact)]
+    log.timed("load", lambda: parallel([lambda n=n, d=d: files.write_table(d, warehouse, n) for n, d in writes]))
     return st.Star(files.read_table(spark, warehouse, fact_name),
                    files.read_table(spark, warehouse, "dim_source"),
                    files.read_table(spark, warehouse, "dim_outcome"),
                    files.read_table(spark, warehouse, "dim_age_group"))
 
 
+def parallel(thunks: list) -> list:
+    """Run independent Spark actions concurrently from driver threads (the
+    scheduler interleaves their tasks); results in input order."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, len(thunks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in thunks]]
+
+
 # =============================================================================
 # ELT
 # =============================================================================
@@ -416,12 +433,12 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
     stg_ns, stg_ds = appointments, profiles
     if base:
-        log.timed("lake_raw", lambda: (files.write_table(appointments, f"{base}/lake", "raw_no_show"),
-                                       files.write_table(profiles, f"{base}/lake", "raw_disease")))
-        stg_ns = log.timed("staging_no_show", lambda: files.land(
-            files.read_table(spark, f"{base}/lake", "raw_no_show"), f"{base}/warehouse", "stg_no_show"))
-        stg_ds = log.timed("staging_disease", lambda: files.land(
-            files.read_table(spark, f"{base}/lake", "raw_disease"), f"{base}/warehouse", "stg_disease"))
+        log.timed("lake_raw", lambda: parallel([
+            lambda: files.write_table(appointments, f"{base}/lake", "raw_no_show"),
+            lambda: files.write_table(profiles, f"{base}/lake", "raw_disease")]))
+        stg_ns, stg_ds = log.timed("staging", lambda: parallel([
+            lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_no_show"), f"{base}/warehouse", "stg_no_show"),
+            lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_disease"), f"{base}/warehouse", "stg_disease")]))
     dims = st.Star.with_literal_dims(stg_ns, with_description=False)
     clean_ns = elt_clean_appointments(stg_ns, opts)
     clean_ds = elt_clean_profiles(stg_ds, opts)
