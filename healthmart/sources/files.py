@@ -24,6 +24,17 @@ def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False) -
     return r.csv(path)
 
 
+def with_row_order(df: DataFrame, col: str = "_row") -> DataFrame:
+    """Tag rows with their input order (file, then position in the file).
+
+    For "keep the first occurrence" semantics on files without a key: ids
+    increase with the split index and the position inside the split, so
+    they follow the file order for one file and the listing order for
+    several. Computed once right after the scan, inside the same tasks.
+    """
+    return df.withColumn(col, F.monotonically_increasing_id())
+
+
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A stored table by name."""
     return spark.read.parquet(os.path.join(base, name))
