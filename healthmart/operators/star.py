@@ -32,6 +32,7 @@ class Star:
     dim_source: DataFrame
     dim_outcome: DataFrame
     dim_age_group: DataFrame
+    summary: DataFrame | None = None
 
     @classmethod
     def with_literal_dims(cls, fact: DataFrame, with_description: bool = True) -> "Star":

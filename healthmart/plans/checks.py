@@ -144,7 +144,10 @@ for _name, _fn in REPORT_FN.items():
     register(_name, O.with_(O.ELT_FACT, REPORT_SQL[_name]))(
         lambda spark, sf, _f=_fn: _f(elt_star(spark, sf)))
 
-# Two reports over the ETL flow's star as well.
+register("kpi_summary", O.with_(O.ELT_FACT, REPORT_SQL["q10_kpi_summary"]))(
+    lambda spark, sf: R.kpi_summary(elt_star(spark, sf)))
+
+# Reports over the ETL flow's star as well.
 for _name in ("q1_source_totals", "q10_kpi_summary", "q4_age_groups"):
     register(f"etl_{_name}", O.with_(O.ETL_FACT, REPORT_SQL[_name]))(
         lambda spark, sf, _f=REPORT_FN[_name]: _f(etl_result(spark, sf).star))

@@ -457,9 +457,27 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     return Result(star, None, report, stages, log)
 
 
+def with_summary(star: st.Star, base: str | None = None) -> st.Star:
+    """Materialise the report summary once (one pass over the fact) so the
+    whole report set reads a table bounded by the report key domains. With
+    ``base`` it is stored as ``marts/report_summary``; otherwise it is
+    checkpointed."""
+    from healthmart.plans.reports import build_summary
+    summ = build_summary(star.fact)
+    if base:
+        files.write_table(summ, f"{base}/marts", "report_summary")
+        summ = files.read_table(star.fact.sparkSession, f"{base}/marts", "report_summary")
+    else:
+        summ = checkpoint(summ)
+    return st.Star(star.fact, star.dim_source, star.dim_outcome, star.dim_age_group, summ)
+
+
 def write_reports(star: st.Star, out_dir: str, pipeline: str | None = None) -> DataFrame:
-    """Export the dashboard report set, one CSV folder each."""
+    """Export the dashboard report set, one CSV folder each, all
+    computed from one materialised summary of the fact."""
     from healthmart.plans.reports import dashboard
+    if star.summary is None:
+        star = with_summary(star)
     return files.export_reports(dashboard(star, pipeline), out_dir, "csv", isolate_errors=True,
                                 spark=star.fact.sparkSession)
 

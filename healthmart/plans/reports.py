@@ -1,8 +1,8 @@
 """The report set over the star schema (Q1-Q13 plus the logged variants).
 
-Every report is a function ``Star -> DataFrame``. Dimensions are literal
-frames of at most five rows and are broadcast, so the fact streams through
-one map-side partial aggregate; only a handful of groups are shuffled.
+Every report is a function ``Star -> DataFrame`` over the star's summary
+(one grouped pass over the fact, see ``build_summary``). Dimensions are
+literal frames of at most five rows and are broadcast.
 Results carry the dashboard column names; ``pipeline`` adds the tag
 column of the ELT exports.
 """
@@ -23,46 +23,97 @@ def _tag(df: DataFrame, pipeline: str | None) -> DataFrame:
     return df.withColumn("pipeline", F.lit(pipeline)) if pipeline else df
 
 
-def _rate_pct(flag: str = "outcome_flag") -> Column:
+# -- the shared summary --------------------------------------------------------
+# Every report groups the fact by one of a few low-cardinality attributes
+# and aggregates counts, sums, minima and maxima. One pass groups the fact
+# by all of them together; the result has one row per combination that
+# occurs, bounded by the product of the key domains (not by the row count),
+# and each report re-aggregates it. Counts, sums, min and max compose
+# exactly; a mean is a sum over a count.
+
+SUMMARY_KEYS = ["source_id", "outcome_id", "age_group_id", "appt_month", "is_weekend", "appt_day_of_week",
+                "wait_bucket", "gender_code", "disease_name"]
+
+
+def build_summary(fact: DataFrame) -> DataFrame:
+    """One aggregate pass over the fact (partial aggregation per task)."""
+    flag = F.col("outcome_flag").cast("double")
+    keyed = fact.withColumn("wait_bucket", F.when(F.col("wait_days").isNotNull(), wait_bucket("wait_days")))
+    return keyed.groupBy(*SUMMARY_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("outcome_flag") == 1).alias("n_flag1"),
+        F.count_if(F.col("outcome_flag") == 0).alias("n_flag0"),
+        F.sum(flag).alias("sum_flag"), F.count(flag).alias("n_flag"),
+        F.sum("age").alias("sum_age"), F.count("age").alias("n_age"),
+        F.min("age").alias("min_age"), F.max("age").alias("max_age"),
+        F.sum("wait_days").alias("sum_wait"), F.count("wait_days").alias("n_wait"),
+        F.min("wait_days").alias("min_wait"),
+        F.sum(F.col("comorbidity_count").cast("double")).alias("sum_com"),
+        F.count("comorbidity_count").alias("n_com"),
+    )
+
+
+def summary(star: Star) -> DataFrame:
+    """The star's report summary: the stored/cached one if set, else planned
+    from the fact (then every report is one fact scan)."""
+    return star.summary if getattr(star, "summary", None) is not None else build_summary(star.fact)
+
+
+def _mean(total: str, count: str) -> Column:
+    return F.try_divide(F.sum(total), F.sum(count))
+
+
+def _rate() -> Column:
+    return _mean("sum_flag", "n_flag")
+
+
+def _rate_pct() -> Column:
     """A10: ROUND(AVG(flag) * 100, 2)."""
-    return F.round(F.avg(F.col(flag).cast("double")) * F.lit(100.0), 2)
+    return F.round(_rate() * F.lit(100.0), 2)
 
 
-def _cnt() -> Column:
-    return F.count(F.lit(1)).cast("long")
+def _cnt(col: str = "n") -> Column:
+    return F.coalesce(F.sum(col), F.lit(0)).cast("long")
 
 
 def _no_show(star: Star) -> DataFrame:
-    return star.fact.filter(F.col("source_id") == NO_SHOW_SOURCE_ID)
+    return summary(star).filter(F.col("source_id") == NO_SHOW_SOURCE_ID)
+
+
+def _small_sorted(df: DataFrame, *cols) -> DataFrame:
+    """Total order of a result bounded by a small key domain (months, days,
+    age groups): one partition, no sampled range shuffle."""
+    return df.repartition(1).sortWithinPartitions(*cols)
 
 
 def kpi_summary(star: Star, pipeline: str | None = None, source_id: int | None = None) -> DataFrame:
     """One-row KPI summary (A2, A3, A6, A7). ``source_id`` limits it
     to one source (X16); by default it spans all rows."""
-    f = star.fact if source_id is None else star.fact.filter(F.col("source_id") == source_id)
-    out = f.agg(
+    s = summary(star) if source_id is None else summary(star).filter(F.col("source_id") == source_id)
+    out = s.agg(
         _cnt().alias("total_pasien"),
-        F.round(F.avg(F.col("outcome_flag").cast("double")), 4).alias("no_show_rate"),
-        F.round(F.avg("age"), 1).alias("avg_usia"),
-        F.round(F.avg(F.when(F.col("wait_days").isNotNull(), F.col("wait_days"))), 1).alias("avg_wait_days"),
-        F.count_if(F.col("outcome_flag") == 1).cast("long").alias("total_no_show"),
-        F.count_if(F.col("outcome_flag") == 0).cast("long").alias("total_show"),
+        F.round(_rate(), 4).alias("no_show_rate"),
+        F.round(_mean("sum_age", "n_age"), 1).alias("avg_usia"),
+        F.round(_mean("sum_wait", "n_wait"), 1).alias("avg_wait_days"),
+        _cnt("n_flag1").alias("total_no_show"),
+        _cnt("n_flag0").alias("total_show"),
     )
     return _tag(out, pipeline)
 
 
 def q1_source_totals(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q1: rows per source."""
-    out = (star.fact.join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
+    out = (summary(star).join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
                .groupBy(F.col("source_name").alias("sumber")).agg(_cnt().alias("total")))
     return _tag(out, pipeline)
 
 
 def q2_outcome_share(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q2: rows and percent of all fact rows per outcome."""
-    total = star.fact.agg(_cnt().alias("__all"))
-    per = (star.fact.join(F.broadcast(star.dim_outcome), "outcome_id")
-               .groupBy(F.col("outcome_label").alias("outcome")).agg(_cnt().alias("total")))
+    s = summary(star)
+    total = s.agg(_cnt().alias("__all"))
+    per = (s.join(F.broadcast(star.dim_outcome), "outcome_id")
+            .groupBy(F.col("outcome_label").alias("outcome")).agg(_cnt().alias("total")))
     out = (per.crossJoin(F.broadcast(total))
               .withColumn("persen", F.round(F.col("total") * F.lit(100.0) / F.col("__all"), 2))
               .drop("__all"))
@@ -70,44 +121,40 @@ def q2_outcome_share(star: Star, pipeline: str | None = None) -> DataFrame:
 
 
 def q3_age_by_outcome(star: Star, pipeline: str | None = None) -> DataFrame:
-    """Q3: mean/min/max age per outcome."""
-    out = (star.fact.filter(F.col("age").isNotNull())
+    """Q3: mean/min/max age per outcome over rows with an age."""
+    out = (summary(star).filter(F.col("n_age") > 0)
                .join(F.broadcast(star.dim_outcome), "outcome_id")
                .groupBy(F.col("outcome_label").alias("outcome"))
-               .agg(F.round(F.avg("age"), 2).alias("rata_rata_usia"),
-                    F.min("age").alias("usia_min"), F.max("age").alias("usia_max")))
+               .agg(F.round(_mean("sum_age", "n_age"), 2).alias("rata_rata_usia"),
+                    F.min("min_age").alias("usia_min"), F.max("max_age").alias("usia_max")))
     return _tag(out, pipeline)
 
 
 def q4_age_groups(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q4: rows and rate per age group, ordered by age_min."""
-    out = (star.fact.join(F.broadcast(star.dim_age_group), "age_group_id")
+    out = (summary(star).join(F.broadcast(star.dim_age_group), "age_group_id")
                .groupBy(F.col("age_group_name").alias("kelompok_usia"), "age_min", "age_max")
-               .agg(_cnt().alias("total"),
-                    F.round(F.avg(F.col("outcome_flag").cast("double")), 4).alias("no_show_rate"))
-               .orderBy("age_min"))
-    return _tag(out, pipeline)
+               .agg(_cnt().alias("total"), F.round(_rate(), 4).alias("no_show_rate")))
+    return _tag(_small_sorted(out, "age_min"), pipeline)
 
 
 def q5_monthly_rate(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q5: no-show rate per month."""
     out = (_no_show(star).filter(F.col("appt_month").isNotNull())
                .groupBy(F.col("appt_month").alias("bulan"))
-               .agg(_cnt().alias("total"), F.sum("outcome_flag").cast("long").alias("jumlah_no_show"),
-                    _rate_pct().alias("no_show_rate_persen"))
-               .orderBy("bulan"))
-    return _tag(out, pipeline)
+               .agg(_cnt().alias("total"), F.sum("sum_flag").cast("long").alias("jumlah_no_show"),
+                    _rate_pct().alias("no_show_rate_persen")))
+    return _tag(_small_sorted(out, "bulan"), pipeline)
 
 
 def q6_comorbidity_by_age(star: Star, pipeline: str | None = None) -> DataFrame:
-    """Q6: mean comorbidity per age group."""
-    out = (star.fact.filter(F.col("comorbidity_count").isNotNull())
+    """Q6: mean comorbidity per age group over rows that have one (J3, F2,
+    A3, A24, O2)."""
+    out = (summary(star).filter(F.col("n_com") > 0)
                .join(F.broadcast(star.dim_age_group), "age_group_id")
                .groupBy(F.col("age_group_name").alias("kelompok_usia"), "age_min")
-               .agg(F.round(F.avg(F.col("comorbidity_count").cast("double")), 3).alias("rata_comorbidity"),
-                    _cnt().alias("total"))
-               .orderBy("age_min"))
-    return _tag(out, pipeline)
+               .agg(F.round(_mean("sum_com", "n_com"), 3).alias("rata_comorbidity"), _cnt("n_com").alias("total")))
+    return _tag(_small_sorted(out, "age_min"), pipeline)
 
 
 def q7_weekend_rate(star: Star, pipeline: str | None = None) -> DataFrame:
@@ -123,7 +170,7 @@ def q8_top_diseases(star: Star, k: int = 15, pipeline: str | None = None) -> Dat
 
     The limit is the feature; planned as TakeOrderedAndProject over the
     per-disease counts."""
-    out = (star.fact.filter((F.col("source_id") == DISEASE_SOURCE_ID) & (F.col("disease_name") != "N/A"))
+    out = (summary(star).filter((F.col("source_id") == DISEASE_SOURCE_ID) & (F.col("disease_name") != "N/A"))
                .groupBy(F.col("disease_name").alias("penyakit")).agg(_cnt().alias("jumlah_kasus"))
                .orderBy(F.desc("jumlah_kasus"), F.desc("penyakit")).limit(k))
     return _tag(out, pipeline)
@@ -131,10 +178,10 @@ def q8_top_diseases(star: Star, k: int = 15, pipeline: str | None = None) -> Dat
 
 def q9_wait_by_outcome(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q9: mean waiting days per outcome."""
-    out = (star.fact.filter(F.col("wait_days").isNotNull())
+    out = (summary(star).filter(F.col("n_wait") > 0)
                .join(F.broadcast(star.dim_outcome), "outcome_id")
                .groupBy(F.col("outcome_label").alias("outcome"))
-               .agg(F.round(F.avg("wait_days"), 2).alias("avg_wait")))
+               .agg(F.round(_mean("sum_wait", "n_wait"), 2).alias("avg_wait")))
     return _tag(out, pipeline)
 
 
@@ -143,20 +190,18 @@ def q11_weekday_rate(star: Star, pipeline: str | None = None) -> DataFrame:
     out = (_no_show(star).filter(F.col("appt_day_of_week").isNotNull())
                .groupBy("appt_day_of_week").agg(_cnt().alias("total"), _rate_pct().alias("no_show_rate_persen"))
                .select(weekday_name("appt_day_of_week").alias("hari"),
-                       F.col("appt_day_of_week").alias("urutan"), "total", "no_show_rate_persen")
-               .orderBy("urutan"))
-    return _tag(out, pipeline)
+                       F.col("appt_day_of_week").alias("urutan"), "total", "no_show_rate_persen"))
+    return _tag(_small_sorted(out, "urutan"), pipeline)
 
 
 def q12_wait_bucket_rate(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q12: rate per waiting-time bucket, ordered by the bucket's smallest
     wait (M22, A22, A10, O3)."""
-    out = (_no_show(star).filter(F.col("wait_days").isNotNull())
-               .groupBy(wait_bucket("wait_days").alias("kategori_tunggu"))
+    out = (_no_show(star).filter(F.col("wait_bucket").isNotNull())
+               .groupBy(F.col("wait_bucket").alias("kategori_tunggu"))
                .agg(_cnt().alias("total"), _rate_pct().alias("no_show_rate_persen"),
-                    F.min("wait_days").alias("__min"))
-               .orderBy("__min").drop("__min"))
-    return _tag(out, pipeline)
+                    F.min("min_wait").alias("__min")))
+    return _tag(_small_sorted(out, "__min").drop("__min"), pipeline)
 
 
 def q13_gender_rate(star: Star, pipeline: str | None = None) -> DataFrame:
@@ -190,40 +235,43 @@ def dashboard(star: Star, pipeline: str | None = None) -> dict:
 
 def analytic_queries(star: Star) -> dict:
     """The pipelines' own query list (shorter columns, rates as fractions)."""
-    f = star.fact
-    rate4 = F.round(F.avg(F.col("outcome_flag").cast("double")), 4)
+    s = summary(star)
+    rate4 = F.round(_rate(), 4)
+    ns = s.filter(F.col("source_id") == NO_SHOW_SOURCE_ID)
     return {
-        "source_totals": lambda: f.join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
+        "source_totals": lambda: s.join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
             .groupBy("source_name").agg(_cnt().alias("total")),
-        "outcome_totals": lambda: f.join(F.broadcast(star.dim_outcome), "outcome_id")
+        "outcome_totals": lambda: s.join(F.broadcast(star.dim_outcome), "outcome_id")
             .groupBy("outcome_label").agg(_cnt().alias("total")),
-        "avg_age_by_outcome": lambda: f.filter(F.col("age").isNotNull())
+        "avg_age_by_outcome": lambda: s.filter(F.col("n_age") > 0)
             .join(F.broadcast(star.dim_outcome), "outcome_id")
-            .groupBy("outcome_label").agg(F.round(F.avg("age"), 2).alias("avg_age")),
-        "age_group_totals": lambda: f.join(F.broadcast(star.dim_age_group), "age_group_id")
-            .groupBy("age_group_name", "age_min").agg(_cnt().alias("total")).orderBy("age_min").drop("age_min"),
-        "monthly_rate": lambda: f.filter((F.col("source_id") == 1) & F.col("appt_month").isNotNull())
-            .groupBy("appt_month").agg(rate4.alias("no_show_rate")).orderBy("appt_month"),
-        "comorbidity_by_age": lambda: f.filter(F.col("comorbidity_count").isNotNull())
+            .groupBy("outcome_label").agg(F.round(_mean("sum_age", "n_age"), 2).alias("avg_age")),
+        "age_group_totals": lambda: _small_sorted(
+            s.join(F.broadcast(star.dim_age_group), "age_group_id")
+             .groupBy("age_group_name", "age_min").agg(_cnt().alias("total")), "age_min").drop("age_min"),
+        "monthly_rate": lambda: _small_sorted(
+            ns.filter(F.col("appt_month").isNotNull()).groupBy("appt_month").agg(rate4.alias("no_show_rate")),
+            "appt_month"),
+        "comorbidity_by_age": lambda: s.filter(F.col("n_com") > 0)
             .join(F.broadcast(star.dim_age_group), "age_group_id")
-            .groupBy("age_group_name").agg(F.round(F.avg("comorbidity_count"), 2).alias("avg_comorbidity")),
-        "weekend_rate": lambda: f.filter((F.col("source_id") == 1) & F.col("is_weekend").isNotNull())
+            .groupBy("age_group_name").agg(F.round(_mean("sum_com", "n_com"), 2).alias("avg_comorbidity")),
+        "weekend_rate": lambda: ns.filter(F.col("is_weekend").isNotNull())
             .groupBy("is_weekend").agg(rate4.alias("no_show_rate"), _cnt().alias("total")),
-        "top10_diseases": lambda: f.filter(F.col("source_id") == 2).groupBy("disease_name")
+        "top10_diseases": lambda: s.filter(F.col("source_id") == DISEASE_SOURCE_ID).groupBy("disease_name")
             .agg(_cnt().alias("total")).orderBy(F.desc("total"), F.desc("disease_name")).limit(10),
-        "avg_wait_by_outcome": lambda: f.filter(F.col("wait_days").isNotNull())
+        "avg_wait_by_outcome": lambda: s.filter(F.col("n_wait") > 0)
             .join(F.broadcast(star.dim_outcome), "outcome_id")
-            .groupBy("outcome_label").agg(F.round(F.avg("wait_days"), 2).alias("avg_wait")),
+            .groupBy("outcome_label").agg(F.round(_mean("sum_wait", "n_wait"), 2).alias("avg_wait")),
     }
 
 
 def star_rollup(star: Star) -> DataFrame:
-    """Flagship: fact joined to all three dimensions, rolled up to
+    """Flagship: the fact joined to all three dimensions, rolled up to
     (source, outcome, age group) with count, mean age and rate."""
-    f = (star.fact
+    s = (summary(star)
          .join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
          .join(F.broadcast(star.dim_outcome), "outcome_id")
          .join(F.broadcast(star.dim_age_group), "age_group_id"))
-    return (f.groupBy("source_name", "outcome_label", "age_group_name")
-             .agg(_cnt().alias("total"), F.round(F.avg("age"), 4).alias("avg_age"),
-                  F.round(F.avg(F.col("outcome_flag").cast("double")), 4).alias("rate")))
+    return (s.groupBy("source_name", "outcome_label", "age_group_name")
+             .agg(_cnt().alias("total"), F.round(_mean("sum_age", "n_age"), 4).alias("avg_age"),
+                  F.round(_rate(), 4).alias("rate")))
