@@ -1,0 +1,3 @@
+"""Nothing here by design: the reference processes two bounded files in
+batch and has no unbounded source, watermark, time window or state, so
+there is no streaming operator to rebuild."""
