@@ -97,14 +97,16 @@ def median_stats(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000)
     return df.agg(*aggs)
 
 
-def fill_median(df: DataFrame, cols=None, exact: bool = True, only_with_nulls: bool = True) -> DataFrame:
+def fill_median(df: DataFrame, cols=None, exact: bool = True, only_with_nulls: bool = True,
+                eager: bool = True) -> DataFrame:
     """NULL numeric -> the column's median (NULLs skipped).
 
-    The medians are a broadcast one-row frame joined onto every row; the
-    values never reach the driver. With ``only_with_nulls`` one cheap
-    NULL-count pass (one row back) first picks the columns that have a
-    NULL at all, so no median is computed for a complete column -- an
-    exact median of a high-cardinality id column is the expensive part.
+    With ``only_with_nulls`` one cheap NULL-count pass (one row back) first
+    picks the columns that have a NULL at all, so no median is computed for
+    a complete column -- an exact median of a high-cardinality id column is
+    the expensive part. ``eager`` gathers all medians in one action and
+    fills with literals (later jobs do not recompute them); otherwise the
+    medians stay in the plan as a broadcast one-row frame.
     """
     cols = columns_of_kind(df, "numeric") if cols is None else list(cols)
     if not cols:
@@ -115,6 +117,10 @@ def fill_median(df: DataFrame, cols=None, exact: bool = True, only_with_nulls: b
         if not cols:
             return df
     stats = median_stats(df, cols, exact).select(*[_q(c).alias(f"__med_{i}") for i, c in enumerate(cols)])
+    if eager:
+        row = stats.first()
+        return df.withColumns({c: F.coalesce(_q(c), F.lit(row[f"__med_{i}"]).cast(df.schema[c].dataType))
+                               for i, c in enumerate(cols)})
     joined = df.crossJoin(F.broadcast(stats))
     filled = {c: F.coalesce(_q(c), F.col(f"__med_{i}").cast(df.schema[c].dataType)) for i, c in enumerate(cols)}
     return joined.withColumns(filled).select(*[_q(c) for c in df.columns])
@@ -172,13 +178,20 @@ def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, exact: bool = True) -> D
     )
 
 
-def iqr_filter(df: DataFrame, col: str, k: float = 1.5, exact: bool = True) -> DataFrame:
+def iqr_filter(df: DataFrame, col: str, k: float = 1.5, exact: bool = True, eager: bool = True) -> DataFrame:
     """keep rows with Q1 - k*IQR <= x <= Q3 + k*IQR (closed; NULL dropped).
 
-    Quartiles are computed over ``df`` itself and joined as a broadcast
-    one-row frame.
+    Quartiles are computed over ``df`` itself. ``eager`` gathers the two
+    bounds in one action and filters with literals, which Catalyst pushes
+    to the scan; otherwise they are joined as a broadcast one-row frame.
     """
-    b = iqr_bounds(df, col, k, exact).select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
+    b = iqr_bounds(df, col, k, exact)
+    if eager:
+        row = b.first()
+        if row.lo is None:
+            return df.filter(F.lit(False))
+        return df.filter(_q(col).between(F.lit(row.lo), F.lit(row.hi)))
+    b = b.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
     return (df.crossJoin(F.broadcast(b))
               .filter(_q(col).between(F.col("__lo"), F.col("__hi")))
               .drop("__lo", "__hi"))

@@ -1,6 +1,7 @@
 """Scaling against global scalars.
 
-Each scalar is a one-row aggregate joined back as a broadcast frame, the
+Each scalar is a one-row aggregate: gathered in one action and used as a
+literal (default), or joined back as a broadcast one-row frame, the
 DataFrame form of an uncorrelated scalar subquery.
 """
 
@@ -17,14 +18,22 @@ def minmax_stats(df: DataFrame, col: str) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, col: str, out: str, eps: float = 1e-9,
-                 domain: DataFrame | None = None, scale: int | None = None) -> DataFrame:
+                 domain: DataFrame | None = None, scale: int | None = None, eager: bool = True) -> DataFrame:
     """M7/M8: (x - min) / (max - min + eps).
 
     ``domain`` is the frame min/max are taken from (M8 uses the raw staging
     table, M7 the frame itself). ``scale`` rounds half-up (SQL ROUND).
+    ``eager`` gathers min and max in one action and uses literals, so later
+    jobs over the result do not re-run the aggregate; otherwise they stay
+    in the plan as a broadcast one-row frame.
     """
     stats = minmax_stats(domain if domain is not None else df, col)
     x = F.col(f"`{col}`").cast("double")
+    if eager:
+        row = stats.first()
+        mn, mx = F.lit(row["__mn"]).cast("double"), F.lit(row["__mx"]).cast("double")
+        v = (x - mn) / (mx - mn + F.lit(eps))
+        return df.withColumn(out, F.round(v, scale) if scale is not None else v)
     v = (x - F.col("__mn")) / (F.col("__mx") - F.col("__mn") + F.lit(eps))
     if scale is not None:
         v = F.round(v, scale)
@@ -32,9 +41,13 @@ def minmax_scale(df: DataFrame, col: str, out: str, eps: float = 1e-9,
 
 
 def max_scale(df: DataFrame, col: str, out: str, eps: float = 1e-4, scale: int | None = 4,
-              domain: DataFrame | None = None) -> DataFrame:
-    """M9: x / (max + eps), rounded half-up."""
+              domain: DataFrame | None = None, eager: bool = True) -> DataFrame:
+    """M9: x / (max + eps), rounded half-up (``eager`` as in minmax_scale)."""
     stats = (domain if domain is not None else df).agg(F.max(F.col(f"`{col}`").cast("double")).alias("__mx"))
+    if eager:
+        mx = F.lit(stats.first()["__mx"]).cast("double")
+        v = F.col(f"`{col}`") / (mx + F.lit(eps))
+        return df.withColumn(out, F.round(v, scale) if scale is not None else v)
     v = F.col(f"`{col}`") / (F.col("__mx") + F.lit(eps))
     if scale is not None:
         v = F.round(v, scale)

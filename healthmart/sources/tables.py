@@ -28,6 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    Parquet splits only at row-group boundaries, so a file written as one
+    row group is read by one task and everything narrow after it (a
+    broadcast join, projections, the landing write) runs single-threaded.
+    When the scan has fewer partitions than the cluster has cores, a
+    round-robin repartition spreads it; on large inputs (more splits than
+    cores) this is a no-op and no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Temp view per driver table, for SQL users."""
     for n in names:
@@ -49,9 +65,9 @@ def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only the needed columns are read (pruned at the scan); the join is
     the one shuffle, on the order key.
     """
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
-        "l_returnflag", "l_linestatus", "l_shipdate")
+        "l_returnflag", "l_linestatus", "l_shipdate"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
@@ -73,7 +89,7 @@ def appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def disease_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Disease-profile role view over part: brand = disease, size = age,
     the rest derived from type, name, size and price."""
-    p = table(spark, sf_dir, "part").select("p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+    p = spread(table(spark, sf_dir, "part").select("p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
     name, typ, size, price = F.col("p_name"), F.col("p_type"), F.col("p_size"), F.col("p_retailprice")
     return p.select(
         F.col("p_brand").alias("Disease"),

@@ -3,6 +3,7 @@ dense ids, quality rules."""
 
 from pyspark.sql import functions as F
 
+from healthmart import schemas
 from healthmart.operators import clean, conform as cf, quality, scale, star as st
 from healthmart.plans import reports as R
 from healthmart.sources import files
@@ -132,6 +133,10 @@ def test_empty_input(spark):
 def test_top_k_ties_by_name_desc(spark):
     facts = [(2, n) for n, k in [("A", 2), ("B", 2), ("C", 2), ("D", 1)] for _ in range(k)] + [(1, "N/A")]
     fact = spark.createDataFrame(facts, "source_id int, disease_name string")
+    layout = {f.name: f.dataType for f in schemas.CONFORMED.fields}
+    fact = fact.select(*[F.col(c) if c in fact.columns else
+                         F.lit(0 if c == "outcome_flag" else None).cast(layout.get(c, "long")).alias(c)
+                         for c in schemas.FACT_COLUMNS])
     star = st.Star.with_literal_dims(fact)
     assert [tuple(r) for r in R.q8_top_diseases(star, 2).collect()] == [("C", 2), ("B", 2)]
 
