@@ -33,7 +33,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="hm-bench-")
     spark = get_session(f"local[{cpus}]", app="healthmart-bench", shuffle_partitions=int(cpus) * 2,
-                        spark__driver__memory="16g",
+                        spark__driver__memory="4g",
                         spark__sql__files__maxPartitionBytes=str(128 * 1024 * 1024))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))

@@ -77,17 +77,23 @@ def dense_ids(df: DataFrame, order_by, id_col: str, partitions: int | None = Non
     return out.select(id_col, *[F.col(f"`{c}`") for c in df.columns if c != id_col])
 
 
-def renumber_dense(df: DataFrame, dense_col: str, id_col: str, bucket_rows: int = 1 << 20,
-                   start: int = 1) -> DataFrame:
-    """W3 for a frame whose ``dense_col`` already holds unique integers with
-    gaps (rows removed after numbering): new ids start..start+n-1 in the
-    same order.
-
-    Buckets are fixed-width slices of ``dense_col`` (even by construction,
-    since the values are unique), so no sampling or checkpoint is needed:
-    count per bucket, running sum over the bucket table (n / bucket_rows
-    rows), row_number within each bucket.
+def renumber_dense(df: DataFrame, dense_col: str, id_col: str, bucket_rows: int | None = None,
+                   start: int = 1, max_buckets: int = 1 << 16) -> DataFrame:
+    """W3 for a frame whose ``dense_col`` holds unique integers with gaps
+    (rows removed after numbering): new ids start..start+n-1 in the same
+    order.
+
+    Buckets are fixed-width slices of ``dense_col`` (each holds at most
+    ``bucket_rows`` rows, since the values are unique), so no sampling or
+    checkpoint is needed: count per bucket, running sum over the bucket
+    table, row_number within each bucket. Without ``bucket_rows`` the width
+    is chosen from the value range (one aggregate) so that the bucket table
+    -- the only broadcast side -- never exceeds ``max_buckets`` rows.
     """
+    if bucket_rows is None:
+        rng = df.agg(F.min(dense_col).alias("lo"), F.max(dense_col).alias("hi")).first()
+        span = 0 if rng.lo is None else int(rng.hi) - int(rng.lo) + 1
+        bucket_rows = max(1 << 20, -(-span // max_buckets))
     b = F.floor(F.col(dense_col) / F.lit(bucket_rows)).cast("long")
     tagged = df.withColumn("__b", b)
     counts = tagged.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))

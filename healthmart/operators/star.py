@@ -41,15 +41,17 @@ class Star:
 
 
 def code_lookup(df: DataFrame, dim: DataFrame, on: str, dim_key: str, dim_value: str,
-                out: str, default=None) -> DataFrame:
+                out: str, default=None, small_dim: bool = False) -> DataFrame:
     """Value -> id through a dimension, missing -> ``default``.
 
-    Left join onto the dimension. The dimensions of this library are
-    literal frames of a handful of rows, so they are broadcast; the fact is
-    never shuffled for it.
+    Left join onto the dimension. ``small_dim`` declares the dimension
+    bounded (the literal dimensions of this library are a handful of rows)
+    and broadcasts it, so the fact is never shuffled; otherwise the join is
+    left to Spark, whose broadcast threshold and AQE runtime statistics
+    decide from the actual size.
     """
     d = dim.select(F.col(dim_key).alias("__k"), F.col(dim_value).alias("__v"))
-    joined = df.join(F.broadcast(d), F.col(f"`{on}`") == F.col("__k"), "left")
+    joined = df.join(F.broadcast(d) if small_dim else d, F.col(f"`{on}`") == F.col("__k"), "left")
     val = F.coalesce(F.col("__v"), F.lit(default)) if default is not None else F.col("__v")
     return joined.withColumn(out, val).drop("__k", "__v")
 
@@ -89,7 +91,8 @@ def build_fact(conformed: DataFrame, source_ids: DataFrame, outcome_mode: str =
     ``fact_id`` is an expression for the surrogate key when ids are already
     assigned upstream.
     """
-    f = code_lookup(conformed, source_ids, "source", "source_name", "source_id", "source_id", default=1)
+    f = code_lookup(conformed, source_ids, "source", "source_name", "source_id", "source_id", default=1,
+                    small_dim=True)
     f = f.withColumns({
         "outcome_id": outcome_id(F.col("outcome_flag"), F.col("source"), outcome_mode).cast("int"),
         "age_group_id": age_group_id(F.col("age"), age_default, age_null),

@@ -706,7 +706,8 @@ def q_code_lookup_default(spark, sf):
     """Key lookup with a default for missing codes."""
     dim = spark.createDataFrame([("F", 1), ("O", 2)], "code string, id int")
     o = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return st.code_lookup(o, dim, "o_orderstatus", "code", "id", "status_id", default=9).drop("o_orderstatus")
+    return st.code_lookup(o, dim, "o_orderstatus", "code", "id", "status_id", default=9,
+                          small_dim=True).drop("o_orderstatus")
 
 
 BANDS = [(1, -1000, 0), (2, 0.01, 2500), (3, 2500.01, 5000), (4, 5000.01, 10000)]

@@ -47,6 +47,7 @@ class Options:
     order_col: str | None = None      # explicit input order for keep-first picks
     comorbidity_columns: tuple = COMORBIDITY_COLUMNS
     checkpoint: bool = True           # cut lineage after the de-duplicating shuffles
+    staging_copy: bool = False        # ELT: physical staging copy instead of tables over the lake files
 
 
 @dataclass
@@ -436,9 +437,19 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
         log.timed("lake_raw", lambda: parallel([
             lambda: files.write_table(appointments, f"{base}/lake", "raw_no_show"),
             lambda: files.write_table(profiles, f"{base}/lake", "raw_disease")]))
-        stg_ns, stg_ds = log.timed("staging", lambda: parallel([
-            lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_no_show"), f"{base}/warehouse", "stg_no_show"),
-            lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_disease"), f"{base}/warehouse", "stg_disease")]))
+        if opts.staging_copy:
+            stg_ns, stg_ds = log.timed("staging", lambda: parallel([
+                lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_no_show"), f"{base}/warehouse",
+                                   "stg_no_show"),
+                lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_disease"), f"{base}/warehouse",
+                                   "stg_disease")]))
+        else:
+            # staging tables are the landed lake files themselves (external
+            # tables): no second copy of the raw rows
+            stg_ns = files.read_table(spark, f"{base}/lake", "raw_no_show")
+            stg_ds = files.read_table(spark, f"{base}/lake", "raw_disease")
+        stg_ns.createOrReplaceTempView("stg_no_show")
+        stg_ds.createOrReplaceTempView("stg_disease")
     dims = st.Star.with_literal_dims(stg_ns, with_description=False)
     clean_ns = elt_clean_appointments(stg_ns, opts)
     clean_ds = elt_clean_profiles(stg_ds, opts)
