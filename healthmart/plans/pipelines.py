@@ -48,6 +48,7 @@ class Options:
     comorbidity_columns: tuple = COMORBIDITY_COLUMNS
     checkpoint: bool = True           # cut lineage after the de-duplicating shuffles
     staging_copy: bool = False        # ELT: physical staging copy instead of tables over the lake files
+    elt_disease_key: str = "group"    # ELT: 'group' = one row per (disease, age, gender); 'full_row' = distinct rows
 
 
 @dataclass
@@ -352,7 +353,14 @@ def elt_clean_profiles(stg: DataFrame, opts: Options) -> DataFrame:
         *([_qc(opts.order_col)] if opts.order_col in cols else []),
     ).filter(F.col("disease_name").isNotNull())
     order = _order(out, opts)
-    out = clean.dedupe_keep_first(out, ["disease_name", "age", "gender_code"], order)
+    if opts.elt_disease_key == "full_row":
+        # distinct profiles (X6 alternative): patients that share disease,
+        # age and gender but differ elsewhere stay separate rows
+        raw_cols = [c for c in cols if c != opts.order_col]
+        first = clean.dedupe_keep_first(stg, raw_cols, _order(stg, opts))
+        return elt_clean_profiles(first, Options(**{**opts.__dict__, "elt_disease_key": "none"}))
+    if opts.elt_disease_key == "group":
+        out = clean.dedupe_keep_first(out, ["disease_name", "age", "gender_code"], order)
     if age:
         out = scale.minmax_scale(out, "age", "age_norm", eps=1e-4, scale=4,
                                  domain=staged.select(F.col("__age").alias("age")))

@@ -91,7 +91,7 @@ def seed_dimension(spark: SparkSession, base: str, name: str, rows: DataFrame,
                   .drop("__top").select(*rows.columns))
     out = existing.select(*rows.columns).unionByName(fresh)
     # write to a new location first: the stored table is an input of this plan
-    tmp = os.path.join(base, f".{name}.next")
+    tmp = os.path.join(base, f"{name}__next")
     out.write.mode("overwrite").parquet(tmp)
     result = spark.read.parquet(tmp)
     result.write.mode("overwrite").parquet(os.path.join(base, name))
@@ -99,24 +99,32 @@ def seed_dimension(spark: SparkSession, base: str, name: str, rows: DataFrame,
 
 
 def export_reports(reports: dict, out_dir: str, fmt: str = "csv", isolate_errors: bool = True,
-                   spark: SparkSession | None = None) -> DataFrame:
+                   spark: SparkSession | None = None, concurrent: bool = True) -> DataFrame:
     """Write each named report (a callable returning a DataFrame or
     a DataFrame) to ``out_dir/name``. Reports are small aggregates, so each
-    is written as one file. With ``isolate_errors`` a failing report is
-    recorded and the others still run. Returns (name, status, rows, error).
+    is written as one file; they are independent jobs and are submitted
+    together. With ``isolate_errors`` a failing report is recorded and the
+    others still run. Returns (name, status, rows, error) in input order.
     """
-    results = []
-    for name, rep in reports.items():
+    def one(name, rep):
         try:
             df = rep() if callable(rep) else rep
             df = df.cache()
             n = df.count()
             write_table(df.coalesce(1), out_dir, name, fmt)
             df.unpersist()
-            results.append((name, "ok", n, None))
+            return (name, "ok", n, None)
         except Exception as e:  # noqa: BLE001 - isolation is the feature
             if not isolate_errors:
                 raise
-            results.append((name, "failed", None, str(e).splitlines()[0][:500]))
+            return (name, "failed", None, str(e).splitlines()[0][:500])
+
+    items = list(reports.items())
+    if concurrent and len(items) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=min(8, len(items))) as pool:
+            results = list(pool.map(lambda kv: one(*kv), items))
+    else:
+        results = [one(n, r) for n, r in items]
     spark = spark or SparkSession.getActiveSession()
     return spark.createDataFrame(results, "name string, status string, rows long, error string")

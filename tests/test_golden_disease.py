@@ -79,3 +79,8 @@ def test_elt_top15(spark, raw):
     assert top == TOP15_ELT
     kpi = R.kpi_summary(res.star).first()
     assert kpi.total_pasien == 276 and kpi.total_no_show == 141
+
+
+def test_elt_full_row_option(raw):
+    ds = P.elt_clean_profiles(raw, P.Options(order_col="_row", elt_disease_key="full_row"))
+    assert ds.count() == 300

@@ -112,3 +112,13 @@ def test_stage_counts_conserve(spark, inputs):
     assert ba.before == ba.after + ba.removed and ba.removed == 5
     prof = audit.profile(ns).filter(F.col("name") == "AppointmentID").first()
     assert prof.nulls == 1 and prof.rows == 11
+
+
+def test_bucket_counts_sum_to_filtered_total(spark, inputs, scratch):
+    ns, ds = inputs
+    star = P.run_elt(ns, ds, P.Options(order_col="_row")).star
+    buckets = sum(r.total for r in R.q12_wait_bucket_rate(star).collect())
+    direct = star.fact.filter("source_id = 1 AND wait_days IS NOT NULL").count()
+    assert buckets == direct
+    months = sum(r.total for r in R.q5_monthly_rate(star).collect())
+    assert months == star.fact.filter("source_id = 1 AND appt_month IS NOT NULL").count()
