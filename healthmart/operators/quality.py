@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from healthmart.operators.clean import dedupe_keep_first, duplicate_key_count
@@ -33,10 +33,12 @@ def null_counts(df: DataFrame, cols) -> DataFrame:
 def relative_frequency(df: DataFrame, col: str, scale: int = 4, out: str = "share") -> DataFrame:
     """Value counts normalised by the total, rounded.
 
-    The total is a window over the aggregated (one row per value) frame."""
+    The total is a one-row aggregate of the counts, broadcast back; no
+    single-partition window, so a high-cardinality column stays spread."""
     counts = df.groupBy(F.col(col)).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    return counts.withColumn(out, F.round(F.col("n") / total, scale))
+    total = counts.agg(F.sum("n").alias("__total"))
+    return (counts.crossJoin(F.broadcast(total))
+                  .withColumn(out, F.round(F.col("n") / F.col("__total"), scale)).drop("__total"))
 
 
 def check_conformed(df: DataFrame, key: str = "record_id", required=("record_id", "source", "age"),

@@ -164,3 +164,12 @@ def test_relative_frequency_rounding(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",)], "s string")
     got = {r.s: r.share for r in quality.relative_frequency(df, "s").collect()}
     assert got == {"a": 0.6667, "b": 0.3333}
+
+
+def test_sketch_statistics_path(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(1, 1001)] + [(None,)], "x double")
+    filled = clean.fill_median(df, ["x"], exact=False)
+    med = [r.x for r in filled.collect() if r.x is not None]
+    assert len(med) == 1001 and abs(sorted(med)[500] - 500.0) <= 2
+    kept = clean.iqr_filter(df, "x", exact=False)
+    assert 990 <= kept.count() <= 1000
