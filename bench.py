@@ -45,6 +45,8 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
+    ns, ds = P.driver_inputs(spark, sf_dir)
+    input_rows = ns.count() + ds.count()  # appointment + profile rows fed to each flow
     ns, ds = P.driver_inputs(spark, sf_dir)
     etl = timed("etl_total", lambda: P.run_etl(ns, ds, P.Options(), base=os.path.join(scratch, "etl")))
     ns, ds = P.driver_inputs(spark, sf_dir)
@@ -68,6 +70,9 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "fact_rows": fact_rows,
+        "input_rows": input_rows,
+        "etl_rows_per_sec": round(input_rows / times["etl_total"]),
+        "elt_rows_per_sec": round(input_rows / times["elt_total"]),
         "cpus": int(cpus),
     }))
     spark.stop()
