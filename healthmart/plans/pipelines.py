@@ -482,7 +482,7 @@ def with_summary(star: st.Star, base: str | None = None) -> st.Star:
     ``base`` it is stored as ``marts/report_summary``; otherwise it is
     checkpointed."""
     from healthmart.plans.reports import build_summary
-    summ = build_summary(star.fact)
+    summ = build_summary(star)
     if base:
         files.write_table(summ, f"{base}/marts", "report_summary")
         summ = files.read_table(star.fact.sparkSession, f"{base}/marts", "report_summary")

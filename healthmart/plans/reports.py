@@ -33,13 +33,25 @@ def _tag(df: DataFrame, pipeline: str | None) -> DataFrame:
 
 SUMMARY_KEYS = ["source_id", "outcome_id", "age_group_id", "appt_month", "is_weekend", "appt_day_of_week",
                 "wait_bucket", "gender_code", "disease_name"]
+DIM_ATTRS = ["source_name", "outcome_label", "age_group_name", "age_min", "age_max"]
 
 
-def build_summary(fact: DataFrame) -> DataFrame:
-    """One aggregate pass over the fact (partial aggregation per task)."""
+def build_summary(star: Star) -> DataFrame:
+    """One aggregate pass over the fact (partial aggregation per task).
+
+    The three dimensions' attributes are attached first by left broadcast
+    joins (dimensions are a few literal rows), so every report reads one
+    table and joins nothing; a fact row without a dimension match keeps
+    NULL attributes and is left out exactly where the star join would
+    drop it."""
+    fact = star.fact
     flag = F.col("outcome_flag").cast("double")
-    keyed = fact.withColumn("wait_bucket", F.when(F.col("wait_days").isNotNull(), wait_bucket("wait_days")))
-    return keyed.groupBy(*SUMMARY_KEYS).agg(
+    keyed = (fact.withColumn("wait_bucket", F.when(F.col("wait_days").isNotNull(), wait_bucket("wait_days")))
+                 .join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id", "left")
+                 .join(F.broadcast(star.dim_outcome.select("outcome_id", "outcome_label")), "outcome_id", "left")
+                 .join(F.broadcast(star.dim_age_group.select("age_group_id", "age_group_name", "age_min", "age_max")),
+                       "age_group_id", "left"))
+    return keyed.groupBy(*SUMMARY_KEYS, *DIM_ATTRS).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("outcome_flag") == 1).alias("n_flag1"),
         F.count_if(F.col("outcome_flag") == 0).alias("n_flag0"),
@@ -54,9 +66,19 @@ def build_summary(fact: DataFrame) -> DataFrame:
 
 
 def summary(star: Star) -> DataFrame:
-    """The star's report summary: the stored/cached one if set, else planned
-    from the fact (then every report is one fact scan)."""
-    return star.summary if getattr(star, "summary", None) is not None else build_summary(star.fact)
+    """The star's report summary: the stored one if set, else planned from
+    the star (then every report is one fact scan).
+
+    The summary is bounded by the report key domains, so it is read as one
+    partition: a single partition satisfies every report's grouping and
+    global aggregates, and Catalyst plans them without any shuffle."""
+    s = star.summary if getattr(star, "summary", None) is not None else build_summary(star)
+    return s.coalesce(1)
+
+
+def _named(star: Star, attr: str) -> DataFrame:
+    """Summary rows that joined the dimension carrying ``attr``."""
+    return summary(star).filter(F.col(attr).isNotNull())
 
 
 def _mean(total: str, count: str) -> Column:
@@ -82,8 +104,8 @@ def _no_show(star: Star) -> DataFrame:
 
 def _small_sorted(df: DataFrame, *cols) -> DataFrame:
     """Total order of a result bounded by a small key domain (months, days,
-    age groups): one partition, no sampled range shuffle."""
-    return df.repartition(1).sortWithinPartitions(*cols)
+    age groups): sorted inside its single partition, no range shuffle."""
+    return df.coalesce(1).sortWithinPartitions(*cols)
 
 
 def kpi_summary(star: Star, pipeline: str | None = None, source_id: int | None = None) -> DataFrame:
@@ -103,8 +125,7 @@ def kpi_summary(star: Star, pipeline: str | None = None, source_id: int | None =
 
 def q1_source_totals(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q1: rows per source."""
-    out = (summary(star).join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
-               .groupBy(F.col("source_name").alias("sumber")).agg(_cnt().alias("total")))
+    out = _named(star, "source_name").groupBy(F.col("source_name").alias("sumber")).agg(_cnt().alias("total"))
     return _tag(out, pipeline)
 
 
@@ -112,7 +133,7 @@ def q2_outcome_share(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q2: rows and percent of all fact rows per outcome."""
     s = summary(star)
     total = s.agg(_cnt().alias("__all"))
-    per = (s.join(F.broadcast(star.dim_outcome), "outcome_id")
+    per = (s.filter(F.col("outcome_label").isNotNull())
             .groupBy(F.col("outcome_label").alias("outcome")).agg(_cnt().alias("total")))
     out = (per.crossJoin(F.broadcast(total))
               .withColumn("persen", F.round(F.col("total") * F.lit(100.0) / F.col("__all"), 2))
@@ -122,8 +143,7 @@ def q2_outcome_share(star: Star, pipeline: str | None = None) -> DataFrame:
 
 def q3_age_by_outcome(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q3: mean/min/max age per outcome over rows with an age."""
-    out = (summary(star).filter(F.col("n_age") > 0)
-               .join(F.broadcast(star.dim_outcome), "outcome_id")
+    out = (_named(star, "outcome_label").filter(F.col("n_age") > 0)
                .groupBy(F.col("outcome_label").alias("outcome"))
                .agg(F.round(_mean("sum_age", "n_age"), 2).alias("rata_rata_usia"),
                     F.min("min_age").alias("usia_min"), F.max("max_age").alias("usia_max")))
@@ -132,7 +152,7 @@ def q3_age_by_outcome(star: Star, pipeline: str | None = None) -> DataFrame:
 
 def q4_age_groups(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q4: rows and rate per age group, ordered by age_min."""
-    out = (summary(star).join(F.broadcast(star.dim_age_group), "age_group_id")
+    out = (_named(star, "age_group_name")
                .groupBy(F.col("age_group_name").alias("kelompok_usia"), "age_min", "age_max")
                .agg(_cnt().alias("total"), F.round(_rate(), 4).alias("no_show_rate")))
     return _tag(_small_sorted(out, "age_min"), pipeline)
@@ -150,8 +170,7 @@ def q5_monthly_rate(star: Star, pipeline: str | None = None) -> DataFrame:
 def q6_comorbidity_by_age(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q6: mean comorbidity per age group over rows that have one (J3, F2,
     A3, A24, O2)."""
-    out = (summary(star).filter(F.col("n_com") > 0)
-               .join(F.broadcast(star.dim_age_group), "age_group_id")
+    out = (_named(star, "age_group_name").filter(F.col("n_com") > 0)
                .groupBy(F.col("age_group_name").alias("kelompok_usia"), "age_min")
                .agg(F.round(_mean("sum_com", "n_com"), 3).alias("rata_comorbidity"), _cnt("n_com").alias("total")))
     return _tag(_small_sorted(out, "age_min"), pipeline)
@@ -178,8 +197,7 @@ def q8_top_diseases(star: Star, k: int = 15, pipeline: str | None = None) -> Dat
 
 def q9_wait_by_outcome(star: Star, pipeline: str | None = None) -> DataFrame:
     """Q9: mean waiting days per outcome."""
-    out = (summary(star).filter(F.col("n_wait") > 0)
-               .join(F.broadcast(star.dim_outcome), "outcome_id")
+    out = (_named(star, "outcome_label").filter(F.col("n_wait") > 0)
                .groupBy(F.col("outcome_label").alias("outcome"))
                .agg(F.round(_mean("sum_wait", "n_wait"), 2).alias("avg_wait")))
     return _tag(out, pipeline)
@@ -239,28 +257,23 @@ def analytic_queries(star: Star) -> dict:
     rate4 = F.round(_rate(), 4)
     ns = s.filter(F.col("source_id") == NO_SHOW_SOURCE_ID)
     return {
-        "source_totals": lambda: s.join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
-            .groupBy("source_name").agg(_cnt().alias("total")),
-        "outcome_totals": lambda: s.join(F.broadcast(star.dim_outcome), "outcome_id")
-            .groupBy("outcome_label").agg(_cnt().alias("total")),
-        "avg_age_by_outcome": lambda: s.filter(F.col("n_age") > 0)
-            .join(F.broadcast(star.dim_outcome), "outcome_id")
+        "source_totals": lambda: _named(star, "source_name").groupBy("source_name").agg(_cnt().alias("total")),
+        "outcome_totals": lambda: _named(star, "outcome_label").groupBy("outcome_label").agg(_cnt().alias("total")),
+        "avg_age_by_outcome": lambda: _named(star, "outcome_label").filter(F.col("n_age") > 0)
             .groupBy("outcome_label").agg(F.round(_mean("sum_age", "n_age"), 2).alias("avg_age")),
         "age_group_totals": lambda: _small_sorted(
-            s.join(F.broadcast(star.dim_age_group), "age_group_id")
-             .groupBy("age_group_name", "age_min").agg(_cnt().alias("total")), "age_min").drop("age_min"),
+            _named(star, "age_group_name").groupBy("age_group_name", "age_min").agg(_cnt().alias("total")),
+            "age_min").drop("age_min"),
         "monthly_rate": lambda: _small_sorted(
             ns.filter(F.col("appt_month").isNotNull()).groupBy("appt_month").agg(rate4.alias("no_show_rate")),
             "appt_month"),
-        "comorbidity_by_age": lambda: s.filter(F.col("n_com") > 0)
-            .join(F.broadcast(star.dim_age_group), "age_group_id")
+        "comorbidity_by_age": lambda: _named(star, "age_group_name").filter(F.col("n_com") > 0)
             .groupBy("age_group_name").agg(F.round(_mean("sum_com", "n_com"), 2).alias("avg_comorbidity")),
         "weekend_rate": lambda: ns.filter(F.col("is_weekend").isNotNull())
             .groupBy("is_weekend").agg(rate4.alias("no_show_rate"), _cnt().alias("total")),
         "top10_diseases": lambda: s.filter(F.col("source_id") == DISEASE_SOURCE_ID).groupBy("disease_name")
             .agg(_cnt().alias("total")).orderBy(F.desc("total"), F.desc("disease_name")).limit(10),
-        "avg_wait_by_outcome": lambda: s.filter(F.col("n_wait") > 0)
-            .join(F.broadcast(star.dim_outcome), "outcome_id")
+        "avg_wait_by_outcome": lambda: _named(star, "outcome_label").filter(F.col("n_wait") > 0)
             .groupBy("outcome_label").agg(F.round(_mean("sum_wait", "n_wait"), 2).alias("avg_wait")),
     }
 
@@ -268,10 +281,33 @@ def analytic_queries(star: Star) -> dict:
 def star_rollup(star: Star) -> DataFrame:
     """Flagship: the fact joined to all three dimensions, rolled up to
     (source, outcome, age group) with count, mean age and rate."""
-    s = (summary(star)
-         .join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id")
-         .join(F.broadcast(star.dim_outcome), "outcome_id")
-         .join(F.broadcast(star.dim_age_group), "age_group_id"))
+    s = summary(star).filter(F.col("source_name").isNotNull() & F.col("outcome_label").isNotNull()
+                             & F.col("age_group_name").isNotNull())
     return (s.groupBy("source_name", "outcome_label", "age_group_name")
              .agg(_cnt().alias("total"), F.round(_mean("sum_age", "n_age"), 4).alias("avg_age"),
                   F.round(_rate(), 4).alias("rate")))
+
+
+def dashboard_batch(star: Star, pipeline: str | None = None) -> dict:
+    """The whole report set as ONE Spark query: every report becomes
+    (report, position, row-as-JSON) and the branches are unioned, so the
+    set costs one job instead of thirteen. Each report keeps its own row
+    order (``position``). The result is the reports' rows -- a few dozen,
+    bounded by the report key domains -- returned as name -> list of dicts.
+    """
+    import json
+
+    reps = dashboard(star, pipeline)
+    parts = []
+    for name, thunk in reps.items():
+        df = thunk()
+        parts.append(df.coalesce(1).select(
+            F.lit(name).alias("report"), F.monotonically_increasing_id().alias("position"),
+            F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("row")))
+    batch = parts[0]
+    for p in parts[1:]:
+        batch = batch.unionByName(p)
+    out = {name: [] for name in reps}
+    for r in sorted(batch.collect(), key=lambda r: (r.report, r.position)):
+        out[r.report].append(json.loads(r.row))
+    return out
