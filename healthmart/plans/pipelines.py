@@ -188,15 +188,20 @@ def enrich_profiles(df: DataFrame, opts: Options) -> DataFrame:
     return df
 
 
-def conform_sources(ns: DataFrame, ds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sources in the 17-column layout, plus the order keys for ids."""
-    ns_key = "appointmentid" if "appointmentid" in ns.columns else None
-    ns_c = cf.conform(ns.withColumn("__key", F.col(ns_key).cast("long") if ns_key else F.lit(None).cast("long"))
-                        .withColumn("__rank", F.lit(0)),
+def conform_sources(ns: DataFrame, ds: DataFrame, order_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sources in the 17-column layout, plus the order keys for ids:
+    source rank, then input order when an order column is given (the
+    reference numbers rows in file order), else the appointment id."""
+    def key(df, fallback):
+        if order_col and order_col in df.columns:
+            return F.col(order_col).cast("long")
+        return F.col(fallback).cast("long") if fallback and fallback in df.columns else F.lit(None).cast("long")
+
+    ns_c = cf.conform(ns.withColumn("__key", key(ns, "appointmentid")).withColumn("__rank", F.lit(0)),
                       "no_show", {"outcome_flag": "no_show_flag", "is_weekend": "is_weekend"},
                       keep=("__rank", "__key"))
-    disease = resolve(ds.columns, "disease")
-    ds_c = cf.conform(ds.withColumn("__key", F.lit(None).cast("long")).withColumn("__rank", F.lit(1)),
+    disease = resolve([c for c in ds.columns if c != order_col], "disease")
+    ds_c = cf.conform(ds.withColumn("__key", key(ds, None)).withColumn("__rank", F.lit(1)),
                       "disease", {"outcome_flag": "outcome_code", "cholesterol_enc": "cholesterol_encoded",
                                   "disease_name": disease},
                       keep=("__rank", "__key"))
@@ -230,7 +235,7 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     ds = etl_standardize_profiles(ds, opts)
     ns = enrich_appointments(ns, opts)
     ds = log.timed("enrich_disease", lambda: enrich_profiles(ds, opts))
-    ns_c, ds_c = conform_sources(ns, ds)
+    ns_c, ds_c = conform_sources(ns, ds, opts.order_col)
     merged = cf.union_all(ns_c, ds_c)
     merged = log.timed("assign_record_ids", lambda: cf.dense_ids(merged, record_order(), "record_id"))
     merged = merged.drop("__rank", "__key").select(*schemas.CONFORMED.fieldNames())

@@ -131,3 +131,12 @@ def test_dashboard_batch_equals_reports(spark, inputs):
     for name, thunk in R.dashboard(star, "ELT").items():
         single = [r.asDict() for r in thunk().collect()]
         assert batch[name] == single, name
+
+
+def test_record_ids_follow_input_order(spark, inputs):
+    ns, ds = inputs
+    res = P.run_etl(ns, ds, P.Options(order_col="_row", outlier="range"))
+    ids = [r.record_id for r in res.conformed.filter("source = 'no_show'").orderBy("record_id").collect()]
+    ages = [r.age for r in res.conformed.filter("source = 'no_show'").orderBy("record_id").collect()]
+    # input order of the kept appointments (ids 10, 11, 12, 16, 17, 18)
+    assert ages[:3] == [62.0, 30.0, 8.0] and ids == list(range(1, len(ids) + 1))
