@@ -9,7 +9,6 @@ and prints ONE JSON line. Timings:
   to marts/ (every report reads it)
 * q*/kpi -- each dashboard report over the stored ETL warehouse
 * elt_* -- the same over the stored ELT warehouse
-* dashboard_batch / elt_dashboard_batch -- all 13 reports as one query
 
 ``value`` is the sum of all timings.
 """
@@ -62,9 +61,6 @@ def main() -> None:
         timed(name, lambda t=thunk: t().collect())
     for name, thunk in R.dashboard(elt_star, "ELT").items():
         timed(f"elt_{name}", lambda t=thunk: t().collect())
-    # the whole report set as one query (what a dashboard refresh runs)
-    timed("dashboard_batch", lambda: R.dashboard_batch(etl_star))
-    timed("elt_dashboard_batch", lambda: R.dashboard_batch(elt_star, "ELT"))
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({

@@ -286,28 +286,3 @@ def star_rollup(star: Star) -> DataFrame:
     return (s.groupBy("source_name", "outcome_label", "age_group_name")
              .agg(_cnt().alias("total"), F.round(_mean("sum_age", "n_age"), 4).alias("avg_age"),
                   F.round(_rate(), 4).alias("rate")))
-
-
-def dashboard_batch(star: Star, pipeline: str | None = None) -> dict:
-    """The whole report set as ONE Spark query: every report becomes
-    (report, position, row-as-JSON) and the branches are unioned, so the
-    set costs one job instead of thirteen. Each report keeps its own row
-    order (``position``). The result is the reports' rows -- a few dozen,
-    bounded by the report key domains -- returned as name -> list of dicts.
-    """
-    import json
-
-    reps = dashboard(star, pipeline)
-    parts = []
-    for name, thunk in reps.items():
-        df = thunk()
-        parts.append(df.coalesce(1).select(
-            F.lit(name).alias("report"), F.monotonically_increasing_id().alias("position"),
-            F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("row")))
-    batch = parts[0]
-    for p in parts[1:]:
-        batch = batch.unionByName(p)
-    out = {name: [] for name in reps}
-    for r in sorted(batch.collect(), key=lambda r: (r.report, r.position)):
-        out[r.report].append(json.loads(r.row))
-    return out

@@ -124,15 +124,6 @@ def test_bucket_counts_sum_to_filtered_total(spark, inputs, scratch):
     assert months == star.fact.filter("source_id = 1 AND appt_month IS NOT NULL").count()
 
 
-def test_dashboard_batch_equals_reports(spark, inputs):
-    ns, ds = inputs
-    star = P.with_summary(P.run_elt(ns, ds, P.Options(order_col="_row")).star)
-    batch = R.dashboard_batch(star, "ELT")
-    for name, thunk in R.dashboard(star, "ELT").items():
-        single = [r.asDict() for r in thunk().collect()]
-        assert batch[name] == single, name
-
-
 def test_record_ids_follow_input_order(spark, inputs):
     ns, ds = inputs
     res = P.run_etl(ns, ds, P.Options(order_col="_row", outlier="range"))
