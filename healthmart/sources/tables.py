@@ -36,7 +36,10 @@ def spread(df: DataFrame) -> DataFrame:
     broadcast join, projections, the landing write) runs single-threaded.
     When the scan has fewer partitions than the cluster has cores, a
     round-robin repartition spreads it; on large inputs (more splits than
-    cores) this is a no-op and no shuffle is added.
+    cores) this is a no-op and no shuffle is added. Apply it to scans only:
+    on a scan the partition count is known without running anything,
+    whereas after a shuffle adaptive execution would have to run the stage
+    to know it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
