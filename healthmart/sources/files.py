@@ -75,26 +75,34 @@ def seed_dimension(spark: SparkSession, base: str, name: str, rows: DataFrame,
     """Insert-if-absent by unique name (``INSERT OR IGNORE`` with an
     auto-increment id). Names already stored keep their id, new names get
     the next ids in the order of ``rows`` (by their proposed id). Returns
-    the stored dimension. Dimensions are small literal tables; the whole
-    operation is a left-anti join and an append.
+    the stored dimension.
+
+    The new version is written to ``<name>__next`` first (the stored table
+    is an input of the plan) and then copied over ``<name>``; if a run dies
+    between the two, the next run starts from the staged copy. Dimensions
+    are a handful of rows, so numbering the new names with an unpartitioned
+    window is bounded.
     """
-    if table_exists(spark, base, name):
+    from pyspark.sql import Window
+
+    staged = f"{name}__next"
+    recovering = not table_exists(spark, base, name) and table_exists(spark, base, staged)
+    if recovering:
+        existing = read_table(spark, base, staged)
+    elif table_exists(spark, base, name):
         existing = read_table(spark, base, name)
     else:
         existing = spark.createDataFrame([], rows.schema)
     fresh = rows.join(existing.select(name_col), name_col, "left_anti")
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__top"))
-    from pyspark.sql import Window
-    w = Window.orderBy(F.col(id_col))
     fresh = (fresh.crossJoin(top)
-                  .withColumn(id_col, (F.col("__top") + F.row_number().over(w)).cast(rows.schema[id_col].dataType))
+                  .withColumn(id_col, (F.col("__top") + F.row_number().over(Window.orderBy(F.col(id_col))))
+                              .cast(rows.schema[id_col].dataType))
                   .drop("__top").select(*rows.columns))
     out = existing.select(*rows.columns).unionByName(fresh)
-    # write to a new location first: the stored table is an input of this plan
-    tmp = os.path.join(base, f"{name}__next")
+    tmp = os.path.join(base, f"{staged}_recovered" if recovering else staged)
     out.write.mode("overwrite").parquet(tmp)
-    result = spark.read.parquet(tmp)
-    result.write.mode("overwrite").parquet(os.path.join(base, name))
+    spark.read.parquet(tmp).write.mode("overwrite").parquet(os.path.join(base, name))
     return read_table(spark, base, name)
 
 

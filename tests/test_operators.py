@@ -173,3 +173,11 @@ def test_sketch_statistics_path(spark):
     assert len(med) == 1001 and abs(sorted(med)[500] - 500.0) <= 2
     kept = clean.iqr_filter(df, "x", exact=False)
     assert 990 <= kept.count() <= 1000
+
+
+def test_seed_dimension_recovers_from_staged_copy(spark, scratch):
+    staged = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
+    files.write_table(staged, scratch, "dim__next")  # a run died after staging
+    wanted = spark.createDataFrame([(1, "b"), (2, "c")], "id int, name string")
+    out = rows(files.seed_dimension(spark, scratch, "dim", wanted, "name", "id"), "id")
+    assert out == [(1, "a"), (2, "b"), (3, "c")]
