@@ -60,9 +60,20 @@ class StageLog:
         self.records.append(rec)
         return rec
 
-    def timed(self, stage: str, fn, **detail):
+    def timed(self, stage: str, fn, spark: SparkSession | None = None, **detail):
+        """Run ``fn`` as stage ``stage``: its Spark jobs carry the stage name
+        as job description (event logs and status trackers show it) and
+        the wall time is recorded."""
+        spark = spark or SparkSession.getActiveSession()
+        sc = spark.sparkContext if spark is not None else None
+        if sc is not None:
+            sc.setJobDescription(stage)
         t0 = time.perf_counter()
-        out = fn()
+        try:
+            out = fn()
+        finally:
+            if sc is not None:
+                sc.setJobDescription(None)
         self.log(stage, duration_s=round(time.perf_counter() - t0, 3), **detail)
         return out
 
