@@ -1,5 +1,5 @@
-"""Driver contract: entry runs, every query has an oracle (except the two
-row-only pipeline checks), and a sample matches DuckDB on sf0.001."""
+"""Driver contract: entry runs, every query has an oracle, and a sample
+matches DuckDB on sf0.001."""
 
 import os
 
@@ -23,8 +23,7 @@ def test_entry_runs(spark):
 
 def test_registry_consistent():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == {"etl_pipeline", "elt_pipeline"}
+    assert set(o) == set(q)
     assert not any(k.startswith("op") for k in q)
 
 
