@@ -10,13 +10,10 @@ in the SQL.
 from __future__ import annotations
 
 import os
-import tempfile
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from healthmart import schemas
 from healthmart.functions import columns as C
 from healthmart.functions import encode as E
 from healthmart.functions import features as X
