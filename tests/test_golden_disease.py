@@ -14,7 +14,8 @@ from healthmart.plans import reports as R
 from healthmart.sources import files
 from tests.conftest import DISEASE_CSV
 
-pytestmark = pytest.mark.skipif(not os.path.exists(DISEASE_CSV), reason="disease CSV not available")
+pytestmark = pytest.mark.skipif(not (DISEASE_CSV and os.path.exists(DISEASE_CSV)),
+                                reason="set HEALTHMART_DISEASE_CSV to the disease/symptom CSV")
 
 # The published top-15 disease lists (ETL over 300 rows, ELT over 276 groups).
 TOP15_ETL = [("Asthma", 16), ("Osteoporosis", 12), ("Stroke", 11), ("Migraine", 10), ("Hypertension", 10),
