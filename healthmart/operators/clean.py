@@ -98,20 +98,26 @@ def median_stats(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000)
 
 
 def fill_median(df: DataFrame, cols=None, exact: bool = True, only_with_nulls: bool = True,
-                eager: bool = True) -> DataFrame:
+                eager: bool = True, null_counts: dict | None = None) -> DataFrame:
     """NULL numeric -> the column's median (NULLs skipped).
 
     With ``only_with_nulls`` one cheap NULL-count pass (one row back) first
     picks the columns that have a NULL at all, so no median is computed for
     a complete column -- an exact median of a high-cardinality id column is
-    the expensive part. ``eager`` gathers all medians in one action and
-    fills with literals (later jobs do not recompute them); otherwise the
-    medians stay in the plan as a broadcast one-row frame.
+    the expensive part; ``null_counts`` (column -> NULLs, e.g. observed
+    while the input was written) skips that pass too. ``eager`` gathers all
+    medians in one action and fills with literals (later jobs do not
+    recompute them); otherwise the medians stay in the plan as a broadcast
+    one-row frame.
     """
     cols = columns_of_kind(df, "numeric") if cols is None else list(cols)
     if not cols:
         return df
-    if only_with_nulls:
+    if null_counts is not None:
+        cols = [c for c in cols if null_counts.get(c, 1) > 0]
+        if not cols:
+            return df
+    elif only_with_nulls:
         counts = df.agg(*[F.count_if(_q(c).isNull()).alias(f"__n{i}") for i, c in enumerate(cols)]).first()
         cols = [c for i, c in enumerate(cols) if counts[f"__n{i}"] > 0]
         if not cols:

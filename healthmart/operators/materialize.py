@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from healthmart.session import ensure_checkpoint_dir
 
 
-def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
+def checkpoint(df: DataFrame, eager: bool = True, observe: dict | None = None):
     """Cut lineage by writing ``df`` as a Parquet table under the shared
     checkpoint folder (``spark.checkpoint.dir``) and reading it back.
 
@@ -21,9 +21,20 @@ def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
     the RDD), stores columns compressed, and the read-back carries file
     sizes for the optimizer. ``eager`` is accepted for API symmetry; the
     write always happens now.
+
+    ``observe`` maps names to aggregate Columns computed while the rows are
+    written (Spark ``Observation``): statistics a later step needs come out
+    of the same job instead of another pass over the table. With it, the
+    result is ``(frame, {name: value})``.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tables/{uuid.uuid4().hex}"
+    obs = None
+    if observe:
+        from pyspark.sql import Observation
+        obs = Observation(f"cut_{uuid.uuid4().hex[:8]}")
+        df = df.observe(obs, *[c.alias(n) for n, c in observe.items()])
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, dict(obs.get)) if obs is not None else out

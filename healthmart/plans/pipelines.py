@@ -67,8 +67,20 @@ def _order(df: DataFrame, opts: Options) -> list[str]:
     return [opts.order_col] if opts.order_col and opts.order_col in df.columns else []
 
 
-def _cut(df: DataFrame, opts: Options) -> DataFrame:
-    return checkpoint(df) if opts.checkpoint else df
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _cut_counting_nulls(df: DataFrame, opts: Options) -> tuple[DataFrame, list[str], dict | None]:
+    """Lineage cut that also counts NULLs of the numeric columns while
+    writing (input of the median fill); returns (frame, numeric columns,
+    NULL counts or None when no cut is taken)."""
+    numeric = [c for c, t in df.dtypes if t in NUMERIC_TYPES and c != opts.order_col]
+    if not opts.checkpoint:
+        return df, numeric, None
+    if not numeric:
+        return checkpoint(df), numeric, {}
+    out, counts = checkpoint(df, observe={c: F.count_if(F.col(f"`{c}`").isNull()) for c in numeric})
+    return out, numeric, counts
 
 
 # =============================================================================
@@ -83,10 +95,8 @@ def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
     df = clean.dedupe_keep_first(df, [id_col], _order(df, opts))
     df = clean.drop_null(df, [id_col])
     df = clean.fill_text(df)  # before date parsing: a NULL date becomes text that fails to parse
-    df = _cut(df, opts)
-    numeric = [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double")
-               and c != opts.order_col]
-    df = clean.fill_median(df, numeric, exact=opts.exact_stats)
+    df, numeric, nulls = _cut_counting_nulls(df, opts)
+    df = clean.fill_median(df, numeric, exact=opts.exact_stats, null_counts=nulls)
     df = clean.parse_dates(df, DATE_COLUMNS)
     if "age" in df.columns:
         df = clean.range_filter(df, "age", lo=0)
@@ -105,10 +115,8 @@ def etl_clean_profiles(df: DataFrame, opts: Options) -> DataFrame:
     else:
         df = clean.dedupe_full_row(df)
     df = clean.fill_text(df)
-    df = _cut(df, opts)
-    numeric = [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double")
-               and c != opts.order_col]
-    df = clean.fill_median(df, numeric, exact=opts.exact_stats)
+    df, numeric, nulls = _cut_counting_nulls(df, opts)
+    df = clean.fill_median(df, numeric, exact=opts.exact_stats, null_counts=nulls)
     if "age" in df.columns:
         df = clean.range_filter(df, "age", lo=0)
     return df
