@@ -18,17 +18,24 @@ def minmax_stats(df: DataFrame, col: str) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, col: str, out: str, eps: float = 1e-9,
-                 domain: DataFrame | None = None, scale: int | None = None, eager: bool = True) -> DataFrame:
+                 domain: DataFrame | None = None, scale: int | None = None, eager: bool = True,
+                 bounds: tuple | None = None) -> DataFrame:
     """M7/M8: (x - min) / (max - min + eps).
 
     ``domain`` is the frame min/max are taken from (M8 uses the raw staging
     table, M7 the frame itself). ``scale`` rounds half-up (SQL ROUND).
     ``eager`` gathers min and max in one action and uses literals, so later
     jobs over the result do not re-run the aggregate; otherwise they stay
-    in the plan as a broadcast one-row frame.
+    in the plan as a broadcast one-row frame. ``bounds`` = (min, max)
+    already known (e.g. observed while the domain was written) skips the
+    aggregate altogether.
     """
-    stats = minmax_stats(domain if domain is not None else df, col)
     x = F.col(f"`{col}`").cast("double")
+    if bounds is not None:
+        mn, mx = F.lit(bounds[0]).cast("double"), F.lit(bounds[1]).cast("double")
+        v = (x - mn) / (mx - mn + F.lit(eps))
+        return df.withColumn(out, F.round(v, scale) if scale is not None else v)
+    stats = minmax_stats(domain if domain is not None else df, col)
     if eager:
         row = stats.first()
         mn, mx = F.lit(row["__mn"]).cast("double"), F.lit(row["__mx"]).cast("double")

@@ -302,7 +302,7 @@ def _qc(name):
     return F.col(f"`{name}`")
 
 
-def elt_clean_appointments(stg: DataFrame, opts: Options) -> DataFrame:
+def elt_clean_appointments(stg: DataFrame, opts: Options, age_bounds: tuple | None = None) -> DataFrame:
     """clean_no_show: resolved columns, scaled age (min/max over the raw
     staging rows, eps 1e-4, 4 digits), NULL-id and 0..120 age filter, one
     row per appointment id (first by order)."""
@@ -331,14 +331,14 @@ def elt_clean_appointments(stg: DataFrame, opts: Options) -> DataFrame:
     out = clean.dedupe_keep_first(out, ["appointment_id"], _order(out, opts))
     if age:
         out = scale.minmax_scale(out, "age", "age_norm", eps=1e-4, scale=4,
-                                 domain=staged.select(F.col("__age").alias("age")))
+                                 domain=staged.select(F.col("__age").alias("age")), bounds=age_bounds)
     else:
         out = out.withColumn("age_norm", F.lit(None).cast("double"))
     return out.select("appointment_id", "age", "age_norm", "gender_code", "no_show_flag", "scheduled_day",
                       "appointment_day", "source", "comorbidity_count")
 
 
-def elt_clean_profiles(stg: DataFrame, opts: Options) -> DataFrame:
+def elt_clean_profiles(stg: DataFrame, opts: Options, age_bounds: tuple | None = None) -> DataFrame:
     """clean_disease: encoded columns, one row per (disease, age, gender)
     group (first by order), scaled age over the raw staging rows."""
     cols = stg.columns
@@ -371,12 +371,12 @@ def elt_clean_profiles(stg: DataFrame, opts: Options) -> DataFrame:
         # age and gender but differ elsewhere stay separate rows
         raw_cols = [c for c in cols if c != opts.order_col]
         first = clean.dedupe_keep_first(stg, raw_cols, _order(stg, opts))
-        return elt_clean_profiles(first, Options(**{**opts.__dict__, "elt_disease_key": "none"}))
+        return elt_clean_profiles(first, Options(**{**opts.__dict__, "elt_disease_key": "none"}), age_bounds)
     if opts.elt_disease_key == "group":
         out = clean.dedupe_keep_first(out, ["disease_name", "age", "gender_code"], order)
     if age:
         out = scale.minmax_scale(out, "age", "age_norm", eps=1e-4, scale=4,
-                                 domain=staged.select(F.col("__age").alias("age")))
+                                 domain=staged.select(F.col("__age").alias("age")), bounds=age_bounds)
     else:
         out = out.withColumn("age_norm", F.lit(None).cast("double"))
     return out.select("disease_name", "age", "age_norm", "gender_code", "outcome_flag", "has_fever",
@@ -454,10 +454,22 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     spark = appointments.sparkSession
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
     stg_ns, stg_ds = appointments, profiles
+    bounds = {"ns": None, "ds": None}
     if base:
+        # landing the raw rows also yields the raw age range the scaling
+        # needs (observed during the write, no second pass)
+        def land_raw(df, name, key):
+            age = resolve(df.columns, "age", exact=True)
+            if age is None:
+                return files.write_table(df, f"{base}/lake", name)
+            path, seen = files.write_observed(df, f"{base}/lake", name, {
+                "mn": F.min(F.expr(f"try_cast(`{age}` AS DOUBLE)")),
+                "mx": F.max(F.expr(f"try_cast(`{age}` AS DOUBLE)"))})
+            bounds[key] = (seen["mn"], seen["mx"]) if seen["mn"] is not None else None
+            return path
         log.timed("lake_raw", lambda: parallel([
-            lambda: files.write_table(appointments, f"{base}/lake", "raw_no_show"),
-            lambda: files.write_table(profiles, f"{base}/lake", "raw_disease")]))
+            lambda: land_raw(appointments, "raw_no_show", "ns"),
+            lambda: land_raw(profiles, "raw_disease", "ds")]))
         if opts.staging_copy:
             stg_ns, stg_ds = log.timed("staging", lambda: parallel([
                 lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_no_show"), f"{base}/warehouse",
@@ -472,8 +484,8 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
         stg_ns.createOrReplaceTempView("stg_no_show")
         stg_ds.createOrReplaceTempView("stg_disease")
     dims = st.Star.with_literal_dims(stg_ns, with_description=False)
-    clean_ns = elt_clean_appointments(stg_ns, opts)
-    clean_ds = elt_clean_profiles(stg_ds, opts)
+    clean_ns = elt_clean_appointments(stg_ns, opts, bounds["ns"])
+    clean_ds = elt_clean_profiles(stg_ds, opts, bounds["ds"])
     if opts.checkpoint:
         clean_ns = log.timed("clean_no_show", lambda: checkpoint(clean_ns))
         clean_ds = log.timed("clean_disease", lambda: checkpoint(clean_ds))

@@ -53,6 +53,18 @@ def write_table(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     return path
 
 
+def write_observed(df: DataFrame, base: str, name: str, metrics: dict, fmt: str = "parquet"):
+    """``write_table`` that also returns aggregate ``metrics`` (name ->
+    aggregate Column) computed by the write job itself (Spark
+    ``Observation``): (path, {name: value})."""
+    import uuid
+
+    from pyspark.sql import Observation
+    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
+    path = write_table(df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), base, name, fmt)
+    return path, dict(obs.get)
+
+
 def land(df: DataFrame, base: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Verbatim landing copy; returns the landed table read back, so
     later stages read the copy and not the source again."""
