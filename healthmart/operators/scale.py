@@ -48,8 +48,12 @@ def minmax_scale(df: DataFrame, col: str, out: str, eps: float = 1e-9,
 
 
 def max_scale(df: DataFrame, col: str, out: str, eps: float = 1e-4, scale: int | None = 4,
-              domain: DataFrame | None = None, eager: bool = True) -> DataFrame:
-    """M9: x / (max + eps), rounded half-up (``eager`` as in minmax_scale)."""
+              domain: DataFrame | None = None, eager: bool = True, known_max=None) -> DataFrame:
+    """M9: x / (max + eps), rounded half-up (``eager`` as in minmax_scale;
+    ``known_max`` skips the aggregate)."""
+    if known_max is not None:
+        v = F.col(f"`{col}`") / (F.lit(known_max).cast("double") + F.lit(eps))
+        return df.withColumn(out, F.round(v, scale) if scale is not None else v)
     stats = (domain if domain is not None else df).agg(F.max(F.col(f"`{col}`").cast("double")).alias("__mx"))
     if eager:
         mx = F.lit(stats.first()["__mx"]).cast("double")

@@ -383,7 +383,7 @@ def elt_clean_profiles(stg: DataFrame, opts: Options, age_bounds: tuple | None =
                       "has_cough", "bp_encoded", "cholesterol_enc", "source")
 
 
-def elt_enrich_appointments(clean_ns: DataFrame, opts: Options) -> DataFrame:
+def elt_enrich_appointments(clean_ns: DataFrame, opts: Options, age_max=None) -> DataFrame:
     """enriched_no_show: exact |julian-day difference|, month, Sunday=0
     weekday, weekend flag (NULL date -> 0), age / (max age + 1e-4)."""
     sd = parse_timestamp(clean_ns, "scheduled_day")
@@ -397,13 +397,13 @@ def elt_enrich_appointments(clean_ns: DataFrame, opts: Options) -> DataFrame:
         "appt_day_of_week": dow,
         "is_weekend": weekend_flag(dow, "sunday"),
     }).drop("__sd", "__ad")
-    return scale.max_scale(df, "age", "age_norm_elt", eps=1e-4, scale=4)
+    return scale.max_scale(df, "age", "age_norm_elt", eps=1e-4, scale=4, known_max=age_max)
 
 
-def elt_enrich_profiles(clean_ds: DataFrame, opts: Options) -> DataFrame:
+def elt_enrich_profiles(clean_ds: DataFrame, opts: Options, age_max=None) -> DataFrame:
     """enriched_disease: symptom_count = fever + cough, age_norm_elt."""
     df = clean_ds.withColumn("symptom_count", flag_sum(["has_fever", "has_cough"]))
-    return scale.max_scale(df, "age", "age_norm_elt", eps=1e-4, scale=4)
+    return scale.max_scale(df, "age", "age_norm_elt", eps=1e-4, scale=4, known_max=age_max)
 
 
 def elt_fact(enr_ns: DataFrame, enr_ds: DataFrame, dim_source: DataFrame, opts: Options,
@@ -486,12 +486,16 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     dims = st.Star.with_literal_dims(stg_ns, with_description=False)
     clean_ns = elt_clean_appointments(stg_ns, opts, bounds["ns"])
     clean_ds = elt_clean_profiles(stg_ds, opts, bounds["ds"])
+    ns_max = ds_max = None
     if opts.checkpoint:
-        clean_ns = log.timed("clean_no_show", lambda: checkpoint(clean_ns))
-        clean_ds = log.timed("clean_disease", lambda: checkpoint(clean_ds))
+        # the cut also yields max(age), the scale of age_norm_elt
+        top = {"mx": F.max(F.col("age").cast("double"))}
+        clean_ns, seen_ns = log.timed("clean_no_show", lambda: checkpoint(clean_ns, observe=top))
+        clean_ds, seen_ds = log.timed("clean_disease", lambda: checkpoint(clean_ds, observe=top))
+        ns_max, ds_max = seen_ns["mx"], seen_ds["mx"]
     stages.update(clean_no_show=clean_ns, clean_disease=clean_ds)
-    enr_ns = elt_enrich_appointments(clean_ns, opts)
-    enr_ds = elt_enrich_profiles(clean_ds, opts)
+    enr_ns = elt_enrich_appointments(clean_ns, opts, ns_max)
+    enr_ds = elt_enrich_profiles(clean_ds, opts, ds_max)
     fact = log.timed("fact", lambda: elt_fact(enr_ns, enr_ds, dims.dim_source, opts, assign_ids))
     star = st.Star(fact, dims.dim_source, dims.dim_outcome, dims.dim_age_group)
     if base:
