@@ -131,3 +131,22 @@ def test_record_ids_follow_input_order(spark, inputs):
     ages = [r.age for r in res.conformed.filter("source = 'no_show'").orderBy("record_id").collect()]
     # input order of the kept appointments (ids 10, 11, 12, 16, 17, 18)
     assert ages[:3] == [62.0, 30.0, 8.0] and ids == list(range(1, len(ids) + 1))
+
+
+@pytest.mark.parametrize("opts", [
+    dict(exact_stats=False, wait="calendar", outcome_mode="flag", symptoms="fever_cough", checkpoint=False),
+    dict(outlier="iqr", staging_copy=True, elt_disease_key="full_row", age_group_default=5),
+])
+def test_option_variants_run(spark, inputs, scratch, opts):
+    ns, ds = inputs
+    o = P.Options(order_col="_row", **opts)
+    etl = P.run_etl(ns, ds, o, base=f"{scratch}/etl")
+    elt = P.run_elt(ns, ds, o, base=f"{scratch}/elt")
+    for star in (etl.star, elt.star):
+        assert star.fact.count() > 0
+        assert len(R.q12_wait_bucket_rate(star).collect()) >= 1
+    if opts.get("outcome_mode") == "flag":
+        flags = {(r.outcome_flag, r.outcome_id) for r in etl.star.fact.collect()}
+        assert flags <= {(1, 2), (0, 1)}
+    if opts.get("wait") == "calendar":
+        assert all(r.wait_days == int(r.wait_days) for r in etl.star.fact.filter("wait_days IS NOT NULL").collect())
