@@ -64,7 +64,7 @@ def main() -> None:
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
-        "metric": "etl_elt_pipelines_plus_reports",
+        "metric": "etl_elt_flows_plus_reports",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,

@@ -287,8 +287,8 @@ def q_etl_quality_report(spark, sf):
     return etl_result(spark, sf).quality
 
 
-@register("etl_pipeline", O.with_(O.ETL_FACT, "SELECT * FROM fact"))
-def q_etl_pipeline(spark, sf):
+@register("etl_end_to_end", O.with_(O.ETL_FACT, "SELECT * FROM fact"))
+def q_etl_end_to_end(spark, sf):
     """Whole ETL flow with its zones: landing copies, lake snapshot, star
     written to the warehouse; returns the stored fact read back."""
     base = P.scratch_base(spark, f"etl-{os.getpid()}-{id(spark)}")
@@ -296,8 +296,8 @@ def q_etl_pipeline(spark, sf):
     return P.run_etl(ns, ds, P.Options(), base=base).star.fact
 
 
-@register("elt_pipeline", O.with_(O.ELT_FACT_IDS, "SELECT * FROM fact_ids"))
-def q_elt_pipeline(spark, sf):
+@register("elt_end_to_end", O.with_(O.ELT_FACT_IDS, "SELECT * FROM fact_ids"))
+def q_elt_end_to_end(spark, sf):
     """Whole ELT flow with its zones: raw lake landing, staging tables,
     star written to the warehouse; returns the stored fact read back."""
     base = P.scratch_base(spark, f"elt-{os.getpid()}-{id(spark)}")
