@@ -40,12 +40,13 @@ def _byte_classes() -> np.ndarray:
 
 
 CLASSES = _byte_classes()
-N_FEATURES = 16 + 256 + 2
+N_FEATURES = 16 + 256 + 3
 
 
 def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Square roots of the shares of byte classes and of pairs of classes,
-    log length and log mean run between blanks; zeros for an empty text."""
+    log length, log mean run between blanks and the share of word pairs that
+    are the first of their kind; an empty text has zeros and a share of 1."""
     n = len(off) - 1
     size = np.diff(off)
     pair = np.zeros((n, 256))
@@ -64,7 +65,13 @@ def features(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     total = np.maximum(size, 1)[:, None]
     single = pair.reshape(n, 16, 16).sum(2)
     gap = np.log((size + 1) / (single[:, 3] + single[:, 4] + 1))
-    return np.hstack([np.sqrt(single / total), np.sqrt(pair / total), np.log1p(size)[:, None] / 10, gap[:, None]])
+    fresh = np.ones(n)
+    for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist(), strict=True)):
+        w = data[a:b].tobytes().split()
+        if len(w) > 1:
+            fresh[i] = len(set(zip(w, w[1:], strict=False))) / (len(w) - 1)
+    return np.hstack([np.sqrt(single / total), np.sqrt(pair / total), np.log1p(size)[:, None] / 10, gap[:, None],
+                      fresh[:, None]])
 
 
 @dataclass
