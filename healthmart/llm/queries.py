@@ -8,8 +8,9 @@ from healthmart.llm.byte_cnn import op7_byte_cnn_language
 from healthmart.llm.line_chunks import OP4_SQL, op4_line_chunk_dedup
 from healthmart.llm.packing import op1_best_fit_pack
 from healthmart.llm.pu_quality import op8_pu_quality
+from healthmart.llm.suffix_dedup import op10_suffix_array_dedup
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_pack, op4_line_chunk_dedup, op5_bag_minhash, op7_byte_cnn_language, op8_pu_quality,
-                                     op9_bloom_exact_dedup)}
+                                     op9_bloom_exact_dedup, op10_suffix_array_dedup)}
 
 ORACLE = {"op4_line_chunk_dedup": OP4_SQL, "op9_bloom_exact_dedup": OP9_SQL}
