@@ -13,12 +13,16 @@ point is later than the latest place, so a long text costs about one point
 per shingle and a short one a few hundred.
 
 Signatures are banded. Texts with the same words are one class from the
-start. In every bucket members are compared with one leader at a time:
-each round keeps at most one pair per document, verifies it by the exact
-multiset overlap of the texts and merges the classes, so a group of copies
-costs its size, not its square. What two documents of one bucket and
-different classes have left untested after the rounds is then compared in
-full, so that no link between bucket mates is lost.
+start. In every bucket members are compared with one leader at a time, first
+with the member that shares most buckets with others: each round keeps at
+most one pair per document, verifies it by the exact multiset overlap of the
+texts and merges the classes, so a group of copies costs its size, not its
+square. What bucket mates of different classes have left untested is then
+searched in full: buckets are dealt into blocks of bounded size, pairs of
+blocks compare whole signatures, pairs whose signatures agree in nearly
+enough places (``SLACK`` standard deviations below the threshold) compare
+their shingles there and then, and only what passes leaves the block, to be
+verified on the texts like any other pair.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +42,9 @@ from healthmart.llm.components import components
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 ROUNDS = 3
+SLACK = 3.5
+MATES = 256  # documents of one bucket in a block
+LONG = 1 << 14  # shingles beyond which a text is not carried in blocks but goes straight to verification
 BLOCK = 1 << 22  # bytes of text whose signatures are made at once
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -150,6 +158,8 @@ def _signatures(size: int, bands: int, rows: int):
                 key = np.broadcast_to(mix64(np.arange(bands) + 300), (n, bands)).copy()
                 for r in range(rows):
                     key = mix64(key ^ best[:, :, r])
+                place = mix64(best.reshape(n, -1)).astype(np.uint8)
+                look = np.hstack([place, key.astype(np.uint32).view(np.uint8).reshape(n, -1)])
                 nth = np.arange(len(doc)) - (np.cumsum(np.bincount(doc, minlength=n)) - np.bincount(doc, minlength=n))[doc]
                 same = []
                 for salt in (11, 12):
@@ -158,10 +168,81 @@ def _signatures(size: int, bands: int, rows: int):
                     same.append(pa.array(s.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, n), *same, pa.array(total.astype(np.int64)),
-                     pa.array(list(key.view(np.int64)), pa.list_(pa.int64()))], ["id", "s1", "s2", "n", "keys"])
+                     pa.array(list(key.view(np.int64)), pa.list_(pa.int64())),
+                     pa.array([x.tobytes() for x in look], pa.binary())], ["id", "s1", "s2", "n", "keys", "look"])
     return run
 
 
+def _alike(bands: int, rows: int, least: float):
+    """Pairs of two blocks of one bucket that may be similar: of different
+    classes and near sizes, signatures alike, and no common bucket earlier."""
+    places = bands * rows
+    enough = places * least - SLACK * np.sqrt(places * least * (1 - least))
+
+    def side(scalar: pa.Scalar):
+        rows_ = scalar.values
+        n = len(rows_)
+        look = np.frombuffer(b"".join(rows_.field("look").to_pylist()), np.uint8).reshape(n, -1)
+        label = rows_.field("label")
+        return (rows_.field("id"), rows_.field("n").to_numpy(zero_copy_only=False), label,
+                look[:, :places], np.ascontiguousarray(look[:, places:]).view(np.uint32),
+                [None if b is None else np.frombuffer(b, np.uint32) for b in rows_.field("bag").to_pylist()])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for band, same, x, y in zip(*(batch.column(i) for i in range(4)), strict=True):
+                (i1, n1, l1, s1, k1, b1), (i2, n2, l2, s2, k2, b2) = side(x), side(y)
+                codes = pa.concat_arrays([l1, l2]).dictionary_encode().indices.to_numpy()
+                ok = codes[:len(l1), None] != codes[None, len(l1):]
+                ok &= np.minimum.outer(n1, n2) >= least * np.maximum.outer(n1, n2) - 1e-9
+                if same.as_py():
+                    ok &= np.tri(len(i1), dtype=bool).T
+                p, q = np.nonzero(ok)
+                p, q = _enough(p, q, s1, s2, enough)
+                first = ~(k1[p, :band.as_py()] == k2[q, :band.as_py()]).any(1)
+                p, q = p[first], q[first]
+                alike = np.array([_overlap(b1[u], b2[v], least) for u, v in zip(p, q, strict=True)], bool)
+                p, q = p[alike], q[alike]
+                a, b = i1.take(pa.array(p)), i2.take(pa.array(q))
+                yield pa.RecordBatch.from_arrays([pc.max_element_wise(a, b), pc.min_element_wise(a, b)], ["a", "b"])
+    return run
+
+
+def _overlap(a: np.ndarray | None, b: np.ndarray | None, least: float) -> bool:
+    """Whether two bags (sorted, of distinct elements) may be similar."""
+    if a is None or b is None:
+        return True
+    if not len(a) or not len(b):
+        return False
+    at = np.searchsorted(a, b)
+    both = (a[np.minimum(at, len(a) - 1)] == b).sum()
+    return bool(both >= (least - 0.01) * (len(a) + len(b) - both))
+
+
+def _bags(size: int):
+    """Shingles numbered by occurrence, hashed to 32 bits and sorted; NULL
+    for long texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = text_bytes(batch.column(1))
+            for a, b in _blocks(off):
+                sd, se = shingles(*word_hashes(data[off[a]:off[b]], off[a:b + 1] - off[a]), b - a, size)
+                d, e, w = weighted(sd, se)
+                nth = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+                d, e = np.repeat(d, w), mix64(np.repeat(e, w) + mix64(nth)).astype(np.uint32)
+                ends = np.cumsum(np.bincount(d, minlength=b - a))
+                bags = [None if hi - lo > LONG else np.unique(e[lo:hi]).tobytes() for lo, hi in zip([0, *ends[:-1]], ends, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(bags, pa.binary())], ["id", "bag"])
+    return run
+
+
+def _enough(p, q, s1, s2, enough):
+    step = 1 << 15
+    keep = [(s1[p[i:i + step]] == s2[q[i:i + step]]).sum(1) >= enough for i in range(0, len(p), step)]
+    keep = np.concatenate(keep) if keep else np.zeros(0, bool)
+    return p[keep], q[keep]
+
+
 def _similar(size: int, least: float):
     def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -199,17 +280,21 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = pack(df, id_col, text_col)
     kind = base.schema["id"].dataType.simpleString()
     texts = base.select("id", "text").where("id is not null")
-    sig = cut(texts.mapInArrow(_signatures(size, bands, rows), f"id {kind}, s1 long, s2 long, n long, keys array<long>")
+    sig = cut(texts.mapInArrow(_signatures(size, bands, rows), f"id {kind}, s1 long, s2 long, n long, keys array<long>, look binary")
               .where("n > 0"))
     # texts with the same words: one representative goes on
     same = sig.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
     copies = sig.join(same.where("rep <> last"), ["s1", "s2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     copies = cut(copies)
     reps = sig.join(same.select(F.col("s1").alias("r1"), F.col("s2").alias("r2"), "rep"),
-                    (F.col("s1") == F.col("r1")) & (F.col("s2") == F.col("r2")) & (F.col("id") == F.col("rep"))).select("id", "n", "keys")
-    keyed = reps.select("id", "n", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("key")
-    bucket = cut(keyed.join(shared, "key").distinct())
+                    (F.col("s1") == F.col("r1")) & (F.col("s2") == F.col("r2")) & (F.col("id") == F.col("rep"))).select("id", "n", "keys", "look")
+    reps = cut(reps)
+    keyed = reps.select("id", "n", F.posexplode("keys").alias("band", "key"))
+    shared = keyed.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("mates"))
+    shared = shared.where("lo <> hi").select("key", "mates")
+    bucket = keyed.join(shared, "key").dropDuplicates(["key", "id"])
+    known = bucket.groupBy("id").agg(F.sum("mates").alias("known"))
+    bucket = cut(bucket.join(known, "id"))
     pool = _among(texts, bucket.select("id").distinct())
     pool = cut(pool)
 
@@ -225,7 +310,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         at = bucket if label is None else bucket.join(label, F.col("id") == F.col("node"), "left").drop("node")
         at = at.withColumn("label", F.col("id") if label is None else F.coalesce("label", "id"))
         if r < rounds:
-            turn = F.col("id") if r == 0 else F.xxhash64("id", F.lit(r))
+            turn = -F.col("known") if r == 0 else F.xxhash64("id", F.lit(r))
             lead = at.groupBy("key").agg(F.min(F.struct(turn.alias("t"), "id", "n", "label")).alias("l"),
                                          F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
             lead = lead.select("key", F.col("l.id").alias("b"), F.col("l.n").alias("m"), F.col("l.label").alias("other"))
@@ -236,10 +321,17 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             pairs = votes.groupBy("a").agg(F.max_by("b", F.struct("votes", F.col("b"))).alias("b"))
         else:
             mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-            mine = at.join(mixed, "key")
-            other = mine.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-            pairs = mine.join(other, "key").where("id > b and label <> other").where(near).select(F.col("id").alias("a"), "b").distinct()
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            mine = at.join(mixed, "key").join(reps.select("id", "look"), "id")
+            inside = _among(pool, mine.select("id").distinct())
+            bags = inside.mapInArrow(_bags(size), f"id {kind}, bag binary").dropDuplicates(["id"])
+            mine = mine.join(bags, "id")
+            blk = F.pmod(F.xxhash64("id"), F.ceil(F.col("mates") / MATES))
+            block = mine.groupBy("key", "band", blk.alias("blk")).agg(F.collect_list(F.struct("id", "n", "label", "look", "bag")).alias("rows"))
+            one = block.select("key", "band", F.col("blk").alias("i"), F.col("rows").alias("x"))
+            two = block.select("key", F.col("blk").alias("j"), F.col("rows").alias("y"))
+            pairs = (one.join(two, "key").where("i <= j").select("band", F.expr("i = j").alias("same"), "x", "y")
+                     .mapInArrow(_alike(bands, rows, least), f"a {kind}, b {kind}"))
+            pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         if pairs.isEmpty():
             if r < rounds and label is None:
