@@ -1,8 +1,63 @@
-"""Corpus pipeline: quality filter, line dedup, near-dedup, repeated passages, packing."""
+"""Corpus pipeline: five stages from raw documents to packed sequences.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
+writes each result as Parquet in the shared folder and hands it, reread, to
+the next. Stages that change texts bring ``n_chars`` in line.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from healthmart.llm.bag_minhash import near_classes
+from healthmart.llm.common import cut, table
+from healthmart.llm.line_chunks import dedup_lines
+from healthmart.llm.packing import pack_rows
+from healthmart.llm.pu_quality import score_quality, train
+from healthmart.llm.suffix_dedup import remove_repeats
+
+
+def _as_before(out: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, with n_chars of the text as it is now."""
+    now = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return out.select(*[now[c].alias(c) if c in now else F.col(c) for c in docs.columns])
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the positive-unlabelled classifier rejects."""
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove repeated chunks of lines; documents stay."""
+    return _as_before(dedup_lines(docs), docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every near-duplicate class stays."""
+    return near_classes(docs).where("kept").select(*docs.columns)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove passages that also start earlier; documents stay."""
+    return _as_before(remove_repeats(docs), docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the training sequences."""
+    return pack_rows(docs)
+
+
+STAGES = [("quality", quality), ("line_dedup", lines), ("near_dedup", near_copies), ("passages", passages), ("packing", packed)]
+
+#: A trained classifier and near-duplicate classes are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise ValueError("no stages yet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
