@@ -12,8 +12,9 @@ between its two known states.
 
 Inside a chunk the same recurrence runs over units, a run of blanks and what
 follows up to the next one: no piece of such a vocabulary goes on from a
-letter to a blank, so between units the state is 0. Units repeat and are
-remembered. Characters that the vocabulary lacks become byte pieces, scored
+letter to a blank, so between units the state is 0; line ends, which no
+piece holds, stand alone. Units repeat and are remembered, and units not yet
+known are solved many at a time, place by place, on arrays. Characters that the vocabulary lacks become byte pieces, scored
 ``UNKNOWN`` below the least piece. Of cuts with equal sums the one whose last
 piece is longest wins.
 """
@@ -30,13 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from healthmart.llm.common import cut, quoted, table
+from healthmart.llm.common import cut, mix64, quoted, table
 
 CHUNK = 16384
 UNKNOWN = 10.0
 BLANK = "▁"
-REMEMBERED = 400_000  # units kept per Python worker
-_UNIT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+REMEMBERED = 200_000  # units kept per Python worker, twice: recent ones, and those before
+SHORT = 48            # characters up to which units are solved on arrays and remembered
+SLOTS = 1 << 20       # of the hash table of piece prefixes
+_UNIT = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 _NO = -np.inf
 
 
@@ -49,8 +52,27 @@ class Pieces:
     byte_ids: list[int]
     longest: int
     least: float
-    whole_units: bool  # no piece has a blank after another character
-    memory: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    whole_units: bool  # no piece has a blank after another character, or a line end
+    recent: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    before: dict[str, tuple[int, ...]] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.spelled = {i: p.replace(BLANK, " ").encode() for p, i in self.ids.items()}
+        self.spelled |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        # prefixes of all pieces by rolling hash, open addressing; a score marks whole pieces
+        prefixes: dict[int, float] = {}
+        for piece, score in self.scores.items():
+            h = np.zeros(1, np.uint64)
+            for n, c in enumerate(piece):
+                h = _roll(h, np.array([ord(c)], np.uint64))
+                prefixes[int(h[0])] = score if n == len(piece) - 1 else prefixes.get(int(h[0]), _NO)
+        self.keys, self.values, self.probes = np.zeros(SLOTS, np.uint64), np.full(SLOTS, _NO), 1
+        for h, score in prefixes.items():
+            at, tries = h % SLOTS, 1
+            while self.keys[at]:
+                at, tries = (at + 1) % SLOTS, tries + 1
+            self.keys[at], self.values[at] = h, score
+            self.probes = max(self.probes, tries)
 
     @classmethod
     def load(cls, model_file: str) -> Pieces:
@@ -68,7 +90,7 @@ class Pieces:
         least = min(usual, default=0.0)
         scores = {p: max(s, least - UNKNOWN + 1) for p, s in scores.items()}
         return cls(ids, scores, byte_ids, max(map(len, ids), default=1), least - UNKNOWN,
-                   not any(re.search(f"[^{BLANK}]{BLANK}", p) for p in ids))
+                   not any(re.search(f"[^{BLANK}]{BLANK}|\n", p) for p in ids))
 
     def paths(self, text: str, lo: int, hi: int, begin: dict[int, float]) -> tuple[list[float], list[int]]:
         """Best sums at places lo..hi of ``text`` and the length of the last
@@ -107,14 +129,78 @@ class Pieces:
             end -= n
         return [i for ids in reversed(out) for i in ids]
 
-    def unit(self, text: str) -> tuple[int, ...]:
-        got = self.memory.get(text)
+    def solve(self, units: list[str]) -> list[tuple[int, ...]]:
+        """Ids of every unit: all places of all units at once, from
+        the first characters to the last."""
+        order = sorted(range(len(units)), key=lambda i: -len(units[i]))
+        size = np.array([len(units[i]) for i in order])
+        chars = np.frombuffer("".join(units[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        start = np.cumsum(size) - size
+        left = np.repeat(start + size, size) - np.arange(len(chars))
+        step = np.full((self.longest, len(chars)), _NO)  # score of the piece of n + 1 characters that begins here
+        at, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
+        for n in range(self.longest):
+            go = left[at] > n
+            at, h = at[go], h[go]
+            if not len(at):
+                break
+            h = _roll(h, chars[at + n])
+            slot = (h % np.uint64(SLOTS)).astype(np.int64)
+            value, known = np.full(len(at), _NO), np.zeros(len(at), bool)
+            for probe in range(self.probes):
+                p = (slot + probe) % SLOTS
+                hit = self.keys[p] == h
+                value[hit] = self.values[p[hit]]
+                known |= hit
+            step[n, at] = value
+            at, h = at[known], h[known]
+        step[0][step[0] == _NO] = self.least
+        best = np.full((int(size.max()) + 1, len(units)), _NO)
+        back = np.zeros(best.shape, np.uint8)
+        best[0] = 0.0
+        for i in range(1, len(best)):
+            k = int(np.searchsorted(-size, -i, "right"))  # units at least this long come first
+            top, length = best[i, :k], back[i, :k]
+            for n in range(min(self.longest, i), 0, -1):
+                s = best[i - n, :k] + step[n - 1, start[:k] + i - n]
+                better = s > top
+                top[better] = s[better]
+                length[better] = n
+        out: list = [None] * len(units)
+        lengths = back.T.tolist()
+        for j, i in enumerate(order):
+            u, end, parts = units[i], len(units[i]), []
+            while end:
+                n = lengths[j][end]
+                got = self.ids.get(u[end - n:end])
+                parts.append((got,) if got is not None else tuple(self.emit(u[end - n:end])))
+                end -= n
+            out[i] = tuple(x for p in reversed(parts) for x in p)
+        return out
+
+    def learn(self, units: list[str]) -> None:
+        """Make sure that ``recall`` knows these units."""
+        new = []
+        for u in set(units):
+            if u not in self.recent:
+                got = self.before.get(u)
+                if got is not None:
+                    self.recent[u] = got
+                elif len(u) <= SHORT:
+                    new.append(u)
+        for a in range(0, len(new), 8192):
+            part = new[a:a + 8192]
+            self.recent.update(zip(part, self.solve(part), strict=True))
+
+    def forget(self) -> None:
+        """Between batches: old units that were not met again go."""
+        if len(self.recent) > REMEMBERED:
+            self.before, self.recent = self.recent, {}
+
+    def recall(self, u: str) -> tuple[int, ...]:
+        got = self.recent.get(u)
         if got is None:
-            if len(self.memory) >= REMEMBERED:
-                self.memory.clear()
-            got = tuple(self.trace(text, 0, self.paths(text, 0, len(text), {0: 0.0})[1], len(text)))
-            if len(text) < 64:
-                self.memory[text] = got
+            got = tuple(self.trace(u, 0, self.paths(u, 0, len(u), {0: 0.0})[1], len(u)))
         return got
 
     def units(self, text: str) -> list[str]:
@@ -122,18 +208,20 @@ class Pieces:
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text that is one chunk."""
+        units = self.units(prepared(text))
+        self.learn(units)
+        return self.ids_of(units)
+
+    def ids_of(self, units: list[str]) -> list[int]:
         out: list[int] = []
-        for u in self.units(prepared(text)):
-            out += self.unit(u)
+        known = self.recent.get
+        for u in units:
+            got = known(u)
+            out += got if got is not None else self.recall(u)
         return out
 
     def decode(self, ids: list[int]) -> str:
-        name = {i: p for p, i in self.ids.items()} if not hasattr(self, "_names") else self._names
-        self._names = name
-        byte = {i: b for b, i in enumerate(self.byte_ids)} if not hasattr(self, "_bytes") else self._bytes
-        self._bytes = byte
-        raw = b"".join(bytes([byte[i]]) if i in byte and i not in name else name[i].replace(BLANK, " ").encode() for i in ids)
-        return raw.decode("utf-8", "surrogatepass")
+        return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "surrogatepass")
 
     # -- chunks ---------------------------------------------------------
 
@@ -159,7 +247,9 @@ class Pieces:
 
     def matrix(self, text: str, lo: int, hi: int) -> np.ndarray:
         """(state at lo, state at hi) to the best sum over the chunk
-        text[lo:hi]; text holds ``longest - 1`` characters before lo."""
+        text[lo:hi]; text holds ``longest - 1`` characters before lo. Where
+        units begin in the chunk, all paths meet at the first and the last of
+        them; the sum between those is the same in every cell and left out."""
         n = self.longest
         out = np.full((n, n), _NO)
         first, last = self._borders(text, lo, hi)
@@ -170,18 +260,14 @@ class Pieces:
                 for t in exits:
                     out[s, t] = best[hi - t - lo]
             return out
-        middle = sum(self._unit_score(u) for u in self.units(text[first:last]))
         tail, _ = self.paths(text, last, hi, {last: 0.0})
         for s in range(min(n, lo + 1)):
             head = self.paths(text, lo, first, self.entries(text, lo, first, s))[0][first - lo] if first > lo else (0.0 if s == 0 else _NO)
             for t in exits:
                 if hi - t >= last:
-                    out[s, t] = head + middle + tail[hi - t - last]
+                    out[s, t] = head + tail[hi - t - last]
         return out
 
-    def _unit_score(self, u: str) -> float:
-        return self.paths(u, 0, len(u), {0: 0.0})[0][len(u)]
-
     def chunk_ids(self, text: str, lo: int, hi: int, enter: int, leave: int) -> list[int]:
         """Ids of the pieces that end in the chunk, given both states; the
         piece that spans the left border belongs to this chunk."""
@@ -203,13 +289,18 @@ class Pieces:
             for ids in reversed(rest):
                 out += ids
         if first < hi:
-            for u in self.units(text[first:last]):
-                out += self.unit(u)
+            units = self.units(text[first:last])
+            self.learn(units)
+            out += self.ids_of(units)
             if end > last:
                 out += self.trace(text, last, self.paths(text, last, end, {last: 0.0})[1], end)
         return out
 
 
+def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return mix64(h * np.uint64(31) + c + np.uint64(1))
+
+
 def prepared(text: str) -> str:
     """Blanks become marks and one is put in front, as the vocabulary has
     it; the empty text stays empty."""
@@ -265,6 +356,20 @@ def _chunks(model_file: str, size: int):
     return run
 
 
+def _groups(rows: list[tuple], size: int = 1 << 19) -> Iterator[list[tuple]]:
+    """Rows in runs of about ``size`` characters: units that are new in a run
+    are solved together."""
+    run, n = [], 0
+    for r in rows:
+        run.append(r)
+        n += len(r[0])
+        if n >= size:
+            yield run
+            run, n = [], 0
+    if run:
+        yield run
+
+
 def _encoded(model_file: str, with_ids: bool):
     """Ids of chunks whose border states are known."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,18 +377,19 @@ def _encoded(model_file: str, with_ids: bool):
         for batch in batches:
             cols = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
             num, crc, same, ids_out = [], [], [], []
-            for text, lo, n, enter, leave in zip(*(cols[c].to_pylist() for c in ("text", "lo", "n", "enter", "leave")), strict=True):
-                if n == 1:
-                    ids = [i for u in p.units(text) for i in p.unit(u)]
-                else:
-                    ids = p.chunk_ids(text, lo, len(text), enter, leave)
-                want = text[lo - enter:len(text) - leave].replace(BLANK, " ")
-                same.append(p.decode(ids) == want)
-                arr = np.array(ids, "<u4")
-                num.append(len(ids))
-                crc.append(zlib.crc32(arr.tobytes()))
-                if with_ids:
-                    ids_out.append(arr.astype(np.int32))
+            rows = list(zip(*(cols[c].to_pylist() for c in ("text", "lo", "n", "enter", "leave")), strict=True))
+            for group in _groups(rows):
+                cuts = [p.units(r[0]) if r[2] == 1 else None for r in group]
+                p.forget()
+                p.learn([u for units in cuts if units for u in units])
+                for units, (text, lo, n, enter, leave) in zip(cuts, group, strict=True):
+                    ids = p.ids_of(units) if n == 1 else p.chunk_ids(text, lo, len(text), enter, leave)
+                    same.append(p.decode(ids) == text[lo - enter:len(text) - leave].replace(BLANK, " "))
+                    arr = np.array(ids, "<u4")
+                    num.append(len(ids))
+                    crc.append(zlib.crc32(arr.tobytes()))
+                    if with_ids:
+                        ids_out.append(arr.astype(np.int32))
             out = [cols["id"], cols["row"], cols["chunk"], pa.array(num, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
             if with_ids:
                 out.append(pa.array(ids_out, pa.list_(pa.int32())))
@@ -312,6 +418,7 @@ def encode_texts(df: DataFrame, model_file: str, chunk: int = CHUNK, with_ids: b
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
+            p.forget()
             cells = [p.matrix(t, lo, len(t)).tobytes() for t, lo in zip(b.column(3).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cells, pa.binary())], ["row", "chunk", "cells"])
 
