@@ -43,8 +43,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 ROUNDS = 3
 SLACK = 3.5
-MATES = 256  # documents of one bucket in a block
-LONG = 1 << 14  # shingles beyond which a text is not carried in blocks but goes straight to verification
+MATES = 1024  # documents of one bucket in a block
+LOOK = 64     # signature places that blocks compare
+LONG = 1 << 12  # shingles beyond which a text is not carried in blocks but goes straight to verification
 BLOCK = 1 << 22  # bytes of text whose signatures are made at once
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -158,7 +159,7 @@ def _signatures(size: int, bands: int, rows: int):
                 key = np.broadcast_to(mix64(np.arange(bands) + 300), (n, bands)).copy()
                 for r in range(rows):
                     key = mix64(key ^ best[:, :, r])
-                place = mix64(best.reshape(n, -1)).astype(np.uint8)
+                place = mix64(best.reshape(n, -1)[:, ::max(1, bands * rows // LOOK)]).astype(np.uint8)
                 look = np.hstack([place, key.astype(np.uint32).view(np.uint8).reshape(n, -1)])
                 nth = np.arange(len(doc)) - (np.cumsum(np.bincount(doc, minlength=n)) - np.bincount(doc, minlength=n))[doc]
                 same = []
@@ -173,37 +174,38 @@ def _signatures(size: int, bands: int, rows: int):
     return run
 
 
-def _alike(bands: int, rows: int, least: float):
+def _alike(bands: int, least: float):
     """Pairs of two blocks of one bucket that may be similar: of different
-    classes and near sizes, signatures alike, and no common bucket earlier."""
-    places = bands * rows
-    enough = places * least - SLACK * np.sqrt(places * least * (1 - least))
-
-    def side(scalar: pa.Scalar):
-        rows_ = scalar.values
-        n = len(rows_)
-        look = np.frombuffer(b"".join(rows_.field("look").to_pylist()), np.uint8).reshape(n, -1)
-        label = rows_.field("label")
-        return (rows_.field("id"), rows_.field("n").to_numpy(zero_copy_only=False), label,
-                look[:, :places], np.ascontiguousarray(look[:, places:]).view(np.uint32),
-                [None if b is None else np.frombuffer(b, np.uint32) for b in rows_.field("bag").to_pylist()])
-
+    classes and near sizes, signatures and shingles alike, and no common
+    bucket earlier."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for band, same, x, y in zip(*(batch.column(i) for i in range(4)), strict=True):
-                (i1, n1, l1, s1, k1, b1), (i2, n2, l2, s2, k2, b2) = side(x), side(y)
-                codes = pa.concat_arrays([l1, l2]).dictionary_encode().indices.to_numpy()
-                ok = codes[:len(l1), None] != codes[None, len(l1):]
-                ok &= np.minimum.outer(n1, n2) >= least * np.maximum.outer(n1, n2) - 1e-9
-                if same.as_py():
-                    ok &= np.tri(len(i1), dtype=bool).T
-                p, q = np.nonzero(ok)
-                p, q = _enough(p, q, s1, s2, enough)
-                first = ~(k1[p, :band.as_py()] == k2[q, :band.as_py()]).any(1)
-                p, q = p[first], q[first]
-                alike = np.array([_overlap(b1[u], b2[v], least) for u, v in zip(p, q, strict=True)], bool)
-                p, q = p[alike], q[alike]
-                a, b = i1.take(pa.array(p)), i2.take(pa.array(q))
+            for band, i, j, group in zip(*batch.columns, strict=True):
+                band, rows = band.as_py(), group.values
+                blk, size = rows.field("blk").to_numpy(), rows.field("n").to_numpy()
+                look = np.frombuffer(b"".join(rows.field("look").to_pylist()), np.uint8).reshape(len(blk), -1)
+                places = look.shape[1] - 4 * bands
+                sign, keys = look[:, :places], np.ascontiguousarray(look[:, places:]).view(np.uint32)
+                enough = places * least - SLACK * np.sqrt(places * least * (1 - least))
+                label = rows.field("label").dictionary_encode().indices.to_numpy()
+                bags = [None if b is None else np.frombuffer(b, np.uint16) for b in rows.field("bag").to_pylist()]
+                x, y = np.flatnonzero(blk == i.as_py()), np.flatnonzero(blk == j.as_py())
+                found = []
+                for a in range(0, len(x), 64):  # a few rows against the whole other block
+                    p, q = np.meshgrid(x[a:a + 64], y, indexing="ij")
+                    p, q = p.reshape(-1), q.reshape(-1)
+                    for test in (lambda p, q: label[p] != label[q],
+                                 lambda p, q: (p < q) if i.as_py() == j.as_py() else np.ones(len(p), bool),
+                                 lambda p, q: np.minimum(size[p], size[q]) >= least * np.maximum(size[p], size[q]) - 1e-9,
+                                 lambda p, q: (sign[p] == sign[q]).sum(1) >= enough,
+                                 lambda p, q: ~(keys[p, :band] == keys[q, :band]).any(1),
+                                 lambda p, q: np.array([_overlap(bags[u], bags[v], least) for u, v in zip(p, q, strict=True)], bool)):
+                        ok = test(p, q)
+                        p, q = p[ok], q[ok]
+                    found.append((p, q))
+                p, q = (np.concatenate([f[k] for f in found] or [np.empty(0, np.int64)]) for k in (0, 1))
+                ids = rows.field("id")
+                a, b = ids.take(pa.array(p)), ids.take(pa.array(q))
                 yield pa.RecordBatch.from_arrays([pc.max_element_wise(a, b), pc.min_element_wise(a, b)], ["a", "b"])
     return run
 
@@ -216,12 +218,12 @@ def _overlap(a: np.ndarray | None, b: np.ndarray | None, least: float) -> bool:
         return False
     at = np.searchsorted(a, b)
     both = (a[np.minimum(at, len(a) - 1)] == b).sum()
-    return bool(both >= (least - 0.01) * (len(a) + len(b) - both))
+    return bool(both >= (least - 0.02) * (len(a) + len(b) - both))
 
 
 def _bags(size: int):
-    """Shingles numbered by occurrence, hashed to 32 bits and sorted; NULL
-    for long texts."""
+    """Shingles numbered by occurrence, hashed to 16 bits and sorted; NULL
+    for long texts. Chance equals only let more pairs go on to the texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = text_bytes(batch.column(1))
@@ -229,20 +231,13 @@ def _bags(size: int):
                 sd, se = shingles(*word_hashes(data[off[a]:off[b]], off[a:b + 1] - off[a]), b - a, size)
                 d, e, w = weighted(sd, se)
                 nth = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
-                d, e = np.repeat(d, w), mix64(np.repeat(e, w) + mix64(nth)).astype(np.uint32)
+                d, e = np.repeat(d, w), mix64(np.repeat(e, w) + mix64(nth)).astype(np.uint16)
                 ends = np.cumsum(np.bincount(d, minlength=b - a))
                 bags = [None if hi - lo > LONG else np.unique(e[lo:hi]).tobytes() for lo, hi in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(bags, pa.binary())], ["id", "bag"])
     return run
 
 
-def _enough(p, q, s1, s2, enough):
-    step = 1 << 15
-    keep = [(s1[p[i:i + step]] == s2[q[i:i + step]]).sum(1) >= enough for i in range(0, len(p), step)]
-    keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-    return p[keep], q[keep]
-
-
 def _similar(size: int, least: float):
     def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
         data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -325,12 +320,13 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             inside = _among(pool, mine.select("id").distinct())
             bags = inside.mapInArrow(_bags(size), f"id {kind}, bag binary").dropDuplicates(["id"])
             mine = mine.join(bags, "id")
-            blk = F.pmod(F.xxhash64("id"), F.ceil(F.col("mates") / MATES))
-            block = mine.groupBy("key", "band", blk.alias("blk")).agg(F.collect_list(F.struct("id", "n", "label", "look", "bag")).alias("rows"))
-            one = block.select("key", "band", F.col("blk").alias("i"), F.col("rows").alias("x"))
-            two = block.select("key", F.col("blk").alias("j"), F.col("rows").alias("y"))
-            pairs = (one.join(two, "key").where("i <= j").select("band", F.expr("i = j").alias("same"), "x", "y")
-                     .mapInArrow(_alike(bands, rows, least), f"a {kind}, b {kind}"))
+            # a block meets every other of its bucket once: rows go to all pairs of blocks they are in
+            n_blk = F.ceil(F.col("mates") / MATES).cast("int")
+            dealt = (mine.withColumn("blk", F.pmod(F.xxhash64("id"), n_blk).cast("int"))
+                     .withColumn("other", F.explode(F.sequence(F.lit(0), n_blk - 1))))
+            block = dealt.groupBy("key", "band", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")).agg(
+                F.collect_list(F.struct("blk", "id", "n", "label", "look", "bag")).alias("rows"))
+            pairs = block.select("band", "i", "j", "rows").mapInArrow(_alike(bands, least), f"a {kind}, b {kind}")
             pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         if pairs.isEmpty():
