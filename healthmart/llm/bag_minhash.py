@@ -46,7 +46,7 @@ SLACK = 3.5
 MATES = 1024  # documents of one bucket in a block
 LOOK = 64     # signature places that blocks compare
 LONG = 1 << 12  # shingles beyond which a text is not carried in blocks but goes straight to verification
-BLOCK = 1 << 22  # bytes of text whose signatures are made at once
+BLOCK = 1 << 21  # bytes of text whose signatures are made at once
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32

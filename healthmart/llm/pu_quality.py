@@ -23,7 +23,7 @@ from healthmart.llm.common import held_out, pack, table, text_bytes, unpack
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.3
-BLOCK = 1 << 21  # bytes of text that are counted at once
+BLOCK = 1 << 20  # bytes of text that are counted at once
 
 
 def _byte_classes() -> np.ndarray:

@@ -41,8 +41,8 @@ from healthmart.llm.common import cut, mix64, quoted, table, text_bytes
 MATCH, GRAM = 100, 24
 SPAN = MATCH - GRAM + 1
 BLOCK = 1_000_000          # bytes hashed at once; places in a block fit 20 bits
-SHARE = 12 << 20           # bytes of text per bucket of anchors or documents
-SORTED = 2 << 20           # bytes of strips per suffix array
+SHARE = 8 << 20            # bytes of text per bucket of anchors or documents
+SORTED = 1 << 20           # bytes of strips per suffix array
 HOT = 8192                 # different strips of one anchor that stay together
 
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
