@@ -42,8 +42,8 @@ MATCH, GRAM = 100, 24
 SPAN = MATCH - GRAM + 1
 BLOCK = 1_000_000          # bytes hashed at once; places in a block fit 20 bits
 SHARE = 8 << 20            # bytes of text per bucket of anchors or documents
-SORTED = 1 << 20           # bytes of strips per suffix array
-HOT = 8192                 # different strips of one anchor that stay together
+SORTED = 1 << 19           # bytes of strips per suffix array
+HOT = 4096                 # different strips of one anchor that stay together
 
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INV = np.uint64(pow(int(_ODD), -1, 1 << 64))
@@ -270,6 +270,12 @@ def _fetch(n_sorted: int):
     return run
 
 
+def _settled(out: pa.Table) -> pa.Table:
+    """Give Arrow's unused memory back before the next group comes."""
+    pa.default_memory_pool().release_unused()
+    return out
+
+
 def suffix_array(text: np.ndarray, depth: int = MATCH) -> np.ndarray:
     """Suffixes in order of their first ``depth`` bytes (at least), by two-
     stage sorting. The end of the text is smaller than any byte."""
@@ -308,11 +314,12 @@ def suffix_array(text: np.ndarray, depth: int = MATCH) -> np.ndarray:
 
 def _words(text: np.ndarray) -> np.ndarray:
     """Eight bytes from every place as one big-endian number."""
-    pad = np.append(text, np.zeros(8 + MATCH, np.uint8)).astype(np.uint64)
+    pad = np.append(text, np.zeros(8 + MATCH, np.uint8))
     n = len(text) + MATCH
     w = np.zeros(n, np.uint64)
     for j in range(8):
-        w |= pad[j:j + n] << np.uint64(56 - 8 * j)
+        w <<= np.uint64(8)
+        w |= pad[j:j + n]
     return w
 
 
@@ -359,14 +366,11 @@ def repeated_windows(text: np.ndarray, begin: np.ndarray, length: np.ndarray, ra
     """(strip, window) of the windows that also start earlier: strips lie at
     ``begin`` in ``text``, ``rank`` orders them."""
     n = len(text)
-    strip = np.full(n, -1, np.int64)
-    ok = np.zeros(n + 1, np.int64)
-    np.add.at(ok, begin, 1)
-    np.add.at(ok, begin + length - MATCH + 1, -1)
-    valid = np.cumsum(ok[:n]) > 0
-    marks = np.zeros(n, np.int64)
-    marks[begin] = 1
-    strip = np.cumsum(marks) - 1
+    ok = np.zeros(n + 1, np.int8)
+    ok[begin] = 1
+    ok[begin + length - MATCH + 1] = -1
+    valid = np.cumsum(ok[:n], dtype=np.int8) > 0
+    strip = np.repeat(np.arange(len(begin), dtype=np.int32), length + 1)
     sa = suffix_array(text)
     sa = sa[valid[sa]]
     if not len(sa):
@@ -401,7 +405,7 @@ def _sort(n_buckets: int):
         count = np.diff(np.append(head, len(s)))
         d = doc[s[head]]
         o = _split(_bucket(d, n_buckets), [d, (start[s[head]] + w[head]).astype(np.uint32), (count + MATCH - 1).astype(np.uint32)], _SPANS)
-        return pa.Table.from_batches([o])
+        return _settled(pa.Table.from_batches([o]))
     return run
 
 
