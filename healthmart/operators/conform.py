@@ -36,7 +36,7 @@ def conform(df: DataFrame, source_name: str, mapping: dict[str, str] | None = No
             continue
         src = mapping.get(f.name, f.name)
         if src is not None and src in df.columns:
-            out.append(F.col(f"`{src}`").cast(f.dataType).alias(f.name))
+            out.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
         else:
             out.append(F.lit(CONFORM_DEFAULTS.get(f.name)).cast(f.dataType).alias(f.name))
     out += [F.col(f"`{k}`") for k in keep if k not in layout.fieldNames()]

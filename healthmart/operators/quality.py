@@ -117,16 +117,17 @@ def report_dict(report: DataFrame) -> dict:
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Fact rows whose key is not in the dimension (``NOT IN``).
 
-    ``NOT IN`` semantics: a NULL fact key never qualifies, and a NULL in the
-    dimension makes every row fail the predicate; Catalyst plans the
-    subquery as a null-aware anti join (broadcast when the dimension is
-    small, which AQE decides from the runtime size)."""
-    import uuid
+    ``NOT IN`` semantics: a NULL fact key never qualifies, a NULL in the
+    dimension makes every row fail the predicate, and an empty dimension
+    lets every row pass. The two facts about the dimension are one row; the
+    rest is a plain anti join, which may shuffle, so neither side has to
+    fit into a broadcast.
+    """
     d = dim.select(F.col(dim_key or key).alias("__k"))
-    fv, dv = f"__hm_fact_{uuid.uuid4().hex[:8]}", f"__hm_dim_{uuid.uuid4().hex[:8]}"
-    fact.createOrReplaceTempView(fv)
-    d.createOrReplaceTempView(dv)
-    return fact.sparkSession.sql(f"SELECT * FROM {fv} WHERE `{key}` NOT IN (SELECT __k FROM {dv})")
+    about = d.agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col("__k").isNull()).alias("__nulls"))
+    left = fact.join(d, F.col(key) == F.col("__k"), "left_anti")
+    ok = (F.col("__n") == 0) | (F.col(key).isNotNull() & (F.col("__nulls") == 0))
+    return left.crossJoin(about).where(ok).drop("__n", "__nulls")
 
 
 def orphans_anti(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -10,6 +10,7 @@ in the SQL.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -291,7 +292,7 @@ def q_etl_quality_report(spark, sf):
 def q_etl_end_to_end(spark, sf):
     """Whole ETL flow with its zones: landing copies, lake snapshot, star
     written to the warehouse; returns the stored fact read back."""
-    base = P.scratch_base(spark, f"etl-{os.getpid()}-{id(spark)}")
+    base = P.scratch_base(spark, f"etl-{uuid.uuid4().hex}")
     ns, ds = appointments(spark, sf), disease_profiles(spark, sf)
     return P.run_etl(ns, ds, P.Options(), base=base).star.fact
 
@@ -300,7 +301,7 @@ def q_etl_end_to_end(spark, sf):
 def q_elt_end_to_end(spark, sf):
     """Whole ELT flow with its zones: raw lake landing, staging tables,
     star written to the warehouse; returns the stored fact read back."""
-    base = P.scratch_base(spark, f"elt-{os.getpid()}-{id(spark)}")
+    base = P.scratch_base(spark, f"elt-{uuid.uuid4().hex}")
     ns, ds = appointments(spark, sf), disease_profiles(spark, sf)
     return P.run_elt(ns, ds, P.Options(), base=base).star.fact
 
@@ -863,7 +864,7 @@ def q_seed_dimension(spark, sf):
     from pyspark.sql import Window
     segs = _t(spark, sf, "customer").select(F.col("c_mktsegment").alias("seg")).distinct()
     numbered = segs.select(F.row_number().over(Window.orderBy("seg")).cast("int").alias("seg_id"), "seg")
-    base = P.scratch_base(spark, f"seed-{os.getpid()}-{id(segs)}")
+    base = P.scratch_base(spark, f"seed-{uuid.uuid4().hex}")
     existing = numbered.filter(F.col("seg") < "G").select(
         F.row_number().over(Window.orderBy("seg")).cast("int").alias("seg_id"), "seg")
     files.write_table(existing, base, "dim_segment")
@@ -875,7 +876,7 @@ def q_seed_dimension(spark, sf):
 def q_landing_roundtrip(spark, sf):
     """Land the profile view as CSV with a header,
     read it back with the schema."""
-    base = P.scratch_base(spark, f"landing-{os.getpid()}")
+    base = P.scratch_base(spark, f"landing-{uuid.uuid4().hex}")
     return files.land(disease_profiles(spark, sf), base, "raw_disease", fmt="csv")
 
 
@@ -896,5 +897,5 @@ EXPORT_ORDER = [
 def q_export_roundtrip(spark, sf):
     """Export the report set (one CSV each, error isolation),
     return the status table."""
-    base = P.scratch_base(spark, f"marts-{os.getpid()}")
+    base = P.scratch_base(spark, f"marts-{uuid.uuid4().hex}")
     return P.write_reports(elt_star(spark, sf), base, pipeline="ELT")

@@ -186,10 +186,10 @@ def enrich_profiles(df: DataFrame, opts: Options) -> DataFrame:
     cols["has_cough"] = F.when(F.lower(F.col(cough)) == "yes", 1).otherwise(0) if cough else F.lit(0)
     bp = resolve(df.columns, ("blood", "pressure"))
     if bp:
-        cols["bp_encoded"] = encode_ordinal(bp)
+        cols["bp_encoded"] = encode_ordinal(bp, whitespace=False)
     chol = resolve(df.columns, "cholesterol")
     if chol:
-        cols["cholesterol_encoded"] = encode_ordinal(chol)
+        cols["cholesterol_encoded"] = encode_ordinal(chol, whitespace=False)
     df = df.withColumns(cols)
     if opts.symptoms != "detect":
         df = df.withColumn("symptom_count", flag_sum(["has_fever", "has_cough"]))
@@ -201,9 +201,12 @@ def conform_sources(ns: DataFrame, ds: DataFrame, order_col: str | None = None)
     source rank, then input order when an order column is given (the
     reference numbers rows in file order), else the appointment id."""
     def key(df, fallback):
+        place = lambda nth: F.struct(F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("start"),
+                                     nth.alias("nth"))
         if order_col and order_col in df.columns:
-            return F.col(order_col).cast("long")
-        return F.col(fallback).cast("long") if fallback and fallback in df.columns else F.lit(None).cast("long")
+            by_file = df.schema[order_col].dataType.typeName() == "struct"
+            return F.col(order_col) if by_file else place(F.col(order_col).cast("long"))
+        return place(F.col(fallback).try_cast("long") if fallback and fallback in df.columns else F.lit(None).cast("long"))
 
     ns_c = cf.conform(ns.withColumn("__key", key(ns, "appointmentid")).withColumn("__rank", F.lit(0)),
                       "no_show", {"outcome_flag": "no_show_flag", "is_weekend": "is_weekend"},
@@ -422,7 +425,7 @@ def elt_fact(enr_ns: DataFrame, enr_ds: DataFrame, dim_source: DataFrame, opts:
         *[F.lit(None).cast("double").alias(c) for c in
           ("symptom_count", "has_fever", "has_cough", "bp_encoded", "cholesterol_enc")],
         F.lit(schemas.NOT_AVAILABLE).alias("disease_name"),
-        F.col("appointment_id").cast("long").alias("__key"),
+        F.col("appointment_id").try_cast("long").alias("__key"),
     )
     ds = st.const_join(enr_ds, dim_source, "source_name", "disease", ["source_id"])
     ds = ds.select(

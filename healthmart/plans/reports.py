@@ -27,7 +27,7 @@ def _tag(df: DataFrame, pipeline: str | None) -> DataFrame:
 # Every report groups the fact by one of a few low-cardinality attributes
 # and aggregates counts, sums, minima and maxima. One pass groups the fact
 # by all of them together; the result has one row per combination that
-# occurs, bounded by the product of the key domains (not by the row count),
+# occurs (disease names are an open domain; the other keys are small),
 # and each report re-aggregates it. Counts, sums, min and max compose
 # exactly; a mean is a sum over a count.
 
@@ -69,11 +69,9 @@ def summary(star: Star) -> DataFrame:
     """The star's report summary: the stored one if set, else planned from
     the star (then every report is one fact scan).
 
-    The summary is bounded by the report key domains, so it is read as one
-    partition: a single partition satisfies every report's grouping and
-    global aggregates, and Catalyst plans them without any shuffle."""
-    s = star.summary if getattr(star, "summary", None) is not None else build_summary(star)
-    return s.coalesce(1)
+    Disease names are an open domain, so the summary keeps its partitions
+    and every report merges it by an ordinary shuffle on its own keys."""
+    return star.summary if getattr(star, "summary", None) is not None else build_summary(star)
 
 
 def _named(star: Star, attr: str) -> DataFrame:
@@ -103,9 +101,9 @@ def _no_show(star: Star) -> DataFrame:
 
 
 def _small_sorted(df: DataFrame, *cols) -> DataFrame:
-    """Total order of a result bounded by a small key domain (months, days,
-    age groups): sorted inside its single partition, no range shuffle."""
-    return df.coalesce(1).sortWithinPartitions(*cols)
+    """Total order of a result over a small key domain (months, days, age
+    groups)."""
+    return df.orderBy(*cols)
 
 
 def kpi_summary(star: Star, pipeline: str | None = None, source_id: int | None = None) -> DataFrame:

@@ -11,28 +11,48 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 
-def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False) -> DataFrame:
-    """CSV with header; explicit schema, or inference when asked."""
-    r = spark.read.option("header", True)
-    if schema is not None:
-        r = r.schema(schema)
-    elif infer:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+#: Doubled quotes inside quoted text, and the same on write.
+CSV_QUOTES = {"quote": '"', "escape": '"'}
+
+
+def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, multiline: bool = True) -> DataFrame:
+    """CSV with header; explicit schema, or inference when asked.
+
+    Columns of ``schema`` are found by their header name, in whatever order
+    the files have them; a missing one, or files whose headers differ, fail.
+    Quoted text may hold doubled quotes and line ends. ``multiline=False``
+    lets Spark split large files that have no line ends inside quotes.
+    """
+    r = spark.read.option("header", True).options(**CSV_QUOTES).option("multiLine", multiline)
+    if schema is None:
+        return (r.option("inferSchema", True) if infer else r).csv(path)
+    header = r.csv(path).columns
+    missing = [c for c in schema.fieldNames() if c not in header]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    as_read = StructType([schema[c] if c in schema.fieldNames() else StructField(c, StringType()) for c in header])
+    return r.option("enforceSchema", False).schema(as_read).csv(path).select(*[f"`{c}`" for c in schema.fieldNames()])
 
 
 def with_row_order(df: DataFrame, col: str = "_row") -> DataFrame:
     """Tag rows with their input order (file, then position in the file).
 
-    For "keep the first occurrence" semantics on files without a key: ids
-    increase with the split index and the position inside the split, so
-    they follow the file order for one file and the listing order for
-    several. Computed once right after the scan, inside the same tasks.
+    For "keep the first occurrence" semantics on files without a key: rows of
+    a file source are ordered by file path, then by the place of the split in
+    the file, then inside the split. Spark deals splits by size, so the id
+    alone would not follow the files. A frame that is not read from files
+    has its rows in partition order.
     """
-    return df.withColumn(col, F.monotonically_increasing_id())
+    within = F.monotonically_increasing_id()
+    try:
+        return df.withColumn(col, F.struct(F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.file_block_start").alias("start"), within.alias("nth")))
+    except AnalysisException:
+        return df.withColumn(col, within)
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -46,7 +66,7 @@ def write_table(df: DataFrame, base: str, name: str, fmt: str = "parquet",
     path = os.path.join(base, name)
     w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).options(**CSV_QUOTES)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
@@ -128,16 +148,17 @@ def export_reports(reports: dict, out_dir: str, fmt: str = "csv", isolate_errors
     """
     def one(name, rep):
         try:
-            df = rep() if callable(rep) else rep
-            df = df.cache()
-            n = df.count()
-            write_table(df.coalesce(1), out_dir, name, fmt)
-            df.unpersist()
+            df = (rep() if callable(rep) else rep).cache()
+            try:
+                n = df.count()
+                write_table(df.coalesce(1), out_dir, name, fmt)
+            finally:
+                df.unpersist()
             return (name, "ok", n, None)
         except Exception as e:  # noqa: BLE001 - isolation is the feature
             if not isolate_errors:
                 raise
-            return (name, "failed", None, str(e).splitlines()[0][:500])
+            return (name, "failed", None, str(e) or type(e).__name__)
 
     items = list(reports.items())
     if concurrent and len(items) > 1:
