@@ -16,7 +16,8 @@ letter to a blank, so between units the state is 0; line ends, which no
 piece holds, stand alone. Units repeat and are remembered, and units not yet
 known are solved many at a time, place by place, on arrays. Characters that the vocabulary lacks become byte pieces, scored
 ``UNKNOWN`` below the least piece. Of cuts with equal sums the one whose last
-piece is longest wins.
+piece is longest wins inside a chunk, at a border the one with fewer
+characters before it.
 """
 
 from __future__ import annotations
