@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     # at most max_positive + max_unlabelled ids: a bounded broadcast
     rows = docs.join(F.broadcast(chosen), "doc_id").select("kind", "text").mapInArrow(_featurise, "kind int, x array<double>").toArrow()
     kind = rows["kind"].to_numpy()
-    x = np.array(rows["x"].to_pylist(), float).reshape(-1, N_FEATURES)
+    x = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
     x = x[o := np.lexsort((*x.T[:8], kind))]  # row order must not depend on task order
     kind = kind[o]
     return fit_nnpu(x[kind == 1], x[kind == 0], prior)
