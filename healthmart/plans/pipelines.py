@@ -87,11 +87,17 @@ def _cut_counting_nulls(df: DataFrame, opts: Options) -> tuple[DataFrame, list[s
 # ETL
 # =============================================================================
 
+def _appointment_id(columns: list[str]) -> str:
+    """The column named after appointment and id; the second (or only) one
+    if there is none."""
+    return resolve(columns, ("appointment", "id"), default=columns[:2][-1])
+
+
 def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
     """names -> keep-first by id -> drop NULL id -> text fill -> median fill
     -> parse dates, drop unparsed -> age >= 0 -> outlier filter."""
     df = normalize_names(df, dash_to_underscore=True)
-    id_col = "appointmentid" if "appointmentid" in df.columns else df.columns[1]
+    id_col = _appointment_id(df.columns)
     df = clean.dedupe_keep_first(df, [id_col], _order(df, opts))
     df = clean.drop_null(df, [id_col])
     df = clean.fill_text(df)  # before date parsing: a NULL date becomes text that fails to parse
@@ -311,7 +317,7 @@ def elt_clean_appointments(stg: DataFrame, opts: Options, age_bounds: tuple | No
     row per appointment id (first by order)."""
     cols = stg.columns
     ns = resolve(cols, ("no", "show"))
-    appt = resolve(cols, ("appointment", "id"), default=cols[1] if len(cols) > 1 else cols[0])
+    appt = _appointment_id(cols)
     sched = resolve(cols, "scheduled")
     apptday = resolve(cols, "appointmentday")
     gender = resolve(cols, "gender")
