@@ -30,6 +30,7 @@ from healthmart.llm.common import held_out, pack, table, text_bytes, unpack
 WINDOW, FILTERS, WIDTHS = 192, 8, (2, 3, 4)
 STRIDE = WINDOW - max(WIDTHS) + 1
 MAX_PER_LANG = 1500
+STRATUM = 500  # documents of one language and stratum; Spark cuts a group before its shuffle up to a rank of 1000
 BATCH = 2048  # windows that are evaluated at once
 FOLDS, HELD = 3, 1
 
@@ -147,9 +148,13 @@ def train(docs: DataFrame, max_per_lang: int = MAX_PER_LANG) -> Net | None:
     """Fit on (doc_id, text, lang) of the learning fold; None if it has no
     labelled text."""
     learn = docs.where(~held_out(F.col("doc_id"), FOLDS, HELD) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("lot", "doc_id"))
+    # equal shares of hashed strata: a share this small lets Spark cut each
+    # group before the shuffle, so a hot language never meets in one task
+    strata = -(-max_per_lang // STRATUM)
+    rank = F.row_number().over(W.partitionBy("lang", F.pmod("lot", F.lit(strata))).orderBy("lot", "doc_id"))
     ids = learn.select("doc_id", "lang", F.xxhash64("doc_id").alias("lot"))
-    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= max_per_lang).select("doc_id", "lot").distinct()
+    chosen = (ids.withColumn("rank", rank).where(F.col("rank") <= max_per_lang // strata)
+              .select("doc_id", "lot").distinct())
     # at most max_per_lang ids of each language: a bounded broadcast
     got = (learn.join(F.broadcast(chosen), "doc_id").select("lot", "lang", "text")
            .mapInArrow(_one_window, "lot long, lang string, win binary").toArrow())
