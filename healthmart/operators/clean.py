@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from healthmart import schemas
 from healthmart.functions.columns import columns_of_kind
 from healthmart.functions.features import parse_timestamp
+from healthmart.operators.quantiles import quantiles
 
 
 def _q(c: str) -> Column:
@@ -84,52 +85,32 @@ def fill_text(df: DataFrame, value: str = schemas.UNKNOWN_TEXT, cols=None) -> Da
     return df.withColumns({c: F.coalesce(_q(c), F.lit(value)) for c in cols})
 
 
-def median_stats(df: DataFrame, cols, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """One-row frame holding the median of every column, one pass.
-
-    ``exact`` keeps a value->count map per column (fine for low-cardinality
-    columns such as age); ``exact=False`` uses a bounded-memory sketch.
-    """
-    if exact:
-        aggs = [F.median(_q(c)).alias(c) for c in cols]
-    else:
-        aggs = [F.percentile_approx(_q(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]
-    return df.agg(*aggs)
+def median_stats(df: DataFrame, cols) -> DataFrame:
+    """One-row frame holding the exact median of every column."""
+    return quantiles(df, {c: [0.5] for c in cols}).select(*[_q(c)[0].alias(c) for c in cols])
 
 
-def fill_median(df: DataFrame, cols=None, exact: bool = True, only_with_nulls: bool = True,
-                eager: bool = True, null_counts: dict | None = None) -> DataFrame:
+def fill_median(df: DataFrame, cols=None, null_counts: dict | None = None, eager: bool = False) -> DataFrame:
     """NULL numeric -> the column's median (NULLs skipped).
 
-    With ``only_with_nulls`` one cheap NULL-count pass (one row back) first
-    picks the columns that have a NULL at all, so no median is computed for
-    a complete column -- an exact median of a high-cardinality id column is
-    the expensive part; ``null_counts`` (column -> NULLs, e.g. observed
-    while the input was written) skips that pass too. ``eager`` gathers all
-    medians in one action and fills with literals (later jobs do not
-    recompute them); otherwise the medians stay in the plan as a broadcast
-    one-row frame.
+    ``null_counts`` (column -> NULLs, e.g. observed while the input was
+    written) leaves out complete columns. The medians are one uncorrelated
+    scalar subquery; ``eager`` gathers them in one action and fills with
+    literals, for frames that several later jobs read.
     """
     cols = columns_of_kind(df, "numeric") if cols is None else list(cols)
-    if not cols:
-        return df
     if null_counts is not None:
         cols = [c for c in cols if null_counts.get(c, 1) > 0]
-        if not cols:
-            return df
-    elif only_with_nulls:
-        counts = df.agg(*[F.count_if(_q(c).isNull()).alias(f"__n{i}") for i, c in enumerate(cols)]).first()
-        cols = [c for i, c in enumerate(cols) if counts[f"__n{i}"] > 0]
-        if not cols:
-            return df
-    stats = median_stats(df, cols, exact).select(*[_q(c).alias(f"__med_{i}") for i, c in enumerate(cols)])
+    if not cols:
+        return df
+    stats = median_stats(df, cols).select(F.struct(*[_q(c).alias(f"m{i}") for i, c in enumerate(cols)]).alias("m"))
     if eager:
-        row = stats.first()
-        return df.withColumns({c: F.coalesce(_q(c), F.lit(row[f"__med_{i}"]).cast(df.schema[c].dataType))
-                               for i, c in enumerate(cols)})
-    joined = df.crossJoin(F.broadcast(stats))
-    filled = {c: F.coalesce(_q(c), F.col(f"__med_{i}").cast(df.schema[c].dataType)) for i, c in enumerate(cols)}
-    return joined.withColumns(filled).select(*[_q(c) for c in df.columns])
+        row = stats.first()["m"]
+        medians = [F.lit(m) for m in row]
+    else:
+        row = stats.scalar()
+        medians = [row[f"m{i}"] for i in range(len(cols))]
+    return df.withColumns({c: F.coalesce(_q(c), m.cast(df.schema[c].dataType)) for c, m in zip(cols, medians, strict=True)})
 
 
 # -- timestamps ----------------------------------------------------------------
@@ -170,34 +151,25 @@ def membership_filter(df: DataFrame, col: str, values, negate: bool = False) ->
     return df.filter(~cond if negate else cond)
 
 
-def iqr_bounds(df: DataFrame, col: str, k: float = 1.5, exact: bool = True) -> DataFrame:
+def iqr_bounds(df: DataFrame, col: str, k: float = 1.5) -> DataFrame:
     """One-row frame (q1, q3, lo, hi), quartiles by linear interpolation."""
-    if exact:
-        q = F.percentile(_q(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
-    else:
-        q = F.percentile_approx(_q(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)), 10000)
-    qs = df.agg(q.alias("_q"))
-    return qs.select(
-        F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"),
-        (F.col("_q")[0] - F.lit(k) * (F.col("_q")[1] - F.col("_q")[0])).alias("lo"),
-        (F.col("_q")[1] + F.lit(k) * (F.col("_q")[1] - F.col("_q")[0])).alias("hi"),
-    )
+    q1, q3 = F.col("q")[0], F.col("q")[1]
+    return quantiles(df, {col: [0.25, 0.75]}).select(_q(col).alias("q")).select(
+        q1.alias("q1"), q3.alias("q3"),
+        (q1 - F.lit(k) * (q3 - q1)).alias("lo"), (q3 + F.lit(k) * (q3 - q1)).alias("hi"))
 
 
-def iqr_filter(df: DataFrame, col: str, k: float = 1.5, exact: bool = True, eager: bool = True) -> DataFrame:
+def iqr_filter(df: DataFrame, col: str, k: float = 1.5, eager: bool = False) -> DataFrame:
     """keep rows with Q1 - k*IQR <= x <= Q3 + k*IQR (closed; NULL dropped).
 
-    Quartiles are computed over ``df`` itself. ``eager`` gathers the two
-    bounds in one action and filters with literals, which Catalyst pushes
-    to the scan; otherwise they are joined as a broadcast one-row frame.
+    Quartiles are computed over ``df`` itself, as one uncorrelated scalar
+    subquery; ``eager`` gathers the two bounds in one action and filters
+    with literals.
     """
-    b = iqr_bounds(df, col, k, exact)
+    b = iqr_bounds(df, col, k).select(F.struct("lo", "hi").alias("b"))
     if eager:
-        row = b.first()
-        if row.lo is None:
-            return df.filter(F.lit(False))
-        return df.filter(_q(col).between(F.lit(row.lo), F.lit(row.hi)))
-    b = b.select(F.col("lo").alias("__lo"), F.col("hi").alias("__hi"))
-    return (df.crossJoin(F.broadcast(b))
-              .filter(_q(col).between(F.col("__lo"), F.col("__hi")))
-              .drop("__lo", "__hi"))
+        lo, hi = (F.lit(x).cast("double") for x in b.first()["b"])
+    else:
+        row = b.scalar()
+        lo, hi = row["lo"], row["hi"]
+    return df.filter(_q(col).between(lo, hi))

@@ -37,7 +37,6 @@ class Options:
     """Choices where the two reference flows differ (see README)."""
     outlier: str = "iqr"              # 'iqr' (quartile fence) or 'range' (0..120 only)
     iqr_k: float = 1.5
-    exact_stats: bool = True          # exact median/quartiles; False -> bounded sketches
     scale_eps: float = 1e-9
     symptoms: str = "detect"          # 'detect': every yes/no column; 'fever_cough': two flags
     wait: str = "timestamp"           # 'timestamp' difference or 'calendar' days
@@ -102,12 +101,12 @@ def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
     df = clean.drop_null(df, [id_col])
     df = clean.fill_text(df)  # before date parsing: a NULL date becomes text that fails to parse
     df, numeric, nulls = _cut_counting_nulls(df, opts)
-    df = clean.fill_median(df, numeric, exact=opts.exact_stats, null_counts=nulls)
+    df = clean.fill_median(df, numeric, null_counts=nulls, eager=opts.checkpoint)
     df = clean.parse_dates(df, DATE_COLUMNS)
     if "age" in df.columns:
         df = clean.range_filter(df, "age", lo=0)
         if opts.outlier == "iqr":
-            df = clean.iqr_filter(df, "age", opts.iqr_k, exact=opts.exact_stats)
+            df = clean.iqr_filter(df, "age", opts.iqr_k, eager=opts.checkpoint)
         else:
             df = clean.range_filter(df, "age", 0, 120)
     return df
@@ -122,7 +121,7 @@ def etl_clean_profiles(df: DataFrame, opts: Options) -> DataFrame:
         df = clean.dedupe_full_row(df)
     df = clean.fill_text(df)
     df, numeric, nulls = _cut_counting_nulls(df, opts)
-    df = clean.fill_median(df, numeric, exact=opts.exact_stats, null_counts=nulls)
+    df = clean.fill_median(df, numeric, null_counts=nulls, eager=opts.checkpoint)
     if "age" in df.columns:
         df = clean.range_filter(df, "age", lo=0)
     return df
@@ -131,7 +130,7 @@ def etl_clean_profiles(df: DataFrame, opts: Options) -> DataFrame:
 def etl_standardize_appointments(df: DataFrame, opts: Options) -> DataFrame:
     """age_norm (min-max over the cleaned rows), no_show_flag, gender_code, source."""
     if "age" in df.columns:
-        df = scale.minmax_scale(df, "age", "age_norm", eps=opts.scale_eps)
+        df = scale.minmax_scale(df, "age", "age_norm", eps=opts.scale_eps, eager=opts.checkpoint)
     ns = resolve(df.columns, ("no", "show"))
     cols = {}
     if ns:
@@ -145,7 +144,7 @@ def etl_standardize_appointments(df: DataFrame, opts: Options) -> DataFrame:
 def etl_standardize_profiles(df: DataFrame, opts: Options) -> DataFrame:
     """age_norm, outcome_code, gender_code, source."""
     if "age" in df.columns:
-        df = scale.minmax_scale(df, "age", "age_norm", eps=opts.scale_eps)
+        df = scale.minmax_scale(df, "age", "age_norm", eps=opts.scale_eps, eager=opts.checkpoint)
     oc = resolve(df.columns, "outcome")
     cols = {}
     if oc:

@@ -43,7 +43,7 @@ def test_fills(spark):
     out = clean.fill_median(clean.fill_text(df), ["x"])
     assert rows(out) == [(1.0, "a"), (3.0, "Unknown"), (3.0, "c"), (10.0, "d")]
     complete = spark.createDataFrame([(1.0,), (2.0,)], "x double")
-    assert clean.fill_median(complete, ["x"]) is complete  # nothing to fill, nothing computed
+    assert clean.fill_median(complete, ["x"], null_counts={"x": 0}) is complete  # nothing to fill, nothing computed
 
 
 def test_iqr_quartiles_linear(spark):
@@ -166,13 +166,15 @@ def test_relative_frequency_rounding(spark):
     assert got == {"a": 0.6667, "b": 0.3333}
 
 
-def test_sketch_statistics_path(spark):
+def test_exact_statistics_of_distinct_values(spark):
     df = spark.createDataFrame([(float(v),) for v in range(1, 1001)] + [(None,)], "x double")
-    filled = clean.fill_median(df, ["x"], exact=False)
-    med = [r.x for r in filled.collect() if r.x is not None]
-    assert len(med) == 1001 and abs(sorted(med)[500] - 500.0) <= 2
-    kept = clean.iqr_filter(df, "x", exact=False)
-    assert 990 <= kept.count() <= 1000
+    filled = clean.fill_median(df, ["x"])
+    assert sorted(r.x for r in filled.collect())[500] == 500.5
+    b = clean.iqr_bounds(df, "x").first()
+    assert (b.q1, b.q3) == (250.75, 750.25)
+    assert clean.iqr_filter(df, "x").count() == 1000
+    none = spark.createDataFrame([(None,)], "x double")
+    assert clean.fill_median(none, ["x"]).first().x is None and clean.iqr_filter(none, "x").count() == 0
 
 
 def test_seed_dimension_recovers_from_staged_copy(spark, scratch):

@@ -134,7 +134,7 @@ def test_record_ids_follow_input_order(spark, inputs):
 
 
 @pytest.mark.parametrize("opts", [
-    dict(exact_stats=False, wait="calendar", outcome_mode="flag", symptoms="fever_cough", checkpoint=False),
+    dict(wait="calendar", outcome_mode="flag", symptoms="fever_cough", checkpoint=False),
     dict(outlier="iqr", staging_copy=True, elt_disease_key="full_row", age_group_default=5),
 ])
 def test_option_variants_run(spark, inputs, scratch, opts):

@@ -1,10 +1,11 @@
 """Properties on random inputs, checked against a plain-Python brute force
 on small fixtures."""
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from healthmart.operators import clean, conform as cf
+from healthmart.operators.quantiles import quantiles
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -44,3 +45,14 @@ def test_renumber_keeps_order_and_is_dense(spark, ids):
     df = spark.createDataFrame([(i,) for i in ids], "rid long")
     got = sorted((r.rid, r.fid) for r in cf.renumber_dense(df, "rid", "fid", bucket_rows=16).collect())
     assert [f for _, f in got] == list(range(1, len(ids) + 1))
+
+
+@settings(SETTINGS, phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.one_of(st.floats(allow_nan=False, allow_infinity=False, width=64), st.sampled_from([0.0, 1.0, 1e-310])),
+                min_size=1, max_size=60, unique=True), st.lists(st.integers(0, 3), min_size=60, max_size=60))
+def test_quantiles_match_percentile(spark, values, repeats):
+    rows = [(v,) for v, n in zip(values, repeats) for _ in range(n + 1)] + [(None,)]
+    df = spark.createDataFrame(rows, "x double")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = quantiles(df, {"x": probs}).first()["x"]
+    assert got == df.selectExpr("percentile(x, array(0.0D, 0.25D, 0.5D, 0.75D, 1.0D)) AS p").first()["p"]
