@@ -9,8 +9,7 @@ Columns are found by name rules, so the same code runs on either input.
 
 from __future__ import annotations
 
-import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from healthmart.functions.columns import normalize_names, resolve, yes_no_column
 from healthmart.functions.encode import encode_binary, encode_codes, encode_gender, encode_ordinal
 from healthmart.functions.features import (
     age_group_case, day_of_week, flag_sum, hour_of, month_of, parse_timestamp, row_sum, wait_days,
-    wait_days_calendar, weekend_flag,
+    wait_days_calendar, weekend_flag, yes_count,
 )
 from healthmart.operators import clean, conform as cf, quality, scale, star as st
 from healthmart.operators.audit import StageLog, stage_counts
@@ -34,15 +33,16 @@ DATE_COLUMNS = ("scheduledday", "appointmentday")
 
 @dataclass
 class Options:
-    """Choices where the two reference flows differ (see README)."""
-    outlier: str = "iqr"              # 'iqr' (quartile fence) or 'range' (0..120 only)
+    """Choices where the two reference flows differ (see README). None, or
+    'flow' for the group of a NULL age, takes what the flow itself does."""
+    outlier: str | None = None        # 'iqr' (quartile fence, ETL) or 'range' (0..120 only, ELT)
     iqr_k: float = 1.5
-    scale_eps: float = 1e-9
-    symptoms: str = "detect"          # 'detect': every yes/no column; 'fever_cough': two flags
+    scale_eps: float | None = None    # 1e-9 in ETL, 1e-4 in ELT
+    symptoms: str | None = None       # 'detect': every yes/no column (ETL); 'fever_cough': two flags (ELT)
     wait: str = "timestamp"           # 'timestamp' difference or 'calendar' days
     outcome_mode: str = "source_aware"  # or 'flag' (1 -> Show / Positive for every source)
-    age_group_default: int = 3
-    age_group_null: int | None = None
+    age_group_default: int | None = None  # 3 in ETL, 5 in ELT
+    age_group_null: int | str | None = "flow"  # no group in ETL, the default one in ELT
     order_col: str | None = None      # explicit input order for keep-first picks
     comorbidity_columns: tuple = COMORBIDITY_COLUMNS
     checkpoint: bool = True           # cut lineage after the de-duplicating shuffles
@@ -50,6 +50,20 @@ class Options:
     elt_disease_key: str = "group"    # ELT: 'group' = one row per (disease, age, gender); 'full_row' = distinct rows
 
 
+def _of_etl(opts: Options) -> Options:
+    return _settled(opts, outlier="iqr", scale_eps=1e-9, symptoms="detect", age_group_default=3, age_group_null=None)
+
+
+def _of_elt(opts: Options) -> Options:
+    null = 5 if opts.age_group_default is None else opts.age_group_default
+    return _settled(opts, outlier="range", scale_eps=1e-4, symptoms="fever_cough", age_group_default=5, age_group_null=null)
+
+
+def _settled(opts: Options, **of_flow) -> Options:
+    """``opts`` with the choices it leaves open made as the flow makes them."""
+    return replace(opts, **{k: v for k, v in of_flow.items() if getattr(opts, k) == ("flow" if k == "age_group_null" else None)})
+
+
 @dataclass
 class Result:
     star: st.Star
@@ -95,6 +109,7 @@ def _appointment_id(columns: list[str]) -> str:
 def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
     """names -> keep-first by id -> drop NULL id -> text fill -> median fill
     -> parse dates, drop unparsed -> age >= 0 -> outlier filter."""
+    opts = _of_etl(opts)
     df = normalize_names(df, dash_to_underscore=True)
     id_col = _appointment_id(df.columns)
     df = clean.dedupe_keep_first(df, [id_col], _order(df, opts))
@@ -130,7 +145,7 @@ def etl_clean_profiles(df: DataFrame, opts: Options) -> DataFrame:
 def etl_standardize_appointments(df: DataFrame, opts: Options) -> DataFrame:
     """age_norm (min-max over the cleaned rows), no_show_flag, gender_code, source."""
     if "age" in df.columns:
-        df = scale.minmax_scale(df, "age", "age_norm", eps=opts.scale_eps, eager=opts.checkpoint)
+        df = scale.minmax_scale(df, "age", "age_norm", eps=_of_etl(opts).scale_eps, eager=opts.checkpoint)
     ns = resolve(df.columns, ("no", "show"))
     cols = {}
     if ns:
@@ -144,7 +159,7 @@ def etl_standardize_appointments(df: DataFrame, opts: Options) -> DataFrame:
 def etl_standardize_profiles(df: DataFrame, opts: Options) -> DataFrame:
     """age_norm, outcome_code, gender_code, source."""
     if "age" in df.columns:
-        df = scale.minmax_scale(df, "age", "age_norm", eps=opts.scale_eps, eager=opts.checkpoint)
+        df = scale.minmax_scale(df, "age", "age_norm", eps=_of_etl(opts).scale_eps, eager=opts.checkpoint)
     oc = resolve(df.columns, "outcome")
     cols = {}
     if oc:
@@ -179,13 +194,13 @@ def enrich_appointments(df: DataFrame, opts: Options, rounded: bool = True) -> D
 def enrich_profiles(df: DataFrame, opts: Options) -> DataFrame:
     """symptom_count over the yes/no columns, fever/cough flags, blood
     pressure and cholesterol levels."""
+    opts = _of_etl(opts)
     fever = resolve(df.columns, "fever")
     cough = resolve(df.columns, "cough")
     cols = {}
     if opts.symptoms == "detect":
         # Which text columns hold only yes/no -- one aggregate returning one row
         bool_cols = yes_no_columns(df, [c for c, t in df.dtypes if t == "string"])
-        from healthmart.functions.features import yes_count
         cols["symptom_count"] = yes_count(bool_cols)
     cols["has_fever"] = F.when(F.lower(F.col(fever)) == "yes", 1).otherwise(0) if fever else F.lit(0)
     cols["has_cough"] = F.when(F.lower(F.col(cough)) == "yes", 1).otherwise(0) if cough else F.lit(0)
@@ -236,7 +251,7 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     With ``base`` the stages are written: ``landing/`` copies,
     ``lake/transformed``, ``warehouse/{fact_medical,dim_*}``.
     """
-    opts = opts or Options()
+    opts = _of_etl(opts or Options())
     log = StageLog()
     spark = appointments.sparkSession
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
@@ -314,6 +329,7 @@ def elt_clean_appointments(stg: DataFrame, opts: Options, age_bounds: tuple | No
     """clean_no_show: resolved columns, scaled age (min/max over the raw
     staging rows, eps 1e-4, 4 digits), NULL-id and 0..120 age filter, one
     row per appointment id (first by order)."""
+    opts = _of_elt(opts)
     cols = stg.columns
     ns = resolve(cols, ("no", "show"))
     appt = _appointment_id(cols)
@@ -335,10 +351,15 @@ def elt_clean_appointments(stg: DataFrame, opts: Options, age_bounds: tuple | No
         F.lit("no_show").alias("source"),
         row_sum(med).alias("comorbidity_count"),
         *([_qc(opts.order_col)] if opts.order_col in cols else []),
-    ).filter(F.col("appointment_id").isNotNull() & F.col("age").between(0, 120))
-    out = clean.dedupe_keep_first(out, ["appointment_id"], _order(out, opts))
+    ).filter(F.col("appointment_id").isNotNull())
+    if opts.outlier == "iqr":
+        out = clean.dedupe_keep_first(out, ["appointment_id"], _order(out, opts))
+        out = clean.iqr_filter(clean.range_filter(out, "age", lo=0), "age", opts.iqr_k)
+    else:
+        out = clean.range_filter(out, "age", 0, 120)
+        out = clean.dedupe_keep_first(out, ["appointment_id"], _order(out, opts))
     if age:
-        out = scale.minmax_scale(out, "age", "age_norm", eps=1e-4, scale=4,
+        out = scale.minmax_scale(out, "age", "age_norm", eps=opts.scale_eps, scale=4,
                                  domain=staged.select(F.col("__age").alias("age")), bounds=age_bounds)
     else:
         out = out.withColumn("age_norm", F.lit(None).cast("double"))
@@ -349,6 +370,7 @@ def elt_clean_appointments(stg: DataFrame, opts: Options, age_bounds: tuple | No
 def elt_clean_profiles(stg: DataFrame, opts: Options, age_bounds: tuple | None = None) -> DataFrame:
     """clean_disease: encoded columns, one row per (disease, age, gender)
     group (first by order), scaled age over the raw staging rows."""
+    opts = _of_elt(opts)
     cols = stg.columns
     disease = resolve(cols, "disease", default=cols[0])
     age = resolve(cols, "age", exact=True)
@@ -371,6 +393,8 @@ def elt_clean_profiles(stg: DataFrame, opts: Options, age_bounds: tuple | None =
         lvl(bp).alias("bp_encoded"),
         lvl(chol).alias("cholesterol_enc"),
         F.lit("disease").alias("source"),
+        *([yes_count(yes_no_columns(stg, [c for c, t in stg.dtypes if t == "string"])).alias("symptom_count")]
+          if opts.symptoms == "detect" else []),
         *([_qc(opts.order_col)] if opts.order_col in cols else []),
     ).filter(F.col("disease_name").isNotNull())
     order = _order(out, opts)
@@ -383,12 +407,13 @@ def elt_clean_profiles(stg: DataFrame, opts: Options, age_bounds: tuple | None =
     if opts.elt_disease_key == "group":
         out = clean.dedupe_keep_first(out, ["disease_name", "age", "gender_code"], order)
     if age:
-        out = scale.minmax_scale(out, "age", "age_norm", eps=1e-4, scale=4,
+        out = scale.minmax_scale(out, "age", "age_norm", eps=opts.scale_eps, scale=4,
                                  domain=staged.select(F.col("__age").alias("age")), bounds=age_bounds)
     else:
         out = out.withColumn("age_norm", F.lit(None).cast("double"))
     return out.select("disease_name", "age", "age_norm", "gender_code", "outcome_flag", "has_fever",
-                      "has_cough", "bp_encoded", "cholesterol_enc", "source")
+                      "has_cough", "bp_encoded", "cholesterol_enc", "source",
+                      *[c for c in out.columns if c == "symptom_count"])
 
 
 def elt_enrich_appointments(clean_ns: DataFrame, opts: Options, age_max=None) -> DataFrame:
@@ -409,21 +434,30 @@ def elt_enrich_appointments(clean_ns: DataFrame, opts: Options, age_max=None) ->
 
 
 def elt_enrich_profiles(clean_ds: DataFrame, opts: Options, age_max=None) -> DataFrame:
-    """enriched_disease: symptom_count = fever + cough, age_norm_elt."""
-    df = clean_ds.withColumn("symptom_count", flag_sum(["has_fever", "has_cough"]))
+    """enriched_disease: symptom_count = fever + cough, unless every yes/no
+    column was counted before; age_norm_elt."""
+    df = clean_ds
+    if "symptom_count" not in df.columns:
+        df = df.withColumn("symptom_count", flag_sum(["has_fever", "has_cough"]))
     return scale.max_scale(df, "age", "age_norm_elt", eps=1e-4, scale=4, known_max=age_max)
 
 
 def elt_fact(enr_ns: DataFrame, enr_ds: DataFrame, dim_source: DataFrame, opts: Options,
              assign_ids: bool = True) -> DataFrame:
     """fact_medical_elt: both branches in fact layout (source id by a
-    constant join, source-aware outcome id, CASE age groups with ELSE 5),
-    unioned; fact ids dense over the union."""
+    constant join, outcome id, CASE age groups), unioned; fact ids dense
+    over the union."""
+    opts = _of_elt(opts)
+    group = age_group_case("age", default=opts.age_group_default, null_value=opts.age_group_null).alias("age_group_id")
+
+    def outcome(flag):
+        return st.outcome_id(F.col(flag), F.col("source"), opts.outcome_mode).alias("outcome_id")
+
     ns = st.const_join(enr_ns, dim_source, "source_name", "no_show", ["source_id"])
     ns = ns.select(
         F.col("source_id").cast("int").alias("source_id"),
-        F.when(F.col("no_show_flag") == 1, 1).otherwise(2).alias("outcome_id"),
-        age_group_case("age", default=5, null_value=5).alias("age_group_id"),
+        outcome("no_show_flag"),
+        group,
         "age", "age_norm", "gender_code", F.col("no_show_flag").alias("outcome_flag"),
         *[F.col(c).cast("double").alias(c) for c in
           ("comorbidity_count", "wait_days", "appt_month", "appt_day_of_week", "is_weekend")],
@@ -435,8 +469,8 @@ def elt_fact(enr_ns: DataFrame, enr_ds: DataFrame, dim_source: DataFrame, opts:
     ds = st.const_join(enr_ds, dim_source, "source_name", "disease", ["source_id"])
     ds = ds.select(
         F.col("source_id").cast("int").alias("source_id"),
-        F.when(F.col("outcome_flag") == 1, 2).otherwise(1).alias("outcome_id"),
-        age_group_case("age", default=5, null_value=5).alias("age_group_id"),
+        outcome("outcome_flag"),
+        group,
         "age", "age_norm", "gender_code", "outcome_flag",
         *[F.lit(None).cast("double").alias(c) for c in
           ("comorbidity_count", "wait_days", "appt_month", "appt_day_of_week", "is_weekend")],
@@ -449,7 +483,9 @@ def elt_fact(enr_ns: DataFrame, enr_ds: DataFrame, dim_source: DataFrame, opts:
     elt_cols = [c for c in schemas.FACT_COLUMNS if c != "record_id"]
     if not assign_ids:
         return fact.select(*[c for c in elt_cols if c != "fact_id"])
-    fact = cf.dense_ids(fact, ["source_id", "__key", "disease_name", "age", "gender_code"], "fact_id")
+    first = ["source_id", "__key", "disease_name", "age", "gender_code"]
+    rest = [c for c in elt_cols if c != "fact_id" and c not in first]  # makes the order total
+    fact = cf.dense_ids(fact, first + rest, "fact_id")
     return fact.select(*elt_cols)
 
 
@@ -457,7 +493,7 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
             base: str | None = None, assign_ids: bool = True) -> Result:
     """Extract -> land raw in the lake -> staging -> dimensions -> clean ->
     enrich -> fact -> checks -> (reports over ``result.star``)."""
-    opts = opts or Options()
+    opts = _of_elt(opts or Options())
     log = StageLog()
     spark = appointments.sparkSession
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
@@ -544,9 +580,7 @@ def driver_inputs(spark, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def scratch_base(spark, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory's parent for
-    pipeline zones when the caller gives none (tests)."""
+    """A folder for pipeline zones in the shared checkpoint folder, for
+    callers that give none."""
     from healthmart.session import ensure_checkpoint_dir
-    root = ensure_checkpoint_dir(spark)
-    root = root.replace("file:", "")
-    return os.path.join(os.path.dirname(root.rstrip("/")), f"zones-{name}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/zones-{name}"

@@ -95,13 +95,29 @@ def test_elt_flow(spark, inputs, scratch):
     assert checks[("V1", "rows")] == 9 and checks[("V4", "not in dim_source")] == 0
 
 
-def test_same_operators_same_answer(spark, inputs):
-    """ETL and ELT agree on the disease rows when given the same options."""
+def test_flows_agree_under_the_same_options(spark, inputs):
+    """What both flows derive from the disease rows is the same when the
+    options are, and ELT follows every one of them."""
+    ns, ds = inputs
+    opts = P.Options(order_col="_row", outlier="range", symptoms="detect", outcome_mode="flag", scale_eps=1e-4,
+                     age_group_default=2, age_group_null=None, elt_disease_key="full_row")
+    shared = ["disease_name", "age", "gender_code", "outcome_flag", "outcome_id", "age_group_id", "symptom_count",
+              "has_fever", "has_cough", "bp_encoded", "cholesterol_enc"]
+    etl, elt = P.run_etl(ns, ds, opts).star.fact, P.run_elt(ns, ds, opts).star.fact
+    got = [sorted(tuple(r) for r in f.where("source_id = 2").select(*shared).collect()) for f in (etl, elt)]
+    assert len(got[0]) == 3 and got[0] == got[1]
+    both = [{r.wait: (r.outcome_id, r.age_group_id) for r in f.where("source_id = 1 and wait_days is not null and age is not null")
+             .selectExpr("round(wait_days, 1) as wait", "outcome_id", "age_group_id").collect()} for f in (etl, elt)]
+    same = both[0].keys() & both[1].keys()
+    assert same and all(both[0][k] == both[1][k] for k in same)
+
+
+def test_elt_keeps_its_own_choices(spark, inputs):
     _, ds = inputs
     opts = P.Options(order_col="_row")
-    etl = P.etl_clean_profiles(ds, opts)
-    elt = P.elt_clean_profiles(ds, opts)
-    assert etl.count() == 3 and elt.count() == 2
+    assert P.etl_clean_profiles(ds, opts).count() == 3 and P.elt_clean_profiles(ds, opts).count() == 2
+    fence = P.Options(order_col="_row", outlier="iqr", checkpoint=False)
+    assert P.elt_clean_appointments(inputs[0], fence).where("age < 0 or age is null").count() == 0
 
 
 def test_stage_counts_conserve(spark, inputs):

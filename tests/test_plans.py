@@ -43,3 +43,23 @@ def test_keep_first_partial_aggregation(spark):
 def test_dense_ids_many_partitions(spark):
     df = K.QUERIES["dense_ids"](spark, SF_SMALL)
     assert df.rdd.getNumPartitions() > 1
+
+
+@pytest.mark.parametrize("key", ["iqr_filter", "fill_median"])
+def test_quantiles_without_a_buffer_of_all_values(spark, key):
+    text = plan_text(K.QUERIES[key](spark, SF_SMALL))
+    assert "ObjectHashAggregate" not in text and "percentile" not in text and "median(" not in text
+
+
+@pytest.mark.parametrize("key", ["q1_source_totals", "minmax_scale", "max_scale", "fill_median", "iqr_filter",
+                                 "elt_enriched_no_show"])
+def test_building_a_plan_starts_no_job(spark, key):
+    group = f"build-{key}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        K.QUERIES[key](spark, SF_SMALL)
+        seen = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    # reading a Parquet schema is a job of one task; an aggregate has more stages
+    assert all(len(spark.sparkContext.statusTracker().getJobInfo(j).stageIds) == 1 for j in seen)
