@@ -77,6 +77,9 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def strips(data: np.ndarray, off: np.ndarray):
     """(text, start, windows, anchor, digest) of all strips of a block of at
     most ``BLOCK`` + ``MATCH`` bytes; start counts from the text's begin."""
+    n_win = np.maximum(np.diff(off) - MATCH + 1, 0)
+    if not n_win.any():  # too short to hash: fewer bytes than a gram, or than grams that make a window
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
     up, down = powers()
     n = len(data)
     prefix = np.zeros(n + 1, np.uint64)
@@ -84,10 +87,7 @@ def strips(data: np.ndarray, off: np.ndarray):
     gram = mix64((prefix[GRAM:] - prefix[:-GRAM]) * down[:n - GRAM + 1])
     place = np.uint64((1 << 20) - 1)
     least = sliding_min((gram & ~place) | np.arange(len(gram), dtype=np.uint64), SPAN)
-    n_win = np.maximum(np.diff(off) - MATCH + 1, 0)
     doc = np.repeat(np.arange(len(n_win)), n_win)
-    if not len(doc):
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
     at = np.arange(len(doc)) - np.repeat(np.cumsum(n_win) - n_win, n_win) + off[:-1][doc]
     anchor = (least[at] & place).astype(np.int64)
     new = np.ones(len(at), bool)

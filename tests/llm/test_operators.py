@@ -249,6 +249,26 @@ def test_suffix_dedup(docs, none, monkeypatch):
     assert suffix_dedup.remove_repeats(none).count() == 0
 
 
+def test_strips_of_short_blocks():
+    for n in range(110):
+        got = suffix_dedup.strips(np.zeros(n, np.uint8), np.array([0, n // 2, n]))
+        assert all(len(x) == 0 for x in got)
+        assert suffix_dedup.strips(np.zeros(n, np.uint8), np.array([0, n]))[2].sum() == max(n - 99, 0)
+
+
+def test_suffix_dedup_of_short_texts(spark):
+    cols = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    for text in (None, "", "x" * 50):
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        assert _by_id(suffix_dedup.remove_repeats(df, with_text=False), *cols) == _removed([(1, text)])
+    rng = np.random.default_rng(5)
+    a, b = (rng.integers(97, 123, 1_000_100, dtype=np.uint8).tobytes().decode() for _ in range(2))
+    rows = [(0, a), (1, "short"), (2, b[:500] + a[:200] + b[500:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = _by_id(suffix_dedup.remove_repeats(df, with_text=False), *cols)
+    assert got == _removed(rows) and [got[i][1] for i in range(3)] == [0, 0, 200]
+
+
 @pytest.mark.parametrize("letters", [1, 2, 256])
 def test_suffix_array(letters):
     rng = np.random.default_rng(letters)
