@@ -58,7 +58,9 @@ class Encoder:
         if self.fast is not None and not any(s in text for s in self.special):
             try:
                 return self.fast.encode_ordinary(text)
-            except Exception:  # noqa: BLE001 - its regex engine gives up on some very long runs
+            except (KeyboardInterrupt, SystemExit, GeneratorExit):
+                raise
+            except BaseException:  # noqa: BLE001 - its regex engine panics on some very long runs, which is no Exception
                 pass
         return self.slow.encode(text, add_special_tokens=False).ids
 

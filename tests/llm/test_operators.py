@@ -87,6 +87,30 @@ def test_packing(docs, none, spark):
     assert packing.pack_rows(none.select("doc_id", "text")).count() == 0
 
 
+def test_packing_of_a_run_the_fast_reader_refuses(spark):
+    enc = packing.encoder(*packing._vocab())
+    rows = [(i, c * 1_000_000) for i, c in enumerate(" \n")] + [(2, "plain text")]
+    got = packing.pack_rows(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i, t in rows:
+        ids = np.array(enc.slow.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        mine = sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["piece"])
+        assert sum(r["length"] for r in mine) == len(ids)
+        assert [r["ids_crc32"] for r in mine] == [zlib.crc32(ids[r["start"]:r["start"] + r["length"]].tobytes()) for r in mine]
+
+
+@pytest.mark.parametrize("stop", [KeyboardInterrupt, SystemExit, GeneratorExit])
+def test_encoder_can_be_stopped(stop):
+    enc = packing.Encoder(packing._vocab()[0])
+
+    class Fast:
+        def encode_ordinary(self, text):
+            raise stop
+
+    enc.fast = Fast()
+    with pytest.raises(stop):
+        enc("text")
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_plan_keeps_every_constraint(rule):
     rng = np.random.default_rng(1)
