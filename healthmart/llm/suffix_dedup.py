@@ -21,8 +21,10 @@ Every 100-byte string that also starts earlier in the table is removed
 4. *Removal.* Spans meet their documents by bucket of the id.
 
 Bucket counts grow with the bytes of the table, so a task's share does not.
-An anchor with more than ``HOT`` different strips is dealt out window by
-window instead, by the hash of the window. Documents travel compressed.
+Anchors with many strips are found by a sample of digests and settled by
+(anchor, digest); only those of at most ``HOT`` kinds then meet by anchor.
+The others are dealt out window by window, by the hash of the window, equal
+windows combined per bucket of documents. Documents travel compressed.
 """
 
 from __future__ import annotations
@@ -138,7 +140,7 @@ def _split(bucket: np.ndarray, cols: list[np.ndarray], names: list[str]) -> pa.R
     return pa.RecordBatch.from_arrays(out, ["bucket", *names])
 
 
-def _join(t: pa.Table, name: str, dtype) -> np.ndarray:
+def _join(t: pa.Table | pa.RecordBatch, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(t[name].to_pylist()), dtype)
 
 
@@ -195,22 +197,83 @@ def _packed(gone: int, n_buckets: int, by: np.ndarray, rows: np.ndarray, doc: np
 _PACKED = "bucket int, gone int, anchor binary, digest binary, doc binary, start binary, length binary"
 
 
+def _strips(t: pa.Table | pa.RecordBatch):
+    """doc, start, length, anchor and digest of packed strips."""
+    return tuple(_join(t, c, k) for c, k in zip([*_SPANS, "anchor", "digest"],
+                                                (np.int64, np.uint32, np.uint32, np.uint64, np.uint64), strict=True))
+
+
+def _sampled(rate: int):
+    """Strips per anchor among those with one of ``rate`` digests."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            anchor, digest = _join(batch, "anchor", np.uint64), _join(batch, "digest", np.uint64)
+            yield from _per_anchor([anchor[_bucket(digest, rate) == 0]])
+    return run
+
+
+def _deal(n_buckets: int, crowded):
+    """Strips of crowded anchors (gone = 2) go by anchor and digest, all
+    others stay in the bucket of their anchor."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, start, length, anchor, digest = _strips(batch)
+            apart = np.isin(anchor.view(np.int64), crowded.value)
+            yield _packed(0, n_buckets, anchor, np.flatnonzero(~apart), doc, start, length, anchor, digest)
+            yield _packed(2, n_buckets, anchor ^ mix64(digest), np.flatnonzero(apart), doc, start, length, anchor, digest)
+    return run
+
+
+def _kinds(n_buckets: int):
+    """Of strips with one anchor and digest the first stays (gone = 2)."""
+    def run(t: pa.Table) -> pa.Table:
+        doc, start, length, anchor, digest = _strips(t)
+        gone, head = _repeats(doc, start, anchor, digest)
+        return pa.Table.from_batches([_packed(1, n_buckets, doc, gone, doc, start, length),
+                                      _packed(2, n_buckets, anchor, head, doc, start, length, anchor, digest)])
+    return run
+
+
+def _per_anchor(arrays: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    for a in arrays:
+        anchor, n = np.unique(a, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], ["anchor", "n"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _per_anchor(_join(b, "anchor", np.uint64) for b in batches)
+
+
+def _sift(n_buckets: int, hot):
+    """First strips of hot anchors are wanted as they are (gone = 2), by
+    document; those of all others go to the bucket of their anchor."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, start, length, anchor, digest = _strips(batch)
+            apart = np.isin(anchor.view(np.int64), hot.value)
+            yield _packed(0, n_buckets, anchor, np.flatnonzero(~apart), doc, start, length, anchor, digest)
+            yield _packed(2, n_buckets, doc, np.flatnonzero(apart), doc, start, length, anchor, np.ones(len(doc), np.uint8))
+    return run
+
+
+def _repeats(doc: np.ndarray, start: np.ndarray, anchor: np.ndarray, digest: np.ndarray):
+    """Strips later than the first of their anchor and digest, and those
+    firsts in order of the anchor."""
+    order, group, later = _first([anchor, digest], doc, start)
+    head = order[np.flatnonzero(np.append(True, group[1:] != group[:-1]))] if len(order) else order
+    return order[later], head
+
+
 def _settle(n_buckets: int):
     def run(t: pa.Table) -> pa.Table:
-        doc, start, length = _join(t, "doc", np.int64), _join(t, "start", np.uint32), _join(t, "length", np.uint32)
-        anchor, digest = _join(t, "anchor", np.uint64), _join(t, "digest", np.uint64)
-        order, group, later = _first([anchor, digest], doc, start)
-        gone = order[later]
-        head = order[np.flatnonzero(np.append(True, group[1:] != group[:-1]))] if len(order) else order
+        doc, start, length, anchor, digest = _strips(t)
+        gone, head = _repeats(doc, start, anchor, digest)
         # first strips of anchors that have several kinds
         a = anchor[head]
         new = np.append(True, a[1:] != a[:-1]) if len(a) else np.zeros(0, bool)
         kinds = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] if len(a) else np.zeros(0, np.int64)
-        edge = head[kinds > 1]
-        hot = np.zeros(len(doc), np.uint8)
-        hot[head] = kinds > HOT
         return pa.Table.from_batches([_packed(1, n_buckets, doc, gone, doc, start, length),
-                                      _packed(0, n_buckets, doc, edge, doc, start, length, anchor, hot)])
+                                      _packed(0, n_buckets, doc, head[kinds > 1], doc, start, length, anchor, np.zeros(len(doc), np.uint8))])
     return run
 
 
@@ -233,13 +296,17 @@ def _unship(t: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(blob)
 
 
-def _fetch(n_sorted: int):
-    """Bytes of the strips that are needed, by bucket of their anchor."""
+def _fetch(n_sorted: int, n_buckets: int):
+    """Bytes of the strips that are needed, by bucket of their anchor. Of
+    equal windows of hot anchors only the first of this group travels; the
+    others are spans to remove (bytes NULL), by bucket of the document."""
     def run(docs: pa.Table, want: pa.Table) -> pa.Table:
         doc, start, length = _join(want, "doc", np.int64), _join(want, "start", np.uint32), _join(want, "length", np.uint32)
         anchor, hot = _join(want, "anchor", np.uint64), _join(want, "digest", np.uint8)
         by = np.argsort(doc, kind="stable")
         out: list[tuple[int, int, int, bytes]] = []
+        firsts: dict[bytes, tuple[int, int]] = {}
+        gone: list[tuple[int, int]] = []
         for batch in _unship(docs) if len(doc) else ():
             ids = _ids(batch.column(0))
             data, off = text_bytes(batch.column(1))
@@ -252,9 +319,15 @@ def _fetch(n_sorted: int):
                         continue  # a strip of another text that repeats this id
                     part = data[base + s:base + s + n].tobytes()
                     if hot[k]:
-                        out += [(zlib.crc32(part[j:j + MATCH]), int(doc[k]), s + j, part[j:j + MATCH]) for j in range(n - MATCH + 1)]
+                        for j in range(n - MATCH + 1):
+                            window, here = part[j:j + MATCH], (int(doc[k]), s + j)
+                            first = firsts.setdefault(window, here)
+                            if here != first:
+                                gone.append(max(here, first))
+                                firsts[window] = min(here, first)
                     else:
                         out.append((int(anchor[k]), int(doc[k]), s, part))
+        out += [(zlib.crc32(w), d, s, w) for w, (d, s) in firsts.items()]
         key = _bucket(np.array([o[0] for o in out], np.uint64), n_sorted)
         order = np.argsort(key, kind="stable")
         rows = [[], [], [], [], []]
@@ -265,8 +338,12 @@ def _fetch(n_sorted: int):
             rows[2].append(np.array([out[i][2] for i in mine], np.uint32).tobytes())
             rows[3].append(np.array([len(out[i][3]) for i in mine], np.uint32).tobytes())
             rows[4].append(zlib.compress(b"".join(out[i][3] for i in mine), 1))
-        return pa.Table.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
-                                    ["bucket", *_SPANS, "bytes"])
+        d, s = np.array(gone, np.int64).reshape(-1, 2).T
+        o = _split(_bucket(np.ascontiguousarray(d), n_buckets), [d, s.astype(np.uint32), np.full(len(d), MATCH, np.uint32)], _SPANS)
+        return pa.Table.from_batches([
+            pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
+                                       ["bucket", *_SPANS, "bytes"]),
+            pa.RecordBatch.from_arrays([*o.columns, pa.nulls(o.num_rows, pa.binary())], ["bucket", *_SPANS, "bytes"])])
     return run
 
 
@@ -473,6 +550,33 @@ def _remove(texts: bool):
     return run
 
 
+def _crowds(strips_: DataFrame, n_buckets: int):
+    """(strips to settle by anchor, strips wanted window by window or None,
+    tables with spans to remove, number of strips of hot anchors).
+
+    A sample of digests shows which anchors may have more than ``HOT`` kinds
+    (it decides the way a strip takes, never whether it is settled). Their
+    strips are settled by anchor and digest, and kinds per anchor counted,
+    before any meet by their anchor. An anchor of ``HOT`` kinds has 64 in the
+    sample and is missed if 32 or fewer show, with about 1e-5."""
+    rate = max(1, HOT // 64)
+    total = F.sum("n").alias("n")
+    seen = strips_.select("anchor", "digest").mapInArrow(_sampled(rate), "anchor long, n long").groupBy("anchor").agg(total)
+    crowded = seen.where(F.col("n") > HOT // (2 * rate)).select("anchor").toPandas()  # at most one for HOT / 2 strips
+    if not len(crowded):
+        return strips_, None, [], 0
+    share = strips_.sparkSession.sparkContext.broadcast
+    dealt = strips_.mapInArrow(_deal(n_buckets, share(crowded["anchor"].to_numpy(np.int64))), _PACKED)
+    kinds = cut(dealt.where("gone = 2").groupBy("bucket").applyInArrow(_kinds(n_buckets), _PACKED))
+    firsts = kinds.where("gone = 2")
+    per = firsts.select("anchor").mapInArrow(_counted, "anchor long, n long").groupBy("anchor").agg(total)
+    hot = per.where(F.col("n") > HOT).toPandas()  # at most one for HOT strips
+    sifted = firsts.mapInArrow(_sift(n_buckets, share(hot["anchor"].to_numpy(np.int64))), _PACKED)
+    by_anchor = dealt.where("gone = 0").unionByName(sifted.where("gone = 0"))
+    apart = sifted.where("gone = 2").drop("gone") if len(hot) else None
+    return by_anchor, apart, [kinds.where("gone = 1")], int(hot["n"].sum())
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """``df`` plus n_bytes, n_removed, n_spans and kept_sha256 of the bytes
     that stay. With ``with_text`` the text loses the removed bytes, but for
@@ -491,15 +595,23 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n_buckets = max(16, -(-total // SHARE))
     routed = texts.mapInArrow(_route(n_buckets), _PACKED)
     routed = cut(routed)
-    settled = cut(routed.where("gone = 0").groupBy("bucket").applyInArrow(_settle(n_buckets), _PACKED))
+    by_anchor, apart, gone, n_hot = _crowds(routed.where("gone = 0"), n_buckets)
+    settled = cut(by_anchor.groupBy("bucket").applyInArrow(_settle(n_buckets), _PACKED))
     want = settled.where("gone = 0").drop("gone")
     n_edge = want.agg(F.sum(F.length("doc"))).first()[0] or 0
-    n_sorted = max(16, -(-(n_edge // 8 * (MATCH + SPAN // 2)) // SORTED))
+    n_sorted = max(16, -(-(n_edge // 8 * (MATCH + SPAN // 2) + n_hot * (SPAN // 2) * MATCH) // SORTED))
+    if apart is not None:
+        want = want.unionByName(apart)
     shipped = texts.mapInArrow(_ship("_id", n_buckets), "bucket int, rows binary")
     span_type = "bucket int, doc binary, start binary, length binary"
-    strips_ = shipped.groupBy("bucket").cogroup(want.groupBy("bucket")).applyInArrow(_fetch(n_sorted), span_type + ", bytes binary")
-    found = strips_.groupBy("bucket").applyInArrow(_sort(n_buckets), span_type)
-    spans = found.unionByName(settled.where("gone = 1").select(found.columns)).unionByName(routed.where("gone = 1").select(found.columns))
+    strips_ = shipped.groupBy("bucket").cogroup(want.groupBy("bucket")).applyInArrow(_fetch(n_sorted, n_buckets), span_type + ", bytes binary")
+    if apart is not None:
+        strips_ = cut(strips_)
+        gone.append(strips_.where("bytes is null"))
+    found = strips_.where("bytes is not null").groupBy("bucket").applyInArrow(_sort(n_buckets), span_type)
+    spans = found
+    for more in (settled.where("gone = 1"), routed.where("gone = 1"), *gone):
+        spans = spans.unionByName(more.select(found.columns))
     carried = [F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(rest)]
     packed = df.select(F.col(quoted(id_col)).cast("long").alias("_id"), F.col(quoted(text_col)).cast("string").alias("_t"), *carried)
     ship_all = packed.mapInArrow(_ship("_id", n_buckets), "bucket int, rows binary")

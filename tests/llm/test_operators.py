@@ -293,6 +293,30 @@ def test_suffix_dedup_of_short_texts(spark):
     assert got == _removed(rows) and [got[i][1] for i in range(3)] == [0, 0, 200]
 
 
+@pytest.mark.parametrize("size", [60, 130])
+def test_suffix_dedup_of_a_hot_anchor(spark, monkeypatch, size):
+    rng = np.random.default_rng(size)
+    word = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    phrase, passage = word(size), word(300)
+    rows = [(i, word(150) + phrase + word(150) + (passage if i % 3 == 0 else "")) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(suffix_dedup, "HOT", 8)
+    settle, limit = suffix_dedup._settle, 8
+
+    def checked(n_buckets):
+        run = settle(n_buckets)
+
+        def group(t):
+            per = collections.Counter(np.frombuffer(b"".join(t["anchor"].to_pylist()), np.uint64).tolist())
+            assert max(per.values(), default=0) <= limit, "strips of one anchor in one group"
+            return run(t)
+        return group
+
+    monkeypatch.setattr(suffix_dedup, "_settle", checked)
+    got = _by_id(suffix_dedup.remove_repeats(df, with_text=False), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == _removed(rows) and sum(v[1] for v in got.values()) > 29 * 300
+
+
 @pytest.mark.parametrize("letters", [1, 2, 256])
 def test_suffix_array(letters):
     rng = np.random.default_rng(letters)
