@@ -343,3 +343,84 @@ def test_pipeline_stages(spark):
             assert {i: len(t.encode()) for i, t in after.items()}.keys() == _removed(before.items()).keys()
     packed = corpus_pipeline.packed(spark, docs, SF).toPandas()
     assert set(packed.doc_id) == set(after)
+
+
+def _without_repeats(rows):
+    """Texts without the characters whose bytes all go."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        t = text.encode()
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 99):
+            if t[k:k + 100] in seen:
+                gone[k:k + 100] = True
+            seen.add(t[k:k + 100])
+        ends = np.cumsum([len(c.encode()) for c in text]).astype(int)
+        out[i] = "".join(c for c, e in zip(text, ends, strict=True) if not gone[e - len(c.encode()):e].all())
+    return out
+
+
+def _near_kept(texts):
+    bags = {i: _bag(t) for i, t in texts.items()}
+    root = {i: i for i in bags}
+    for a in sorted(bags):
+        for b in sorted(bags):
+            both = sum((bags[a] & bags[b]).values()) if a < b else 0
+            if both and both >= 0.8 * (sum(bags[a].values()) + sum(bags[b].values()) - both):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = {k: new if x == old else x for k, x in root.items()}
+    return {i for i in root if root[i] == i}
+
+
+def test_pipeline_against_brute_force(spark, scratch, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    rows = docs.collect()
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1}
+    long = sorted((r for r in rows if r["doc_id"] in good and len(r["text"]) > 1500), key=lambda r: r["doc_id"])[:6]
+    assert len(long) == 6
+    near = [r["text"] + " changed" for r in long[:3]]
+    cut_in = [a["text"][:700] + " é " + b["text"][300:700] + " " + a["text"][700:] + b["text"][::-1] for a, b in zip(long[3:], long, strict=False)]
+    lined = [r["text"] + "\n" + "\n".join(LINES * 3) for r in long[3:]]
+    top = max(r["doc_id"] for r in rows) + 1
+    rows += [type(long[0])(doc_id=top + i, text=t, lang=long[0]["lang"], source=long[0]["source"], n_chars=len(t))
+             for i, t in enumerate([*near, *cut_in, *lined])]
+    spark.createDataFrame(rows, docs.schema).repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    labels.write.parquet(f"{scratch}/labels.parquet")
+    given = {}
+
+    def noted(name, stage):
+        def run(spark, docs, sf_dir):
+            got = docs.collect()
+            assert all(r["n_chars"] == len(r["text"]) for r in got)
+            given[name] = {r["doc_id"]: r["text"] for r in got}
+            return stage(spark, docs, sf_dir)
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [noted(*s) for s in corpus_pipeline.STAGES])
+    packed = corpus_pipeline.run(spark, scratch).collect()
+    all_, kept, lines, near, last = (given[n] for n in ("quality", "line_dedup", "near_dedup", "passages", "packing"))
+
+    there = spark.read.parquet(f"{scratch}/documents.parquet")
+    judged = pu_quality.score_quality(there, pu_quality.train(there, labels)).collect()
+    assert kept == {i: all_[i] for i in (r["doc_id"] for r in judged if r["predicted"] == 1)} and 0 < len(kept) < len(all_)
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(kept.items()))
+    assert lines == dict(con.execute(line_chunks.sql("documents", "SELECT doc_id, kept FROM doc")).fetchall()) != kept
+
+    assert near == {i: lines[i] for i in _near_kept(lines)} and len(near) < len(lines)
+    assert last == _without_repeats(near.items()) != near
+
+    enc, bins = packing.encoder(*packing._vocab()), collections.defaultdict(list)
+    for i, t in last.items():
+        ids = np.array(enc.slow.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        mine = sorted((r for r in packed if r["doc_id"] == i), key=lambda r: r["piece"])
+        assert [(r["start"], r["length"]) for r in mine] == packing.cut_points(len(ids), 2048)
+        assert [r["ids_crc32"] for r in mine] == [zlib.crc32(ids[r["start"]:r["start"] + r["length"]].tobytes()) for r in mine]
+    for r in packed:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert {r["doc_id"] for r in packed} == set(last) and sorted(bins) == list(range(len(bins)))
+    for b in bins.values():
+        b.sort()
+        assert [o for o, _ in b] == [sum(n for _, n in b[:k]) for k in range(len(b))] and sum(n for _, n in b) <= 2048
