@@ -1,14 +1,15 @@
-"""SentencePiece encoding and decoding by a max-plus parallel scan.
+"""SentencePiece encoding and decoding by a max-plus scan over chunks.
 
 The encoding of a text is the way to cut it into vocabulary pieces with the
 largest sum of scores. A giant text is cut into chunks of fixed length that
 any task may take. The state at a chunk border is how many characters of the
 piece that spans it lie before the border (0: the border is a piece's end).
 Each chunk yields a matrix: the best sum from every state at its left border
-to every state at its right one. Matrices combine associatively by the
-max-plus product; one pass over a text's matrices (not its characters) gives
-the states at all borders, and every chunk is then traced back on its own
-between its two known states.
+to every state at its right one. One sequential pass over a text's matrices
+(not its characters; vector by matrix, in one group per text) gives the
+states at all borders, and every chunk is then traced back on its own between
+its two known states. Matrices would also combine associatively by the
+max-plus product (``max_plus``); the query does not do so.
 
 Inside a chunk the same recurrence runs over units, a run of blanks and what
 follows up to the next one: no piece of such a vocabulary goes on from a
