@@ -7,7 +7,9 @@ lengths: at most ``capacity`` counts, whatever the table. The driver packs
 that histogram, longest first: of the open bins (grouped by what is left of
 every resource) that can take the piece under every constraint, it selects
 by weighted residual norm (smallest norm of what would be left) or by weighted
-dot-product (largest match of piece and what is left). Runs of equal pieces
+dot-product (largest match of piece and what is left). With the default
+bounds and weights, which the registered query keeps, only tokens bind and
+select. Runs of equal pieces
 go into runs of equal bins, so a plan is a short list of
 (length, ranks, sequences, offset) runs.
 
