@@ -14,11 +14,12 @@ from healthmart.llm.pivot_index import OP2_SQL, op2_pivot_top_k
 from healthmart.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from healthmart.llm.pu_quality import op8_pu_quality
 from healthmart.llm.suffix_dedup import op10_suffix_array_dedup
+from healthmart.llm.token_align import op13_merge_path_align
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_pack, op2_pivot_top_k, op3_class_lm, op4_line_chunk_dedup, op5_bag_minhash, op6_max_plus_pieces,
                                      op7_byte_cnn_language, op8_pu_quality,
                                      op9_bloom_exact_dedup, op10_suffix_array_dedup,
-                                     op11_prefix_trie, op12_prefix_decontaminate)}
+                                     op11_prefix_trie, op12_prefix_decontaminate, op13_merge_path_align)}
 
 ORACLE = {"op2_pivot_top_k": OP2_SQL, "op4_line_chunk_dedup": OP4_SQL, "op9_bloom_exact_dedup": OP9_SQL,
           "op11_prefix_trie": OP11_SQL, "op12_prefix_decontaminate": OP12_SQL}
