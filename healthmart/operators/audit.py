@@ -1,8 +1,9 @@
 """Stage audit.
 
-Row counts per stage are DataFrames built from distributed counts; the
-pipeline runner adds wall-clock durations it measured around its own
-actions. Heterogeneous stage records are unioned by name.
+The flows record what their own writes observed (rows, before, after,
+removed) and the wall-clock time around them; no row is counted by a pass of
+its own. ``stage_counts`` and ``before_after`` count any frames, by a pass.
+Stage records of differing layouts are united by name.
 """
 
 from __future__ import annotations
@@ -56,9 +57,14 @@ class StageLog:
         self.records: list[dict] = []
 
     def log(self, stage: str, **detail):
-        rec = {"stage": stage, "timestamp": time.strftime("%Y-%m-%dT%H:%M:%S"), **detail}
-        self.records.append(rec)
-        return rec
+        """Add a record, or add to the stage's own where that has none of
+        these details yet."""
+        mine = next((r for r in self.records if r["stage"] == stage and not set(detail) & set(r)), None)
+        if mine is None:
+            mine = {"stage": stage}
+            self.records.append(mine)
+        mine.update(timestamp=time.strftime("%Y-%m-%dT%H:%M:%S"), **detail)
+        return mine
 
     def timed(self, stage: str, fn, spark: SparkSession | None = None, **detail):
         """Run ``fn`` as stage ``stage``: its Spark jobs carry the stage name
@@ -77,14 +83,39 @@ class StageLog:
         self.log(stage, duration_s=round(time.perf_counter() - t0, 3), **detail)
         return out
 
+    def rows(self, stage: str, rows: int, before: int | None = None):
+        """Row counts of a stage, as the job that wrote it observed them:
+        ``rows``, and with ``before`` also before, after and removed."""
+        if before is None:
+            return self.log(stage, rows=rows)
+        return self.log(stage, rows=rows, before=before, after=rows, removed=before - rows)
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        """Union of records with differing keys (missing -> NULL)."""
+        """The records, one frame per layout, united by name (missing
+        -> NULL). Whole numbers are long, other numbers double, the rest (and
+        a key whose values disagree) text."""
+        def kind(values) -> str:
+            known = {bool if isinstance(v, bool) else type(v) for v in values if v is not None}
+            return "long" if known == {int} else "double" if known and known <= {int, float} else "string"
+
         if not self.records:
-            return spark.createDataFrame([], "stage string")
-        frames = []
-        for r in self.records:
-            # every detail as text: records disagree on types for the same key
-            names = list(r.keys())
-            schema = ", ".join(f"`{k}` string" for k in names)
-            frames.append(spark.createDataFrame([tuple(None if v is None else str(v) for v in r.values())], schema))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+            return spark.createDataFrame([], "stage string, timestamp string")
+        keys = list(dict.fromkeys(k for r in self.records for k in r))
+        types = {k: kind([r.get(k) for r in self.records]) for k in keys}
+        cast = {"long": int, "double": float, "string": str}
+        layouts: dict[tuple, list] = {}
+        for n, r in enumerate(self.records):
+            layouts.setdefault(tuple(r), []).append((n, *[None if v is None else cast[types[k]](v) for k, v in r.items()]))
+        frames = [spark.createDataFrame(rows, ", ".join(["nr int", *[f"`{k}` {types[k]}" for k in layout]]))
+                  for layout, rows in layouts.items()]
+        union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return union.orderBy("nr").select(*[F.col(f"`{k}`") for k in keys])
+
+    def write(self, spark: SparkSession, base: str, name: str = "audit") -> DataFrame:
+        """The records as a stored table and as one CSV file beside it
+        (``<name>_csv``); returns the stored table."""
+        from healthmart.sources import files
+        frame = self.to_frame(spark).coalesce(1)
+        files.write_table(frame, base, name)
+        files.write_csv(frame, base, f"{name}_csv", null_text="")
+        return files.read_table(spark, base, name)

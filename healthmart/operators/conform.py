@@ -49,7 +49,7 @@ def union_all(*dfs: DataFrame, allow_missing: bool = True) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, order_by, id_col: str, partitions: int | None = None,
-              start: int = 1) -> DataFrame:
+              start: int = 1, observe: dict | None = None):
     """Dense ids start..start+n-1 following a total order ``order_by``.
 
     Distributed prefix sum: range-partition on the order (sampled bounds,
@@ -59,14 +59,19 @@ def dense_ids(df: DataFrame, order_by, id_col: str, partitions: int | None = Non
     one counts rows per partition (one row per partition), a running sum
     over that tiny table gives each partition's offset, pass two adds the
     broadcast offset to the position. No task ever holds more than its
-    own range.
+    own range. With ``observe`` (name -> aggregate Column) the result is
+    (frame, values), the values observed while the tagged frame is written.
     """
     order = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order_by]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tagged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .withColumn("__mid", F.monotonically_increasing_id()))
-    tagged = checkpoint(tagged)
+    seen = None
+    if observe:
+        tagged, seen = checkpoint(tagged, observe=observe)
+    else:
+        tagged = checkpoint(tagged)
     part = F.shiftright(F.col("__mid"), 33)
     counts = tagged.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +79,8 @@ def dense_ids(df: DataFrame, order_by, id_col: str, partitions: int | None = Non
     pos = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
     out = (tagged.join(F.broadcast(offsets), part == F.col("__p"))
                  .withColumn(id_col, (F.col("__off") + pos + F.lit(start)).cast("long")))
-    return out.select(id_col, *[F.col(f"`{c}`") for c in df.columns if c != id_col])
+    out = out.select(id_col, *[F.col(f"`{c}`") for c in df.columns if c != id_col])
+    return (out, seen) if observe else out
 
 
 def renumber_dense(df: DataFrame, dense_col: str, id_col: str, bucket_rows: int | None = None,

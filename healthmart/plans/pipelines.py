@@ -9,6 +9,7 @@ Columns are found by name rules, so the same code runs on either input.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from healthmart.functions.features import (
 from healthmart.operators import clean, conform as cf, quality, scale, star as st
 from healthmart.operators.audit import StageLog, stage_counts
 from healthmart.operators.materialize import checkpoint
-from healthmart.sources import files
+from healthmart.sources import files, versions
 
 # The appointment columns summed into comorbidity_count.
 COMORBIDITY_COLUMNS = ("hipertension", "diabetes", "alcoholism", "handcap", "scholarship")
@@ -47,6 +48,7 @@ class Options:
     comorbidity_columns: tuple = COMORBIDITY_COLUMNS
     checkpoint: bool = True           # cut lineage after the de-duplicating shuffles
     staging_copy: bool = False        # ELT: physical staging copy instead of tables over the lake files
+    store_enriched: bool = True       # ELT with a base: enriched tables are stored by name as well
     elt_disease_key: str = "group"    # ELT: 'group' = one row per (disease, age, gender); 'full_row' = distinct rows
 
 
@@ -71,6 +73,7 @@ class Result:
     quality: DataFrame | None = None
     stages: dict = field(default_factory=dict)
     log: StageLog = field(default_factory=StageLog)
+    views: dict = field(default_factory=dict)
 
     def audit(self) -> DataFrame:
         return stage_counts(list(self.stages.items()))
@@ -83,17 +86,19 @@ def _order(df: DataFrame, opts: Options) -> list[str]:
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
-def _cut_counting_nulls(df: DataFrame, opts: Options) -> tuple[DataFrame, list[str], dict | None]:
-    """Lineage cut that also counts NULLs of the numeric columns while
-    writing (input of the median fill); returns (frame, numeric columns,
-    NULL counts or None when no cut is taken)."""
+def _cut_counting_nulls(df: DataFrame, opts: Options, log: StageLog | None = None, stage: str = "",
+                        before: int | None = None) -> tuple[DataFrame, list[str], dict | None]:
+    """Lineage cut that also counts its rows (into ``log``) and the NULLs of
+    the numeric columns while writing (input of the median fill); returns
+    (frame, numeric columns, NULL counts or None when no cut is taken)."""
     numeric = [c for c, t in df.dtypes if t in NUMERIC_TYPES and c != opts.order_col]
     if not opts.checkpoint:
         return df, numeric, None
-    if not numeric:
-        return checkpoint(df), numeric, {}
-    out, counts = checkpoint(df, observe={c: F.count_if(F.col(f"`{c}`").isNull()) for c in numeric})
-    return out, numeric, counts
+    out, seen = checkpoint(df, observe={"rows": F.count(F.lit(1)), **{
+        f"null_{i}": F.count_if(F.col(f"`{c}`").isNull()) for i, c in enumerate(numeric)}})
+    if log is not None:
+        log.rows(stage, seen["rows"], before)
+    return out, numeric, {c: seen[f"null_{i}"] for i, c in enumerate(numeric)}
 
 
 # =============================================================================
@@ -106,7 +111,7 @@ def _appointment_id(columns: list[str]) -> str:
     return resolve(columns, ("appointment", "id"), default=columns[:2][-1])
 
 
-def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
+def etl_clean_appointments(df: DataFrame, opts: Options, log: StageLog | None = None, before: int | None = None) -> DataFrame:
     """names -> keep-first by id -> drop NULL id -> text fill -> median fill
     -> parse dates, drop unparsed -> age >= 0 -> outlier filter."""
     opts = _of_etl(opts)
@@ -115,7 +120,7 @@ def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
     df = clean.dedupe_keep_first(df, [id_col], _order(df, opts))
     df = clean.drop_null(df, [id_col])
     df = clean.fill_text(df)  # before date parsing: a NULL date becomes text that fails to parse
-    df, numeric, nulls = _cut_counting_nulls(df, opts)
+    df, numeric, nulls = _cut_counting_nulls(df, opts, log, "dedupe_no_show", before)
     df = clean.fill_median(df, numeric, null_counts=nulls, eager=opts.checkpoint)
     df = clean.parse_dates(df, DATE_COLUMNS)
     if "age" in df.columns:
@@ -127,7 +132,7 @@ def etl_clean_appointments(df: DataFrame, opts: Options) -> DataFrame:
     return df
 
 
-def etl_clean_profiles(df: DataFrame, opts: Options) -> DataFrame:
+def etl_clean_profiles(df: DataFrame, opts: Options, log: StageLog | None = None, before: int | None = None) -> DataFrame:
     """names -> full-row distinct -> text fill -> median fill -> age >= 0."""
     df = normalize_names(df, dash_to_underscore=False)
     if opts.order_col and opts.order_col in df.columns:
@@ -135,7 +140,7 @@ def etl_clean_profiles(df: DataFrame, opts: Options) -> DataFrame:
     else:
         df = clean.dedupe_full_row(df)
     df = clean.fill_text(df)
-    df, numeric, nulls = _cut_counting_nulls(df, opts)
+    df, numeric, nulls = _cut_counting_nulls(df, opts, log, "dedupe_disease", before)
     df = clean.fill_median(df, numeric, null_counts=nulls, eager=opts.checkpoint)
     if "age" in df.columns:
         df = clean.range_filter(df, "age", lo=0)
@@ -244,23 +249,31 @@ def record_order() -> list[str]:
 
 
 def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None = None,
-            base: str | None = None) -> Result:
+            base: str | None = None, batch: str | None = None) -> Result:
     """Extract -> clean -> standardise -> enrich -> conform -> validate ->
     snapshot -> load -> (reports run over ``result.star``).
 
     With ``base`` the stages are written: ``landing/`` copies,
-    ``lake/transformed``, ``warehouse/{fact_medical,dim_*}``.
+    ``lake/transformed``, ``warehouse/{fact_medical,dim_*}`` and ``audit``
+    (rows, before, after, removed of every stage, as its write observed
+    them). With ``batch`` as well, the rows are one batch of these tables:
+    added to what is stored, or in place of an earlier load of that batch;
+    dimensions keep what they have.
     """
     opts = _of_etl(opts or Options())
     log = StageLog()
     spark = appointments.sparkSession
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
+    n_ns = n_ds = None
     if base:
-        appointments, profiles = log.timed("landing", lambda: parallel([
-            lambda: files.land(appointments, f"{base}/landing", "raw_no_show"),
-            lambda: files.land(profiles, f"{base}/landing", "raw_disease")]))
-    ns = log.timed("clean_no_show", lambda: etl_clean_appointments(appointments, opts))
-    ds = log.timed("clean_disease", lambda: etl_clean_profiles(profiles, opts))
+        (n_ns, appointments), (n_ds, profiles) = log.timed("landing", lambda: parallel([
+            lambda: _land(appointments, f"{base}/landing", "raw_no_show", batch),
+            lambda: _land(profiles, f"{base}/landing", "raw_disease", batch)]))
+        log.rows("extract_no_show", n_ns["rows"])
+        log.rows("extract_disease", n_ds["rows"])
+        n_ns, n_ds = n_ns["rows"], n_ds["rows"]
+    ns = log.timed("clean_no_show", lambda: etl_clean_appointments(appointments, opts, log, n_ns))
+    ds = log.timed("clean_disease", lambda: etl_clean_profiles(profiles, opts, log, n_ds))
     stages.update(clean_no_show=ns, clean_disease=ds)
     ns = etl_standardize_appointments(ns, opts)
     ds = etl_standardize_profiles(ds, opts)
@@ -268,7 +281,12 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     ds = log.timed("enrich_disease", lambda: enrich_profiles(ds, opts))
     ns_c, ds_c = conform_sources(ns, ds, opts.order_col)
     merged = cf.union_all(ns_c, ds_c)
-    merged = log.timed("assign_record_ids", lambda: cf.dense_ids(merged, record_order(), "record_id"))
+    merged, seen = log.timed("assign_record_ids", lambda: cf.dense_ids(
+        merged, record_order(), "record_id",
+        observe={s: F.count_if(F.col("source") == s) for s in ("no_show", "disease")}))
+    deduped = {r["stage"]: r["rows"] for r in log.records if r["stage"].startswith("dedupe_")}
+    for s in ("no_show", "disease"):
+        log.rows(f"clean_{s}", seen[s], deduped.get(f"dedupe_{s}"))
     merged = merged.drop("__rank", "__key").select(*schemas.CONFORMED.fieldNames())
     stages["conformed"] = merged
     report = quality.check_conformed(merged)
@@ -277,9 +295,6 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     counts = log.timed("validate", lambda: quality.report_dict(report))
     valid = quality.enforce(merged, order_by=["source"], report=counts)
     stages["validated"] = valid
-    if base:
-        log.timed("snapshot", lambda: files.write_table(valid, f"{base}/lake", "transformed"))
-        valid = files.read_table(spark, f"{base}/lake", "transformed")
     dims = st.Star.with_literal_dims(valid)
     fact = st.build_fact(valid, dims.dim_source, opts.outcome_mode, opts.age_group_default, opts.age_group_null)
     if quality.removed_rows(counts) == 0:
@@ -289,24 +304,60 @@ def run_etl(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
         fact = cf.renumber_dense(fact, "record_id", "fact_id").select(*schemas.FACT_COLUMNS)
     star = st.Star(fact, dims.dim_source, dims.dim_outcome, dims.dim_age_group)
     if base:
-        star = load_star(star, f"{base}/warehouse", "fact_medical", log)
+        def snapshot():
+            got = _store(valid, f"{base}/lake", "transformed", batch)
+            log.rows("validate", got["rows"], seen["no_show"] + seen["disease"])
+
+        # snapshot and star come from the same cut and do not wait for each other
+        _, star = parallel([lambda: log.timed("snapshot", snapshot),
+                            lambda: load_star(star, f"{base}/warehouse", "fact_medical", log, batch, schemas.FACT)])
     stages["fact"] = star.fact
+    if base:
+        log.write(spark, base)
     return Result(star, merged, report, stages, log)
 
 
-def load_star(star: st.Star, warehouse: str, fact_name: str, log: StageLog | None = None) -> st.Star:
-    """Write dims and fact (full replace), return the stored star.
+def _store(df: DataFrame, base: str, name: str, batch: str | None, metrics: dict | None = None) -> dict:
+    """Replace a table, or put a batch into it; returns what was observed."""
+    if batch is None:
+        return files.write_table(df, base, name, metrics)
+    return versions.append_batch(df, base, name, batch, metrics=metrics)
+
+
+def _land(df: DataFrame, base: str, name: str, batch: str | None, metrics: dict | None = None) -> tuple[dict, DataFrame]:
+    """Landing copy: (observed, the copied rows read back)."""
+    got = _store(df, base, name, batch, metrics)
+    return got, versions.read_version(df.sparkSession, base, name, batches=None if batch is None else [batch])
+
+
+def load_star(star: st.Star, warehouse: str, fact_name: str, log: StageLog | None = None, batch: str | None = None,
+              schema=None) -> st.Star:
+    """Write dims and fact, return the stored star.
 
-    The four writes are independent jobs and are submitted together."""
+    A full replace, or with ``batch`` an idempotent append: the batch's fact
+    ids go on from the stored ones, and dimensions get the rows whose names
+    they lack. The fact is held to ``schema``. The four writes are
+    independent jobs and are submitted together."""
     spark = star.fact.sparkSession
     log = log or StageLog()
-    writes = [("dim_source", star.dim_source.coalesce(1)), ("dim_outcome", star.dim_outcome.coalesce(1)),
-              ("dim_age_group", star.dim_age_group.coalesce(1)), (fact_name, star.fact)]
-    log.timed("load", lambda: parallel([lambda n=n, d=d: files.write_table(d, warehouse, n) for n, d in writes]))
-    return st.Star(files.read_table(spark, warehouse, fact_name),
-                   files.read_table(spark, warehouse, "dim_source"),
-                   files.read_table(spark, warehouse, "dim_outcome"),
-                   files.read_table(spark, warehouse, "dim_age_group"))
+    dims = [("dim_source", star.dim_source, "source_name", "source_id"), ("dim_outcome", star.dim_outcome, "outcome_label", "outcome_id"),
+            ("dim_age_group", star.dim_age_group, "age_group_name", "age_group_id")]
+
+    def fact():
+        if batch is None:
+            got = files.write_table(star.fact, warehouse, fact_name, schema=schema)
+        else:
+            got = versions.append_batch(star.fact, warehouse, fact_name, batch, schema, "fact_id",
+                                        lambda df, start: df.withColumn("fact_id", F.col("fact_id") + F.lit(start - 1).cast("long")))
+        log.rows("load_fact", got["rows"])
+
+    def dim(name, rows, name_col, id_col):
+        if batch is None:
+            return files.write_table(rows.coalesce(1), warehouse, name)
+        return files.seed_dimension(spark, warehouse, name, rows, name_col, id_col)
+
+    log.timed("load", lambda: parallel([fact, *[lambda d=d: dim(*d) for d in dims]]))
+    return st.Star(*[files.read_table(spark, warehouse, n) for n in (fact_name, *[d[0] for d in dims])])
 
 
 def parallel(thunks: list) -> list:
@@ -490,63 +541,82 @@ def elt_fact(enr_ns: DataFrame, enr_ds: DataFrame, dim_source: DataFrame, opts:
 
 
 def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None = None,
-            base: str | None = None, assign_ids: bool = True) -> Result:
+            base: str | None = None, assign_ids: bool = True, batch: str | None = None) -> Result:
     """Extract -> land raw in the lake -> staging -> dimensions -> clean ->
-    enrich -> fact -> checks -> (reports over ``result.star``)."""
+    enrich -> fact -> checks -> (reports over ``result.star``).
+
+    With ``base``: ``lake/raw_*``, ``warehouse/{clean_*,enriched_*,
+    fact_medical_elt,dim_*}`` and ``audit``; the staging views have names of
+    their own in every run (``Result.views``). ``batch`` as in ``run_etl``.
+    """
     opts = _of_elt(opts or Options())
     log = StageLog()
     spark = appointments.sparkSession
     stages = {"extract_no_show": appointments, "extract_disease": profiles}
-    stg_ns, stg_ds = appointments, profiles
-    bounds = {"ns": None, "ds": None}
+    stg = {"no_show": appointments, "disease": profiles}
+    sources = tuple(stg)
+    bounds, raw_rows, clean_rows, views = {}, {}, {}, {}
+    warehouse = f"{base}/warehouse"
     if base:
-        # landing the raw rows also yields the raw age range the scaling
-        # needs (observed during the write, no second pass)
-        def land_raw(df, name, key):
-            age = resolve(df.columns, "age", exact=True)
-            if age is None:
-                return files.write_table(df, f"{base}/lake", name)
-            path, seen = files.write_observed(df, f"{base}/lake", name, {
-                "mn": F.min(F.expr(f"try_cast(`{age}` AS DOUBLE)")),
-                "mx": F.max(F.expr(f"try_cast(`{age}` AS DOUBLE)"))})
-            bounds[key] = (seen["mn"], seen["mx"]) if seen["mn"] is not None else None
-            return path
-        log.timed("lake_raw", lambda: parallel([
-            lambda: land_raw(appointments, "raw_no_show", "ns"),
-            lambda: land_raw(profiles, "raw_disease", "ds")]))
+        # landing the raw rows also yields their number and the raw age range
+        # the scaling needs (observed during the write, no second pass)
+        def land_raw(s):
+            age = resolve(stg[s].columns, "age", exact=True)
+            number = F.expr(f"try_cast(`{age}` AS DOUBLE)") if age else None
+            got, back = _land(stg[s], f"{base}/lake", f"raw_{s}", batch, {"mn": F.min(number), "mx": F.max(number)} if age else None)
+            if age and got["mn"] is not None:
+                bounds[s] = (got["mn"], got["mx"])
+            raw_rows[s] = got["rows"]
+            return back
+
+        stg = dict(zip(sources, log.timed("lake_raw", lambda: parallel([lambda s=s: land_raw(s) for s in sources]))))
+        for s in sources:
+            log.rows(f"extract_{s}", raw_rows[s])
         if opts.staging_copy:
-            stg_ns, stg_ds = log.timed("staging", lambda: parallel([
-                lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_no_show"), f"{base}/warehouse",
-                                   "stg_no_show"),
-                lambda: files.land(files.read_table(spark, f"{base}/lake", "raw_disease"), f"{base}/warehouse",
-                                   "stg_disease")]))
-        else:
-            # staging tables are the landed lake files themselves (external
-            # tables): no second copy of the raw rows
-            stg_ns = files.read_table(spark, f"{base}/lake", "raw_no_show")
-            stg_ds = files.read_table(spark, f"{base}/lake", "raw_disease")
-        stg_ns.createOrReplaceTempView("stg_no_show")
-        stg_ds.createOrReplaceTempView("stg_disease")
-    dims = st.Star.with_literal_dims(stg_ns, with_description=False)
-    clean_ns = elt_clean_appointments(stg_ns, opts, bounds["ns"])
-    clean_ds = elt_clean_profiles(stg_ds, opts, bounds["ds"])
-    ns_max = ds_max = None
+            stg = dict(zip(sources, log.timed("staging", lambda: parallel([
+                lambda s=s: files.land(stg[s], warehouse, f"stg_{s}") for s in sources]))))
+        # otherwise staging tables are the landed lake files themselves
+        # (external tables): no second copy of the raw rows
+        run = uuid.uuid4().hex
+        for s in sources:
+            views[f"stg_{s}"] = f"stg_{s}_{run}"
+            stg[s].createOrReplaceTempView(views[f"stg_{s}"])
+    dims = st.Star.with_literal_dims(stg["no_show"], with_description=False)
+    cleaned = {"no_show": elt_clean_appointments(stg["no_show"], opts, bounds.get("no_show")),
+               "disease": elt_clean_profiles(stg["disease"], opts, bounds.get("disease"))}
+    top = {}
     if opts.checkpoint:
-        # the cut also yields max(age), the scale of age_norm_elt
-        top = {"mx": F.max(F.col("age").cast("double"))}
-        clean_ns, seen_ns = log.timed("clean_no_show", lambda: checkpoint(clean_ns, observe=top))
-        clean_ds, seen_ds = log.timed("clean_disease", lambda: checkpoint(clean_ds, observe=top))
-        ns_max, ds_max = seen_ns["mx"], seen_ds["mx"]
-    stages.update(clean_no_show=clean_ns, clean_disease=clean_ds)
-    enr_ns = elt_enrich_appointments(clean_ns, opts, ns_max)
-    enr_ds = elt_enrich_profiles(clean_ds, opts, ds_max)
-    fact = log.timed("fact", lambda: elt_fact(enr_ns, enr_ds, dims.dim_source, opts, assign_ids))
+        # the stored (or cut) clean table also yields its rows and max(age),
+        # the scale of age_norm_elt
+        def keep(s):
+            want = {"mx": F.max(F.col("age").cast("double"))}
+            if base:
+                got, back = _land(cleaned[s], warehouse, f"clean_{s}", batch, want)
+            else:
+                back, got = checkpoint(cleaned[s], observe={"rows": F.count(F.lit(1)), **want})
+            top[s], clean_rows[s] = got["mx"], got["rows"]
+            return back
+
+        cleaned = dict(zip(sources, log.timed("clean", lambda: parallel([lambda s=s: keep(s) for s in sources]))))
+        for s in sources:
+            log.rows(f"clean_{s}", clean_rows[s], raw_rows.get(s))
+    stages.update(clean_no_show=cleaned["no_show"], clean_disease=cleaned["disease"])
+    enriched = {"no_show": elt_enrich_appointments(cleaned["no_show"], opts, top.get("no_show")),
+                "disease": elt_enrich_profiles(cleaned["disease"], opts, top.get("disease"))}
+    if base and opts.store_enriched:
+        done = log.timed("enrich", lambda: parallel([lambda s=s: _land(enriched[s], warehouse, f"enriched_{s}", batch) for s in sources]))
+        for s, (got, back) in zip(sources, done):
+            log.rows(f"enrich_{s}", got["rows"])
+            enriched[s] = back
+    stages.update(enriched_no_show=enriched["no_show"], enriched_disease=enriched["disease"])
+    fact = log.timed("fact", lambda: elt_fact(enriched["no_show"], enriched["disease"], dims.dim_source, opts, assign_ids))
     star = st.Star(fact, dims.dim_source, dims.dim_outcome, dims.dim_age_group)
     if base:
-        star = load_star(star, f"{base}/warehouse", "fact_medical_elt", log)
+        star = load_star(star, warehouse, "fact_medical_elt", log, batch, schemas.FACT_ELT if assign_ids else None)
+        log.write(spark, base)
     stages["fact"] = star.fact
     report = quality.check_fact(star)
-    return Result(star, None, report, stages, log)
+    return Result(star, None, report, stages, log, views)
 
 
 def with_summary(star: st.Star, base: str | None = None) -> st.Star:
@@ -570,7 +640,7 @@ def write_reports(star: st.Star, out_dir: str, pipeline: str | None = None) -> D
     from healthmart.plans.reports import dashboard
     if star.summary is None:
         star = with_summary(star)
-    return files.export_reports(dashboard(star, pipeline), out_dir, "csv", isolate_errors=True,
+    return files.export_reports(dashboard(star, pipeline), out_dir, isolate_errors=True,
                                 spark=star.fact.sparkSession)
 
 

@@ -66,6 +66,18 @@ MEASURES = [f.name for f in CONFORMED.fields if f.name not in ("record_id", "sou
 FACT_KEYS = ["fact_id", "record_id", "source_id", "outcome_id", "age_group_id"]
 FACT_COLUMNS = FACT_KEYS + MEASURES
 
+# The stored fact: what the warehouse refuses to be without is not nullable.
+# The SQL flow has no record_id.
+FACT = T.StructType([
+    T.StructField("fact_id", T.LongType(), False),
+    T.StructField("record_id", T.LongType(), False),
+    T.StructField("source_id", T.IntegerType(), False),
+    T.StructField("outcome_id", T.IntegerType(), False),
+    T.StructField("age_group_id", T.IntegerType()),
+    *[CONFORMED[c] for c in MEASURES],
+])
+FACT_ELT = T.StructType([f for f in FACT.fields if f.name != "record_id"])
+
 # --- Dimension literals ----------------------------------------------------
 # Ids, names and bounds must equal the reference's star schema.
 

@@ -1,22 +1,26 @@
 """File zones and table IO.
 
 A zone is a directory under a base path (``landing``, ``lake``,
-``warehouse``, ``marts``); a table is a Parquet directory in it. Writes are
-full replaces (``overwrite``) committed by Spark's job commit protocol.
+``warehouse``, ``marts``); a table in it is versioned Parquet (``versions``):
+a write that dies leaves the table as it was. CSV copies and exports are
+plain folders.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
+from healthmart.sources import versions
 
 #: Doubled quotes inside quoted text, and the same on write.
 CSV_QUOTES = {"quote": '"', "escape": '"'}
+#: What stands for NULL in a landed CSV copy.
+CSV_NULL = "\\N"
 
 
 def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, multiline: bool = True) -> DataFrame:
@@ -55,51 +59,69 @@ def with_row_order(df: DataFrame, col: str = "_row") -> DataFrame:
         return df.withColumn(col, within)
 
 
-def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A stored table by name."""
-    return spark.read.parquet(os.path.join(base, name))
+def with_file_ids(df: DataFrame, id_col: str, start: int = 1, broadcast: int = 1 << 20) -> DataFrame:
+    """Dense ids start..start+n-1 in the order of ``with_row_order``,
+    given while the files are read: no row is sorted or shuffled.
 
+    ``df`` is a plain read of files. A split is read by one task in order, so
+    a row's place in its split is its running number less the split's first
+    one. One pass counts the rows of every split; the running sum over that
+    table (a row per split) gives the splits' offsets, which meet the rows in
+    a broadcast join up to ``broadcast`` splits, in an ordinary one beyond.
+    Both passes plan the same splits, as they share the listing of files.
+    """
+    at = df.select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+                   F.monotonically_increasing_id().alias("__nth"), *[F.col(f"`{c}`") for c in df.columns])
+    splits = at.groupBy("__file", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__nth").alias("__first"))
+    before = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select(F.col("__file").alias("__f"), F.col("__start").alias("__s"), "__first",
+                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    few = len(df.inputFiles()) and df.rdd.getNumPartitions() <= broadcast
+    out = at.join(F.broadcast(offsets) if few else offsets, (F.col("__file") == F.col("__f")) & (F.col("__start") == F.col("__s")))
+    nth = F.col("__off") + F.col("__nth") - F.col("__first") + F.lit(start)
+    return out.select(nth.cast("long").alias(id_col), *[F.col(f"`{c}`") for c in df.columns if c != id_col])
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A stored table by name, in its last published state."""
+    return versions.read_version(spark, base, name)
 
-def write_table(df: DataFrame, base: str, name: str, fmt: str = "parquet",
-                partition_by=None) -> str:
-    """Full replace of table ``name`` (drop-and-recreate)."""
-    path = os.path.join(base, name)
-    w = df.write.mode("overwrite").format(fmt)
-    if fmt == "csv":
-        w = w.option("header", True).options(**CSV_QUOTES)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(path)
-    return path
 
+def write_table(df: DataFrame, base: str, name: str, metrics: dict | None = None, schema: StructType | None = None) -> dict:
+    """Full replace of table ``name`` (drop-and-recreate), all or
+    nothing. Returns the number of ``rows`` and aggregate ``metrics`` (name
+    -> aggregate Column), both observed by the write job itself. With
+    ``schema`` other columns or types, and NULLs where it allows none, are
+    refused and the table stays as it was."""
+    return versions.replace_table(df, base, name, schema, metrics)
 
-def write_observed(df: DataFrame, base: str, name: str, metrics: dict, fmt: str = "parquet"):
-    """``write_table`` that also returns aggregate ``metrics`` (name ->
-    aggregate Column) computed by the write job itself (Spark
-    ``Observation``): (path, {name: value})."""
-    import uuid
 
-    from pyspark.sql import Observation
-    obs = Observation(f"write_{uuid.uuid4().hex[:8]}")
-    path = write_table(df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), base, name, fmt)
-    return path, dict(obs.get)
+def write_csv(df: DataFrame, base: str, name: str, null_text: str = CSV_NULL) -> str:
+    """A CSV folder with headers and quotes. NULL is written as
+    ``null_text``, which sets it apart from empty text."""
+    path = os.path.join(base, name)
+    w = df.write.mode("overwrite").option("header", True).options(**CSV_QUOTES).option("nullValue", null_text)
+    if null_text:  # blanks at the ends, line ends of any kind: everything is quoted
+        w = w.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, quoteAll=True)
+    w.csv(path)
+    return path
 
 
 def land(df: DataFrame, base: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Verbatim landing copy; returns the landed table read back, so
-    later stages read the copy and not the source again."""
-    write_table(df, base, name, fmt)
+    later stages read the copy and not the source again. A CSV copy keeps
+    quotes, commas, line ends, blanks, empty text and NULL apart; a text
+    that is itself ``CSV_NULL`` is the one that comes back as NULL."""
     if fmt == "csv":
-        return df.sparkSession.read.option("header", True).schema(df.schema).csv(os.path.join(base, name))
+        path = write_csv(df, base, name)
+        back = df.sparkSession.read.option("header", True).options(**CSV_QUOTES).option("multiLine", True)
+        return back.option("nullValue", CSV_NULL).schema(df.schema).csv(path)
+    write_table(df, base, name)
     return read_table(df.sparkSession, base, name)
 
 
 def table_exists(spark: SparkSession, base: str, name: str) -> bool:
-    try:
-        spark.read.parquet(os.path.join(base, name)).schema
-        return True
-    except AnalysisException:
-        return False
+    return bool(versions.versions(spark, base, name))
 
 
 def seed_dimension(spark: SparkSession, base: str, name: str, rows: DataFrame,
@@ -107,38 +129,29 @@ def seed_dimension(spark: SparkSession, base: str, name: str, rows: DataFrame,
     """Insert-if-absent by unique name (``INSERT OR IGNORE`` with an
     auto-increment id). Names already stored keep their id, new names get
     the next ids in the order of ``rows`` (by their proposed id). Returns
-    the stored dimension.
+    the stored dimension. The new state is published last, so a run that
+    dies leaves the stored one; nothing is written when no name is new.
 
-    The new version is written to ``<name>__next`` first (the stored table
-    is an input of the plan) and then copied over ``<name>``; if a run dies
-    between the two, the next run starts from the staged copy. Dimensions
-    are a handful of rows, so numbering the new names with an unpartitioned
-    window is bounded.
+    New names are numbered by a prefix sum over range partitions, so that a
+    dimension of any size will do.
     """
-    from pyspark.sql import Window
-
-    staged = f"{name}__next"
-    recovering = not table_exists(spark, base, name) and table_exists(spark, base, staged)
-    if recovering:
-        existing = read_table(spark, base, staged)
-    elif table_exists(spark, base, name):
-        existing = read_table(spark, base, name)
-    else:
-        existing = spark.createDataFrame([], rows.schema)
+    from healthmart.operators.conform import dense_ids
+
+    if not table_exists(spark, base, name):
+        write_table(rows, base, name)
+        return read_table(spark, base, name)
+    existing = read_table(spark, base, name).select(*rows.columns)
     fresh = rows.join(existing.select(name_col), name_col, "left_anti")
-    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__top"))
-    fresh = (fresh.crossJoin(top)
-                  .withColumn(id_col, (F.col("__top") + F.row_number().over(Window.orderBy(F.col(id_col))))
-                              .cast(rows.schema[id_col].dataType))
-                  .drop("__top").select(*rows.columns))
-    out = existing.select(*rows.columns).unionByName(fresh)
-    tmp = os.path.join(base, f"{staged}_recovered" if recovering else staged)
-    out.write.mode("overwrite").parquet(tmp)
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(os.path.join(base, name))
-    return read_table(spark, base, name)
-
-
-def export_reports(reports: dict, out_dir: str, fmt: str = "csv", isolate_errors: bool = True,
+    if fresh.isEmpty():
+        return existing
+    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).first()["top"]
+    numbered = dense_ids(fresh, [id_col, name_col], "__id", start=top + 1)
+    numbered = numbered.withColumn(id_col, F.col("__id").cast(rows.schema[id_col].dataType)).select(*rows.columns)
+    write_table(existing.unionByName(numbered), base, name)
+    return read_table(spark, base, name).select(*rows.columns)
+
+
+def export_reports(reports: dict, out_dir: str, isolate_errors: bool = True,
                    spark: SparkSession | None = None, concurrent: bool = True) -> DataFrame:
     """Write each named report (a callable returning a DataFrame or
     a DataFrame) to ``out_dir/name``. Reports are small aggregates, so each
@@ -151,7 +164,7 @@ def export_reports(reports: dict, out_dir: str, fmt: str = "csv", isolate_errors
             df = (rep() if callable(rep) else rep).cache()
             try:
                 n = df.count()
-                write_table(df.coalesce(1), out_dir, name, fmt)
+                write_csv(df.coalesce(1), out_dir, name, null_text="")
             finally:
                 df.unpersist()
             return (name, "ok", n, None)
