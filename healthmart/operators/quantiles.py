@@ -1,11 +1,12 @@
 """Exact quantiles by linear interpolation (A11, A12) in bounded memory.
 
 No task keeps the distinct values of a column. Rows are counted in buckets
-by a function that never decreases with the value; the bucket that holds a
-wanted rank is cut into finer buckets, and so on until a bucket is one
-value. Every level is one scan of the wanted columns with map-side combined
-counts of at most ``BINS`` buckets per rank; the levels are chained in one
-plan, with no action in between.
+by a function that never decreases with the value (first scan); what lies in
+a bucket that holds a wanted rank is counted by value (second scan, a
+thirty-second part of an octave of the column), and that is cut into finer
+buckets until one is a single value. The finer levels read the second scan's
+shuffle again, not the input, and are chained in one plan with no action in
+between; each holds at most ``BINS`` buckets per rank.
 """
 
 from __future__ import annotations
@@ -61,11 +62,23 @@ def quantiles(df: DataFrame, probs: dict[str, list[float]]) -> DataFrame:
     key = ["c", "q", "at", "rank"]
     found = hist.where(hit).select(*key, "lo", "hi", (F.col("rank") - F.col("upto") + F.col("n")).alias("left")).distinct()
 
-    for _ in range(LEVELS):  # ``found`` has one row per rank: two per probability asked for
-        side = found.select(F.col("c").alias("c0"), "q", "at", "rank", "lo", "hi", "left")
-        near = rows.join(F.broadcast(side), (F.col("c") == F.col("c0")) & F.col("v").between(F.col("lo"), F.col("hi")))
-        fine = near.groupBy(*key, "left", _finer(F.col("v"), F.col("lo"), F.col("hi")).alias("b")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # ``found`` has one row per rank: two per probability asked for
+    side = found.select(F.col("c").alias("c0"), "q", "at", "rank", "lo", "hi", "left")
+    near = rows.join(F.broadcast(side), (F.col("c") == F.col("c0")) & F.col("v").between(F.col("lo"), F.col("hi")))
+    # with the value as a key every level below has this very exchange in its plan, which is run once
+    values = near.groupBy(*key, "lo", "hi", "left", "v").agg(F.count(F.lit(1)).alias("n"))
+    for level in range(LEVELS):
+        if level:
+            side = found.select(*[F.col(k).alias(f"{k}0") for k in key], F.col("lo").alias("lo0"), F.col("hi").alias("hi0"), F.col("left").alias("left0"))
+            same = F.lit(True)
+            for k in key:
+                same = same & (F.col(k) == F.col(f"{k}0"))
+            inner = values.join(F.broadcast(side), same & F.col("v").between(F.col("lo0"), F.col("hi0"))).select(
+                *key, "v", "n", F.col("lo0").alias("lo"), F.col("hi0").alias("hi"), F.col("left0").alias("left"))
+        else:
+            inner = values
+        fine = inner.groupBy(*key, "left", _finer(F.col("v"), F.col("lo"), F.col("hi")).alias("b")).agg(
+            F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
         fine = fine.withColumn("upto", F.sum("n").over(Window.partitionBy(*key).orderBy("b")))
         hit = (F.col("left") >= F.col("upto") - F.col("n")) & (F.col("left") < F.col("upto"))
         found = fine.where(hit).select(*key, "lo", "hi", (F.col("left") - F.col("upto") + F.col("n")).alias("left"))

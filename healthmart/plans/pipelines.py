@@ -619,16 +619,23 @@ def run_elt(appointments: DataFrame, profiles: DataFrame, opts: Options | None =
     return Result(star, None, report, stages, log, views)
 
 
-def with_summary(star: st.Star, base: str | None = None) -> st.Star:
+def with_summary(star: st.Star, base: str | None = None, batch: str | None = None, fact_name: str = "fact_medical_elt") -> st.Star:
     """Materialise the report summary once (one pass over the fact) so the
     whole report set reads a table bounded by the report key domains. With
     ``base`` it is stored as ``marts/report_summary``; otherwise it is
-    checkpointed."""
+    checkpointed. With ``batch`` only the rows of that batch of the stored
+    fact are read: their summary becomes (or takes the place of) that batch
+    of the stored one, which stays the summary of the whole fact."""
     from healthmart.plans.reports import build_summary
-    summ = build_summary(star)
+    spark = star.fact.sparkSession
+    if batch is not None:
+        mine = versions.read_version(spark, f"{base}/warehouse", fact_name, batches=[batch])
+        summ = build_summary(st.Star(mine, star.dim_source, star.dim_outcome, star.dim_age_group))
+    else:
+        summ = build_summary(star)
     if base:
-        files.write_table(summ, f"{base}/marts", "report_summary")
-        summ = files.read_table(star.fact.sparkSession, f"{base}/marts", "report_summary")
+        _store(summ, f"{base}/marts", "report_summary", batch)
+        summ = files.read_table(spark, f"{base}/marts", "report_summary")
     else:
         summ = checkpoint(summ)
     return st.Star(star.fact, star.dim_source, star.dim_outcome, star.dim_age_group, summ)

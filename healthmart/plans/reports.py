@@ -24,34 +24,31 @@ def _tag(df: DataFrame, pipeline: str | None) -> DataFrame:
 
 
 # -- the shared summary --------------------------------------------------------
-# Every report groups the fact by one of a few low-cardinality attributes
-# and aggregates counts, sums, minima and maxima. One pass groups the fact
-# by all of them together; the result has one row per combination that
-# occurs (disease names are an open domain; the other keys are small),
-# and each report re-aggregates it. Counts, sums, min and max compose
-# exactly; a mean is a sum over a count.
+# Every report groups the fact by a few low-cardinality attributes and
+# aggregates counts, sums, minima and maxima, which compose exactly; a mean is
+# a sum over a count. One pass groups the fact by two sets of keys: all the
+# small ones together, and, apart from them, disease names, an open domain
+# that would multiply the others. The summary of a new batch is further rows
+# of the same table: reports add them up.
 
-SUMMARY_KEYS = ["source_id", "outcome_id", "age_group_id", "appt_month", "is_weekend", "appt_day_of_week",
-                "wait_bucket", "gender_code", "disease_name"]
-DIM_ATTRS = ["source_name", "outcome_label", "age_group_name", "age_min", "age_max"]
+CALENDAR_KEYS = ["source_id", "outcome_id", "age_group_id", "appt_month", "is_weekend", "appt_day_of_week",
+                 "wait_bucket", "gender_code"]
+DISEASE_KEYS = ["source_id", "disease_name"]
 
 
 def build_summary(star: Star) -> DataFrame:
-    """One aggregate pass over the fact (partial aggregation per task).
-
-    The three dimensions' attributes are attached first by left broadcast
-    joins (dimensions are a few literal rows), so every report reads one
-    table and joins nothing; a fact row without a dimension match keeps
-    NULL attributes and is left out exactly where the star join would
-    drop it."""
-    fact = star.fact
+    """One aggregate pass over the fact (partial aggregation per task), by id
+    keys only; ``part`` tells the grouping set.
+
+    The attributes of the three dimensions are joined to the groups, not to
+    the fact rows (left broadcast joins of a few literal rows), so every
+    report reads one table and joins nothing; a group without a dimension
+    match keeps NULL attributes and is left out exactly where the star join
+    would drop it."""
     flag = F.col("outcome_flag").cast("double")
-    keyed = (fact.withColumn("wait_bucket", F.when(F.col("wait_days").isNotNull(), wait_bucket("wait_days")))
-                 .join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id", "left")
-                 .join(F.broadcast(star.dim_outcome.select("outcome_id", "outcome_label")), "outcome_id", "left")
-                 .join(F.broadcast(star.dim_age_group.select("age_group_id", "age_group_name", "age_min", "age_max")),
-                       "age_group_id", "left"))
-    return keyed.groupBy(*SUMMARY_KEYS, *DIM_ATTRS).agg(
+    keyed = star.fact.withColumn("wait_bucket", F.when(F.col("wait_days").isNotNull(), wait_bucket("wait_days")))
+    groups = keyed.groupingSets([CALENDAR_KEYS, DISEASE_KEYS], *CALENDAR_KEYS, "disease_name").agg(
+        F.when(F.grouping("disease_name") == 1, "calendar").otherwise("disease").alias("part"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("outcome_flag") == 1).alias("n_flag1"),
         F.count_if(F.col("outcome_flag") == 0).alias("n_flag0"),
@@ -63,15 +60,20 @@ def build_summary(star: Star) -> DataFrame:
         F.sum(F.col("comorbidity_count").cast("double")).alias("sum_com"),
         F.count("comorbidity_count").alias("n_com"),
     )
+    return (groups.join(F.broadcast(star.dim_source.select("source_id", "source_name")), "source_id", "left")
+                  .join(F.broadcast(star.dim_outcome.select("outcome_id", "outcome_label")), "outcome_id", "left")
+                  .join(F.broadcast(star.dim_age_group.select("age_group_id", "age_group_name", "age_min", "age_max")),
+                        "age_group_id", "left"))
 
 
-def summary(star: Star) -> DataFrame:
-    """The star's report summary: the stored one if set, else planned from
-    the star (then every report is one fact scan).
+def summary(star: Star, part: str = "calendar") -> DataFrame:
+    """One part of the star's report summary: of the stored one if set, else
+    planned from the star (then every report is one fact scan).
 
-    Disease names are an open domain, so the summary keeps its partitions
-    and every report merges it by an ordinary shuffle on its own keys."""
-    return star.summary if getattr(star, "summary", None) is not None else build_summary(star)
+    The summary keeps its partitions and every report merges it by an
+    ordinary shuffle on its own keys."""
+    whole = star.summary if getattr(star, "summary", None) is not None else build_summary(star)
+    return whole.where(F.col("part") == part)
 
 
 def _named(star: Star, attr: str) -> DataFrame:
@@ -187,7 +189,7 @@ def q8_top_diseases(star: Star, k: int = 15, pipeline: str | None = None) -> Dat
 
     The limit is the feature; planned as TakeOrderedAndProject over the
     per-disease counts."""
-    out = (summary(star).filter((F.col("source_id") == DISEASE_SOURCE_ID) & (F.col("disease_name") != "N/A"))
+    out = (summary(star, "disease").filter((F.col("source_id") == DISEASE_SOURCE_ID) & (F.col("disease_name") != "N/A"))
                .groupBy(F.col("disease_name").alias("penyakit")).agg(_cnt().alias("jumlah_kasus"))
                .orderBy(F.desc("jumlah_kasus"), F.desc("penyakit")).limit(k))
     return _tag(out, pipeline)
@@ -269,7 +271,7 @@ def analytic_queries(star: Star) -> dict:
             .groupBy("age_group_name").agg(F.round(_mean("sum_com", "n_com"), 2).alias("avg_comorbidity")),
         "weekend_rate": lambda: ns.filter(F.col("is_weekend").isNotNull())
             .groupBy("is_weekend").agg(rate4.alias("no_show_rate"), _cnt().alias("total")),
-        "top10_diseases": lambda: s.filter(F.col("source_id") == DISEASE_SOURCE_ID).groupBy("disease_name")
+        "top10_diseases": lambda: summary(star, "disease").filter(F.col("source_id") == DISEASE_SOURCE_ID).groupBy("disease_name")
             .agg(_cnt().alias("total")).orderBy(F.desc("total"), F.desc("disease_name")).limit(10),
         "avg_wait_by_outcome": lambda: _named(star, "outcome_label").filter(F.col("n_wait") > 0)
             .groupBy("outcome_label").agg(F.round(_mean("sum_wait", "n_wait"), 2).alias("avg_wait")),

@@ -9,11 +9,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from healthmart.operators import quarantine as qr
-from healthmart.operators import ranges
+from healthmart.operators import ranges, sketches
 from healthmart.plans import oracle_sql as O
 from healthmart.plans import pipelines as P
-from healthmart.plans.checks import _t, register
-from healthmart.sources import files, versions
+from healthmart.plans import reports as R
+from healthmart.plans.checks import EXPORT_ORDER, _t, elt_star, register
+from healthmart.plans.report_sql import REPORT_SQL, STAR_ROLLUP
+from healthmart.sources import files, inferred, versions
 from healthmart.sources.tables import APPOINTMENTS_SQL, PROFILES_SQL, appointments, disease_profiles
 
 
@@ -204,3 +206,142 @@ def q_file_order_ids(spark, sf):
     path = files.write_csv(li.repartitionByRange(3, *order).sortWithinPartitions(*order), base, "lines")
     back = spark.read.option("header", True).schema(li.schema).csv(path)
     return files.with_file_ids(back, "id").select("id", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+# -- S1: inferred types, rescued values ------------------------------------------------------
+
+ORDER_TEXT = """
+SELECT row_number() OVER (ORDER BY o_orderkey) AS id, CAST(o_orderkey AS VARCHAR) AS k,
+       CASE WHEN o_orderkey % 50 = 0 THEN 'n/a' WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS cust,
+       CASE WHEN o_orderkey % 90 = 1 THEN 'free, "gratis"' ELSE CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) END AS price,
+       CASE WHEN o_orderkey % 110 = 5 THEN '1995-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
+       CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'false' END AS done, o_orderpriority AS priority FROM orders"""
+
+
+def order_text(spark, sf):
+    o, k = _t(spark, sf, "orders"), F.col("o_orderkey")
+    return o.select(
+        k.cast("string").alias("k"), F.when(k % 50 == 0, "n/a").when(k % 7 == 0, None).otherwise(F.col("o_custkey").cast("string")).alias("cust"),
+        F.when(k % 90 == 1, 'free, "gratis"').otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("price"),
+        F.when(k % 110 == 5, "1995-02-30").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("day"),
+        F.when(F.col("o_orderstatus") == "F", "true").otherwise("false").alias("done"), F.col("o_orderpriority").alias("priority"))
+
+
+def _inferred(spark, sf):
+    """The order texts as CSV files in key order, read back with inferred types."""
+    rows = order_text(spark, sf).withColumn("__k", F.col("k").cast("long"))
+    rows = rows.repartitionByRange(3, "__k").sortWithinPartitions("__k").drop("__k")
+    return inferred.read_inferred(spark, files.write_csv(rows, _base(spark, "inferred"), "orders", null_text=""), tolerance=0.05)
+
+
+@register("inferred_scan", f"""
+SELECT CAST(k AS BIGINT) AS k, TRY_CAST(cust AS BIGINT) AS cust, TRY_CAST(price AS DOUBLE) AS price,
+       CAST(TRY_CAST(day AS DATE) AS VARCHAR) AS day, CAST(done AS BOOLEAN) AS done, priority FROM ({ORDER_TEXT}) WHERE cust IS NOT NULL AND cust <> 'n/a'""")
+def q_inferred_scan(spark, sf):
+    """Types found in the data, a few values of a column notwithstanding."""
+    return (_inferred(spark, sf).where("cust is not null")
+            .select("k", "cust", "price", F.col("day").cast("string").alias("day"), "done", "priority"))
+
+
+@register("rescued_values", f"""
+SELECT k, column_name, value FROM (
+  SELECT CAST(k AS BIGINT) AS k, 'cust' AS column_name, cust AS value FROM ({ORDER_TEXT}) WHERE cust IS NOT NULL AND TRY_CAST(cust AS BIGINT) IS NULL
+  UNION ALL SELECT CAST(k AS BIGINT), 'price', price FROM ({ORDER_TEXT}) WHERE TRY_CAST(price AS DOUBLE) IS NULL
+  UNION ALL SELECT CAST(k AS BIGINT), 'day', day FROM ({ORDER_TEXT}) WHERE TRY_CAST(day AS DATE) IS NULL)""")
+def q_rescued_values(spark, sf):
+    """What did not fit the inferred types."""
+    return (_inferred(spark, sf).where("_rescued is not null")
+            .select("k", F.explode("_rescued.fields").alias("column_name", "value")))
+
+
+@register("rescued_places", f"""
+SELECT count(*) AS rows, count(DISTINCT id) AS places, CAST(sum(id) AS BIGINT) AS place_sum FROM ({ORDER_TEXT})
+WHERE (cust IS NOT NULL AND TRY_CAST(cust AS BIGINT) IS NULL) OR TRY_CAST(price AS DOUBLE) IS NULL OR TRY_CAST(day AS DATE) IS NULL""")
+def q_rescued_places(spark, sf):
+    """Files and rows of what was rescued: the files before a row's own
+    and its number there add up to its place in key order."""
+    df = _inferred(spark, sf)
+    size = files.with_place(spark.read.option("header", True).csv(df.inputFiles()), "at").groupBy("at.file").agg(F.max("at.row").alias("n"))
+    before = size.alias("x").join(size.alias("y"), F.col("y.file") < F.col("x.file"), "left").groupBy("x.file").agg(
+        F.coalesce(F.sum("y.n"), F.lit(0)).alias("before"))
+    place = df.where("_rescued is not null").select("_rescued.file", "_rescued.row").join(before, "file").select(
+        (F.col("row") + F.col("before")).alias("place"))
+    return place.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("place").alias("places"), F.sum("place").alias("place_sum"))
+
+
+# -- S18 A20: profile that merges --------------------------------------------------------------
+
+PROFILED = ("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+
+
+@register("merged_profile", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, {f"min({c})::DOUBLE" if number else "0::DOUBLE"} AS least,
+        {f"max({c})::DOUBLE" if number else "0::DOUBLE"} AS greatest, TRUE AS distinct_close, TRUE AS quartiles_close, TRUE AS frequent_close FROM lineitem"""
+    for c, number in zip(PROFILED, (1, 1, 1, 0, 0))))
+def q_merged_profile(spark, sf):
+    """Profile of three batches, one of them loaded twice, against
+    exact figures of the whole: distinct values within 5 %, quartiles within
+    2 % of the rows, the most frequent value's count within its bound."""
+    li = _t(spark, sf, "lineitem").select(*PROFILED)
+    base = _base(spark, "profile")
+    for flag in ("A", "N", "N", "R"):
+        profile = sketches.keep_profile(li.where(F.col("l_returnflag") == flag), base, "profile", flag)
+    shown = sketches.shown(profile, top=1)
+    exact = [li.agg(F.lit(c).alias("__c"), F.count_distinct(c).alias("nd"), F.count(F.lit(1)).alias("n")) for c in PROFILED]
+    most = [li.groupBy(F.col(c).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("times")).agg(
+        F.lit(c).alias("__m"), F.max("times").alias("most")) for c in PROFILED]
+    truth = exact[0]
+    for e in exact[1:]:
+        truth = truth.unionByName(e)
+    top = most[0]
+    for m in most[1:]:
+        top = top.unionByName(m)
+    numbers = PROFILED[:3]
+    q = shown.where(F.col("column").isin(*numbers)).select(F.col("column").alias("__q"), F.posexplode("quantiles").alias("i", "x"))
+    tall = li.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in numbers])).alias("r")).select("r.*")
+    rank = (tall.join(F.broadcast(q), F.col("c") == F.col("__q")).groupBy("__q", "i")
+            .agg(F.avg((F.col("v") < F.col("x")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("x")).cast("double")).alias("upto"))
+            .withColumn("p", (F.col("i") + 1) * 0.25).groupBy("__q").agg(F.every((F.col("below") <= F.col("p") + 0.02) & (F.col("upto") >= F.col("p") - 0.02)).alias("ok")))
+    out = (shown.join(truth, F.col("column") == F.col("__c")).join(top, F.col("column") == F.col("__m"))
+                .join(rank, F.col("column") == F.col("__q"), "left"))
+    slack = F.col("n") / (0.75 * sketches.TRACKED)
+    return out.select("column", "rows", "nulls", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("least", "greatest")],
+                      (F.abs(F.col("n_distinct") - F.col("nd")) <= 0.05 * F.col("nd")).alias("distinct_close"),
+                      F.coalesce("ok", F.lit(True)).alias("quartiles_close"),
+                      F.coalesce(F.abs(F.get("frequent", F.lit(0))["count"] - F.col("most")) <= slack, F.col("most") <= slack).alias("frequent_close"))
+
+
+# -- J1-J3 O4 O5: a summary that is kept up ------------------------------------------------------
+
+def _kept(report):
+    def run(spark, sf):
+        base = _base(spark, "kept")
+        ns, ds = appointments(spark, sf), disease_profiles(spark, sf)
+        star = P.run_elt(ns, ds.limit(0), P.Options(), base=base, batch="appointments").star
+        P.with_summary(star, base, "appointments")
+        for _ in range(2):
+            star = P.run_elt(ns.limit(0), ds, P.Options(), base=base, batch="profiles").star
+            star = P.with_summary(star, base, "profiles")
+        return report(star)
+    run.__doc__ = "J1-J3 S10: a report over the summary kept up through appends, one of them repeated."
+    return run
+
+
+register("kept_star_rollup", O.with_(O.ELT_FACT, STAR_ROLLUP))(_kept(R.star_rollup))
+register("kept_top_diseases", O.with_(O.ELT_FACT, REPORT_SQL["q8_top15"]))(_kept(lambda s: R.q8_top_diseases(s, 15)))
+
+
+# -- S12: exported values ------------------------------------------------------------------------
+
+def _exported(name: str):
+    def run(spark, sf):
+        base = _base(spark, "marts")
+        thunk = R.dashboard(elt_star(spark, sf))[name]
+        files.export_reports({name: thunk}, base, spark=spark)
+        return files.read_csv(spark, f"{base}/{name}", schema=thunk().schema)
+    run.__doc__ = f"S12: the values of {name} as exported, read back from its CSV."
+    return run
+
+
+for _name, _key in EXPORT_ORDER:
+    register(f"exported_{_name}", O.with_(O.ELT_FACT, REPORT_SQL[_key]))(_exported(_name))

@@ -59,7 +59,21 @@ def with_row_order(df: DataFrame, col: str = "_row") -> DataFrame:
         return df.withColumn(col, within)
 
 
-def with_file_ids(df: DataFrame, id_col: str, start: int = 1, broadcast: int = 1 << 20) -> DataFrame:
+def _placed(df: DataFrame, per_file: bool, broadcast: int) -> DataFrame:
+    """``df``, a plain read of files, with ``__file`` and ``__place``: how
+    many rows (of the file, or of all files) come before."""
+    at = df.select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+                   F.monotonically_increasing_id().alias("__nth"), *[F.col(f"`{c}`") for c in df.columns])
+    splits = at.groupBy("__file", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__nth").alias("__first"))
+    order = Window.partitionBy("__file").orderBy("__start") if per_file else Window.orderBy("__file", "__start")
+    before = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select(F.col("__file").alias("__f"), F.col("__start").alias("__s"), "__first", F.coalesce(before, F.lit(0)).alias("__off"))
+    few = df.rdd.getNumPartitions() <= broadcast
+    out = at.join(F.broadcast(offsets) if few else offsets, (F.col("__file") == F.col("__f")) & (F.col("__start") == F.col("__s")))
+    return out.withColumn("__place", (F.col("__off") + F.col("__nth") - F.col("__first")).cast("long"))
+
+
+def with_file_ids(df: DataFrame, id_col: str, start: int = 1, broadcast: int = 1 << 18) -> DataFrame:
     """Dense ids start..start+n-1 in the order of ``with_row_order``,
     given while the files are read: no row is sorted or shuffled.
 
@@ -67,19 +81,19 @@ def with_file_ids(df: DataFrame, id_col: str, start: int = 1, broadcast: int = 1
     a row's place in its split is its running number less the split's first
     one. One pass counts the rows of every split; the running sum over that
     table (a row per split) gives the splits' offsets, which meet the rows in
-    a broadcast join up to ``broadcast`` splits, in an ordinary one beyond.
-    Both passes plan the same splits, as they share the listing of files.
+    a broadcast join up to ``broadcast`` read tasks, in an ordinary one
+    beyond. Both passes plan the same splits, as they share one listing.
     """
-    at = df.select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
-                   F.monotonically_increasing_id().alias("__nth"), *[F.col(f"`{c}`") for c in df.columns])
-    splits = at.groupBy("__file", "__start").agg(F.count(F.lit(1)).alias("__n"), F.min("__nth").alias("__first"))
-    before = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(F.col("__file").alias("__f"), F.col("__start").alias("__s"), "__first",
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    few = len(df.inputFiles()) and df.rdd.getNumPartitions() <= broadcast
-    out = at.join(F.broadcast(offsets) if few else offsets, (F.col("__file") == F.col("__f")) & (F.col("__start") == F.col("__s")))
-    nth = F.col("__off") + F.col("__nth") - F.col("__first") + F.lit(start)
-    return out.select(nth.cast("long").alias(id_col), *[F.col(f"`{c}`") for c in df.columns if c != id_col])
+    out = _placed(df, False, broadcast)
+    return out.select((F.col("__place") + F.lit(start)).alias(id_col), *[F.col(f"`{c}`") for c in df.columns if c != id_col])
+
+
+def with_place(df: DataFrame, col: str, broadcast: int = 1 << 18) -> DataFrame:
+    """``df``, a plain read of files, with ``col``: struct (file, row), the
+    file's name and the row in it, from 1. As ``with_file_ids``."""
+    out = _placed(df, True, broadcast)
+    place = F.struct(F.element_at(F.split("__file", "/"), -1).alias("file"), (F.col("__place") + 1).alias("row"))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], place.alias(col))
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:

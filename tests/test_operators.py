@@ -175,11 +175,3 @@ def test_exact_statistics_of_distinct_values(spark):
     assert clean.iqr_filter(df, "x").count() == 1000
     none = spark.createDataFrame([(None,)], "x double")
     assert clean.fill_median(none, ["x"]).first().x is None and clean.iqr_filter(none, "x").count() == 0
-
-
-def test_seed_dimension_recovers_from_staged_copy(spark, scratch):
-    staged = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
-    files.write_table(staged, scratch, "dim__next")  # a run died after staging
-    wanted = spark.createDataFrame([(1, "b"), (2, "c")], "id int, name string")
-    out = rows(files.seed_dimension(spark, scratch, "dim", wanted, "name", "id"), "id")
-    assert out == [(1, "a"), (2, "b"), (3, "c")]
