@@ -13,11 +13,12 @@ of fragments between two closed pieces are stitched into one group, which is
 a unit of its own. Texts of at most ``work`` steps are one piece and one unit.
 
 Units hold whole groups, so all that follows runs on them alone, in blocks of
-bounded size: every block lists its distinct id pairs with the number of its
-documents that hold them (documents of several units are made distinct by a
-shuffle first), sums of these are the corpus counts, and every block gets
-back the counts of just the pairs it listed. No table of counts is broadcast
-but the highest count per A id, bounded by the vocabulary of A.
+bounded size, each one row with its ids compressed: every block lists its
+distinct id pairs with the number of its documents that hold them (documents
+of several units are made distinct by a shuffle first), sums of these are the
+corpus counts, and every block gets back the counts of just the pairs it
+listed. No table of counts is broadcast but the highest count per A id,
+bounded by the vocabulary of A.
 """
 
 from __future__ import annotations
@@ -28,18 +29,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from healthmart.llm.common import cut, quoted, table, text_bytes
+from healthmart.llm.common import cut, quoted, table
 from healthmart.llm.packing import Encoder
 
 WORK = 16384           # merge steps of a piece
-BLOCK_TOKENS = 1 << 21  # tokens of both kinds in a block
+BLOCK_TOKENS = 1 << 20  # tokens of both kinds in a block
 LINKS = 1 << 21        # links laid out at a time
 HEAD, MIDDLE, TAIL, WHOLE = 0, 1, 2, 3
+# how a block's entry is cut: a document without tokens, a whole document, a
+# whole stitched group, or (above 1) one of that many pieces of a document
+NONE, SINGLE, STITCHED = 0, 1, -1
 
 
 class Tokenizers:
@@ -117,10 +122,9 @@ def _in(x: np.ndarray, sorted_y: np.ndarray) -> np.ndarray:
 class Units:
     """The groups of a run of units, all laid out on flat arrays."""
 
-    def __init__(self, t: Tokenizers, a: pa.Array, b: pa.Array):
-        (a_raw, a_off), (b_raw, b_off) = text_bytes(a), text_bytes(b)
-        self.a, self.b = np.ascontiguousarray(a_raw).view("<u2"), np.ascontiguousarray(b_raw).view("<u2")
-        self.a_off, self.b_off = a_off // 2, b_off // 2
+    def __init__(self, t: Tokenizers, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray):
+        self.a, self.b = a, b
+        self.a_off, self.b_off = (np.concatenate([[0], np.cumsum(n, dtype=np.int64)]) for n in (n_a, n_b))
         a_end, b_end = np.cumsum(t.a_len[self.a]), np.cumsum(t.b_len[self.b])
         self.a_last, self.b_last = _in(a_end, b_end), _in(b_end, a_end)
         self.ga, self.gb = np.cumsum(self.a_last) - self.a_last, np.cumsum(self.b_last) - self.b_last
@@ -209,112 +213,176 @@ def _slices(t: Tokenizers, a: np.ndarray, b: np.ndarray, a0: int, b0: int, piece
     return [(HEAD, a[:i0], b[:j0]), (MIDDLE, a[i0:i1], b[j0:j1]), (TAIL, a[i1:], b[j1:])]
 
 
-def _binary(parts: list[np.ndarray]) -> pa.Array:
-    return pa.array([p.tobytes() for p in parts], pa.binary())
+_COLUMNS = ("doc", "piece", "pieces", "a0", "b0", "n_a", "n_b")
+_BLOCK = "block long, id array<{kind}>, " + ", ".join(f"{c} array<long>" for c in _COLUMNS) + ", a binary, b binary"
+
+
+class Block:
+    """Entries (pieces of documents) being gathered into one row."""
+
+    def __init__(self, number: int):
+        self.number, self.tokens = number, 0
+        self.ids, self.entries, self.a, self.b = [], [], [], []
+
+    def add(self, id_: pa.Array, entry: tuple, a: np.ndarray, b: np.ndarray) -> None:
+        self.ids.append(id_)
+        self.entries.append((*entry, len(a), len(b)))
+        self.a.append(a)
+        self.b.append(b)
+        self.tokens += len(a) + len(b)
+
+    def row(self) -> pa.RecordBatch:
+        n = len(self.entries)
+        lists = [pa.concat_arrays(self.ids), *[pa.array(c, pa.int64()) for c in zip(*self.entries)]]
+        packed = [zstandard.ZstdCompressor(level=3).compress(np.concatenate(x).astype("<u2").tobytes()) for x in (self.a, self.b)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([self.number], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), c) for c in lists],
+             *[pa.array([p], pa.binary()) for p in packed]], ["block", "id", *_COLUMNS, "a", "b"])
+
+
+class Entries:
+    """One row of a block, unpacked."""
+
+    def __init__(self, batch, i: int):
+        self.block = batch.column("block")[i].as_py()
+        self.id = batch.column("id")[i].values
+        for c in _COLUMNS:
+            setattr(self, c, batch.column(c)[i].values.to_numpy())
+        self.a, self.b = (np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(c)[i].as_py()), "<u2") for c in "ab")
+        self.a_off, self.b_off = (np.concatenate([[0], np.cumsum(n)]) for n in (self.n_a, self.n_b))
+
+    def parts(self, t: Tokenizers) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
+        """(entry, its parts) of the entries that are pieces of a document."""
+        for k in np.flatnonzero(self.pieces > 1).tolist():
+            yield k, _slices(t, self.a[self.a_off[k]:self.a_off[k + 1]], self.b[self.b_off[k]:self.b_off[k + 1]],
+                             int(self.a0[k]), int(self.b0[k]), int(self.piece[k]))
+
+    def units(self, t: Tokenizers) -> "Units":
+        """The whole groups of every entry; pieces lose what lies before
+        their first and after their last common end."""
+        keep_a, keep_b = np.ones(len(self.a), bool), np.ones(len(self.b), bool)
+        n_a, n_b = self.n_a.copy(), self.n_b.copy()
+        for k, parts in self.parts(t):
+            sizes = {p: (len(x), len(y)) for p, x, y in parts}
+            head, middle = sizes.get(HEAD, (0, 0)), sizes.get(MIDDLE, (0, 0))
+            for keep, off, at, n in ((keep_a, self.a_off, 0, n_a), (keep_b, self.b_off, 1, n_b)):
+                keep[off[k]:off[k] + head[at]] = False
+                keep[off[k] + head[at] + middle[at]:off[k + 1]] = False
+                n[k] = middle[at]
+        return Units(t, self.a[keep_a], n_a, self.b[keep_b], n_b)
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield Entries(batch, i)
 
 
 def _tokenise(key: tuple, work: int, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*key)
         task = TaskContext.get().partitionId() << 32
-        doc, block, filled = task, task, 0
+        doc, block = task, Block(task)
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            for lo in range(0, max(len(texts), 1), 256):
-                rows, cols, parts = [], [], ([], [])
+            for lo in range(0, len(texts), 256):
                 for k, ab in enumerate(t(texts[lo:lo + 256]), lo):
                     doc += 1
                     a, b = (np.array(x, "<u2") for x in (ab or ((), ())))
                     ends = (np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b]))
-                    whole = (0, len(a), 0, len(b))
-                    pieces = merge_path(*ends, work) if len(a) + len(b) > work else [whole]
+                    pieces = merge_path(*ends, work) if len(a) + len(b) > work else [(0, len(a), 0, len(b))]
                     for p, (i, i1, j, j1) in enumerate(pieces):
-                        if filled > block_tokens:
-                            block, filled = block + 1, 0
-                        filled += i1 - i + j1 - j
-                        rows.append(k)
-                        cols.append((doc, block, p, len(pieces) if ab else 0, int(ends[0][i - 1]) if i else 0, int(ends[1][j - 1]) if j else 0))
-                        parts[0].append(a[i:i1])
-                        parts[1].append(b[j:j1])
-                if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(rows)), *[pa.array(c, pa.int64()) for c in zip(*cols)], *map(_binary, parts)],
-                        ["id", "doc", "block", "piece", "pieces", "a0", "b0", "a", "b"])
+                        place = (doc, p, len(pieces) if ab else NONE, int(ends[0][i - 1]) if i else 0, int(ends[1][j - 1]) if j else 0)
+                        block.add(batch.column(0).slice(k, 1), place, a[i:i1], b[j:j1])
+                        if block.tokens > block_tokens or len(block.entries) >= 100_000:
+                            yield block.row()
+                            block = Block(block.number + 1)
+        if block.entries:
+            yield block.row()
     return run
 
 
-def _split(key: tuple):
+def _fragments(key: tuple):
+    """What pieces hold outside their own whole groups, and where a piece
+    closes a group: its TAIL is there even when it is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*key)
-        for batch in batches:
-            rows, part, out = [], [], ([], [])
-            a_col, b_col = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            for k, (a, b, a0, b0, piece) in enumerate(zip(a_col, b_col, *(batch.column(c).to_pylist() for c in ("a0", "b0", "piece")))):
-                for p, x, y in _slices(t, np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2"), a0, b0, piece):
-                    rows.append(k)
-                    part.append(p)
-                    out[0].append(x)
-                    out[1].append(y)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(pa.array(rows, pa.int64())) for c in ("id", "doc", "block", "piece")], pa.array(part, pa.int32()), *map(_binary, out)],
-                ["id", "doc", "block", "piece", "part", "a", "b"])
+        for e in _entries(batches):
+            found = [(k, p, a.tobytes(), b.tobytes()) for k, parts in e.parts(t) for p, a, b in parts if p != MIDDLE]
+            if found:
+                at, part, a, b = zip(*found)
+                at = np.array(at)
+                yield pa.RecordBatch.from_arrays([e.id.take(pa.array(at)), pa.array(e.doc[at]), pa.array(e.piece[at]), pa.array(part, pa.int32()),
+                                                  pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["id", "doc", "piece", "part", "a", "b"])
     return run
 
 
-def _runs(x: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, np.int64)
-
-
-def _listed(key: tuple):
-    """(block, pair, n): pairs of a batch's blocks, n of its documents of one unit hold them."""
+def _stitched(block_tokens: int):
+    """Blocks of stitched groups (id, doc, piece, a, b)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = tokenizers(*key)
+        block = Block(-1 - (TaskContext.get().partitionId() << 32))
         for batch in batches:
-            block, single = batch.column("block").to_numpy(), batch.column("single").to_numpy(zero_copy_only=False)
-            for x, y in zip((at := _runs(block)), [*at[1:], len(block)]):
-                part = batch.slice(x, y - x)
-                keys, _ = Units(t, part.column("a"), part.column("b")).pairs()
-                pair, mine = keys & 0xFFFFFFFF, single[x:y][keys >> 32]
-                found, where = np.unique(pair, return_inverse=True)
-                n = np.bincount(where, weights=mine, minlength=len(found)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), block[x])), pa.array(found), pa.array(n)], ["block", "pair", "n"])
+            for k, (doc, piece, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc", "piece", "a", "b")))):
+                block.add(batch.column("id").slice(k, 1), (doc, piece, STITCHED, 0, 0), np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2"))
+                if block.tokens > block_tokens:
+                    yield block.row()
+                    block = Block(block.number - 1)
+        if block.entries:
+            yield block.row()
     return run
 
 
-def _of_documents(key: tuple):
-    """(doc, pair) of documents of several units."""
+def _listed(key: tuple):
+    """(block, pair, n, doc): the pairs of every block, n of its whole
+    documents hold them; and without block, the pairs of every entry that is
+    only a part of document ``doc``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*key)
-        for batch in batches:
-            docs = batch.column("doc").to_numpy()
-            keys, _ = Units(t, batch.column("a"), batch.column("b")).pairs()
-            yield pa.RecordBatch.from_arrays([pa.array(docs[keys >> 32]), pa.array(keys & 0xFFFFFFFF)], ["doc", "pair"])
+        for e in _entries(batches):
+            keys, _ = e.units(t).pairs()
+            entry, pair = keys >> 32, keys & 0xFFFFFFFF
+            whole = e.pieces[entry] == SINGLE
+            found, where = np.unique(pair, return_inverse=True)
+            n = np.bincount(where, weights=whole, minlength=len(found)).astype(np.int64)
+            doc, rest = e.doc[entry[~whole]], pair[~whole]
+            of = pa.array(np.concatenate([np.full(len(found), e.block), np.zeros(len(rest), np.int64)]), mask=np.arange(len(found) + len(rest)) >= len(found))
+            docs = pa.array(np.concatenate([np.zeros(len(found), np.int64), doc]), mask=np.arange(len(found) + len(rest)) < len(found))
+            yield pa.RecordBatch.from_arrays([of, pa.array(np.concatenate([found, rest])), pa.array(np.concatenate([n, np.zeros(len(rest), np.int64)])), docs],
+                                             ["block", "pair", "n", "doc"])
     return run
 
 
+def _runs(x: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, np.int64)
+
+
 def _scored(key: tuple, with_groups: bool):
-    def run(units: pa.Table, counts: pa.Table) -> pa.Table:
+    def run(blocks: pa.Table, counts: pa.Table) -> pa.Table:
         t = tokenizers(*key)
-        n = units.num_rows
-        u = Units(t, units["a"].combine_chunks(), units["b"].combine_chunks())
         order = np.argsort(counts["pair"].to_numpy(), kind="stable")
         pair, count, best = (counts[c].to_numpy()[order] for c in ("pair", "count", "best"))
-        keys, links = u.pairs()
-        at = np.searchsorted(pair, keys & 0xFFFFFFFF)
-        unit = keys >> 32
-        sums = [np.zeros(n, np.int64), np.zeros(n, np.int64)]
-        first = _runs(unit)
-        for s, value in zip(sums, (links * best[at].astype(np.int64), links * count[at])):
-            s[unit[first]] = np.add.reduceat(value, first)
-        groups, n_links = u.per_unit()
-        text, off = u.written()
-        single = units["single"].to_numpy()
-        said = [text[x:y - 1].tobytes() for x, y in zip(off, off[1:])]
-        return pa.table({"id": units["id"], "doc": units["doc"], "single": units["single"], "piece": units["piece"], "part": units["part"],
-                         "n_a": np.diff(u.a_off), "n_b": np.diff(u.b_off), "n_groups": groups, "n_links": n_links,
-                         "n_best": sums[0], "count_sum": sums[1],
-                         "groups": pa.array([s if with_groups or not one else None for s, one in zip(said, single)], pa.binary()),
-                         "sha": pa.array([hashlib.sha256(s).hexdigest() if one else None for s, one in zip(said, single)], pa.string())})
+        out = []
+        for e in _entries(blocks.to_batches()):
+            u = e.units(t)
+            keys, links = u.pairs()
+            at, unit = np.searchsorted(pair, keys & 0xFFFFFFFF), keys >> 32
+            n = len(e.doc)
+            sums = [np.zeros(n, np.int64), np.zeros(n, np.int64)]
+            first = _runs(unit)
+            if len(first):
+                for s, value in zip(sums, (links * best[at].astype(np.int64), links * count[at])):
+                    s[unit[first]] = np.add.reduceat(value, first)
+            groups, n_links = u.per_unit()
+            text, off = u.written()
+            said = [text[x:max(x, y - 1)].tobytes() for x, y in zip(off, off[1:])]
+            single = (e.pieces == SINGLE) | (e.pieces == NONE)
+            shown = pa.array([s if with_groups or not one else None for s, one in zip(said, single)], pa.binary())
+            digest = pa.array([(hashlib.sha256(s).hexdigest() if s else "") if one else None for s, one in zip(said, single)], pa.string())
+            rows = pa.table({"id": e.id, "doc": e.doc, "single": single, "piece": e.piece,
+                             "part": np.where(e.pieces == STITCHED, TAIL, MIDDLE).astype(np.int32), "n_a": np.diff(u.a_off), "n_b": np.diff(u.b_off),
+                             "n_groups": groups, "n_links": n_links, "n_best": sums[0], "count_sum": sums[1], "groups": shown, "sha": digest})
+            out.append(rows.filter(pa.array(single | (groups > 0))))
+        return pa.concat_tables(out)
     return run
 
 
@@ -336,41 +404,34 @@ def align(df: DataFrame, vocab: str, model: str, ranks: str | None = None, patte
     key = (vocab, ranks, pattern, model)
     kind = df.schema[id_col].dataType.simpleString()
     texts = df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string"))
-    pieces = cut(texts.mapInArrow(_tokenise(key, work, block_tokens),
-                                  f"id {kind}, doc long, block long, piece long, pieces long, a0 long, b0 long, a binary, b binary"))
-    split = cut(pieces.where("pieces > 1").repartition("doc", "piece")
-                .mapInArrow(_split(key), f"id {kind}, doc long, block long, piece long, part int, a binary, b binary"))
+    blocks = cut(texts.mapInArrow(_tokenise(key, work, block_tokens), _BLOCK.format(kind=kind)))
+    fragments = cut(blocks.where(F.exists("pieces", lambda p: p > 1))
+                    .mapInArrow(_fragments(key), f"id {kind}, doc long, piece long, part int, a binary, b binary"))
     order = W.partitionBy("doc").orderBy("piece", "part").rowsBetween(W.unboundedPreceding, 0)
-    closed = F.coalesce(F.last(F.when(F.col("part") == TAIL, F.col("piece")), ignorenulls=True).over(order), F.lit(-1))
+    closed = F.coalesce(F.last(F.when(F.col("part") == TAIL, F.col("piece")), ignorenulls=True).over(order), F.lit(-1).cast("long"))
 
     def joined(side: str):
         return F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p[side])), "")).alias(side)
 
-    stitched = (split.where(F.col("part") != MIDDLE).withColumn("after", closed.cast("long")).groupBy("doc", "after")
-                .agg(F.first("id").alias("id"), F.min("block").alias("block"), F.sort_array(F.collect_list(F.struct("piece", "part", "a", "b"))).alias("parts"))
-                .select("id", "doc", "block", F.col("after").alias("piece"), F.lit(TAIL).alias("part"), joined("a"), joined("b")))
-    several = split.where(F.col("part") == MIDDLE).unionByName(stitched).where("length(a) > 0").withColumn("single", F.lit(False))
-    several = cut(several)
-    units = pieces.where("pieces = 1").select("id", "doc", "block", "piece", F.lit(MIDDLE).alias("part"), "a", "b", F.lit(True).alias("single"))
-    units = units.unionByName(several)
-
-    listed = cut(units.select("block", "single", "a", "b").mapInArrow(_listed(key), "block long, pair long, n long")
-                 .where("pair is not null"))
-    of_docs = several.select("doc", "a", "b").mapInArrow(_of_documents(key), "doc long, pair long").distinct()
+    stitched = (fragments.withColumn("after", closed).groupBy("doc", "after")
+                .agg(F.first("id").alias("id"), F.sort_array(F.collect_list(F.struct("piece", "part", "a", "b"))).alias("parts"))
+                .select("id", "doc", F.col("after").alias("piece"), joined("a"), joined("b")).where("length(a) > 0")
+                .mapInArrow(_stitched(block_tokens), _BLOCK.format(kind=kind)))
+    blocks = blocks.unionByName(cut(stitched))
+
+    listed = cut(blocks.mapInArrow(_listed(key), "block long, pair long, n long, doc long"))
+    of_docs = listed.where("block is null").select("doc", "pair").distinct()
+    listed = listed.where("block is not null")
     counts = (listed.select("pair", "n").unionByName(of_docs.select("pair", F.lit(1).cast("long").alias("n")))
               .groupBy("pair").agg(F.sum("n").alias("count")).withColumn("a", F.shiftright("pair", 16)))
     counts = cut(counts)
     highest = counts.groupBy(F.col("a").alias("of")).agg(F.max("count").alias("most"))  # at most one row per id of A
     known = counts.join(F.broadcast(highest), F.col("a") == F.col("of")).select("pair", "count", (F.col("count") == F.col("most")).alias("best"))
-    answers = listed.select("block", "pair").distinct().join(known, "pair").select("block", "pair", "count", "best")
+    answers = listed.select("block", "pair").join(known, "pair").select("block", "pair", "count", "best")
     fields = {"id": kind, "doc": "long", "single": "boolean", "piece": "long", "part": "int", "n_a": "long", "n_b": "long", "n_groups": "long",
               "n_links": "long", "n_best": "long", "count_sum": "long", "groups": "binary", "sha": "string"}
-    scored = (units.groupBy("block").cogroup(answers.groupBy("block"))
-              .applyInArrow(_scored(key, with_groups), ", ".join(f"{c} {k}" for c, k in fields.items())))
-    zero = F.lit(0).cast("long")
-    none = pieces.where("pieces = 0").select("id", "doc", F.lit(True).alias("single"), zero.alias("piece"), F.lit(MIDDLE).alias("part"),
-                                             *[zero.alias(c) for c in list(fields)[5:11]], F.lit(b"").alias("groups"), F.lit("").alias("sha"))
-    return scored.unionByName(none)
+    return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
+            .applyInArrow(_scored(key, with_groups), ", ".join(f"{c} {k}" for c, k in fields.items())))
 
 
 def _hash_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
