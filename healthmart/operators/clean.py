@@ -51,18 +51,6 @@ def dedupe_keep_first(df: DataFrame, keys, order_by=None) -> DataFrame:
     return agg.select(*out)
 
 
-def dedupe_keep_first_window(df: DataFrame, keys, order_by) -> DataFrame:
-    """Same result as ``dedupe_keep_first`` via ``row_number() = 1``.
-
-    Kept for comparison only: the window shuffles every row and puts a hot
-    key's rows into one task.
-    """
-    from pyspark.sql import Window
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*[_q(c) for c in list(order_by) + rest])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 def duplicate_key_count(df: DataFrame, keys) -> DataFrame:
     """Number of rows beyond the first per key (NULL keys group
     together). One-row frame ``duplicates``."""

@@ -109,10 +109,3 @@ def renumber_dense(df: DataFrame, dense_col: str, id_col: str, bucket_rows: int
     out = (tagged.join(F.broadcast(offsets), "__b")
                  .withColumn(id_col, (F.col("__off") + F.row_number().over(within) + F.lit(start - 1)).cast("long")))
     return out.select(id_col, *[F.col(f"`{c}`") for c in df.columns if c != id_col])
-
-
-def global_row_number(df: DataFrame, order_by, id_col: str) -> DataFrame:
-    """W1 as SQL writes it (``row_number() over (order by ...)``): one task
-    numbers every row. Reference form for tests only; use ``dense_ids``."""
-    w = Window.orderBy(*[F.col(f"`{c}`") for c in order_by])
-    return df.withColumn(id_col, F.row_number().over(w).cast("long"))

@@ -12,8 +12,8 @@ WEEKDAYS = ("Minggu", "Senin", "Selasa", "Rabu", "Kamis", "Jumat", "Sabtu")
 DAY_TYPES = ("Hari Kerja", "Akhir Pekan")
 GENDERS = ("Laki-laki", "Perempuan")
 # Label of a waiting time above the first and up to the second bound.
-WAITS = (("0 hari (sama hari)", "-1", "0"), ("1-7 hari", "0", "7"), ("8-30 hari", "7", "30"),
-         ("31-60 hari", "30", "60"), ("> 60 hari", "60", "'infinity'"))
+WAITS = (("0 hari (sama hari)", -1, 0), ("1-7 hari", 0, 7), ("8-30 hari", 7, 30),
+         ("31-60 hari", 30, 60), ("> 60 hari", 60, "'infinity'"))
 
 
 def _labels(names) -> str:
@@ -35,7 +35,7 @@ def _mean(total: str, count: str, digits: int) -> str:
 
 
 SHARE = _mean("flags", "flag_n", 4)
-PERCENT = "round(flags / nullif(flag_n, 0) * 1e2, 2)"
+PERCENT = "round(flags / nullif(flag_n, 0) * CAST(100 AS DOUBLE), 2)"
 SOURCE = f"dim_source JOIN {_per('source_id')} USING (source_id)"
 OUTCOME = f"dim_outcome JOIN {_per('outcome_id')} USING (outcome_id)"
 AGES = f"dim_age_group JOIN {_per('age_group_id')} USING (age_group_id)"
@@ -62,7 +62,7 @@ REPORT_SQL = {
     "q10_kpi_summary": KPI,
     "q1_source_totals": f"SELECT source_name AS sumber, n AS total FROM {SOURCE}",
     "q2_outcome_share": f"""SELECT outcome_label AS outcome, n AS total, persen
-FROM dim_outcome JOIN (SELECT outcome_id, n, round(n * 1e2 / sum(n) OVER (), 2) AS persen
+FROM dim_outcome JOIN (SELECT outcome_id, n, round(n * CAST(100 AS DOUBLE) / sum(n) OVER (), 2) AS persen
                        FROM {_per('outcome_id')}) USING (outcome_id)""",
     "q3_age_by_outcome": f"""SELECT outcome_label AS outcome, {_mean('ages', 'age_n', 2)} AS rata_rata_usia,
        age_lo AS usia_min, age_hi AS usia_max FROM {OUTCOME} WHERE age_n > 0""",
@@ -82,7 +82,7 @@ FROM {OUTCOME} WHERE wait_n > 0""",
        {PERCENT} AS no_show_rate_persen
 FROM {_appointments('appt_day_of_week')} LEFT JOIN {_labels(WEEKDAYS)} ON code = appt_day_of_week ORDER BY urutan""",
     "q12_wait_bucket_rate": f"""SELECT label AS kategori_tunggu, CAST(sum(n) AS BIGINT) AS total,
-       round(sum(flags) / nullif(sum(flag_n), 0) * 1e2, 2) AS no_show_rate_persen
+       round(sum(flags) / nullif(sum(flag_n), 0) * CAST(100 AS DOUBLE), 2) AS no_show_rate_persen
 FROM {_appointments('wait_days')} JOIN {WAIT_TABLE} ON wait_days > above AND wait_days <= upto
 GROUP BY label, above ORDER BY above""",
     "q13_gender_rate": f"""SELECT coalesce(label, 'Lainnya') AS gender, n AS total, {PERCENT} AS no_show_rate_persen

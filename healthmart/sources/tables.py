@@ -28,12 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Temp view per driver table, for SQL users."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)
-
-
 def _yes_no(cond: Column) -> Column:
     return F.when(cond, "Yes").otherwise("No")
 
