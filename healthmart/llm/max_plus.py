@@ -4,21 +4,29 @@ The encoding of a text is the way to cut it into vocabulary pieces with the
 largest sum of scores. A giant text is cut into chunks of fixed length that
 any task may take. The state at a chunk border is how many characters of the
 piece that spans it lie before the border (0: the border is a piece's end).
-Each chunk yields a matrix: the best sum from every state at its left border
-to every state at its right one. One sequential pass over a text's matrices
-(not its characters; vector by matrix, in one group per text) gives the
-states at all borders, and every chunk is then traced back on its own between
-its two known states. Matrices would also combine associatively by the
-max-plus product (``max_plus``); the query does not do so.
-
-Inside a chunk the same recurrence runs over units, a run of blanks and what
+
+1. Each chunk yields a matrix: the best sum from every state at its left
+   border to every state at its right one. The matrices of a run of chunks
+   are combined by the max-plus product, which is associative, in one group
+   per run; a text's few run matrices are scanned, and from the vector at its
+   start every run derives those at its inner borders: the best sums at the
+   places before each chunk, as one pass over the whole text would have them.
+2. From these, every chunk has back pointers of its own and is traced back
+   from each of its few right states: that gives the left state it leads to,
+   and what the chunk's pieces are in that case. The first, as a matrix of
+   zeros, is scanned the same way from the right, and the state found there
+   picks the second. So a giant text is shuffled once.
+
+Of cuts with equal sums the one whose last piece is longest wins, at every
+place; as the sums before a chunk are exact, ids do not depend on where the
+text was cut (scores of this kind of vocabulary are whole numbers).
+
+Inside a chunk the recurrence runs over units, a run of blanks and what
 follows up to the next one: no piece of such a vocabulary goes on from a
 letter to a blank, so between units the state is 0; line ends, which no
-piece holds, stand alone. Units repeat and are remembered, and units not yet
-known are solved many at a time, place by place, on arrays. Characters that the vocabulary lacks become byte pieces, scored
-``UNKNOWN`` below the least piece. Of cuts with equal sums the one whose last
-piece is longest wins inside a chunk, at a border the one with fewer
-characters before it.
+piece holds, stand alone. Equal units of a batch are solved once, many at a
+time, place by place, on arrays. Characters that the vocabulary lacks become
+byte pieces, scored ``UNKNOWN`` below the least piece.
 """
 
 from __future__ import annotations
@@ -26,10 +34,11 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +47,10 @@ from healthmart.llm.common import cut, mix64, quoted, table
 CHUNK = 16384
 UNKNOWN = 10.0
 BLANK = "▁"
-REMEMBERED = 200_000  # units kept per Python worker, twice: recent ones, and those before
-SHORT = 48            # characters up to which units are solved on arrays and remembered
-SLOTS = 1 << 20       # of the hash table of piece prefixes
+RUN = 32             # chunks whose matrices are combined in one group
+SHORT = 48           # characters up to which units are solved on arrays
+TOGETHER = 1 << 23   # characters whose units are looked through at a time
+SLOTS = 1 << 20      # of the hash table of piece prefixes
 _UNIT = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 _NO = -np.inf
 
@@ -55,25 +65,24 @@ class Pieces:
     longest: int
     least: float
     whole_units: bool  # no piece has a blank after another character, or a line end
-    recent: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    before: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self):
         self.spelled = {i: p.replace(BLANK, " ").encode() for p, i in self.ids.items()}
         self.spelled |= {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
+        self.said = pa.array([self.spelled.get(i, b"") for i in range(max(self.spelled) + 1)], pa.large_binary())
         # prefixes of all pieces by rolling hash, open addressing; a score marks whole pieces
-        prefixes: dict[int, float] = {}
+        prefixes: dict[int, tuple[float, int]] = {}
         for piece, score in self.scores.items():
             h = np.zeros(1, np.uint64)
             for n, c in enumerate(piece):
                 h = _roll(h, np.array([ord(c)], np.uint64))
-                prefixes[int(h[0])] = score if n == len(piece) - 1 else prefixes.get(int(h[0]), _NO)
-        self.keys, self.values, self.probes = np.zeros(SLOTS, np.uint64), np.full(SLOTS, _NO), 1
-        for h, score in prefixes.items():
+                prefixes[int(h[0])] = (score, self.ids[piece]) if n == len(piece) - 1 else prefixes.get(int(h[0]), (_NO, -1))
+        self.keys, self.values, self.names, self.probes = np.zeros(SLOTS, np.uint64), np.full(SLOTS, _NO), np.full(SLOTS, -1, np.int32), 1
+        for h, (score, name) in prefixes.items():
             at, tries = h % SLOTS, 1
             while self.keys[at]:
                 at, tries = (at + 1) % SLOTS, tries + 1
-            self.keys[at], self.values[at] = h, score
+            self.keys[at], self.values[at], self.names[at] = h, score, name
             self.probes = max(self.probes, tries)
 
     @classmethod
@@ -94,15 +103,16 @@ class Pieces:
         return cls(ids, scores, byte_ids, max(map(len, ids), default=1), least - UNKNOWN,
                    not any(re.search(f"[^{BLANK}]{BLANK}|\n", p) for p in ids))
 
-    def paths(self, text: str, lo: int, hi: int, begin: dict[int, float]) -> tuple[list[float], list[int]]:
+    def paths(self, text: str, lo: int, hi: int, begin: dict[int, float], known: int | None = None) -> tuple[list[float], list[int]]:
         """Best sums at places lo..hi of ``text`` and the length of the last
         piece there, from the sums that ``begin`` gives (by place; places
-        after lo are ends of pieces that began before it)."""
+        after lo are ends of pieces that began before it). Up to ``known``
+        these are final."""
         best, back = [_NO] * (hi - lo + 1), [0] * (hi - lo + 1)
         for p, s in begin.items():
             best[p - lo] = s
         score, longest, least = self.scores.get, self.longest, self.least
-        for i in range(lo + 1, hi + 1):
+        for i in range((lo if known is None else known) + 1, hi + 1):
             top, length = best[i - lo], 0
             for n in range(min(longest, i - lo), 0, -1):
                 before = best[i - lo - n]
@@ -131,15 +141,18 @@ class Pieces:
             end -= n
         return [i for ids in reversed(out) for i in ids]
 
-    def solve(self, units: list[str]) -> list[tuple[int, ...]]:
-        """Ids of every unit: all places of all units at once, from
-        the first characters to the last."""
-        order = sorted(range(len(units)), key=lambda i: -len(units[i]))
-        size = np.array([len(units[i]) for i in order])
-        chars = np.frombuffer("".join(units[i] for i in order).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    def solve(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units one after the other, number of ids of each): all
+        places of all units at once, from the first characters to the last,
+        and back."""
+        size = np.array(list(map(len, units)))
+        order = np.argsort(-size, kind="stable")
+        size = size[order]
+        chars = np.frombuffer("".join([units[i] for i in order.tolist()]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         start = np.cumsum(size) - size
         left = np.repeat(start + size, size) - np.arange(len(chars))
         step = np.full((self.longest, len(chars)), _NO)  # score of the piece of n + 1 characters that begins here
+        name = np.full((self.longest, len(chars)), -1, np.int32)  # and its id
         at, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
         for n in range(self.longest):
             go = left[at] > n
@@ -148,13 +161,11 @@ class Pieces:
                 break
             h = _roll(h, chars[at + n])
             slot = (h % np.uint64(SLOTS)).astype(np.int64)
-            value, known = np.full(len(at), _NO), np.zeros(len(at), bool)
+            known = np.zeros(len(at), bool)
             for probe in range(self.probes):
                 p = (slot + probe) % SLOTS
-                hit = self.keys[p] == h
-                value[hit] = self.values[p[hit]]
-                known |= hit
-            step[n, at] = value
+                hit = np.flatnonzero(self.keys[p] == h)
+                step[n, at[hit]], name[n, at[hit]], known[hit] = self.values[p[hit]], self.names[p[hit]], True
             at, h = at[known], h[known]
         step[0][step[0] == _NO] = self.least
         best = np.full((int(size.max()) + 1, len(units)), _NO)
@@ -168,59 +179,73 @@ class Pieces:
                 better = s > top
                 top[better] = s[better]
                 length[better] = n
-        out: list = [None] * len(units)
-        lengths = back.T.tolist()
-        for j, i in enumerate(order):
-            u, end, parts = units[i], len(units[i]), []
-            while end:
-                n = lengths[j][end]
-                got = self.ids.get(u[end - n:end])
-                parts.append((got,) if got is not None else tuple(self.emit(u[end - n:end])))
-                end -= n
-            out[i] = tuple(x for p in reversed(parts) for x in p)
-        return out
-
-    def learn(self, units: list[str]) -> None:
-        """Make sure that ``recall`` knows these units."""
-        new = []
-        for u in set(units):
-            if u not in self.recent:
-                got = self.before.get(u)
-                if got is not None:
-                    self.recent[u] = got
-                elif len(u) <= SHORT:
-                    new.append(u)
-        for a in range(0, len(new), 8192):
-            part = new[a:a + 8192]
-            self.recent.update(zip(part, self.solve(part), strict=True))
-
-    def forget(self) -> None:
-        """Between batches: old units that were not met again go."""
-        if len(self.recent) > REMEMBERED:
-            self.before, self.recent = self.recent, {}
-
-    def recall(self, u: str) -> tuple[int, ...]:
-        got = self.recent.get(u)
-        if got is None:
-            got = tuple(self.trace(u, 0, self.paths(u, 0, len(u), {0: 0.0})[1], len(u)))
-        return got
+        unit, begin, piece = [], [], []
+        j, end = np.arange(len(units)), size
+        while len(j):
+            n = back[end, j].astype(np.int64)
+            end = end - n
+            unit.append(j)
+            begin.append(end)
+            piece.append(name[n - 1, start[j] + end])
+            j, end = j[end > 0], end[end > 0]
+        unit, begin, piece = order[np.concatenate(unit)], np.concatenate(begin), np.concatenate(piece)
+        order = np.lexsort((begin, unit))
+        unit, begin, piece = unit[order], begin[order], piece[order]
+        strange = np.flatnonzero(piece < 0)  # characters that go by their bytes
+        spelt = [self.emit(units[unit[i]][begin[i]]) for i in strange.tolist()]
+        width = np.ones(len(piece), np.int64)
+        width[strange] = [len(x) for x in spelt]
+        ids, first = np.repeat(piece, width), np.cumsum(width) - width
+        for i, x in zip(strange.tolist(), spelt, strict=True):
+            ids[first[i]:first[i] + len(x)] = x
+        return ids, np.bincount(unit, weights=width, minlength=len(units)).astype(np.int64)
+
+    def spell(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all units one after the other, number of ids of each,
+        whether its ids spell the unit). Equal units are solved once."""
+        if not units:
+            return np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, bool)
+        coded = pa.array(units, pa.large_string()).dictionary_encode()
+        code, names = coded.indices.to_numpy(), coded.dictionary
+        distinct, size = names.to_pylist(), pc.utf8_length(names).to_numpy()
+        order = np.argsort(size, kind="stable")
+        short = order[size[order] <= SHORT]
+        parts, counts = [], np.zeros(len(distinct), np.int64)
+        for a in range(0, len(short), 8192):
+            some = short[a:a + 8192]
+            ids, counts[some] = self.solve([distinct[i] for i in some.tolist()])
+            parts.append(ids)
+        for i in order[len(short):].tolist():
+            u = distinct[i]
+            ids = np.array(self.trace(u, 0, self.paths(u, 0, len(u), {0: 0.0})[1], len(u)), np.int32)
+            counts[i] = len(ids)
+            parts.append(ids)
+        flat = np.concatenate(parts)
+        begin = np.empty(len(distinct), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        same = self._spelt(names.take(pa.array(order)), flat, counts[order])[np.argsort(order)]
+        n = counts[code]
+        return flat[np.repeat(begin[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n, same[code]
+
+    def _spelt(self, units: pa.Array, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Whether the ids of every unit spell it: all bytes at once, and unit
+        by unit only if something differs."""
+        plain = pc.replace_substring(units, BLANK, " ").cast(pa.large_binary())
+        said = self.said.take(pa.array(ids))
+        ends = np.cumsum(counts)
+        upto = np.frombuffer(said.buffers()[1], np.int64)[said.offset + ends]
+        if np.array_equal(upto, np.cumsum(pc.binary_length(plain).to_numpy())) and \
+                memoryview(said.buffers()[2] or b"") == memoryview(plain.buffers()[2] or b"")[:int(upto[-1])]:
+            return np.ones(len(units), bool)
+        each = zip(plain.to_pylist(), (ends - counts).tolist(), ends.tolist(), strict=True)
+        return np.array([b"".join(said[a:b].to_pylist()) == u for u, a, b in each], bool)
 
     def units(self, text: str) -> list[str]:
         return _UNIT.findall(text) if self.whole_units else [text]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text that is one chunk."""
-        units = self.units(prepared(text))
-        self.learn(units)
-        return self.ids_of(units)
-
-    def ids_of(self, units: list[str]) -> list[int]:
-        out: list[int] = []
-        known = self.recent.get
-        for u in units:
-            got = known(u)
-            out += got if got is not None else self.recall(u)
-        return out
+        return self.spell(self.units(prepared(text)))[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "surrogatepass")
@@ -270,33 +295,38 @@ class Pieces:
                     out[s, t] = head + tail[hi - t - last]
         return out
 
-    def chunk_ids(self, text: str, lo: int, hi: int, enter: int, leave: int) -> list[int]:
-        """Ids of the pieces that end in the chunk, given both states; the
-        piece that spans the left border belongs to this chunk."""
-        end = hi - leave
+    def head(self, text: str, lo: int, end: int, before: np.ndarray) -> tuple[int, list[float], list[int]]:
+        """(first place looked at, best sums, lengths of last pieces) up to
+        ``end``; before[s] is the best sum at the place lo - s."""
+        a = max(0, lo - len(before) + 1)
+        begin = {lo - s: float(before[s]) for s in range(lo - a + 1) if before[s] != _NO}
+        return (a, *self.paths(text, a, end, begin, known=lo))
+
+    def outcomes(self, text: str, lo: int, hi: int, before: np.ndarray) -> list[tuple[int, list[int], bool] | None]:
+        """For every right state: the left state that the best path there
+        comes from, the ids of the pieces that end in the chunk text[lo:hi]
+        (the one that spans the left border is its own), and whether they
+        spell it; None where no path ends."""
         first, last = self._borders(text, lo, hi)
-        last = min(last, end)
-        head_end = end if first == hi else first
-        out: list[int] = []
-        if head_end > lo or first == hi:
-            best, back = self.paths(text, lo, head_end, self.entries(text, lo, head_end, enter))
-            at = head_end
-            rest: list[list[int]] = []
-            while at > lo and back[at - lo]:
-                k = back[at - lo]
-                rest.append(self.emit(text[at - k:at]))
-                at -= k
-            if enter:
-                out += self.emit(text[lo - enter:at])
-            for ids in reversed(rest):
-                out += ids
-        if first < hi:
-            units = self.units(text[first:last])
-            self.learn(units)
-            out += self.ids_of(units)
-            if end > last:
-                out += self.trace(text, last, self.paths(text, last, end, {last: 0.0})[1], end)
-        return out
+        a, best, back = self.head(text, lo, first, before)
+
+        def traced(at: int) -> tuple[int, list[int]]:
+            rest = []
+            while at > lo:
+                n = back[at - a]
+                rest.append(self.emit(text[at - n:at]))
+                at -= n
+            return at, [i for ids in reversed(rest) for i in ids]
+
+        exits = range(min(self.longest, hi - lo + 1))
+        if first == hi:
+            out = [traced(hi - t) if best[hi - t - a] != _NO else None for t in exits]
+        else:
+            begin, ids = traced(first)
+            ids = ids + self.spell(self.units(text[first:last]))[0].tolist()
+            tail, back_tail = self.paths(text, last, hi, {last: 0.0})
+            out = [(begin, ids + self.trace(text, last, back_tail, hi - t)) if hi - t >= last and tail[hi - t - last] != _NO else None for t in exits]
+        return [x and (lo - x[0], x[1], self.decode(x[1]) == text[x[0]:hi - t].replace(BLANK, " ")) for t, x in zip(exits, out, strict=True)]
 
 
 def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -313,16 +343,49 @@ def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(1)
 
 
-def border_states(matrices: list[np.ndarray]) -> list[int]:
-    """State at every chunk border of the best path that starts and ends in
-    state 0: max-plus products from the left, then back from the right."""
-    ahead = [np.where(np.arange(len(matrices[0])) == 0, 0.0, _NO)]
-    for m in matrices:
-        ahead.append((ahead[-1][:, None] + m).max(0))
-    states = [0]
-    for m, f in zip(reversed(matrices), reversed(ahead[:-1]), strict=True):
-        states.append(int((f + m[:, states[-1]]).argmax()))
-    return states[::-1]
+def _cells(binary: bytes) -> np.ndarray:
+    x = np.frombuffer(binary, np.float64)
+    side = int(len(x) ** 0.5)
+    return x.reshape(side, side)
+
+
+def _ordered(t: pa.Table, by: str) -> tuple[pa.Table, list[np.ndarray]]:
+    t = t.sort_by(by)
+    return t, [_cells(c) for c in t["cells"].to_pylist()]
+
+
+def scan(matrices: DataFrame, run: int = RUN) -> DataFrame:
+    """(row, chunk, before): for every chunk the max-plus product, from state
+    0, of the matrices of the chunks before it. ``matrices``: (row, chunk,
+    cells), in the order of chunk. Products of runs in parallel, a scan over
+    the few products of a row, inner vectors of the runs in parallel."""
+    m = matrices.withColumn("run", F.floor(F.col("chunk") / F.lit(run)).cast("long"))
+
+    def product(t: pa.Table) -> pa.Table:
+        t, ms = _ordered(t, "chunk")
+        while len(ms) > 1:  # a tree of products
+            ms = [max_plus(*ms[i:i + 2]) if i + 1 < len(ms) else ms[i] for i in range(0, len(ms), 2)]
+        return pa.table({"row": t["row"][:1], "run": t["run"][:1], "cells": pa.array([ms[0].tobytes()], pa.binary())})
+
+    def vectors(start: np.ndarray, ms: list[np.ndarray]) -> list[np.ndarray]:
+        out = [start]
+        for x in ms[:-1]:
+            out.append((out[-1][:, None] + x).max(0))
+        return out
+
+    def starts(t: pa.Table) -> pa.Table:
+        t, ms = _ordered(t, "run")
+        got = vectors(np.where(np.arange(len(ms[0])) == 0, 0.0, _NO), ms)
+        return pa.table({"row": t["row"], "run": t["run"], "start": pa.array([v.tobytes() for v in got], pa.binary())})
+
+    def inner(t: pa.Table, s: pa.Table) -> pa.Table:
+        t, ms = _ordered(t, "chunk")
+        got = vectors(np.frombuffer(s["start"][0].as_py(), np.float64), ms)
+        return pa.table({"row": t["row"], "chunk": t["chunk"], "before": pa.array([v.tobytes() for v in got], pa.binary())})
+
+    products = m.groupBy("row", "run").applyInArrow(product, "row long, run long, cells binary")
+    begun = products.groupBy("row").applyInArrow(starts, "row long, run long, start binary")
+    return m.groupBy("row", "run").cogroup(begun.groupBy("row", "run")).applyInArrow(inner, "row long, chunk long, before binary")
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -358,13 +421,13 @@ def _chunks(model_file: str, size: int):
     return run
 
 
-def _groups(rows: list[tuple], size: int = 1 << 19) -> Iterator[list[tuple]]:
-    """Rows in runs of about ``size`` characters: units that are new in a run
-    are solved together."""
+def _groups(texts: list[str], size: int = TOGETHER) -> Iterator[list[str]]:
+    """Texts in runs of about ``size`` characters, whose units are solved
+    together."""
     run, n = [], 0
-    for r in rows:
-        run.append(r)
-        n += len(r[0])
+    for t in texts:
+        run.append(t)
+        n += len(t)
         if n >= size:
             yield run
             run, n = [], 0
@@ -373,69 +436,92 @@ def _groups(rows: list[tuple], size: int = 1 << 19) -> Iterator[list[tuple]]:
 
 
 def _encoded(model_file: str, with_ids: bool):
-    """Ids of chunks whose border states are known."""
+    """Ids of texts that are one chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for batch in batches:
             cols = {f.name: batch.column(i) for i, f in enumerate(batch.schema)}
-            num, crc, same, ids_out = [], [], [], []
-            rows = list(zip(*(cols[c].to_pylist() for c in ("text", "lo", "n", "enter", "leave")), strict=True))
-            for group in _groups(rows):
-                cuts = [p.units(r[0]) if r[2] == 1 else None for r in group]
-                p.forget()
-                p.learn([u for units in cuts if units for u in units])
-                for units, (text, lo, n, enter, leave) in zip(cuts, group, strict=True):
-                    ids = p.ids_of(units) if n == 1 else p.chunk_ids(text, lo, len(text), enter, leave)
-                    same.append(p.decode(ids) == text[lo - enter:len(text) - leave].replace(BLANK, " "))
-                    arr = np.array(ids, "<u4")
-                    num.append(len(ids))
-                    crc.append(zlib.crc32(arr.tobytes()))
-                    if with_ids:
-                        ids_out.append(arr.astype(np.int32))
-            out = [cols["id"], cols["row"], cols["chunk"], pa.array(num, pa.int64()), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())]
-            if with_ids:
-                out.append(pa.array(ids_out, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(out, ["id", "row", "chunk", "n_tokens", "ids_crc32", "round_trip", "ids"][:len(out)])
+            out: list[tuple[np.ndarray, bool]] = []
+            for group in _groups(cols["text"].to_pylist()):
+                cuts = [p.units(text) for text in group]
+                ids, n, same = p.spell([u for units in cuts for u in units])
+                ids, per = ids.astype("<u4"), np.array([len(c) for c in cuts])
+                ends = np.concatenate([[0], np.cumsum(per)])
+                token, wrong = (np.concatenate([[0], np.cumsum(x)])[ends].tolist() for x in (n, ~same))
+                out += [(ids[a:b], v == w) for a, b, v, w in zip(token, token[1:], wrong, wrong[1:], strict=False)]
+            yield _result([cols["id"], cols["row"], cols["chunk"]], out, with_ids)
     return run
 
 
+def _result(keys: list[pa.Array], out: list[tuple[np.ndarray, bool]], with_ids: bool) -> pa.RecordBatch:
+    done = [*keys, pa.array([len(x) for x, _ in out], pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x, _ in out], pa.int64()),
+            pa.array([bool(s) for _, s in out], pa.bool_())]
+    if with_ids:
+        done.append(pa.array([x.astype(np.int32) for x, _ in out], pa.list_(pa.int32())))
+    return pa.RecordBatch.from_arrays(done, ["id", "row", "chunk", "n_tokens", "ids_crc32", "round_trip", "ids"][:len(done)])
+
+
 def encode_texts(df: DataFrame, model_file: str, chunk: int = CHUNK, with_ids: bool = True,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", run: int = RUN) -> DataFrame:
     """One row per chunk: id, row (tells repeated ids apart), chunk (from 0),
     n_tokens, ids_crc32, round_trip (decoding gives back the characters that
-    the chunk's pieces cover) and ids. A text's ids are its chunks' in order.
+    the chunk's pieces cover) and ids. A text's ids are its chunks' in order,
+    the same for any ``chunk`` (not less than the longest piece) and ``run``.
 
     NULL and empty texts have one chunk without tokens. A blank mark in a
-    text counts as a blank. Other columns are not read.
+    text counts as a blank. Repeated rows are encoded each; an empty table
+    gives no rows. Other columns are not read.
     """
     kind = df.schema[id_col].dataType.simpleString()
+    chunk = max(chunk, pieces(model_file).longest)
     texts = df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string").alias("text"))
     schema = f"id {kind}, row long, chunk long, n long, lo long, text string"
     out = f"id {kind}, row long, chunk long, n_tokens long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")
-    # a text of one chunk starts and ends in state 0; only giant texts need the scan
+    # a text of one chunk starts and ends in state 0; only giant texts need the scans
     short = texts.where(F.coalesce(F.length("text"), F.lit(0)) < chunk).mapInArrow(_chunks(model_file, chunk), schema)
-    short = short.select("*", F.lit(0).cast("long").alias("enter"), F.lit(0).cast("long").alias("leave"))
     giant = cut(texts.where(F.length("text") >= chunk).mapInArrow(_chunks(model_file, chunk), schema).withColumn("row", -1 - F.col("row")))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            p.forget()
             cells = [p.matrix(t, lo, len(t)).tobytes() for t, lo in zip(b.column(3).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(cells, pa.binary())], ["row", "chunk", "cells"])
 
-    def scan(t: pa.Table) -> pa.Table:
-        t = t.sort_by("chunk")
-        cells = [np.frombuffer(c, np.float64) for c in t["cells"].to_pylist()]
-        side = int(len(cells[0]) ** 0.5)
-        states = border_states([c.reshape(side, side) for c in cells])
-        return pa.table({"row": t["row"], "chunk": t["chunk"], "enter": pa.array(states[:-1], pa.int64()), "leave": pa.array(states[1:], pa.int64())})
-
-    spread = giant.repartition("row", "chunk")
-    states = (spread.select("row", "chunk", "lo", "text").mapInArrow(matrices, "row long, chunk long, cells binary")
-              .groupBy("row").applyInArrow(scan, "row long, chunk long, enter long, leave long"))
-    long = giant.join(states, ["row", "chunk"]).select(*short.columns)
-    return short.unionByName(long).mapInArrow(_encoded(model_file, with_ids), out)
+    def outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per chunk: which left state each right one comes from
+        (transposed and counted backwards, for a scan from the right), and
+        the result in the case of each right state."""
+        p = pieces(model_file)
+        for b in batches:
+            cols = {f.name: b.column(i) for i, f in enumerate(b.schema)}
+            cells, cases = [], []
+            for text, lo, before in zip(*(cols[c].to_pylist() for c in ("text", "lo", "before")), strict=True):
+                m, case = np.full((p.longest, p.longest), _NO), []
+                for t, x in enumerate(p.outcomes(text, lo, len(text), np.frombuffer(before, np.float64))):
+                    ids = np.array(x[1] if x else [], "<u4")
+                    if x:
+                        m[t, x[0]] = 0.0
+                    one = {"n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.tobytes()), "round_trip": bool(x and x[2])}
+                    case.append(one | ({"ids": ids.astype(np.int32)} if with_ids else {}))
+                cells.append(m.tobytes())
+                cases.append(case)
+            fields = [("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("round_trip", pa.bool_()), *([("ids", pa.list_(pa.int32()))] if with_ids else [])]
+            yield pa.RecordBatch.from_arrays([cols["id"], cols["row"], cols["chunk"], pa.array(cells, pa.binary()),
+                                              pa.array(cases, pa.list_(pa.struct(fields)))], ["id", "row", "chunk", "cells", "cases"])
+
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            state = [int(np.frombuffer(v, np.float64).argmax()) for v in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(-b.column(1).to_numpy()), pa.array(state, pa.int64())], ["row", "chunk", "leave"])
+
+    before = scan(giant.select("row", "chunk", "lo", "text").mapInArrow(matrices, "row long, chunk long, cells binary"), run)
+    case = "struct<n_tokens: bigint, ids_crc32: bigint, round_trip: boolean" + (", ids: array<int>>" if with_ids else ">")
+    known = cut(giant.join(before, ["row", "chunk"]).select("id", "row", "chunk", "lo", "text", "before")
+                .mapInArrow(outcomes, f"id {kind}, row long, chunk long, cells binary, cases array<{case}>"))
+    leave = scan(known.select("row", (-F.col("chunk")).alias("chunk"), "cells"), run).mapInArrow(left, "row long, chunk long, leave long")
+    long = known.join(leave, ["row", "chunk"]).select("id", "row", "chunk", F.get("cases", F.col("leave").cast("int")).alias("case"))
+    short = short.select("id", "row", "chunk", "text").mapInArrow(_encoded(model_file, with_ids), out)
+    return short.unionByName(long.select("id", "row", "chunk", "case.*"))
 
 
 def op6_max_plus_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

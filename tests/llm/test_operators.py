@@ -202,20 +202,43 @@ def test_bag_minhash_estimates_weighted_jaccard():
 
 
 def test_max_plus(docs, none):
+    """Ids are those of one whole pass, wherever a text is cut and however
+    many chunks make a run."""
     import public_tokenizers as P
-    p = max_plus.pieces(P.path("piece_bpe_32k.model"))
-    out = max_plus.encode_texts(docs, P.path("piece_bpe_32k.model"), chunk=64).collect()
-    assert all(r["round_trip"] for r in out) and max(r["chunk"] for r in out) > 100
+    model = P.path("piece_bpe_32k.model")
+    p = max_plus.pieces(model)
+    want = {}
     for i, t in _texts():
-        ids = [x for r in sorted((r for r in out if r["id"] == i), key=lambda r: r["chunk"]) for x in r["ids"]]
         whole = max_plus.prepared(t or "")
-        best, _ = p.paths(whole, 0, len(whole), {0: 0.0})
-        # cuts with equal sums may differ at a border, so sums are compared
-        names = {k: w for w, k in p.ids.items()}
-        lost = sum(c not in p.ids for c in whole)
-        assert sum(p.scores[names[x]] for x in ids if x in names) + lost * p.least == best[-1]
-        assert p.decode(ids) == (" " + t if t else "")
-    assert max_plus.encode_texts(none, P.path("piece_bpe_32k.model")).count() == 0
+        want[i, t] = p.trace(whole, 0, p.paths(whole, 0, len(whole), {0: 0.0})[1], len(whole))
+        assert p.decode(want[i, t]) == (" " + t if t else "")
+    for chunk, run in ((64, 2), (64, 32), (100, 3), (1000, 32), (16384, 32), (10 ** 6, 32)):
+        out = max_plus.encode_texts(docs, model, chunk=chunk, run=run).collect()
+        assert all(r["round_trip"] for r in out)
+        if chunk == 64:
+            assert max(r["chunk"] for r in out) > 100
+        for i, t in _texts():
+            ids = [x for r in sorted((r for r in out if r["id"] == i), key=lambda r: r["chunk"]) for x in r["ids"]]
+            assert ids == want[i, t], (chunk, i)
+    assert max_plus.encode_texts(none, model).count() == 0
+
+
+def test_max_plus_without_blanks(spark):
+    """Texts without units: states at borders come from the scans alone."""
+    import random
+
+    import public_tokenizers as P
+    model = P.path("piece_bpe_32k.model")
+    p = max_plus.pieces(model)
+    rng = random.Random(2)
+    texts = ["".join(rng.choice(a) for _ in range(400)) for a in ("ab", "tionerstahing", "日本語中国人x", "aAzZ09+/")] * 3
+    rows = [(i, t) for i, t in enumerate(texts)]
+    for chunk in (20, 33):
+        out = max_plus.encode_texts(spark.createDataFrame(rows, "doc_id long, text string"), model, chunk=chunk, run=3).collect()
+        for i, t in rows:
+            whole = max_plus.prepared(t)
+            ids = [x for r in sorted((r for r in out if r["id"] == i), key=lambda r: r["chunk"]) for x in r["ids"]]
+            assert ids == p.trace(whole, 0, p.paths(whole, 0, len(whole), {0: 0.0})[1], len(whole))
 
 
 def test_matrices_combine_associatively():
@@ -424,3 +447,51 @@ def test_pipeline_against_brute_force(spark, scratch, monkeypatch):
     for b in bins.values():
         b.sort()
         assert [o for o, _ in b] == [sum(n for _, n in b[:k]) for k in range(len(b))] and sum(n for _, n in b) <= 2048
+
+
+def test_columns_named_like_the_operators_own(spark):
+    """Dots, blanks and the operators' own names: every input column comes
+    through the four filtering stages with its own values."""
+    own = ["score", "predicted", "kept", "class_id", "n_lines", "n_bytes", "n_spans", "kept_sha256", "row", "carried", "a.b", "x y", "id"]
+    texts = [(i, t) for i, t in _texts() if i is not None]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"`{c}` string" for c in own)
+    docs = spark.createDataFrame([(i, t, len(t or ""), *[f"mine {c} {i}" for c in own]) for i, t in texts], schema).repartition(2)
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.schema == docs.schema or [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        kept[name] = out.collect()
+        for r in kept[name]:
+            assert [r[c] for c in own] == [f"mine {c} {r['doc_id']}" for c in own]
+            assert r["n_chars"] == (None if r["text"] is None and name in ("line_dedup", "passages") else len(r["text"] or "")) or r["text"] is None
+    assert len(kept["line_dedup"]) == len(kept["passages"]) == len(texts)
+    assert all(sum(x["doc_id"] in (0, 1) for x in kept["near_dedup"]) == 1 for _ in (0,))
+
+
+def test_packing_keeps_columns_of_any_name(spark):
+    pieces = spark.createDataFrame([(i, 0, 100 + i, "p", "r", "b", "q") for i in range(50)],
+                                   "id long, piece int, length long, _part string, _rank string, _before string, `rank x.y` string")
+    out = packing.best_fit_pack(pieces)
+    assert out.columns == [*pieces.columns, "sequence_id", "offset", "slot"]
+    assert {(r["_part"], r["_rank"], r["_before"], r["rank x.y"]) for r in out.collect()} == {("p", "r", "b", "q")}
+    again = packing.best_fit_pack(out)  # its own columns give way
+    assert again.columns == out.columns and again.count() == 50
+
+
+def test_names_with_dots_and_blanks(spark):
+    docs = spark.createDataFrame([(1, "some words here", "en", 1), (2, None, None, 2)], "doc_id long, text string, lang string, `a.b c` int")
+    model = pu_quality.fit_nnpu(np.zeros((0, 1)), np.zeros((0, 1)), 0.5)
+    model = pu_quality.Model(np.zeros(pu_quality.N_FEATURES), np.ones(pu_quality.N_FEATURES), np.zeros(pu_quality.N_FEATURES), model.b, 0.5)
+    assert sorted(r["a.b c"] for r in pu_quality.score_quality(docs, model).collect()) == [1, 2]
+    assert sorted(r["a.b c"] for r in byte_cnn.identify(docs, byte_cnn.train(docs)).collect()) == [1, 2]
+    assert sorted(r["a.b c"] for r in suffix_dedup.remove_repeats(docs).collect()) == [1, 2]
+
+
+def test_all_residuals_select_and_cost_no_sequence():
+    rng = np.random.default_rng(4)
+    counts = collections.Counter(np.minimum(2048, rng.lognormal(5, 1, 3000).astype(int) + 1).tolist())
+    least = math.ceil(sum(n * k for n, k in counts.items()) / packing.CAPACITY)
+    plans = {w: packing.plan_bins(dict(counts), weights=w) for w in (packing.WEIGHTS, (1.0, 0.0, 0.0))}
+    assert plans[packing.WEIGHTS] != plans[1.0, 0.0, 0.0]
+    for runs in plans.values():
+        assert max(r[2] + r[3] for r in runs) == least
