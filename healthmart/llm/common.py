@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +47,27 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def give_back() -> None:
+    """Return memory that nothing uses to the system: a Python worker lives
+    on and would keep it through the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``fn`` for ``mapInArrow``, giving memory back after every batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in fn(batches):
+            yield out
+            del out
+            give_back()
+        give_back()
+    return run
+
+
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without a Python object per text;
     text i is ``bytes[offsets[i]:offsets[i + 1]]``, NULL texts are empty."""

@@ -29,22 +29,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from healthmart.llm.common import cut, quoted, table
+from healthmart.llm.common import cut, give_back, lean, quoted, table
 from healthmart.llm.packing import Encoder
 
 WORK = 16384           # merge steps of a piece
 BLOCK_TOKENS = 1 << 20  # tokens of both kinds in a block
-LINKS = 1 << 21        # links laid out at a time
+TOGETHER = 1 << 18     # tokens of a block laid out at a time
+LINKS = 1 << 20        # links laid out at a time
 HEAD, MIDDLE, TAIL, WHOLE = 0, 1, 2, 3
 # how a block's entry is cut: a document without tokens, a whole document, a
 # whole stitched group, or (above 1) one of that many pieces of a document
 NONE, SINGLE, STITCHED = 0, 1, -1
+SIZES, IDS = b"s", b"i"  # how a block keeps its ids of B
 
 
 class Tokenizers:
@@ -63,6 +66,20 @@ class Tokenizers:
         self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_len = np.array([len(t) for t in self.a_bytes], np.int64)
         self.b_len = np.array([len(t) for t in self.b_bytes], np.int64)
+        self.a_said = pa.array(self.a_bytes, pa.binary())
+        # bytes to id of B; where a character has a piece, its byte's piece is not used
+        plain_first = sorted(range(len(self.b_bytes)), key=lambda i: (self.b.is_byte(i), self.b.is_control(i) or self.b.is_unknown(i), i))
+        named = {self.b_bytes[i]: i for i in reversed(plain_first)}
+        self.b_said, self.b_id = pa.array(list(named), pa.binary()), np.array(list(named.values()), "<u2")
+
+    def b_of(self, a: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
+        """Ids of B from those of A and the sizes of B's pieces in bytes;
+        None if some piece has no id."""
+        text = self.a_said.take(pa.array(a)).buffers()[2]
+        off = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(off), text if text is not None else pa.py_buffer(b"")])
+        at = pc.index_in(pieces, value_set=self.b_said)
+        return None if at.null_count else self.b_id[at.to_numpy()]
 
     @staticmethod
     def _piece(piece: str) -> bytes:
@@ -231,10 +248,17 @@ class Block:
         self.b.append(b)
         self.tokens += len(a) + len(b)
 
-    def row(self) -> pa.RecordBatch:
+    def row(self, t: Tokenizers) -> pa.RecordBatch:
+        """One row. Given A, the sizes of B's pieces tell their ids; where
+        they should not (each block is tried), the ids are kept."""
         n = len(self.entries)
         lists = [pa.concat_arrays(self.ids), *[pa.array(c, pa.int64()) for c in zip(*self.entries)]]
-        packed = [zstandard.ZstdCompressor(level=3).compress(np.concatenate(x).astype("<u2").tobytes()) for x in (self.a, self.b)]
+        a, b = np.concatenate(self.a).astype("<u2"), np.concatenate(self.b).astype("<u2")
+        sizes = t.b_len[b]
+        aligned = int(t.a_len[a].sum()) == int(sizes.sum()) and int(sizes.max(initial=0)) < 256
+        same = aligned and (got := t.b_of(a, sizes)) is not None and np.array_equal(got, b)
+        shrink = zstandard.ZstdCompressor(level=3).compress
+        packed = [shrink(a.tobytes()), SIZES + shrink(sizes.astype(np.uint8).tobytes()) if same else IDS + shrink(b.tobytes())]
         return pa.RecordBatch.from_arrays(
             [pa.array([self.number], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), c) for c in lists],
              *[pa.array([p], pa.binary()) for p in packed]], ["block", "id", *_COLUMNS, "a", "b"])
@@ -243,12 +267,15 @@ class Block:
 class Entries:
     """One row of a block, unpacked."""
 
-    def __init__(self, batch, i: int):
+    def __init__(self, t: Tokenizers, batch, i: int):
         self.block = batch.column("block")[i].as_py()
         self.id = batch.column("id")[i].values
         for c in _COLUMNS:
             setattr(self, c, batch.column(c)[i].values.to_numpy())
-        self.a, self.b = (np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column(c)[i].as_py()), "<u2") for c in "ab")
+        a, b = (batch.column(c)[i].as_py() for c in "ab")
+        expand = zstandard.ZstdDecompressor().decompress
+        self.a, raw = np.frombuffer(expand(a), "<u2"), expand(b[1:])
+        self.b = t.b_of(self.a, np.frombuffer(raw, np.uint8)) if b[:1] == SIZES else np.frombuffer(raw, "<u2")
         self.a_off, self.b_off = (np.concatenate([[0], np.cumsum(n)]) for n in (self.n_a, self.n_b))
 
     def parts(self, t: Tokenizers) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]]]]:
@@ -257,9 +284,10 @@ class Entries:
             yield k, _slices(t, self.a[self.a_off[k]:self.a_off[k + 1]], self.b[self.b_off[k]:self.b_off[k + 1]],
                              int(self.a0[k]), int(self.b0[k]), int(self.piece[k]))
 
-    def units(self, t: Tokenizers) -> "Units":
-        """The whole groups of every entry; pieces lose what lies before
-        their first and after their last common end."""
+    def units(self, t: Tokenizers, tokens: int = TOGETHER) -> Iterator[tuple[slice, "Units"]]:
+        """Runs of entries of about ``tokens`` tokens and their whole groups;
+        pieces lose what lies before their first and after their last common
+        end."""
         keep_a, keep_b = np.ones(len(self.a), bool), np.ones(len(self.b), bool)
         n_a, n_b = self.n_a.copy(), self.n_b.copy()
         for k, parts in self.parts(t):
@@ -269,13 +297,19 @@ class Entries:
                 keep[off[k]:off[k] + head[at]] = False
                 keep[off[k] + head[at] + middle[at]:off[k + 1]] = False
                 n[k] = middle[at]
-        return Units(t, self.a[keep_a], n_a, self.b[keep_b], n_b)
+        upto = self.a_off + self.b_off
+        lo = 0
+        while lo < len(self.doc):
+            hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + tokens, "right")) - 1)
+            x, y = (slice(off[lo], off[hi]) for off in (self.a_off, self.b_off))
+            yield slice(lo, hi), Units(t, self.a[x][keep_a[x]], n_a[lo:hi], self.b[y][keep_b[y]], n_b[lo:hi])
+            lo = hi
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
+def _entries(t: Tokenizers, batches: Iterator[pa.RecordBatch]) -> Iterator[Entries]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield Entries(batch, i)
+            yield Entries(t, batch, i)
 
 
 def _tokenise(key: tuple, work: int, block_tokens: int):
@@ -295,10 +329,10 @@ def _tokenise(key: tuple, work: int, block_tokens: int):
                         place = (doc, p, len(pieces) if ab else NONE, int(ends[0][i - 1]) if i else 0, int(ends[1][j - 1]) if j else 0)
                         block.add(batch.column(0).slice(k, 1), place, a[i:i1], b[j:j1])
                         if block.tokens > block_tokens or len(block.entries) >= 100_000:
-                            yield block.row()
+                            yield block.row(t)
                             block = Block(block.number + 1)
         if block.entries:
-            yield block.row()
+            yield block.row(t)
     return run
 
 
@@ -307,7 +341,7 @@ def _fragments(key: tuple):
     closes a group: its TAIL is there even when it is empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*key)
-        for e in _entries(batches):
+        for e in _entries(t, batches):
             found = [(k, p, a.tobytes(), b.tobytes()) for k, parts in e.parts(t) for p, a, b in parts if p != MIDDLE]
             if found:
                 at, part, a, b = zip(*found)
@@ -317,18 +351,19 @@ def _fragments(key: tuple):
     return run
 
 
-def _stitched(block_tokens: int):
+def _stitched(key: tuple, block_tokens: int):
     """Blocks of stitched groups (id, doc, piece, a, b)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizers(*key)
         block = Block(-1 - (TaskContext.get().partitionId() << 32))
         for batch in batches:
             for k, (doc, piece, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc", "piece", "a", "b")))):
                 block.add(batch.column("id").slice(k, 1), (doc, piece, STITCHED, 0, 0), np.frombuffer(a, "<u2"), np.frombuffer(b, "<u2"))
                 if block.tokens > block_tokens:
-                    yield block.row()
+                    yield block.row(t)
                     block = Block(block.number - 1)
         if block.entries:
-            yield block.row()
+            yield block.row(t)
     return run
 
 
@@ -338,16 +373,23 @@ def _listed(key: tuple):
     only a part of document ``doc``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*key)
-        for e in _entries(batches):
-            keys, _ = e.units(t).pairs()
-            entry, pair = keys >> 32, keys & 0xFFFFFFFF
-            whole = e.pieces[entry] == SINGLE
-            found, where = np.unique(pair, return_inverse=True)
-            n = np.bincount(where, weights=whole, minlength=len(found)).astype(np.int64)
-            doc, rest = e.doc[entry[~whole]], pair[~whole]
-            of = pa.array(np.concatenate([np.full(len(found), e.block), np.zeros(len(rest), np.int64)]), mask=np.arange(len(found) + len(rest)) >= len(found))
-            docs = pa.array(np.concatenate([np.zeros(len(found), np.int64), doc]), mask=np.arange(len(found) + len(rest)) < len(found))
-            yield pa.RecordBatch.from_arrays([of, pa.array(np.concatenate([found, rest])), pa.array(np.concatenate([n, np.zeros(len(rest), np.int64)])), docs],
+        for e in _entries(t, batches):
+            seen, of_docs = [], []
+            docs, nth = np.unique(e.doc, return_inverse=True)
+            for at, u in e.units(t):
+                keys, _ = u.pairs()
+                entry, pair = (keys >> 32) + at.start, keys & 0xFFFFFFFF
+                whole = e.pieces[entry] == SINGLE
+                found, where = np.unique(pair, return_inverse=True)
+                seen.append((found, np.bincount(where, weights=whole, minlength=len(found)).astype(np.int64)))
+                of_docs.append(np.unique((nth[entry[~whole]] << 32) + pair[~whole]))
+            found, where = np.unique(np.concatenate([f for f, _ in seen]), return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate([n for _, n in seen]), minlength=len(found)).astype(np.int64)
+            parts = np.unique(np.concatenate(of_docs))  # once a document, not once a piece of it
+            doc, rest = docs[parts >> 32], parts & 0xFFFFFFFF
+            block = pa.array(np.concatenate([np.full(len(found), e.block), np.zeros(len(rest), np.int64)]), mask=np.arange(len(found) + len(rest)) >= len(found))
+            doc = pa.array(np.concatenate([np.zeros(len(found), np.int64), doc]), mask=np.arange(len(found) + len(rest)) < len(found))
+            yield pa.RecordBatch.from_arrays([block, pa.array(np.concatenate([found, rest])), pa.array(np.concatenate([n, np.zeros(len(rest), np.int64)])), doc],
                                              ["block", "pair", "n", "doc"])
     return run
 
@@ -362,26 +404,27 @@ def _scored(key: tuple, with_groups: bool):
         order = np.argsort(counts["pair"].to_numpy(), kind="stable")
         pair, count, best = (counts[c].to_numpy()[order] for c in ("pair", "count", "best"))
         out = []
-        for e in _entries(blocks.to_batches()):
-            u = e.units(t)
-            keys, links = u.pairs()
-            at, unit = np.searchsorted(pair, keys & 0xFFFFFFFF), keys >> 32
-            n = len(e.doc)
-            sums = [np.zeros(n, np.int64), np.zeros(n, np.int64)]
-            first = _runs(unit)
-            if len(first):
-                for s, value in zip(sums, (links * best[at].astype(np.int64), links * count[at])):
-                    s[unit[first]] = np.add.reduceat(value, first)
-            groups, n_links = u.per_unit()
-            text, off = u.written()
-            said = [text[x:max(x, y - 1)].tobytes() for x, y in zip(off, off[1:])]
-            single = (e.pieces == SINGLE) | (e.pieces == NONE)
-            shown = pa.array([s if with_groups or not one else None for s, one in zip(said, single)], pa.binary())
-            digest = pa.array([(hashlib.sha256(s).hexdigest() if s else "") if one else None for s, one in zip(said, single)], pa.string())
-            rows = pa.table({"id": e.id, "doc": e.doc, "single": single, "piece": e.piece,
-                             "part": np.where(e.pieces == STITCHED, TAIL, MIDDLE).astype(np.int32), "n_a": np.diff(u.a_off), "n_b": np.diff(u.b_off),
-                             "n_groups": groups, "n_links": n_links, "n_best": sums[0], "count_sum": sums[1], "groups": shown, "sha": digest})
-            out.append(rows.filter(pa.array(single | (groups > 0))))
+        for e in _entries(t, blocks.to_batches()):
+            for at, u in e.units(t):
+                keys, links = u.pairs()
+                place, unit = np.searchsorted(pair, keys & 0xFFFFFFFF), keys >> 32
+                n, kind = at.stop - at.start, e.pieces[at]
+                sums = [np.zeros(n, np.int64), np.zeros(n, np.int64)]
+                first = _runs(unit)
+                if len(first):
+                    for s, value in zip(sums, (links * best[place].astype(np.int64), links * count[place])):
+                        s[unit[first]] = np.add.reduceat(value, first)
+                groups, n_links = u.per_unit()
+                text, off = u.written()
+                said = [text[x:max(x, y - 1)].tobytes() for x, y in zip(off, off[1:])]
+                single = (kind == SINGLE) | (kind == NONE)
+                shown = pa.array([s if with_groups or not one else None for s, one in zip(said, single)], pa.binary())
+                digest = pa.array([(hashlib.sha256(s).hexdigest() if s else "") if one else None for s, one in zip(said, single)], pa.string())
+                rows = pa.table({"id": e.id[at.start:at.stop], "doc": e.doc[at], "single": single, "piece": e.piece[at],
+                                 "part": np.where(kind == STITCHED, TAIL, MIDDLE).astype(np.int32), "n_a": np.diff(u.a_off), "n_b": np.diff(u.b_off),
+                                 "n_groups": groups, "n_links": n_links, "n_best": sums[0], "count_sum": sums[1], "groups": shown, "sha": digest})
+                out.append(rows.filter(pa.array(single | (groups > 0))))
+        give_back()
         return pa.concat_tables(out)
     return run
 
@@ -404,9 +447,9 @@ def align(df: DataFrame, vocab: str, model: str, ranks: str | None = None, patte
     key = (vocab, ranks, pattern, model)
     kind = df.schema[id_col].dataType.simpleString()
     texts = df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string"))
-    blocks = cut(texts.mapInArrow(_tokenise(key, work, block_tokens), _BLOCK.format(kind=kind)))
+    blocks = cut(texts.mapInArrow(lean(_tokenise(key, work, block_tokens)), _BLOCK.format(kind=kind)))
     fragments = cut(blocks.where(F.exists("pieces", lambda p: p > 1))
-                    .mapInArrow(_fragments(key), f"id {kind}, doc long, piece long, part int, a binary, b binary"))
+                    .mapInArrow(lean(_fragments(key)), f"id {kind}, doc long, piece long, part int, a binary, b binary"))
     order = W.partitionBy("doc").orderBy("piece", "part").rowsBetween(W.unboundedPreceding, 0)
     closed = F.coalesce(F.last(F.when(F.col("part") == TAIL, F.col("piece")), ignorenulls=True).over(order), F.lit(-1).cast("long"))
 
@@ -416,10 +459,10 @@ def align(df: DataFrame, vocab: str, model: str, ranks: str | None = None, patte
     stitched = (fragments.withColumn("after", closed).groupBy("doc", "after")
                 .agg(F.first("id").alias("id"), F.sort_array(F.collect_list(F.struct("piece", "part", "a", "b"))).alias("parts"))
                 .select("id", "doc", F.col("after").alias("piece"), joined("a"), joined("b")).where("length(a) > 0")
-                .mapInArrow(_stitched(block_tokens), _BLOCK.format(kind=kind)))
+                .mapInArrow(lean(_stitched(key, block_tokens)), _BLOCK.format(kind=kind)))
     blocks = blocks.unionByName(cut(stitched))
 
-    listed = cut(blocks.mapInArrow(_listed(key), "block long, pair long, n long, doc long"))
+    listed = cut(blocks.mapInArrow(lean(_listed(key)), "block long, pair long, n long, doc long"))
     of_docs = listed.where("block is null").select("doc", "pair").distinct()
     listed = listed.where("block is not null")
     counts = (listed.select("pair", "n").unionByName(of_docs.select("pair", F.lit(1).cast("long").alias("n")))
