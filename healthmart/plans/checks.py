@@ -770,12 +770,18 @@ def q_seed_dimension(spark, sf):
     return files.seed_dimension(spark, base, "dim_segment", numbered, "seg", "seg_id")
 
 
-@register("landing_roundtrip", PROFILES_SQL)
+@register("landing_roundtrip", f"""
+SELECT *, CASE "Age" % 6 WHEN 0 THEN 'say "hi", you' WHEN 1 THEN 'two' || chr(10) || 'lines' WHEN 2 THEN '' WHEN 4 THEN ' blanks ' WHEN 5 THEN 'a,b\\' END AS "Note"
+FROM ({PROFILES_SQL})""")
 def q_landing_roundtrip(spark, sf):
     """Land the profile view as CSV with a header,
-    read it back with the schema."""
+    read it back with the schema; texts with quotes, commas, line ends,
+    blanks, empty and NULL ones stay apart."""
+    kind = F.col("Age") % 6
+    note = (F.when(kind == 0, 'say "hi", you').when(kind == 1, "two\nlines").when(kind == 2, "")
+             .when(kind == 4, " blanks ").when(kind == 5, "a,b\\"))
     base = P.scratch_base(spark, f"landing-{uuid.uuid4().hex}")
-    return files.land(disease_profiles(spark, sf), base, "raw_disease", fmt="csv")
+    return files.land(disease_profiles(spark, sf).withColumn("Note", note), base, "raw_disease", fmt="csv")
 
 
 EXPORT_ORDER = [
