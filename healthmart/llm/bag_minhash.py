@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from healthmart.llm.bloom_dedup import mark_repeats, repeat_filter
-from healthmart.llm.common import cut, mix64, pack, table, text_bytes, unpack
+from healthmart.llm.common import cut, lean, mix64, pack, table, text_bytes, unpack
 from healthmart.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -46,7 +46,7 @@ SLACK = 3.5
 MATES = 1024  # documents of one bucket in a block
 LOOK = 64     # signature places that blocks compare
 LONG = 1 << 12  # shingles beyond which a text is not carried in blocks but goes straight to verification
-BLOCK = 1 << 21  # bytes of text whose signatures are made at once
+BLOCK = 1 << 20  # bytes of text whose signatures are made at once
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -275,7 +275,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = pack(df, id_col, text_col)
     kind = base.schema["id"].dataType.simpleString()
     texts = base.select("id", "text").where("id is not null")
-    sig = cut(texts.mapInArrow(_signatures(size, bands, rows), f"id {kind}, s1 long, s2 long, n long, keys array<long>, look binary")
+    sig = cut(texts.mapInArrow(lean(_signatures(size, bands, rows)), f"id {kind}, s1 long, s2 long, n long, keys array<long>, look binary")
               .where("n > 0"))
     # texts with the same words: one representative goes on
     same = sig.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
@@ -297,7 +297,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         some = _among(pool, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
         left = pairs.join(some.select(F.col("id").alias("a"), F.col("text").alias("x")), "a")
         both = left.join(some.select(F.col("id").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-        return cut(both.mapInArrow(_similar(size, least), f"a {kind}, b {kind}").distinct())
+        return cut(both.mapInArrow(lean(_similar(size, least)), f"a {kind}, b {kind}").distinct())
 
     near = F.least("n", "m") >= least * F.greatest("n", "m") - 1e-9
     edges, tested, label = None, None, None
@@ -318,7 +318,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             mixed = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
             mine = at.join(mixed, "key").join(reps.select("id", "look"), "id")
             inside = _among(pool, mine.select("id").distinct())
-            bags = inside.mapInArrow(_bags(size), f"id {kind}, bag binary").dropDuplicates(["id"])
+            bags = inside.mapInArrow(lean(_bags(size)), f"id {kind}, bag binary").dropDuplicates(["id"])
             mine = mine.join(bags, "id")
             # a block meets every other of its bucket once: rows go to all pairs of blocks they are in
             n_blk = F.ceil(F.col("mates") / MATES).cast("int")
@@ -326,7 +326,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      .withColumn("other", F.explode(F.sequence(F.lit(0), n_blk - 1))))
             block = dealt.groupBy("key", "band", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")).agg(
                 F.collect_list(F.struct("blk", "id", "n", "label", "look", "bag")).alias("rows"))
-            pairs = block.select("band", "i", "j", "rows").mapInArrow(_alike(bands, least), f"a {kind}, b {kind}")
+            pairs = block.select("band", "i", "j", "rows").mapInArrow(lean(_alike(bands, least)), f"a {kind}, b {kind}")
             pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs)
         if pairs.isEmpty():

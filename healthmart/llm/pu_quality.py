@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from healthmart.llm.common import held_out, pack, table, text_bytes, unpack
+from healthmart.llm.common import held_out, lean, pack, table, text_bytes, unpack
 
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 FOLDS, HELD = 5, 0
@@ -135,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     plain = ids.join(marks, "doc_id", "left_anti").orderBy(order).limit(max_unlabelled)
     chosen = good.withColumn("kind", F.lit(1)).unionByName(plain.withColumn("kind", F.lit(0)))
     # at most max_positive + max_unlabelled ids: a bounded broadcast
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("kind", "text").mapInArrow(_featurise, "kind int, x array<double>").toArrow()
+    rows = docs.join(F.broadcast(chosen), "doc_id").select("kind", "text").mapInArrow(lean(_featurise), "kind int, x array<double>").toArrow()
     kind = rows["kind"].to_numpy()
     x = rows["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
     x = x[o := np.lexsort((*x.T[:8], kind))]  # row order must not depend on task order
@@ -155,8 +156,8 @@ def score_quality(df: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             s = shared.value.score(features(*text_bytes(batch.column(at))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s)], ["row", "score"])
 
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, score double"
-    out = packed.select("row", "text").mapInArrow(run, schema)
+    schema = StructType([packed.schema["row"], StructField("score", DoubleType())])
+    out = packed.select("row", "text").mapInArrow(lean(run), schema)
     return unpack(out, df, added={"score": F.col("score"), "predicted": (F.col("score") >= THRESHOLD).cast("int")})
 
 

@@ -37,8 +37,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from healthmart.llm.common import cut, mix64, quoted, table, text_bytes
+from healthmart.llm.common import cut, give_back, lean, mix64, quoted, table, text_bytes
 
 MATCH, GRAM = 100, 24
 SPAN = MATCH - GRAM + 1
@@ -348,8 +349,8 @@ def _fetch(n_sorted: int, n_buckets: int):
 
 
 def _settled(out: pa.Table) -> pa.Table:
-    """Give Arrow's unused memory back before the next group comes."""
-    pa.default_memory_pool().release_unused()
+    """Give unused memory back before the next group comes."""
+    give_back()
     return out
 
 
@@ -561,17 +562,17 @@ def _crowds(strips_: DataFrame, n_buckets: int):
     sample and is missed if 32 or fewer show, with about 1e-5."""
     rate = max(1, HOT // 64)
     total = F.sum("n").alias("n")
-    seen = strips_.select("anchor", "digest").mapInArrow(_sampled(rate), "anchor long, n long").groupBy("anchor").agg(total)
+    seen = strips_.select("anchor", "digest").mapInArrow(lean(_sampled(rate)), "anchor long, n long").groupBy("anchor").agg(total)
     crowded = seen.where(F.col("n") > HOT // (2 * rate)).select("anchor").toPandas()  # at most one for HOT / 2 strips
     if not len(crowded):
         return strips_, None, [], 0
     share = strips_.sparkSession.sparkContext.broadcast
-    dealt = strips_.mapInArrow(_deal(n_buckets, share(crowded["anchor"].to_numpy(np.int64))), _PACKED)
+    dealt = strips_.mapInArrow(lean(_deal(n_buckets, share(crowded["anchor"].to_numpy(np.int64)))), _PACKED)
     kinds = cut(dealt.where("gone = 2").groupBy("bucket").applyInArrow(_kinds(n_buckets), _PACKED))
     firsts = kinds.where("gone = 2")
-    per = firsts.select("anchor").mapInArrow(_counted, "anchor long, n long").groupBy("anchor").agg(total)
+    per = firsts.select("anchor").mapInArrow(lean(_counted), "anchor long, n long").groupBy("anchor").agg(total)
     hot = per.where(F.col("n") > HOT).toPandas()  # at most one for HOT strips
-    sifted = firsts.mapInArrow(_sift(n_buckets, share(hot["anchor"].to_numpy(np.int64))), _PACKED)
+    sifted = firsts.mapInArrow(lean(_sift(n_buckets, share(hot["anchor"].to_numpy(np.int64)))), _PACKED)
     by_anchor = dealt.where("gone = 0").unionByName(sifted.where("gone = 0"))
     apart = sifted.where("gone = 2").drop("gone") if len(hot) else None
     return by_anchor, apart, [kinds.where("gone = 1")], int(hot["n"].sum())
@@ -593,7 +594,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = df.select(F.col(quoted(id_col)).cast("long").alias("_id"), F.coalesce(F.col(quoted(text_col)).cast("string"), F.lit("")).alias("_t"))
     total = texts.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
     n_buckets = max(16, -(-total // SHARE))
-    routed = texts.mapInArrow(_route(n_buckets), _PACKED)
+    routed = texts.mapInArrow(lean(_route(n_buckets)), _PACKED)
     routed = cut(routed)
     by_anchor, apart, gone, n_hot = _crowds(routed.where("gone = 0"), n_buckets)
     settled = cut(by_anchor.groupBy("bucket").applyInArrow(_settle(n_buckets), _PACKED))
@@ -602,7 +603,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     n_sorted = max(16, -(-(n_edge // 8 * (MATCH + SPAN // 2) + n_hot * (SPAN // 2) * MATCH) // SORTED))
     if apart is not None:
         want = want.unionByName(apart)
-    shipped = texts.mapInArrow(_ship("_id", n_buckets), "bucket int, rows binary")
+    shipped = texts.mapInArrow(lean(_ship("_id", n_buckets)), "bucket int, rows binary")
     span_type = "bucket int, doc binary, start binary, length binary"
     strips_ = shipped.groupBy("bucket").cogroup(want.groupBy("bucket")).applyInArrow(_fetch(n_sorted, n_buckets), span_type + ", bytes binary")
     if apart is not None:
@@ -614,10 +615,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans = spans.unionByName(more.select(found.columns))
     carried = [F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(rest)]
     packed = df.select(F.col(quoted(id_col)).cast("long").alias("_id"), F.col(quoted(text_col)).cast("string").alias("_t"), *carried)
-    ship_all = packed.mapInArrow(_ship("_id", n_buckets), "bucket int, rows binary")
-    kinds = {f.name: f.dataType.simpleString() for f in packed.schema}
+    ship_all = packed.mapInArrow(lean(_ship("_id", n_buckets)), "bucket int, rows binary")
     names = ["_id", "_t", *[f"_c{i}" for i in range(len(rest))]] if with_text else [f"_c{i}" for i in range(len(rest))]
-    schema = ", ".join([f"{c} {kinds[c]}" for c in names] + ["_s0 long, _s1 long, _s2 long, _s3 string"])
+    schema = StructType([*[packed.schema[c] for c in names], *[StructField(f"_s{i}", LongType()) for i in range(3)], StructField("_s3", StringType())])
     done = ship_all.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_remove(with_text), schema)
     at = {c: f"_c{i}" for i, c in enumerate(rest)}
     cols = [F.col("_t").alias(c) if c == text_col else F.col(at[c]).alias(c) for c in df.columns
