@@ -7,11 +7,13 @@ lengths: at most ``capacity`` counts, whatever the table. The driver packs
 that histogram, longest first: of the open bins (grouped by what is left of
 every resource) that can take the piece under every constraint, it selects
 by weighted residual norm (smallest norm of what would be left) or by weighted
-dot-product (largest match of piece and what is left). With the default
-bounds and weights, which the registered query keeps, only tokens bind and
-select. Runs of equal pieces
-go into runs of equal bins, so a plan is a short list of
-(length, ranks, sequences, offset) runs.
+dot-product (largest match of piece and what is left). All three residuals,
+as shares of their capacities, select with equal weights unless told
+otherwise: among bins that the piece fills about alike, the ones short of
+documents or attention go first. A sequence of ``capacity`` tokens cannot hold
+more documents or attention cost than the default bounds, so only tokens bind
+unless smaller bounds are given. Runs of equal pieces go into runs of equal
+bins, so a plan is a short list of (length, ranks, sequences, offset) runs.
 
 The rows never meet in one place: pieces are range-sorted by (length, id,
 piece), numbered within (partition, length), shifted by counts per partition,
@@ -31,10 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import LongType, StructField, StructType
 
-from healthmart.llm.common import cut, quoted, table
+from healthmart.llm.common import cut, lean, quoted, table
 
 CAPACITY = 2048
+WEIGHTS = (1.0, 1.0, 1.0)  # of the residual tokens, documents and attention
+_PLACE = ("sequence_id", "offset", "slot")
 
 
 class Encoder:
@@ -114,11 +119,11 @@ def token_pieces(df: DataFrame, vocab: str, ranks: str | None = None, pattern: s
             yield pa.RecordBatch.from_arrays(cols, ["id", "piece", "start", "length", "crc", "ids"][:len(cols)])
 
     schema = f"id {kind}, piece int, start long, length long, crc long" + (", ids array<int>" if with_ids else "")
-    return df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string")).mapInArrow(encode, schema)
+    return df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string")).mapInArrow(lean(encode), schema)
 
 
 def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int | None = None,
-              max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+              max_attention: int | None = None, weights: tuple[float, float, float] = WEIGHTS,
               rule: str = "norm") -> list[tuple[int, int, int, int, int, int]]:
     """Pack ``counts`` pieces of each length. Returns runs (length, first
     rank, count, first bin, offset, slot): piece ``rank + i`` of that length
@@ -183,22 +188,24 @@ def plan_bins(counts: dict[int, int], capacity: int = CAPACITY, max_docs: int |
 
 
 def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None,
-                  max_attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+                  max_attention: int | None = None, weights: tuple[float, float, float] = WEIGHTS,
                   rule: str = "norm") -> DataFrame:
     """``pieces`` (id, piece, length and whatever else) plus sequence_id,
-    offset and slot. Ties of equal lengths go by (id, piece); repeated rows
-    are packed each. An empty table gives no rows."""
+    offset and slot; an input column of such a name gives way. Ties of equal
+    lengths go by (id, piece); repeated rows are packed each. An empty table
+    gives no rows."""
     spark = pieces.sparkSession
-    order = ["length", "id", "piece"]
-    placed = cut(pieces.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
-    per = placed.groupBy("_part", "length").agg(F.count(F.lit(1)).alias("n"))
+    # all input columns travel in one struct, whatever their names
+    rows = pieces.select(F.struct(*[F.col(quoted(c)) for c in pieces.columns]).alias("row"), "length", "id", "piece")
+    placed = cut(rows.repartitionByRange("length", "id", "piece").withColumn("part", F.spark_partition_id()))
+    per = placed.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     # range partitions: a length spans neighbours, so there are at most
     # partitions + capacity such counts
-    before = per.withColumn("_before", F.sum("n").over(
-        W.partitionBy("length").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)))
-    ranked = (placed.withColumn("_rank", F.row_number().over(W.partitionBy("_part", "length").orderBy("id", "piece")) - 1)
-              .join(before.drop("n"), ["_part", "length"])
-              .withColumn("_rank", F.col("_rank") + F.coalesce("_before", F.lit(0))).drop("_part", "_before"))
+    before = per.withColumn("before", F.sum("n").over(
+        W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)))
+    ranked = (placed.withColumn("rank", F.row_number().over(W.partitionBy("part", "length").orderBy("id", "piece")) - 1)
+              .join(before.drop("n"), ["part", "length"])
+              .select("row", F.col("length").cast("long").alias("length"), (F.col("rank") + F.coalesce("before", F.lit(0))).cast("long").alias("rank")))
     counts = {r["length"]: r["n"] for r in per.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = np.array(plan_bins(counts, capacity, max_docs, max_attention, weights, rule) or np.empty((0, 6)), np.int64)
     runs = runs.reshape(-1, 6)[np.lexsort((runs.reshape(-1, 6)[:, 1], runs.reshape(-1, 6)[:, 0]))]
@@ -209,15 +216,14 @@ def best_fit_pack(pieces: DataFrame, capacity: int = CAPACITY, max_docs: int | N
         r = shared.value
         key = r[:, 0] * stride + r[:, 1]
         for b in batches:
-            length, rank = (b.column(b.schema.get_field_index(c)).to_numpy() for c in ("length", "_rank"))
+            length, rank = b.column(1).to_numpy(), b.column(2).to_numpy()
             k = np.searchsorted(key, length * stride + rank, "right") - 1
-            out = {f.name: b.column(i) for i, f in enumerate(b.schema) if f.name != "_rank"}
-            out |= {"sequence_id": pa.array(r[k, 3] + rank - r[k, 1]), "offset": pa.array(r[k, 4]), "slot": pa.array(r[k, 5])}
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(r[k, 3] + rank - r[k, 1]), pa.array(r[k, 4]), pa.array(r[k, 5])],
+                                             ["row", *_PLACE])
 
-    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name != "_rank"]
-    ranked = ranked.withColumn("_rank", F.col("_rank").cast("long"))
-    return ranked.mapInArrow(place, ", ".join([*names, "sequence_id long, offset long, slot long"]))
+    schema = StructType([ranked.schema["row"], *[StructField(c, LongType()) for c in _PLACE]])
+    out = ranked.mapInArrow(lean(place), schema)
+    return out.select(*[F.col("row")[c].alias(c) for c in pieces.columns if c not in _PLACE], *_PLACE)
 
 
 def _vocab() -> tuple[str, str, str]:
