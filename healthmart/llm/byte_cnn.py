@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql import Window as W
 
 from healthmart.llm.common import held_out, pack, table, text_bytes, unpack
@@ -194,7 +195,7 @@ def identify(df: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: s
                 [b.column(0), pa.array(pred.tolist(), pa.string()), pa.array(np.where(known, np.minimum(mean.max(1), 1.0), 0.0) if n else [], pa.float64())],
                 ["row", "lang_pred", "score"])
 
-    schema = f"row {packed.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    schema = StructType([packed.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     out = packed.select("row", "text").mapInArrow(run, schema)
     return unpack(out, df, added={"lang_pred": F.col("lang_pred"), "score": F.col("score")})
 
