@@ -42,14 +42,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from healthmart.llm.common import cut, mix64, quoted, table
+from healthmart.llm.common import cut, lean, mix64, quoted, table
 
 CHUNK = 16384
 UNKNOWN = 10.0
 BLANK = "▁"
 RUN = 32             # chunks whose matrices are combined in one group
 SHORT = 48           # characters up to which units are solved on arrays
-TOGETHER = 1 << 23   # characters whose units are looked through at a time
+TOGETHER = 1 << 22   # characters whose units are looked through at a time
 SLOTS = 1 << 20      # of the hash table of piece prefixes
 _UNIT = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
 _NO = -np.inf
@@ -302,14 +302,18 @@ class Pieces:
         begin = {lo - s: float(before[s]) for s in range(lo - a + 1) if before[s] != _NO}
         return (a, *self.paths(text, a, end, begin, known=lo))
 
-    def outcomes(self, text: str, lo: int, hi: int, before: np.ndarray) -> list[tuple[int, list[int], bool] | None]:
-        """For every right state: the left state that the best path there
-        comes from, the ids of the pieces that end in the chunk text[lo:hi]
-        (the one that spans the left border is its own), and whether they
-        spell it; None where no path ends."""
+    def outcomes(self, text: str, lo: int, hi: int, before: np.ndarray) -> tuple[np.ndarray, bool, list[tuple[int, list[int], bool] | None]]:
+        """The pieces that end in the chunk text[lo:hi] (the one that spans
+        the left border is its own): ids that come first whatever the right
+        state, whether they spell their part, and for every right state the
+        left state that the best path there comes from, the ids that follow
+        and whether these spell theirs; None where no path ends."""
         first, last = self._borders(text, lo, hi)
         a, best, back = self.head(text, lo, first, before)
 
+        def spells(ids: list[int], x: int, y: int) -> bool:
+            return self.decode(ids) == text[x:y].replace(BLANK, " ")
+
         def traced(at: int) -> tuple[int, list[int]]:
             rest = []
             while at > lo:
@@ -318,15 +322,20 @@ class Pieces:
                 at -= n
             return at, [i for ids in reversed(rest) for i in ids]
 
-        exits = range(min(self.longest, hi - lo + 1))
+        exits, out = range(min(self.longest, hi - lo + 1)), []
         if first == hi:
-            out = [traced(hi - t) if best[hi - t - a] != _NO else None for t in exits]
-        else:
-            begin, ids = traced(first)
-            ids = ids + self.spell(self.units(text[first:last]))[0].tolist()
-            tail, back_tail = self.paths(text, last, hi, {last: 0.0})
-            out = [(begin, ids + self.trace(text, last, back_tail, hi - t)) if hi - t >= last and tail[hi - t - last] != _NO else None for t in exits]
-        return [x and (lo - x[0], x[1], self.decode(x[1]) == text[x[0]:hi - t].replace(BLANK, " ")) for t, x in zip(exits, out, strict=True)]
+            for t in exits:
+                begin, ids = traced(hi - t) if best[hi - t - a] != _NO else (0, None)
+                out.append(None if ids is None else (lo - begin, ids, spells(ids, begin, hi - t)))
+            return np.empty(0, "<u4"), True, out
+        begin, ids = traced(first)
+        middle, _, same = self.spell(self.units(text[first:last]))
+        tail, back_tail = self.paths(text, last, hi, {last: 0.0})
+        for t in exits:
+            end = hi - t
+            more = self.trace(text, last, back_tail, end) if end >= last and tail[end - last] != _NO else None
+            out.append(None if more is None else (lo - begin, more, spells(more, last, end)))
+        return np.concatenate([np.array(ids, "<u4"), middle.astype("<u4")]), bool(same.all()) and spells(ids, begin, first), out
 
 
 def _roll(h: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -478,8 +487,8 @@ def encode_texts(df: DataFrame, model_file: str, chunk: int = CHUNK, with_ids: b
     schema = f"id {kind}, row long, chunk long, n long, lo long, text string"
     out = f"id {kind}, row long, chunk long, n_tokens long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if with_ids else "")
     # a text of one chunk starts and ends in state 0; only giant texts need the scans
-    short = texts.where(F.coalesce(F.length("text"), F.lit(0)) < chunk).mapInArrow(_chunks(model_file, chunk), schema)
-    giant = cut(texts.where(F.length("text") >= chunk).mapInArrow(_chunks(model_file, chunk), schema).withColumn("row", -1 - F.col("row")))
+    short = texts.where(F.coalesce(F.length("text"), F.lit(0)) < chunk).mapInArrow(lean(_chunks(model_file, chunk)), schema)
+    giant = cut(texts.where(F.length("text") >= chunk).mapInArrow(lean(_chunks(model_file, chunk)), schema).withColumn("row", -1 - F.col("row")))
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
@@ -497,12 +506,14 @@ def encode_texts(df: DataFrame, model_file: str, chunk: int = CHUNK, with_ids: b
             cells, cases = [], []
             for text, lo, before in zip(*(cols[c].to_pylist() for c in ("text", "lo", "before")), strict=True):
                 m, case = np.full((p.longest, p.longest), _NO), []
-                for t, x in enumerate(p.outcomes(text, lo, len(text), np.frombuffer(before, np.float64))):
-                    ids = np.array(x[1] if x else [], "<u4")
+                common, spelt, rest = p.outcomes(text, lo, len(text), np.frombuffer(before, np.float64))
+                crc = zlib.crc32(common.tobytes())
+                for t, x in enumerate(rest):
+                    more = np.array(x[1] if x else [], "<u4")
                     if x:
                         m[t, x[0]] = 0.0
-                    one = {"n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.tobytes()), "round_trip": bool(x and x[2])}
-                    case.append(one | ({"ids": ids.astype(np.int32)} if with_ids else {}))
+                    one = {"n_tokens": len(common) + len(more), "ids_crc32": zlib.crc32(more.tobytes(), crc), "round_trip": bool(x and spelt and x[2])}
+                    case.append(one | ({"ids": np.concatenate([common, more]).astype(np.int32)} if with_ids else {}))
                 cells.append(m.tobytes())
                 cases.append(case)
             fields = [("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("round_trip", pa.bool_()), *([("ids", pa.list_(pa.int32()))] if with_ids else [])]
@@ -514,13 +525,13 @@ def encode_texts(df: DataFrame, model_file: str, chunk: int = CHUNK, with_ids: b
             state = [int(np.frombuffer(v, np.float64).argmax()) for v in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(-b.column(1).to_numpy()), pa.array(state, pa.int64())], ["row", "chunk", "leave"])
 
-    before = scan(giant.select("row", "chunk", "lo", "text").mapInArrow(matrices, "row long, chunk long, cells binary"), run)
+    before = scan(giant.select("row", "chunk", "lo", "text").mapInArrow(lean(matrices), "row long, chunk long, cells binary"), run)
     case = "struct<n_tokens: bigint, ids_crc32: bigint, round_trip: boolean" + (", ids: array<int>>" if with_ids else ">")
     known = cut(giant.join(before, ["row", "chunk"]).select("id", "row", "chunk", "lo", "text", "before")
-                .mapInArrow(outcomes, f"id {kind}, row long, chunk long, cells binary, cases array<{case}>"))
+                .mapInArrow(lean(outcomes), f"id {kind}, row long, chunk long, cells binary, cases array<{case}>"))
     leave = scan(known.select("row", (-F.col("chunk")).alias("chunk"), "cells"), run).mapInArrow(left, "row long, chunk long, leave long")
     long = known.join(leave, ["row", "chunk"]).select("id", "row", "chunk", F.get("cases", F.col("leave").cast("int")).alias("case"))
-    short = short.select("id", "row", "chunk", "text").mapInArrow(_encoded(model_file, with_ids), out)
+    short = short.select("id", "row", "chunk", "text").mapInArrow(lean(_encoded(model_file, with_ids)), out)
     return short.unionByName(long.select("id", "row", "chunk", "case.*"))
 
 
