@@ -1,70 +1,84 @@
 """Lookup of values in a range table that is data.
 
-Ranges may overlap, leave gaps and be many. Each is cut at the borders of a
-grid whose bins are at least as wide as the range, so it lies in at most two
-bins; grids get coarser by a factor of 16 from one level to the next, and a
-table of mixed widths uses a few levels. A value meets, on every level in
-use, the one bin it falls into: an equi join of one row with one row. Inside
-a bin the ranges are sorted by lower bound and those that an earlier one
-covers are gone, so the first range that reaches the value is the answer.
+Ranges may overlap, leave gaps and be many. In order of their lower bounds,
+a range that reaches no further than an earlier one is never the first to
+hold a value; the others, kept, have rising upper bounds, so the only
+candidate for a value is the first kept range that reaches it. A search tree
+over the upper bounds finds it: nodes of ``FAN`` entries, the bounds of the
+topmost ``TOP`` nodes at most in a ``Bucketizer``, every lower level an equi
+join of one value with one node. What a value meets is ``FAN`` entries a
+level, however many ranges lie over each other.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-STEP = 16            # from one level's bins to the next one's
-BROADCAST = 1 << 20  # ranges up to which the bins are broadcast
+from healthmart.operators.materialize import checkpoint
 
+FAN = 16             # entries of a node
+TOP = 1 << 14        # nodes of the topmost level at most
+BROADCAST = 1 << 20  # entries of a level up to which it is broadcast
 
-def _finite(bound: Column) -> Column:
-    return F.greatest(F.least(bound, F.lit(1e308)), F.lit(-1e308))
 
+def kept(ranges: DataFrame, lo: str, hi: str, take: list[str]) -> tuple[DataFrame, int]:
+    """(__pos, __lo, __hi, __row) of the ranges that no earlier one covers, in
+    the order of (lower bound, upper bound, ``take``), numbered from 0; with
+    it their number. ``__row`` holds ``take``. Ranges with a NULL or NaN
+    bound, or none between their bounds, hold no value and are left out.
 
-def _size(width: float, level: int) -> float:
-    try:
-        return width * float(STEP) ** level
-    except OverflowError:
-        return math.inf
-
-
-def _levels(ranges: DataFrame) -> tuple[float, list[int], int]:
-    """(width of the bins of level 0, levels in use, number of ranges)."""
-    about = ranges.agg(F.percentile_approx(F.col("__to") - F.col("__from"), 0.5).alias("mid"),
-                       F.max(F.greatest(F.abs("__from"), F.abs("__to"))).alias("top"), F.count(F.lit(1)).alias("n")).first()
-    width = max(about["mid"] or 0.0, (about["top"] or 0.0) / 2.0 ** 50, 1e-300)
-    used = ranges.select(_level(width).alias("l")).distinct().collect()  # no more than a double has powers of 16
-    return width, sorted(r["l"] for r in used), about["n"]
-
-
-def _level(width: float):
-    size = (F.col("__to") - F.col("__from")) / F.lit(width)
-    level = F.ceil(F.log(F.greatest(size, F.lit(1.0))) / F.log(F.lit(float(STEP)))).cast("int")
-    # rounding of the logarithm must not leave a range wider than its bins
-    return F.when(size > F.pow(F.lit(float(STEP)), level), level + 1).otherwise(level)
-
-
-def bins(ranges: DataFrame, lo: str, hi: str, take: list[str]) -> tuple[DataFrame, float, list[int], int]:
-    """(level, bin, held): held are the bin's ranges (lo, hi, row) in order
-    of their lower bounds, without those an earlier one covers; row holds
-    ``take``. With them the width of level 0, the levels in use and the
-    number of ranges. Ranges with a NULL or NaN bound, or none between their
-    bounds, hold no value and are left out."""
+    Running maximum and numbers are prefix sums over range partitions, as in
+    ``conform.dense_ids``: no task holds more than its own range.
+    """
     r = ranges.select(F.col(f"`{lo}`").cast("double").alias("__lo"), F.col(f"`{hi}`").cast("double").alias("__hi"),
                       F.struct(*[F.col(f"`{c}`") for c in take]).alias("__row"))
-    r = r.where("__lo <= __hi and not isnan(__lo) and not isnan(__hi)")
-    r = r.withColumns({"__from": _finite(F.col("__lo")), "__to": _finite(F.col("__hi"))})
-    width, levels, n = _levels(r)
-    wide = F.lit(width) * F.pow(F.lit(float(STEP)), F.col("level"))
-    cut = (r.withColumn("level", _level(width)).withColumn("__wide", wide)
-           .withColumn("bin", F.explode(F.sequence(F.floor(F.col("__from") / F.col("__wide")), F.floor(F.col("__to") / F.col("__wide"))))))
-    earlier = Window.partitionBy("level", "bin").orderBy("__lo", "__hi", "__row").rowsBetween(Window.unboundedPreceding, -1)
-    cut = cut.withColumn("__reach", F.max("__hi").over(earlier)).where("__reach is null or __hi > __reach")
-    held = F.sort_array(F.collect_list(F.struct(F.col("__lo").alias("lo"), F.col("__hi").alias("hi"), F.col("__row").alias("row"))))
-    return cut.groupBy("level", "bin").agg(held.alias("held")), width, levels, n
+    r = r.where("__lo <= __hi and not isnan(__lo) and not isnan(__hi)").groupBy("__lo", "__hi").agg(F.min("__row").alias("__row"))
+    placed = checkpoint(r.repartitionByRange("__lo", "__hi").sortWithinPartitions("__lo", "__hi").withColumn("__at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__p", F.shiftright("__at", 33))
+    parts = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("__p").agg(F.max("__hi").alias("__top")).select("__p", F.max("__top").over(parts).alias("__before"))
+    inside = Window.partitionBy("__p").orderBy("__at")
+    reach = F.greatest(F.max("__hi").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.col("__before"))
+    first = (placed.join(F.broadcast(before), "__p").withColumn("__reach", reach).where("__reach is null or __hi > __reach")
+             .select("__p", F.row_number().over(inside).alias("__nth"), "__lo", "__hi", "__row"))
+    first, seen = checkpoint(first, observe={"n": F.count(F.lit(1))})
+    offsets = first.groupBy("__p").agg(F.count(F.lit(1)).alias("__n")).select("__p", F.coalesce(F.sum("__n").over(parts), F.lit(0)).alias("__off"))
+    out = first.join(F.broadcast(offsets), "__p").select((F.col("__off") + F.col("__nth") - 1).alias("__pos"), "__lo", "__hi", "__row")
+    return out, seen["n"]
+
+
+def nodes(table: DataFrame, level: int) -> DataFrame:
+    """(node, held) of a level of the tree over ``kept`` ranges: held are the
+    ranges (hi, lo, row) of a node of level 1, above it the greatest upper
+    bounds (hi) of the nodes below, in their order; ``FAN`` at most."""
+    if level == 1:
+        entry, below = F.struct(F.col("__hi").alias("hi"), F.col("__lo").alias("lo"), F.col("__row").alias("row")), table
+    else:
+        entry, below = F.struct(F.col("__hi").alias("hi")), _greatest(table, level - 1)
+    return (below.groupBy(F.expr(f"__pos div {FAN}").alias("node"))
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col("__pos").alias("pos"), entry.alias("entry")))), lambda e: e["entry"]).alias("held")))
+
+
+def _greatest(table: DataFrame, level: int) -> DataFrame:
+    return table.groupBy(F.expr(f"__pos div {FAN ** level}").alias("__pos")).agg(F.max("__hi").alias("__hi"))
+
+
+def _top_node(df: DataFrame, table: DataFrame, n: int, depth: int) -> DataFrame:
+    """``df`` with ``__node``: the topmost node whose greatest upper bound is
+    the first to reach ``__v``. Buckets are closed below, nodes above, so
+    both sides change sign. Beyond all bounds, and for NaN, no node is met."""
+    m = -(-n // FAN ** depth)
+    if m == 1:
+        return df.withColumn("__node", F.lit(0).cast("long"))
+    bounds = [0.0 - r["__hi"] for r in _greatest(table, depth).orderBy(F.desc("__pos")).collect()]  # TOP at most
+    beyond = [-math.inf] if bounds[0] > -math.inf else []
+    search = Bucketizer(splits=[*beyond, *bounds, math.inf], inputCol="__key", outputCol="__bucket", handleInvalid="keep")
+    out = search.transform(df.withColumn("__key", F.lit(0.0) - F.col("__v")))
+    return out.withColumn("__node", F.lit(m - 1 + len(beyond)) - F.col("__bucket").cast("long")).drop("__key", "__bucket")
 
 
 def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str, take: list[str],
@@ -74,18 +88,22 @@ def range_lookup(df: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str,
     the smallest upper one, then the smallest ``take``. Where none does, and
     for a NULL value, ``default`` or NULL. An input column named like a taken
     one gives way."""
-    table, width, levels, n = bins(ranges, lo, hi, take)
-    out = df.withColumn("__v", F.col(f"`{value}`").cast("double"))
-    for level in levels:
-        side = table.where(F.col("level") == level).select(F.col("bin").alias(f"__b{level}"), F.col("held").alias(f"__h{level}"))
-        at = F.floor(_finite(F.col("__v")) / F.lit(_size(width, level)))
-        out = out.join(F.broadcast(side) if n <= broadcast else side, at == F.col(f"__b{level}"), "left")
-        reach = F.get(F.filter(f"__h{level}", lambda r: r["hi"] >= F.col("__v")), 0)
-        out = out.withColumn(f"__c{level}", F.when(reach["lo"] <= F.col("__v"), reach))
-    first = F.array_min(F.array(*[F.col(f"__c{level}") for level in levels])) if levels else None
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in take]
-    if first is None:
+    table, n = kept(ranges, lo, hi, take)
+    others = [F.col(f"`{c}`") for c in df.columns if c not in take]
+    if not n:
         kinds = dict(ranges.dtypes)
-        return out.select(*kept, *[F.lit((default or {}).get(c)).cast(kinds[c]).alias(c) for c in take])
-    out = out.withColumn("__first", first)
-    return out.select(*kept, *[F.coalesce(F.col("__first.row")[c], F.lit((default or {}).get(c))).alias(c) for c in take])
+        return df.select(*others, *[F.lit((default or {}).get(c)).cast(kinds[c]).alias(c) for c in take])
+    depth = 1
+    while -(-n // FAN ** depth) > TOP:
+        depth += 1
+    out = _top_node(df.withColumn("__v", F.col(f"`{value}`").cast("double")), table, n, depth)
+    for level in range(depth, 0, -1):
+        side = nodes(table, level).withColumnsRenamed({"node": f"__n{level}", "held": f"__h{level}"})
+        few = n // FAN ** (level - 1) <= broadcast
+        out = out.join(F.broadcast(side) if few else side, F.col("__node") == F.col(f"__n{level}"), "left")
+        if level > 1:
+            passed = F.size(F.filter(f"__h{level}", lambda r: r["hi"] < F.col("__v")))
+            out = out.withColumn("__node", F.col("__node") * FAN + passed).drop(f"__n{level}", f"__h{level}")
+    first = F.get(F.filter("__h1", lambda r: r["hi"] >= F.col("__v")), 0)
+    out = out.withColumn("__first", F.when(first["lo"] <= F.col("__v"), first))
+    return out.select(*others, *[F.coalesce(F.col("__first.row")[c], F.lit((default or {}).get(c))).alias(c) for c in take])

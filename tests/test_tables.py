@@ -242,6 +242,21 @@ def test_range_lookup(spark, broadcast):
     assert {r["band"] for r in none.collect()} == {-1}
 
 
+@pytest.mark.parametrize("broadcast", [1 << 20, 0])
+def test_range_lookup_of_ranges_over_each_other(spark, broadcast, monkeypatch):
+    monkeypatch.setattr(ranges, "TOP", 3)  # several levels of the tree
+    table = [(i / 8, i / 8 + 500 + i % 3, i) for i in range(1500)] + [(0.0, 3.0, 2000 + i) for i in range(50)] + [(900.0, math.inf, 3000)]
+    of = spark.createDataFrame(table, "lo double, hi double, band int")
+    values = [-1.0, -0.0, 0.0, 3.0, 3.5, 499.9, 500.0, 500.01, 502.0, 640.0625, 687.5, 687.6, 688.0, 689.5, 800.0, 1e300, math.inf, math.nan, None] + [i * 0.37 for i in range(2000)]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    out = ranges.range_lookup(df, "v", of, "lo", "hi", ["band"], default={"band": -1}, broadcast=broadcast)
+    assert [r["band"] for r in out.orderBy("i").collect()] == [_first_range(v, table) for v in values]
+    kept, n = ranges.kept(of, "lo", "hi", ["band"])
+    assert n > 20 * ranges.FAN  # every value between 190 and 500 lies in all of them
+    for level in (1, 2):  # what one value meets stays small
+        assert ranges.nodes(kept, level).agg(F.max(F.size("held"))).first()[0] <= ranges.FAN
+
+
 # ---- file order
 
 def test_ids_in_file_order_without_a_shuffle(spark, scratch):
