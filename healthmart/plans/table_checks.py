@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from healthmart.operators import quarantine as qr
@@ -19,10 +20,18 @@ from healthmart.sources import files, inferred, versions
 from healthmart.sources.tables import APPOINTMENTS_SQL, PROFILES_SQL, appointments, disease_profiles
 
 
+FILE_ROWS = 500_000  # rows of a file that one task sorts and writes
+
+
 def _base(spark, name: str) -> str:
     return P.scratch_base(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def _in_files(df, order: list[str]):
+    """``df`` dealt to files in ``order``: three, and more as it grows."""
+    return df.repartitionByRange(max(3, -(-df.count() // FILE_ROWS)), *order).sortWithinPartitions(*order)
+
+
 # -- S10 S9 X17: batches ---------------------------------------------------------
 
 @register("append_batches", O.with_(O.ELT_FACT_IDS, "SELECT * FROM fact_ids"))
@@ -203,7 +212,7 @@ def q_file_order_ids(spark, sf):
              "l_returnflag", "l_linestatus", "l_shipdate"]
     li = _t(spark, sf, "lineitem").select(*order)
     base = _base(spark, "file-order")
-    path = files.write_csv(li.repartitionByRange(3, *order).sortWithinPartitions(*order), base, "lines")
+    path = files.write_csv(_in_files(li, order), base, "lines")
     back = spark.read.option("header", True).schema(li.schema).csv(path)
     return files.with_file_ids(back, "id").select("id", "l_orderkey", "l_linenumber", "l_extendedprice")
 
@@ -230,7 +239,7 @@ def order_text(spark, sf):
 def _inferred(spark, sf):
     """The order texts as CSV files in key order, read back with inferred types."""
     rows = order_text(spark, sf).withColumn("__k", F.col("k").cast("long"))
-    rows = rows.repartitionByRange(3, "__k").sortWithinPartitions("__k").drop("__k")
+    rows = _in_files(rows, ["__k"]).drop("__k")
     return inferred.read_inferred(spark, files.write_csv(rows, _base(spark, "inferred"), "orders", null_text=""), tolerance=0.05)
 
 
@@ -262,8 +271,8 @@ def q_rescued_places(spark, sf):
     and its number there add up to its place in key order."""
     df = _inferred(spark, sf)
     size = files.with_place(spark.read.option("header", True).csv(df.inputFiles()), "at").groupBy("at.file").agg(F.max("at.row").alias("n"))
-    before = size.alias("x").join(size.alias("y"), F.col("y.file") < F.col("x.file"), "left").groupBy("x.file").agg(
-        F.coalesce(F.sum("y.n"), F.lit(0)).alias("before"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    before = size.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     place = df.where("_rescued is not null").select("_rescued.file", "_rescued.row").join(before, "file").select(
         (F.col("row") + F.col("before")).alias("place"))
     return place.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("place").alias("places"), F.sum("place").alias("place_sum"))

@@ -14,6 +14,7 @@ from healthmart.operators import quarantine as qr
 from healthmart.operators import ranges, sketches
 from healthmart.operators.audit import StageLog
 from healthmart.plans import pipelines as P
+from healthmart.plans import table_checks
 from healthmart.sources import files, inferred, versions
 
 
@@ -283,6 +284,16 @@ def test_ids_in_file_order_without_a_shuffle(spark, scratch):
         spark.conf.set("spark.sql.files.openCostInBytes", small[1])
 
 
+def test_files_in_order_stay_small(spark, scratch, monkeypatch):
+    monkeypatch.setattr(table_checks, "FILE_ROWS", 1000)
+    source = spark.range(9_500).select(F.pmod(F.col("id") * 7919, 9_500).alias("k"))
+    df = spark.read.option("header", True).schema("k long").csv(files.write_csv(table_checks._in_files(source, ["k"]), scratch, "lines"))
+    per_file = [r["count"] for r in df.groupBy("_metadata.file_path").count().collect()]
+    assert len(per_file) >= 9 and max(per_file) < 2500
+    assert files.with_file_ids(df, "id", start=0).where("id <> k").count() == 0 and df.count() == 9_500
+    assert table_checks._in_files(source.limit(5), ["k"]).rdd.getNumPartitions() == 3
+
+
 # ---- inferred scan
 
 def test_inferred_types_and_rescue(spark, tmp_path):
