@@ -10,7 +10,7 @@ is kept in a rescue column, with the file and the row it came from.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from healthmart.sources import files
@@ -18,22 +18,35 @@ from healthmart.sources import files
 #: Narrowest first; every type but the last may fail on some text.
 LATTICE = ("bigint", "double", "boolean", "date", "timestamp", "string")
 BROKEN = "__line"
+#: Every text that can be cast matches (others may). A cast that fails throws
+#: inside Spark, which takes a hundred times as long as a look at the text.
+MAY_FIT = {"bigint": r"(?is)^[^0-9a-z]*[0-9]+[^0-9a-z]*$",
+           "double": r"(?is)^[^0-9a-z]*([0-9][0-9a-fx.]*(p?[+-]?[0-9]+[fd]?)?|inf|infinity|nan)[^0-9a-z]*$",
+           "boolean": r"(?is)^[^0-9a-z]*(t|true|y|yes|1|f|false|n|no|0)[^0-9a-z]*$"}
+
+
+def _fits(value: Column, kind: str) -> Column:
+    """``value`` as ``kind``, NULL if it cannot be cast."""
+    cast = value.try_cast(kind)
+    return F.when(value.rlike(MAY_FIT[kind]), cast) if kind in MAY_FIT else cast
 
 
 def infer_types(raw: DataFrame, tolerance: float = 0.0) -> dict[str, str]:
     """The type of every text column of ``raw``: the first of ``LATTICE`` that
     fits all but at most ``tolerance`` of its values. A column without values
-    is text. One aggregate; a row of counts reaches the driver."""
+    is text. Values are tried column by column, as rows: one aggregate over
+    all columns and types at once is a method too long for the JVM to compile.
+    A row of counts a column reaches the driver."""
     tried = LATTICE[:-1]
-    aggs = []
-    for i, c in enumerate(raw.columns):
-        q = F.col(f"`{c}`")
-        aggs += [F.count(q).alias(f"n{i}"), *[F.count(q.try_cast(t)).alias(f"n{i}_{t}") for t in tried]]
-    seen = raw.agg(*aggs).first()
+    if not raw.columns:
+        return {}
+    tall = raw.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(raw.columns)])).alias("r")).select("r.*")
+    counts = tall.groupBy("i").agg(F.count("value").alias("n"), *[F.count(_fits(F.col("value"), t)).alias(t) for t in tried])
+    seen = {r["i"]: r for r in counts.collect()}
     out = {}
     for i, c in enumerate(raw.columns):
-        n = seen[f"n{i}"]
-        fits = [t for t in tried if n and n - seen[f"n{i}_{t}"] <= tolerance * n]
+        n = seen[i]["n"] if i in seen else 0
+        fits = [t for t in tried if n and n - seen[i][t] <= tolerance * n]
         out[c] = fits[0] if fits else LATTICE[-1]
     return out
 

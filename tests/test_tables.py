@@ -311,6 +311,17 @@ def test_inferred_types_and_rescue(spark, tmp_path):
     assert again.where("_rescued is not null").count() == 2  # only the lines that are broken
 
 
+def test_the_look_before_a_cast_loses_no_value(spark):
+    texts = ["1", " 12 ", "\t-3\n", "+4", "\x00 5\x1f", "5.", ".5", "1.5", "-1.5e-3", "1E5", "1e+5", "2f", "2.5D", "1e3f", "0x1p3", "0x1.8p-3", "0xAp1f", "NaN", " nan", "-Infinity", "+inf",
+             "inf", "INF", "t", "TRUE", " yes ", "n", "No", "0", "tr", "1-URGENT", "1996-01-02", "1995-02-30", "n/a", 'free, "x"', "", " ", "-", "e", "1e", "1 2", "9" * 30, "\u0661", "1\u00a0", "\u20031", "1\u2028", "true\u2003", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in inferred.LATTICE:
+        bad = df.where(~inferred._fits(F.col("v"), kind).eqNullSafe(F.col("v").try_cast(kind)))
+        assert bad.collect() == [], kind
+    unfit = df.where(F.col("v").isin("1-URGENT", "1996-01-02", "n/a"))  # the common misfits are not cast at all
+    assert unfit.where(" or ".join(f"v rlike r'{m}'" for m in inferred.MAY_FIT.values())).count() == 0
+
+
 # ---- profiles that merge
 
 def test_profile_of_batches_is_the_profile_of_all(spark, scratch):
