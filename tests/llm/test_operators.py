@@ -170,6 +170,52 @@ def test_class_model_is_a_distribution(docs):
     assert total[used] == pytest.approx(np.ones(used.sum()))
 
 
+def _rare_words():
+    """9,000 frequent words that end alike, and 200 rarer ones that end
+    alike too: the even ones stand between left and lefty, the odd ones
+    between right and righty. Every text is in the learning fold."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1][:60]
+    texts = [" ".join(f"f{i}zz" for i in range(k % 20, 9000, 20)) for k in range(len(ids))]
+    rare = [f"left {i}qq lefty" if i % 2 == 0 else f"right {i}qq righty" for i in range(200)]
+    return [(i, t + " " + " ".join(rare if k < 2 else [])) for k, (i, t) in enumerate(zip(ids, texts, strict=True))]
+
+
+def test_class_lm_clusters_rare_words(spark, monkeypatch):
+    sent, frame = [], type(spark.range(0))
+    monkeypatch.setattr(frame, "toPandas", lambda self, f=frame.toPandas: sent.append(len(out := f(self))) or out)
+    monkeypatch.setattr(class_lm, "ENTRIES", 1000, raising=False)  # many parts of the words
+    docs = spark.createDataFrame(_rare_words(), "doc_id long, text string").repartition(3)
+    model, counts = class_lm.train(class_lm._texts(docs, "doc_id", "text"))
+    c = collections.Counter(w for _, t in _rare_words() for w in [*t.encode().split(), b""])
+    assert {bytes(r["w"]): r["n"] for r in counts.collect()} == c
+    even, odd = (collections.Counter(model.known[b"%dqq" % i][1] for i in range(k, 200, 2)) for k in (0, 1))
+    assert even.most_common(1)[0][0] != odd.most_common(1)[0][0]
+    assert sum((even & odd).values()) < 20
+    assert max(sent) <= class_lm.CLASSES ** 2  # no list of words reaches the driver
+
+
+def test_class_score_by_brute_force(docs, monkeypatch):
+    monkeypatch.setattr(class_lm, "ENTRIES", 100, raising=False)
+    got = _by_id(class_lm.score_texts(docs), "score")
+    model, counts = class_lm.train(class_lm._texts(docs, "doc_id", "text"))
+    known = {bytes(r["w"]): model.known[bytes(r["w"])] for r in counts.collect()}
+    joint = np.zeros((class_lm.CLASSES, class_lm.CLASSES))
+    tokens = {i: [b"", *(t or "").encode().lower().split(), b""] for i, t in _texts()}
+    for i, ws in tokens.items():
+        if zlib.crc32(str("" if i is None else i).encode()) % 5 != 1:
+            for a, z in zip(ws, ws[1:], strict=False):
+                joint[known[a][1], known[z][1]] += 1
+    assert (joint.sum(0) == model.size).all()
+    step = (joint + class_lm.PRIOR * model.size / model.tokens) / (joint.sum(1, keepdims=True) + class_lm.PRIOR)
+    for i, ws in tokens.items():
+        want = 0
+        for a, z in zip(ws, ws[1:], strict=False):
+            (_, b), (n, k) = (known.get(w, (0, int(model.ending[class_lm._ending(w)]))) for w in (a, z))
+            p = step[b, k] * (1 - model.spare[k]) * n / model.size[k] if n else step[b] @ model.spare
+            want += math.log10(class_lm.MIX * p + (1 - class_lm.MIX) * (n + 0.5) / model.base_of)
+        assert got[i] == pytest.approx(want)
+
+
 def _bag(t):
     w = (t or "").encode().lower().split()
     return collections.Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) > 4 else collections.Counter([tuple(w)] if w else [])
