@@ -13,18 +13,20 @@ Every 100-byte string that also starts earlier in the table is removed
    are repeats as a whole. Only where an anchor has different strips, at the
    edges of shared passages, are bytes needed: the first strip of each kind.
 3. *Suffix arrays.* Those strips are fetched and gathered by anchor into
-   buckets of bounded bytes. Each bucket is one text whose suffixes are
-   sorted in two stages: suffixes smaller than their successors directly,
-   the others induced by scanning the buckets of first bytes in ascending
-   order. Adjacent common prefixes of 100 bytes or more give the groups of
-   equal windows; all but the earliest go.
+   buckets of bounded bytes, each split by anchor into texts of bounded bytes.
+   The suffixes of a text are sorted in two stages: suffixes smaller than
+   their successors directly, the others induced by scanning the buckets of
+   first bytes in ascending order. Adjacent common prefixes of 100 bytes or
+   more give the groups of equal windows; all but the earliest go.
 4. *Removal.* Spans meet their documents by bucket of the id.
 
 Bucket counts grow with the bytes of the table, so a task's share does not.
 Anchors with many strips are found by a sample of digests and settled by
 (anchor, digest); only those of at most ``HOT`` kinds then meet by anchor.
-The others are dealt out window by window, by the hash of the window, equal
-windows combined per bucket of documents. Documents travel compressed.
+Of the others the digests of all windows are dealt out first, equal windows of
+a block of strips combined; only windows whose digest occurs at two places get
+a place in a suffix array. Documents travel as rows: the pieces of a batch for
+every bucket would grow with the square of the table.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -46,6 +48,7 @@ SPAN = MATCH - GRAM + 1
 BLOCK = 1_000_000          # bytes hashed at once; places in a block fit 20 bits
 SHARE = 8 << 20            # bytes of text per bucket of anchors or documents
 SORTED = 1 << 19           # bytes of strips per suffix array
+GATHERED = 8 * SORTED      # bytes of strips per bucket of suffix arrays
 HOT = 4096                 # different strips of one anchor that stay together
 
 _ODD = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -65,6 +68,13 @@ def powers() -> list[np.ndarray]:
     return _powers
 
 
+def _prefix_hash(data: np.ndarray) -> np.ndarray:
+    up, _ = powers()
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[:len(data)], out=prefix[1:])
+    return prefix
+
+
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by prefix and suffix minima of
     blocks of that width."""
@@ -83,10 +93,9 @@ def strips(data: np.ndarray, off: np.ndarray):
     n_win = np.maximum(np.diff(off) - MATCH + 1, 0)
     if not n_win.any():  # too short to hash: fewer bytes than a gram, or than grams that make a window
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2
-    up, down = powers()
+    _, down = powers()
     n = len(data)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[:n], out=prefix[1:])
+    prefix = _prefix_hash(data)
     gram = mix64((prefix[GRAM:] - prefix[:-GRAM]) * down[:n - GRAM + 1])
     place = np.uint64((1 << 20) - 1)
     least = sliding_min((gram & ~place) | np.arange(len(gram), dtype=np.uint64), SPAN)
@@ -124,8 +133,27 @@ def _ids(col: pa.Array) -> np.ndarray:
     return col.cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
 
 
+_LOW = 0xFFFFFFFF
+_FACTORS = 0x5851F42D, 0x6C078965, 0x7FEB352D  # below 2^31: a product with 32 bits does not overflow
+
+
 def _bucket(x: np.ndarray, n: int) -> np.ndarray:
-    return (mix64(x.view(np.uint64) if x.dtype == np.int64 else x) % np.uint64(n)).astype(np.int64)
+    """Bucket of hashes, or (int64) of document ids as ``_id_bucket``."""
+    if x.dtype != np.int64:
+        return (mix64(x) % np.uint64(n)).astype(np.int64)
+    low, (a, b, c) = np.uint64(_LOW), map(np.uint64, _FACTORS)
+    x = x.view(np.uint64)
+    h = (x & low) * a ^ (x >> np.uint64(32)) * b
+    h = ((h ^ h >> np.uint64(31)) & low) * c
+    return ((h ^ h >> np.uint64(29)) % np.uint64(n)).astype(np.int64)
+
+
+def _id_bucket(x: Column, n: int) -> Column:
+    a, b, c = _FACTORS
+    x = F.coalesce(x, F.lit(-(1 << 63)))
+    h = (x.bitwiseAND(F.lit(_LOW)) * F.lit(a)).bitwiseXOR(F.shiftrightunsigned(x, 32) * F.lit(b))
+    h = h.bitwiseXOR(F.shiftrightunsigned(h, 31)).bitwiseAND(F.lit(_LOW)) * F.lit(c)
+    return (h.bitwiseXOR(F.shiftrightunsigned(h, 29)) % F.lit(n)).cast("int")
 
 
 def _split(bucket: np.ndarray, cols: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -278,73 +306,129 @@ def _settle(n_buckets: int):
     return run
 
 
-def _ship(id_col: str, n_buckets: int):
-    """Rows to compressed Arrow streams by bucket of the id."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bucket = _bucket(_ids(batch.column(batch.schema.get_field_index(id_col))), n_buckets)
-            for b in np.unique(bucket):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                    w.write_batch(batch.take(pa.array(np.flatnonzero(bucket == b))))
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                                                 ["bucket", "rows"])
-    return run
+_STRIPS = "bucket int, what int, doc binary, start binary, length binary, key binary, bytes binary"
+TO_SORT, TO_REMOVE, DIGESTS, WHOLE = range(4)  # what rows of _STRIPS hold
 
 
-def _unship(t: pa.Table) -> Iterator[pa.RecordBatch]:
-    for blob in t["rows"].to_pylist():
-        yield from pa.ipc.open_stream(blob)
+def _bytes_at(data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The bytes of all spans, one after the other."""
+    some, out = 1 << 14, [np.empty(0, np.uint8)]
+    for i in range(0, len(at), some):
+        a, n = at[i:i + some], length[i:i + some]
+        out.append(data[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())])
+    return np.concatenate(out)
 
 
-def _fetch(n_sorted: int, n_buckets: int):
-    """Bytes of the strips that are needed, by bucket of their anchor. Of
-    equal windows of hot anchors only the first of this group travels; the
-    others are spans to remove (bytes NULL), by bucket of the document."""
+def _by_bucket(what: int, bucket: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray,
+               key: np.ndarray, data: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Strips and their bytes (from places ``at`` of ``data``) by bucket."""
+    order = np.argsort(bucket, kind="stable")
+    rows = _split(bucket[order], [doc[order], start[order].astype(np.uint32), length[order].astype(np.uint32), key[order]], [*_SPANS, "key"])
+    text, ends = _bytes_at(data, at[order], length[order]), np.append(0, np.cumsum(length[order]))
+    ends = ends[np.append(np.unique(bucket[order], return_index=True)[1], len(order))]
+    packed = [zlib.compress(text[a:b].tobytes(), 1) for a, b in zip(ends, ends[1:], strict=False)]
+    return pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.full(rows.num_rows, what, np.int32)), *rows.columns[1:],
+                                       pa.array(packed, pa.binary())], ["bucket", "what", *_SPANS, "key", "bytes"])
+
+
+def _bare(what: int, bucket: np.ndarray, doc: np.ndarray, start: np.ndarray, length: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    """Places without bytes by bucket."""
+    rows = _split(bucket, [doc, start.astype(np.uint32), length.astype(np.uint32), key], [*_SPANS, "key"])
+    return pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.full(rows.num_rows, what, np.int32)), *rows.columns[1:],
+                                       pa.nulls(rows.num_rows, pa.binary())], ["bucket", "what", *_SPANS, "key", "bytes"])
+
+
+def _part(key: np.ndarray) -> np.ndarray:
+    """What splits the strips of a bucket of suffix arrays."""
+    return (mix64(key) >> np.uint64(32)).astype(np.uint32)
+
+
+def _blocks(data: np.ndarray, at: np.ndarray, length: np.ndarray):
+    """All windows of strips, by blocks that can be hashed at once: (strip,
+    window in it, its digest, text of the block, place of the window there)."""
+    some, (_, down) = BLOCK // (MATCH + SPAN), powers()
+    for i in range(0, len(at), some):
+        a, n = at[i:i + some], length[i:i + some]
+        text, count = _bytes_at(data, a, n), n - MATCH + 1
+        strip = np.repeat(np.arange(len(a)), count)
+        j = np.arange(len(strip)) - np.repeat(np.cumsum(count) - count, count)
+        place = (np.cumsum(n) - n)[strip] + j
+        prefix = _prefix_hash(text)
+        yield i + strip, j, mix64((prefix[place + MATCH] - prefix[place]) * down[place]), text, place
+
+
+def _dealt(n_buckets: int, n_windows: int, doc: np.ndarray, start: np.ndarray, length: np.ndarray, data: np.ndarray,
+           at: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Strips of hot anchors as they are, by document, and the digests of
+    their windows. Of equal windows of a block only the first travels."""
+    yield _by_bucket(WHOLE, _bucket(doc, n_buckets), doc, start, length, np.zeros(len(doc), np.uint8), data, at)
+    for strip, j, digest, text, place in _blocks(data, at, length):
+        d, s = doc[strip], start[strip] + j
+        order, group, later = _first([digest], d, s)
+        head = order[np.flatnonzero(np.append(True, group[1:] != group[:-1]))][group]
+        twin = np.flatnonzero(order != head)
+        twin = twin[common_prefix(text, place[order[twin]], place[head[twin]])] if len(twin) else twin
+        stay = np.ones(len(order), bool)
+        stay[twin] = False
+        gone, stay = order[twin[later[twin]]], order[stay]
+        none = np.zeros(len(stay), np.uint8)
+        yield _bare(DIGESTS, _bucket(digest[stay], n_windows), d[stay], s[stay], none, digest[stay])
+        yield _bare(TO_REMOVE, _bucket(d[gone], n_buckets), d[gone], s[gone], np.full(len(gone), MATCH), np.zeros(len(gone), np.uint8))
+
+
+def _fetch(n_sorted: int, n_buckets: int, n_windows: int):
+    """Bytes of the strips that are needed, by bucket of their anchor; what
+    ``_dealt`` gives of the strips of hot anchors."""
     def run(docs: pa.Table, want: pa.Table) -> pa.Table:
-        doc, start, length = _join(want, "doc", np.int64), _join(want, "start", np.uint32), _join(want, "length", np.uint32)
-        anchor, hot = _join(want, "anchor", np.uint64), _join(want, "digest", np.uint8)
+        doc, start, length = _join(want, "doc", np.int64), _join(want, "start", np.uint32).astype(np.int64), _join(want, "length", np.uint32).astype(np.int64)
+        anchor, hot = _join(want, "anchor", np.uint64), _join(want, "digest", np.uint8).astype(bool)
         by = np.argsort(doc, kind="stable")
-        out: list[tuple[int, int, int, bytes]] = []
-        firsts: dict[bytes, tuple[int, int]] = {}
-        gone: list[tuple[int, int]] = []
-        for batch in _unship(docs) if len(doc) else ():
+        out = [_bare(TO_REMOVE, *[np.empty(0, np.int64)] * 4, np.empty(0, np.uint8))]
+        for batch in docs.select(["_id", "_t"]).to_batches() if len(doc) else ():
             ids = _ids(batch.column(0))
             data, off = text_bytes(batch.column(1))
             lo, hi = np.searchsorted(doc[by], ids, "left"), np.searchsorted(doc[by], ids, "right")
-            for i in np.flatnonzero(hi > lo):
-                base, end = int(off[i]), int(off[i + 1])
-                for k in by[lo[i]:hi[i]]:
-                    s, n = int(start[k]), int(length[k])
-                    if base + s + n > end:
-                        continue  # a strip of another text that repeats this id
-                    part = data[base + s:base + s + n].tobytes()
-                    if hot[k]:
-                        for j in range(n - MATCH + 1):
-                            window, here = part[j:j + MATCH], (int(doc[k]), s + j)
-                            first = firsts.setdefault(window, here)
-                            if here != first:
-                                gone.append(max(here, first))
-                                firsts[window] = min(here, first)
-                    else:
-                        out.append((int(anchor[k]), int(doc[k]), s, part))
-        out += [(zlib.crc32(w), d, s, w) for w, (d, s) in firsts.items()]
-        key = _bucket(np.array([o[0] for o in out], np.uint64), n_sorted)
-        order = np.argsort(key, kind="stable")
-        rows = [[], [], [], [], []]
-        for b in np.unique(key):
-            mine = order[np.searchsorted(key[order], b):np.searchsorted(key[order], b, "right")]
-            rows[0].append(int(b))
-            rows[1].append(np.array([out[i][1] for i in mine], np.int64).tobytes())
-            rows[2].append(np.array([out[i][2] for i in mine], np.uint32).tobytes())
-            rows[3].append(np.array([len(out[i][3]) for i in mine], np.uint32).tobytes())
-            rows[4].append(zlib.compress(b"".join(out[i][3] for i in mine), 1))
-        d, s = np.array(gone, np.int64).reshape(-1, 2).T
-        o = _split(_bucket(np.ascontiguousarray(d), n_buckets), [d, s.astype(np.uint32), np.full(len(d), MATCH, np.uint32)], _SPANS)
-        return pa.Table.from_batches([
-            pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])],
-                                       ["bucket", *_SPANS, "bytes"]),
-            pa.RecordBatch.from_arrays([*o.columns, pa.nulls(o.num_rows, pa.binary())], ["bucket", *_SPANS, "bytes"])])
+            n = hi - lo
+            k, i = by[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())], np.repeat(np.arange(len(ids)), n)
+            at = off[i] + start[k]
+            own = at + length[k] <= off[i + 1]  # else a strip of another text that repeats this id
+            k, at = k[own], at[own]
+            cold = ~hot[k]
+            c = k[cold]
+            out.append(_by_bucket(TO_SORT, _bucket(anchor[c], n_sorted), doc[c], start[c], length[c], _part(anchor[c]), data, at[cold]))
+            if not cold.all():
+                h = k[~cold]
+                out += _dealt(n_buckets, n_windows, doc[h], start[h], length[h], data, at[~cold])
+        return _settled(pa.Table.from_batches(out))
+    return run
+
+
+def _pairs(n_buckets: int):
+    """Places of windows whose digest occurs at several, by document."""
+    def run(t: pa.Table) -> pa.Table:
+        doc, start, digest = _join(t, "doc", np.int64), _join(t, "start", np.uint32), _join(t, "key", np.uint64)
+        order, group, later = _first([digest], doc, start)
+        several = np.zeros(group[-1] + 1 if len(group) else 0, bool)
+        several[group[later]] = True
+        rows = order[several[group]]
+        return _settled(pa.Table.from_batches([_split(_bucket(doc[rows], n_buckets), [doc[rows], start[rows]], ["doc", "start"])]))
+    return run
+
+
+def _again(n_sorted: int):
+    """Bytes of the windows of hot anchors that may repeat, by digest."""
+    def run(t: pa.Table, pairs: pa.Table) -> pa.Table:
+        doc, start, length = _join(t, "doc", np.int64), _join(t, "start", np.uint32).astype(np.int64), _join(t, "length", np.uint32).astype(np.int64)
+        data = np.frombuffer(b"".join(zlib.decompress(x) for x in t["bytes"].to_pylist()), np.uint8)
+        of, at = np.unique(_join(pairs, "doc", np.int64), return_inverse=True)
+        wanted = at << 32 | _join(pairs, "start", np.uint32)
+        out = [_bare(TO_SORT, *[np.empty(0, np.int64)] * 4, np.empty(0, np.uint32))]
+        for strip, j, digest, text, place in _blocks(data, np.cumsum(length) - length, length) if len(of) else ():
+            d, s = doc[strip], start[strip] + j
+            nth = np.minimum(np.searchsorted(of, d), len(of) - 1)
+            w = np.flatnonzero((of[nth] == d) & np.isin(nth << 32 | s, wanted))
+            out.append(_by_bucket(TO_SORT, _bucket(digest[w], n_sorted), d[w], s[w], np.full(len(w), MATCH), _part(digest[w]), text, place[w]))
+        return _settled(pa.Table.from_batches(out))
     return run
 
 
@@ -402,31 +486,29 @@ def _words(text: np.ndarray) -> np.ndarray:
 
 
 def _sort_direct(text: np.ndarray, which: np.ndarray, depth: int) -> np.ndarray:
+    """``which`` in order of the first ``depth`` bytes: words are ranked once,
+    then the group so far and the ranks of the next words are one number."""
     words = _words(text)
-    n = len(text)
-    order = which[np.argsort(words[which], kind="stable")]
-    group = np.cumsum(np.append(False, words[order][1:] != words[order][:-1])) if len(order) else np.empty(0, np.int64)
-    lo, todo = 8, np.arange(len(order))
+    by = np.argsort(words)
+    rank = np.empty(len(words), np.uint64)
+    rank[by] = np.cumsum(np.append(False, words[by][1:] != words[by][:-1]))
+    bits = len(words).bit_length()
+    ahead = 64 // bits - 1
+    order, group, lo, todo = which.copy(), np.zeros(len(which), np.int64), 0, np.arange(len(which))
     while lo < depth and len(todo):
-        g = group[todo]
-        twin = np.zeros(len(todo), bool)
-        same = g[1:] == g[:-1]
-        twin[1:] |= same
-        twin[:-1] |= same
-        todo = todo[twin]
-        if not len(todo):
-            break
-        at = order[todo]
-        # beyond the end there is a smaller nothing: such suffixes are ranked by how much is left
-        key = np.where(at + lo < n, words[np.minimum(at + lo, len(words) - 1)], 0)
-        by = np.lexsort((key, group[todo]))
-        order[todo] = at[by]
-        k, g = key[by], group[todo]
-        new = np.append(False, (k[1:] != k[:-1]) & (g[1:] == g[:-1]))
+        at, key = order[todo], group[todo].astype(np.uint64)
+        for _ in range(ahead):
+            # beyond the end there is a smaller nothing
+            key = key << np.uint64(bits) | rank[np.minimum(at + lo, len(words) - 1)]
+            lo += 8
+        by = np.argsort(key)
+        order[todo], key = at[by], key[by]
+        head = np.append(True, key[1:] != key[:-1])
         # positions are unique, so a group is renamed by the place of its head
-        head = np.append(True, (g[1:] != g[:-1])) | new
         group[todo] = todo[np.maximum.accumulate(np.where(head, np.arange(len(todo)), 0))]
-        lo += 8
+        twin = ~head
+        twin[:-1] |= ~head[1:]
+        todo = todo[twin]
     return order
 
 
@@ -462,27 +544,39 @@ def repeated_windows(text: np.ndarray, begin: np.ndarray, length: np.ndarray, ra
     return s[later], (sa - begin[s])[later]
 
 
+def _repeats_in(doc: np.ndarray, start: np.ndarray, length: np.ndarray, raw: np.ndarray):
+    """(doc, start, length) of the spans that occur earlier among strips whose
+    bytes lie in ``raw`` one after the other."""
+    # a byte between strips keeps them apart
+    text = np.zeros(len(raw) + len(length), np.uint8)
+    begin = np.cumsum(length + 1) - length - 1
+    body = np.ones(len(text), bool)
+    body[begin + length] = False
+    text[body] = raw
+    order = np.lexsort((start, doc))
+    new = np.append(False, (doc[order][1:] != doc[order][:-1]) | (start[order][1:] != start[order][:-1]))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(new[:len(order)])
+    s, w = repeated_windows(text, begin, length, rank)
+    by = np.lexsort((w, s))
+    s, w = s[by], w[by]
+    head = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (w[1:] != w[:-1] + 1))) if len(s) else np.empty(0, np.int64)
+    count = np.diff(np.append(head, len(s)))
+    return doc[s[head]], start[s[head]] + w[head], count + MATCH - 1
+
+
 def _sort(n_buckets: int):
     def run(t: pa.Table) -> pa.Table:
         doc, start, length = _join(t, "doc", np.int64), _join(t, "start", np.uint32).astype(np.int64), _join(t, "length", np.uint32).astype(np.int64)
-        raw = b"".join(zlib.decompress(x) for x in t["bytes"].to_pylist())
-        # a byte between strips keeps them apart
-        text = np.zeros(len(raw) + len(length), np.uint8)
-        begin = np.cumsum(length + 1) - length - 1
-        body = np.ones(len(text), bool)
-        body[begin + length] = False
-        text[body] = np.frombuffer(raw, np.uint8)
-        order = np.lexsort((start, doc))
-        new = np.append(False, (doc[order][1:] != doc[order][:-1]) | (start[order][1:] != start[order][:-1]))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(new[:len(order)])
-        s, w = repeated_windows(text, begin, length, rank)
-        by = np.lexsort((w, s))
-        s, w = s[by], w[by]
-        head = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (w[1:] != w[:-1] + 1))) if len(s) else np.empty(0, np.int64)
-        count = np.diff(np.append(head, len(s)))
-        d = doc[s[head]]
-        o = _split(_bucket(d, n_buckets), [d, (start[s[head]] + w[head]).astype(np.uint32), (count + MATCH - 1).astype(np.uint32)], _SPANS)
+        raw = np.frombuffer(b"".join(zlib.decompress(x) for x in t["bytes"].to_pylist()), np.uint8)
+        at = np.cumsum(length) - length
+        part = _join(t, "key", np.uint32) % np.uint32(max(1, -(-len(raw) // SORTED)))
+        order = np.argsort(part, kind="stable")
+        got = [tuple(np.empty(0, np.int64) for _ in _SPANS)]
+        for rows in np.split(order, np.flatnonzero(np.diff(part[order])) + 1):
+            got.append(_repeats_in(doc[rows], start[rows], length[rows], _bytes_at(raw, at[rows], length[rows])))
+        d, s, n = (np.concatenate(x) for x in zip(*got, strict=True))
+        o = _split(_bucket(d, n_buckets), [d, s.astype(np.uint32), n.astype(np.uint32)], _SPANS)
         return _settled(pa.Table.from_batches([o]))
     return run
 
@@ -516,7 +610,7 @@ def _remove(texts: bool):
         by = np.lexsort((start, doc))
         doc, start, stop = doc[by], start[by], (start + length)[by]
         out = []
-        for batch in _unship(docs):
+        for batch in docs.drop_columns(["bucket"]).to_batches():
             ids = _ids(batch.column(0))
             data, off = text_bytes(batch.column(1))
             lo, hi = np.searchsorted(doc, ids, "left"), np.searchsorted(doc, ids, "right")
@@ -578,6 +672,11 @@ def _crowds(strips_: DataFrame, n_buckets: int):
     return by_anchor, apart, [kinds.where("gone = 1")], int(hot["n"].sum())
 
 
+def _placed(docs: DataFrame, n_buckets: int):
+    """Documents grouped by the bucket of their id."""
+    return docs.withColumn("bucket", _id_bucket(F.col("_id"), n_buckets)).groupBy("bucket")
+
+
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """``df`` plus n_bytes, n_removed, n_spans and kept_sha256 of the bytes
     that stay. With ``with_text`` the text loses the removed bytes, but for
@@ -600,25 +699,31 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     settled = cut(by_anchor.groupBy("bucket").applyInArrow(_settle(n_buckets), _PACKED))
     want = settled.where("gone = 0").drop("gone")
     n_edge = want.agg(F.sum(F.length("doc"))).first()[0] or 0
-    n_sorted = max(16, -(-(n_edge // 8 * (MATCH + SPAN // 2) + n_hot * (SPAN // 2) * MATCH) // SORTED))
+    n_sorted = max(16, -(-(n_edge // 8 * (MATCH + SPAN // 2)) // GATHERED))
+    n_windows = max(16, -(-n_hot * (SPAN // 2) * 20 // SHARE))  # digest, document and start of each
     if apart is not None:
         want = want.unionByName(apart)
-    shipped = texts.mapInArrow(lean(_ship("_id", n_buckets)), "bucket int, rows binary")
+    strips_ = _placed(texts, n_buckets).cogroup(want.groupBy("bucket")).applyInArrow(_fetch(n_sorted, n_buckets, n_windows), _STRIPS)
     span_type = "bucket int, doc binary, start binary, length binary"
-    strips_ = shipped.groupBy("bucket").cogroup(want.groupBy("bucket")).applyInArrow(_fetch(n_sorted, n_buckets), span_type + ", bytes binary")
-    if apart is not None:
+    sort = lambda rows: rows.where(F.col("what") == TO_SORT).groupBy("bucket").applyInArrow(_sort(n_buckets), span_type)
+    if apart is None:
+        found = sort(strips_)
+    else:
         strips_ = cut(strips_)
-        gone.append(strips_.where("bytes is null"))
-    found = strips_.where("bytes is not null").groupBy("bucket").applyInArrow(_sort(n_buckets), span_type)
+        is_ = lambda what: strips_.where(F.col("what") == what)
+        pairs = cut(is_(DIGESTS).groupBy("bucket").applyInArrow(_pairs(n_buckets), "bucket int, doc binary, start binary"))
+        n_pairs = pairs.agg(F.sum(F.length("doc"))).first()[0] or 0
+        again = is_(WHOLE).groupBy("bucket").cogroup(pairs.groupBy("bucket")).applyInArrow(_again(max(16, -(-(n_pairs // 8 * MATCH) // GATHERED))), _STRIPS)
+        found = sort(strips_).unionByName(sort(again))
+        gone.append(is_(TO_REMOVE))
     spans = found
     for more in (settled.where("gone = 1"), routed.where("gone = 1"), *gone):
         spans = spans.unionByName(more.select(found.columns))
     carried = [F.col(quoted(c)).alias(f"_c{i}") for i, c in enumerate(rest)]
     packed = df.select(F.col(quoted(id_col)).cast("long").alias("_id"), F.col(quoted(text_col)).cast("string").alias("_t"), *carried)
-    ship_all = packed.mapInArrow(lean(_ship("_id", n_buckets)), "bucket int, rows binary")
     names = ["_id", "_t", *[f"_c{i}" for i in range(len(rest))]] if with_text else [f"_c{i}" for i in range(len(rest))]
     schema = StructType([*[packed.schema[c] for c in names], *[StructField(f"_s{i}", LongType()) for i in range(3)], StructField("_s3", StringType())])
-    done = ship_all.groupBy("bucket").cogroup(spans.groupBy("bucket")).applyInArrow(_remove(with_text), schema)
+    done = _placed(packed, n_buckets).cogroup(spans.groupBy("bucket")).applyInArrow(_remove(with_text), schema)
     at = {c: f"_c{i}" for i, c in enumerate(rest)}
     cols = [F.col("_t").alias(c) if c == text_col else F.col(at[c]).alias(c) for c in df.columns
             if c not in added and (with_text or c != text_col)]

@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from healthmart.llm import (bag_minhash, bloom_dedup, byte_cnn, class_lm, line_chunks, max_plus, packing,
@@ -386,6 +387,37 @@ def test_suffix_dedup_of_a_hot_anchor(spark, monkeypatch, size):
     assert got == _removed(rows) and sum(v[1] for v in got.values()) > 29 * 300
 
 
+def test_suffix_dedup_sorts_only_windows_that_may_repeat(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    word = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    phrase, left, right = word(60), word(40), word(40)
+    rows = [(i, word(150) + phrase + word(150)) for i in range(90)]
+    rows += [(i, word(150) + left + phrase + right + word(150)) for i in (90, 91, 92)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    monkeypatch.setattr(suffix_dedup, "HOT", 8)
+    sort = suffix_dedup._sort
+
+    def few(n_buckets):
+        run = sort(n_buckets)
+
+        def group(t):
+            assert len(b"".join(t["start"].to_pylist())) // 4 <= 60, "windows of a hot anchor that occur once"
+            return run(t)
+        return group
+
+    monkeypatch.setattr(suffix_dedup, "_sort", few)
+    got = _by_id(suffix_dedup.remove_repeats(df, with_text=False), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == _removed(rows) and got[90][1] == 0 and min(got[91][1], got[92][1]) >= 140
+
+
+def test_ids_have_one_bucket_everywhere(spark):
+    ids = [None, 0, 1, -1, 7, 2**31, 2**32 - 1, -2**63, 2**63 - 1, *range(10**12, 10**12 + 64_000, 64)]
+    df = spark.createDataFrame([(i,) for i in ids], "id long").select("id", suffix_dedup._id_bucket(F.col("id"), 16).alias("b"))
+    t = df.toArrow()
+    assert t["b"].to_pylist() == suffix_dedup._bucket(suffix_dedup._ids(t["id"].combine_chunks()), 16).tolist()
+    assert max(collections.Counter(t["b"].to_pylist()).values()) < 120
+
+
 @pytest.mark.parametrize("letters", [1, 2, 256])
 def test_suffix_array(letters):
     rng = np.random.default_rng(letters)
