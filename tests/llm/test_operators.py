@@ -410,6 +410,31 @@ def test_suffix_dedup_sorts_only_windows_that_may_repeat(spark, monkeypatch):
     assert got == _removed(rows) and got[90][1] == 0 and min(got[91][1], got[92][1]) >= 140
 
 
+def test_passages_travel_in_pieces_that_do_not_multiply(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    word = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    shared = [word(300) for _ in range(300)]
+    rows = [(i, "".join(word(60) + shared[k] for k in rng.integers(0, 300, 3)) + word(60)) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fetch = suffix_dedup._fetch
+    monkeypatch.setattr(suffix_dedup, "SORTED", 300)
+
+    def counted(*sizes):
+        run = fetch(*sizes)
+
+        def group(docs, want):
+            out = run(docs, want)
+            assert out.num_rows <= 20, "a piece for almost every strip"
+            return out
+        return group
+
+    monkeypatch.setattr(suffix_dedup, "_fetch", counted)
+    got = _by_id(suffix_dedup.remove_repeats(df), "text")
+    want = _removed(rows)
+    assert {i: hashlib.sha256(t.encode()).hexdigest() for i, t in got.items()} == {i: v[3] for i, v in want.items()}
+    assert sum(v[1] for v in want.values()) > 300 * 300
+
+
 def test_ids_have_one_bucket_everywhere(spark):
     ids = [None, 0, 1, -1, 7, 2**31, 2**32 - 1, -2**63, 2**63 - 1, *range(10**12, 10**12 + 64_000, 64)]
     df = spark.createDataFrame([(i,) for i in ids], "id long").select("id", suffix_dedup._id_bucket(F.col("id"), 16).alias("b"))
